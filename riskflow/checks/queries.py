@@ -25,6 +25,7 @@ from riskflow.operators.customer_risk import customer_risk, with_activity
 from riskflow.operators.dedup import dedup_any, dedup_latest
 from riskflow.plans import silver
 from riskflow.sources.raw import with_ingest_metadata
+from riskflow.sources.tables import checkpointed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,13 +53,15 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 # --- stages shared by several queries --------------------------------------------
 def txn_signals(s: SparkSession, d: str) -> DataFrame:
-    df = t.with_billing_country(v.txn(s, d), v.acc(s, d))
+    txn = v.txn(s, d)
+    df = t.with_billing_country(txn, v.acc(s, d))
     df = df.withColumn("is_international", signals.is_international())
-    return t.with_amount_zscore(t.with_time_parts(df))
+    return t.with_amount_zscore(t.with_time_parts(df), source=txn)
 
 
 def app_signals(s: SparkSession, d: str) -> DataFrame:
-    df = v.app(s, d).withColumns(
+    app = v.app(s, d)
+    df = app.withColumns(
         {
             "loan_to_income_ratio": signals.loan_to_income(),
             "is_income_realistic": signals.income_realistic(
@@ -66,10 +69,10 @@ def app_signals(s: SparkSession, d: str) -> DataFrame:
             ),
         }
     )
-    df = loans.with_applications_per_customer(df)
-    df = loans.with_shared_flag(df, "id_number", "id_shared_flag")
-    df = loans.with_shared_flag(df, "address", "address_shared_flag")
-    return loans.with_agent_approval_rate(df)
+    df = loans.with_applications_per_customer(df, source=app)
+    df = loans.with_shared_flag(df, "id_number", "id_shared_flag", source=app)
+    df = loans.with_shared_flag(df, "address", "address_shared_flag", source=app)
+    return loans.with_agent_approval_rate(df, source=app)
 
 
 def rep_signals(s: SparkSession, d: str) -> DataFrame:
@@ -119,6 +122,12 @@ def loan_scores(s: SparkSession, d: str) -> DataFrame:
     )
 
 
+def gold(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Risk view and alerts over score tables that are computed once and stored."""
+    card, loan = checkpointed(card_scores(s, d)), checkpointed(loan_scores(s, d))
+    return customer_risk(v.cust(s, d), card, loan, at()), fraud_alerts(card, loan, at())
+
+
 def alerts(s: SparkSession, d: str) -> DataFrame:
     return fraud_alerts(card_scores(s, d), loan_scores(s, d), at())
 
@@ -550,11 +559,12 @@ def top10_alerts(s, d):
 
 
 def customer_risk_activity(s, d):
-    return with_activity(risk(s, d), alerts(s, d), v.txn(s, d), v.app(s, d))
+    view, raised = gold(s, d)
+    return with_activity(view, raised, v.txn(s, d), v.app(s, d))
 
 
 def kpi_summary(s, d):
-    return report.kpi_summary(risk(s, d), alerts(s, d))
+    return report.kpi_summary(*gold(s, d))
 
 
 def export_customer_risk(s, d):

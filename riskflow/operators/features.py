@@ -99,7 +99,7 @@ def merchant_category_risk(
             (F.sum("_declined") / F.sum("_n")).alias("_risk"), F.count(F.lit(1)).alias("_rows")
         )
     )
-    joined = attach_per_key(pairs, risk, [category], size="_rows")
+    joined = attach_per_key(pairs, risk, [category], [customer], size="_rows")
     weight = F.when(F.col("_risk").isNotNull(), F.col("_n"))
     return joined.groupBy(customer).agg(
         F.try_divide(F.sum(F.col("_risk") * F.col("_n")), F.sum(weight)).alias(out)
@@ -145,12 +145,13 @@ def card_features(
     customer, the account with the smallest id.
     """
     base = accounts.select("customer_id", "account_id", "account_status", "credit_limit")
-    if grain == "customer":
-        base = one_account(base)
-    elif grain != "account":
-        raise ValueError(f"grain must be 'account' or 'customer', not {grain!r}")
     features = txn.groupBy("customer_id").agg(*card_aggregates(device_limit))
-    joined = attach_per_key(base, features, ["customer_id"])
+    if grain == "account":
+        joined = attach_per_key(base, features, ["customer_id"], ["account_id"])
+    elif grain == "customer":
+        joined = one_account(base).join(features, "customer_id", "left")
+    else:
+        raise ValueError(f"grain must be 'account' or 'customer', not {grain!r}")
     return fill_defaults(joined, CARD_NUMERIC, ["unknown_device_flag"])
 
 

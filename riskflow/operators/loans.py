@@ -6,23 +6,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskflow.operators.skew import ROWS_PER_SPLIT, attach_per_key
+from riskflow.operators.skew import ROWS_PER_TASK, attach_per_key
 from riskflow.sources.tables import checkpointed
 
 
 # --- applications ------------------------------------------------------------
+# `source` is where an operator counts: the same rows at an earlier stage. Operators
+# that follow each other all count on the first stage, which keeps the plan small.
+
+
 def with_applications_per_customer(
-    applications: DataFrame, out: str = "applications_last_30d", customer: str = "customer_id"
+    applications: DataFrame,
+    out: str = "applications_last_30d",
+    customer: str = "customer_id",
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """All applications of the customer, on each of their rows (all time)."""
-    counts = applications.groupBy(customer).agg(
+    counts = (applications if source is None else source).groupBy(customer).agg(
         F.count("application_id").alias(out), F.count(F.lit(1)).alias("_rows")
     )
-    return attach_per_key(applications, counts, [customer], size="_rows", null_safe=True)
+    return attach_per_key(
+        applications, counts, [customer], ["application_id"], size="_rows", null_safe=True
+    )
 
 
 def with_shared_flag(
-    applications: DataFrame, column: str, out: str, customer: str = "customer_id"
+    applications: DataFrame,
+    column: str,
+    out: str,
+    customer: str = "customer_id",
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """True where another customer uses the same value of `column`.
 
@@ -30,14 +43,15 @@ def with_shared_flag(
     from the largest, which needs no distinct count. A NULL value is never shared.
     """
     per_value = (
-        applications.filter(F.col(column).isNotNull())
+        (applications if source is None else source)
+        .filter(F.col(column).isNotNull())
         .groupBy(column)
         .agg(
             (F.min(customer) != F.max(customer)).alias("_shared"),
             F.count(F.lit(1)).alias("_rows"),
         )
     )
-    joined = attach_per_key(applications, per_value, [column], size="_rows")
+    joined = attach_per_key(applications, per_value, [column], ["application_id"], size="_rows")
     return joined.withColumn(out, F.coalesce("_shared", F.lit(False))).drop("_shared")
 
 
@@ -50,10 +64,12 @@ def agent_approval(applications: DataFrame, agent: str = "agent_id") -> DataFram
     )
 
 
-def with_agent_approval_rate(applications: DataFrame, agent: str = "agent_id") -> DataFrame:
+def with_agent_approval_rate(
+    applications: DataFrame, agent: str = "agent_id", source: DataFrame | None = None
+) -> DataFrame:
     """The approved share of the agent's applications; NULL without an agent."""
-    per_agent = agent_approval(applications, agent).filter(F.col(agent).isNotNull())
-    return attach_per_key(applications, per_agent, [agent], size="_rows")
+    per_agent = agent_approval(applications if source is None else source, agent).filter(F.col(agent).isNotNull())
+    return attach_per_key(applications, per_agent, [agent], ["application_id"], size="_rows")
 
 
 def applications_in_window(
@@ -124,6 +140,7 @@ def with_cumulative_missed(
     customer: str = "customer_id",
     due: str = "due_date",
     missed: str = "is_missed",
+    repayment: str = "repayment_id",
 ) -> DataFrame:
     """Missed payments of the customer up to and including each due date.
 
@@ -135,7 +152,9 @@ def with_cumulative_missed(
     )
     w = W.partitionBy(customer).orderBy(due).rowsBetween(W.unboundedPreceding, W.currentRow)
     running = per_day.select(customer, due, F.sum("_missed").over(w).alias(out), "_rows")
-    return attach_per_key(repayments, running, [customer, due], size="_rows", null_safe=True)
+    return attach_per_key(
+        repayments, running, [customer, due], [repayment], size="_rows", null_safe=True
+    )
 
 
 def missed_streak(
@@ -145,7 +164,7 @@ def missed_streak(
     due: str = "due_date",
     repayment: str = "repayment_id",
     missed: str = "is_missed",
-    rows_per_split: int = ROWS_PER_SPLIT,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Length of the run of missed payments that ends at each row (0 if paid).
 
@@ -153,14 +172,14 @@ def missed_streak(
     (due date, repayment id) of each customer. The order is cut into chunks: runs are
     measured inside a chunk, and a run that is still open at the end of one chunk is
     carried into the next by a window over one row per chunk. A chunk is a due date;
-    if some customer has more than `rows_per_split` rows due on one day (counted
+    if some customer has more than `rows_per_task` rows due on one day (counted
     first), chunks are ranges of the whole order instead, which split any group.
     """
     rows = repayments.select(customer, due, repayment, missed)
     biggest = (
         rows.groupBy(customer, due).count().agg(F.max("count").alias("most")).first()["most"]
     )
-    if (biggest or 0) > rows_per_split:
+    if (biggest or 0) > rows_per_task:
         chunked = checkpointed(
             rows.repartitionByRange(
                 F.col(customer), F.col(due).asc_nulls_first(), F.col(repayment)
@@ -207,7 +226,9 @@ def _streak_by_chunk(
         .withColumn("_carry", F.coalesce(F.lag("_open_all").over(by_chunk), F.lit(0)))
         .select(customer, "_chunk", "_carry", "_rows")
     )
-    joined = attach_per_key(local, carried, [customer, "_chunk"], size="_rows", null_safe=True)
+    joined = attach_per_key(
+        local, carried, [customer, "_chunk"], [repayment], size="_rows", null_safe=True
+    )
     streak = F.when(
         F.col(missed), F.col("_run") + F.when(F.col("_paid") == 0, F.col("_carry")).otherwise(0)
     ).otherwise(0)

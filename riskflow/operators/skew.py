@@ -1,10 +1,12 @@
 """Attaching one-row-per-key results to rows when some keys are very hot.
 
-A shuffle join sends every row of a key to one task. Here a key with more than
-`rows_per_split` rows is spread over several tasks instead: its rows get a salt,
-and its single right-hand row is repeated once per salt. Only hot keys are
-repeated. The list of hot keys is broadcast; N rows hold at most
-N / rows_per_split hot keys (250,000 for a million million rows), which bounds it.
+A shuffle join sends every row of a key to one task, and Spark's adaptive skew
+handling does not help here: it needs a plain shuffle on both sides, while these
+joins have an aggregate over the key on one side. So keys with more than
+`rows_per_task` rows are kept apart. Their few values are broadcast, and their rows
+are salted, so that they spread evenly through the shuffle that joins the others.
+N rows hold at most N / rows_per_task hot keys (250,000 for a million million
+rows), which bounds what is broadcast.
 """
 
 from __future__ import annotations
@@ -15,78 +17,78 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ROWS_PER_SPLIT = 4_000_000
-NULL_KEY_SPLITS = 1024
+ROWS_PER_TASK = 4_000_000
+SALTS = 1 << 20
+BROADCAST_ROWS = 500_000
 
 
 def attach_per_key(
     rows: DataFrame,
     per_key: DataFrame,
     key: Sequence[str],
+    row_id: Sequence[str],
     size: str | None = None,
     null_safe: bool = False,
-    rows_per_split: int = ROWS_PER_SPLIT,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Left join `per_key` (unique on `key`) onto `rows`; every row is kept once.
 
+    `row_id` names columns that differ among the rows of a key; they spread hot rows.
     `size` names the column of `per_key` that holds the number of rows of the key;
     it is dropped. Without it the rows are counted per key first (one narrow,
     map-side combined pass). With `null_safe` a NULL key matches a NULL key.
     """
     key = list(key)
+    values = [c for c in per_key.columns if c not in key and c != size]
     if size is None:
-        counted = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows"))
-        if not null_safe:
-            counted = counted.dropna(subset=key)
-        hot = _hot_keys(counted, key, "_rows", rows_per_split)
-        sized = _join(per_key, F.broadcast(hot), key, null_safe)
-        sized = sized.withColumn("_splits", F.coalesce("_hot_splits", F.lit(1)))
-        sized = sized.drop("_hot_splits")
+        counted = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_size"))
+        big = counted.filter(F.col("_size") > rows_per_task).drop("_size")
+        hot = _join(per_key, F.broadcast(big), key, null_safe, "left_semi")
+        cold = per_key
     else:
-        hot = _hot_keys(per_key, key, size, rows_per_split)
-        sized = per_key.withColumn("_splits", _splits(size, rows_per_split)).drop(size)
-
-    repeated = sized.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.col("_splits") - 1))
-    ).drop("_splits")
-    salted = _join(rows, F.broadcast(hot), key, null_safe).withColumn(
-        "_salt", _salt(rows, key, null_safe)
+        # Both come from one aggregate with the same columns, so Spark computes it
+        # once and reuses its shuffle.
+        hot = per_key.filter(F.col(size) > rows_per_task)
+        cold = per_key.filter(F.col(size) <= rows_per_task)
+    hot = hot.select(
+        *key, *[F.col(c).alias(f"_hot_{c}") for c in values], F.lit(True).alias("_hot")
+    )
+    cold = cold.select(
+        # Always 0, yet no constant: a constant would be folded out of the join key.
+        *key, *values, F.pmod(F.hash(*key), F.lit(1)).alias("_salt")
+    )
+    marked = _join(rows, F.broadcast(hot), key, null_safe)
+    marked = marked.withColumn("_salt", _salt(key, row_id, null_safe))
+    joined = _join(marked, cold, [*key, "_salt"], null_safe)
+    chosen = [F.when(F.col("_hot"), F.col(f"_hot_{c}")).otherwise(F.col(c)) for c in values]
+    return joined.select(
+        *rows.columns, *[x.alias(c) for x, c in zip(chosen, values, strict=True)]
     )
-    joined = _join(salted.drop("_hot_splits"), repeated, [*key, "_salt"], null_safe)
-    return joined.drop("_salt")
-
-
-def _splits(size: str, rows_per_split: int) -> Column:
-    wanted = F.ceil(F.col(size) / F.lit(float(rows_per_split))).cast("int")
-    return F.greatest(F.lit(1), wanted)
 
 
-def _hot_keys(
-    counted: DataFrame, key: list[str], size: str, rows_per_split: int
-) -> DataFrame:
-    return counted.filter(F.col(size) > rows_per_split).select(
-        *key, _splits(size, rows_per_split).alias("_hot_splits")
-    )
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a table is small enough to send whole to every executor (counted)."""
+    return df.limit(max_rows + 1).count() <= max_rows
 
 
-def _salt(rows: DataFrame, key: list[str], null_safe: bool) -> Column:
-    # Row content plus the number of the task: the same on a retry, and exact
+def _salt(key: list[str], row_id: Sequence[str], null_safe: bool) -> Column:
+    # The row's own columns plus the number of the task: the same on a retry, and exact
     # copies of a row that lie in different tasks still spread.
-    spread = F.hash(*rows.columns).cast("bigint") + F.spark_partition_id()
-    salt = F.when(
-        F.col("_hot_splits").isNotNull(), F.pmod(spread, F.col("_hot_splits")).cast("int")
-    )
-    if not null_safe:
+    spread = F.hash(*row_id).cast("bigint") + F.spark_partition_id()
+    salt = F.when(F.col("_hot"), F.pmod(spread, F.lit(SALTS)).cast("int"))
+    if not null_safe:  # rows without a key match nothing: spread them as well
         no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
-        salt = salt.when(no_key, F.pmod(spread, F.lit(NULL_KEY_SPLITS)).cast("int"))
+        salt = salt.when(no_key, F.pmod(spread, F.lit(SALTS)).cast("int"))
     return salt.otherwise(0)
 
 
-def _join(left: DataFrame, right: DataFrame, key: list[str], null_safe: bool) -> DataFrame:
+def _join(
+    left: DataFrame, right: DataFrame, key: list[str], null_safe: bool, how: str = "left"
+) -> DataFrame:
     if not null_safe:
-        return left.join(right, key, "left")
+        return left.join(right, key, how)
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in key})
     match = [left[k].eqNullSafe(renamed[f"_r_{k}"]) for k in key]
-    return left.join(renamed, reduce(lambda a, b: a & b, match), "left").drop(
+    return left.join(renamed, reduce(lambda a, b: a & b, match), how).drop(
         *[f"_r_{k}" for k in key]
     )

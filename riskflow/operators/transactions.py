@@ -7,16 +7,20 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskflow.functions import signals
-from riskflow.operators.skew import attach_per_key
+from riskflow.operators.skew import attach_per_key, fits_broadcast
 
 
 def with_billing_country(txn: DataFrame, accounts: DataFrame) -> DataFrame:
     """Left join each transaction to its account's billing country.
 
-    The account side is cut to one row per account first, so no row is doubled.
+    The account side is cut to one row per account first, so no row is doubled; of
+    several countries the greatest is taken. Accounts are broadcast if a count shows
+    that they are few, which spares the transactions a shuffle.
     """
     billing = accounts.groupBy("account_id").agg(F.max("billing_country").alias("billing_country"))
-    return attach_per_key(txn, billing, ["account_id"])
+    if fits_broadcast(accounts):
+        return txn.join(F.broadcast(billing), "account_id", "left")
+    return attach_per_key(txn, billing, ["account_id"], row_id=["transaction_id"])
 
 
 def with_time_parts(txn: DataFrame, ts: str = "transaction_ts") -> DataFrame:
@@ -30,19 +34,21 @@ def with_amount_zscore(
     customer: str = "customer_id",
     amount: str = "amount",
     out: str = "amount_zscore",
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Distance of each amount from its customer's mean, in sample deviations.
 
     0 where the deviation is zero or unknown (one row, constant amounts). Mean and
     deviation come from a map-side combined aggregate that is joined back, not
-    from a window, which would hold all rows of a customer in one task.
+    from a window, which would hold all rows of a customer in one task. `source` has
+    the same rows at an earlier, cheaper stage.
     """
-    stats = txn.groupBy(customer).agg(
+    stats = (txn if source is None else source).groupBy(customer).agg(
         F.avg(amount).alias("_mean"),
         F.stddev_samp(amount).alias("_deviation"),
         F.count(F.lit(1)).alias("_rows"),
     )
-    joined = attach_per_key(txn, stats, [customer], size="_rows", null_safe=True)
+    joined = attach_per_key(txn, stats, [customer], [amount], size="_rows", null_safe=True)
     z = F.when(
         F.col("_deviation") > 0, (F.col(amount) - F.col("_mean")) / F.col("_deviation")
     ).otherwise(0.0)

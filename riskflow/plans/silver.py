@@ -39,10 +39,11 @@ def silver_transactions(
     accounts = n.codes_upper(
         bronze_accounts.select("account_id", "billing_country"), ["billing_country"]
     )
+    cleaned = df
     df = transactions.with_billing_country(df, accounts)
     df = df.withColumn("is_international", signals.is_international()).drop("billing_country")
     df = transactions.with_time_parts(df)
-    df = transactions.with_amount_zscore(df)
+    df = transactions.with_amount_zscore(df, source=cleaned)
     return df if dedup_first else dedup_latest(df, ["transaction_id"], latest)
 
 
@@ -66,16 +67,17 @@ def silver_applications(bronze: DataFrame, dedup_first: bool = False) -> DataFra
     if dedup_first:
         df = dedup_latest(df, ["application_id"], latest)
 
+    cleaned = df
     df = df.withColumns(
         {
             "loan_to_income_ratio": signals.loan_to_income(),
             "is_income_realistic": signals.income_realistic(),
         }
     )
-    df = loans.with_applications_per_customer(df)
-    df = loans.with_shared_flag(df, "id_number", "id_shared_flag")
-    df = loans.with_shared_flag(df, "address", "address_shared_flag")
-    df = loans.with_agent_approval_rate(df)
+    df = loans.with_applications_per_customer(df, source=cleaned)
+    df = loans.with_shared_flag(df, "id_number", "id_shared_flag", source=cleaned)
+    df = loans.with_shared_flag(df, "address", "address_shared_flag", source=cleaned)
+    df = loans.with_agent_approval_rate(df, source=cleaned)
     return df if dedup_first else dedup_latest(df, ["application_id"], latest)
 
 
