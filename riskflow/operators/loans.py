@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskflow.operators.skew import ROWS_PER_TASK, attach_per_key
+from riskflow.operators import skew
+from riskflow.operators.skew import attach_per_key
 from riskflow.sources.tables import checkpointed
 
 
@@ -164,7 +165,7 @@ def missed_streak(
     due: str = "due_date",
     repayment: str = "repayment_id",
     missed: str = "is_missed",
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """Length of the run of missed payments that ends at each row (0 if paid).
 
@@ -179,14 +180,16 @@ def missed_streak(
     biggest = (
         rows.groupBy(customer, due).count().agg(F.max("count").alias("most")).first()["most"]
     )
-    if (biggest or 0) > rows_per_task:
+    limit = skew.ROWS_PER_TASK if rows_per_task is None else rows_per_task
+    if (biggest or 0) <= limit:
+        chunked = rows.withColumn("_chunk", F.coalesce(F.unix_date(due), F.lit(-(2**31))))
+    else:
+        # The ranges are read twice below and have to be the same both times.
         chunked = checkpointed(
             rows.repartitionByRange(
                 F.col(customer), F.col(due).asc_nulls_first(), F.col(repayment)
             ).withColumn("_chunk", F.spark_partition_id())
         )
-        return _streak_by_chunk(chunked, out, customer, due, repayment, missed)
-    chunked = rows.withColumn("_chunk", F.coalesce(F.unix_date(due), F.lit(-(2**31))))
     return _streak_by_chunk(chunked, out, customer, due, repayment, missed)
 
 
@@ -194,44 +197,34 @@ def _streak_by_chunk(
     chunked: DataFrame, out: str, customer: str, due: str, repayment: str, missed: str
 ) -> DataFrame:
     order = [F.col(due).asc_nulls_first(), F.col(repayment)]
-    whole = W.unboundedPreceding
+    so_far = (W.unboundedPreceding, W.currentRow)
     miss = F.col(missed).cast("bigint")
 
-    in_chunk = W.partitionBy(customer, "_chunk").orderBy(*order).rowsBetween(whole, W.currentRow)
-    in_run = (
-        W.partitionBy(customer, "_chunk", "_paid").orderBy(*order).rowsBetween(whole, W.currentRow)
-    )
+    # A struct equals another if both hold NULL: rows without a customer stay together.
+    chunked = chunked.withColumn("_who", F.struct(customer))
+    in_chunk = W.partitionBy("_who", "_chunk").orderBy(*order).rowsBetween(*so_far)
+    in_run = W.partitionBy("_who", "_chunk", "_paid").orderBy(*order).rowsBetween(*so_far)
     local = chunked.withColumn("_paid", F.sum(1 - miss).over(in_chunk)).withColumn(
         "_run", F.sum(miss).over(in_run)
     )
 
-    # One row per chunk: how many payments were made, and the run open at its end.
-    chunks = local.groupBy(customer, "_chunk").agg(
-        F.max("_paid").alias("_paid_in_chunk"),
-        F.max(F.struct("_paid", "_run"))["_run"].alias("_open"),
-        F.count(F.lit(1)).alias("_rows"),
-    )
-    by_chunk = W.partitionBy(customer).orderBy("_chunk")
-    since_payment = (
-        W.partitionBy(customer, "_stretch").orderBy("_chunk").rowsBetween(whole, W.currentRow)
+    # One row per chunk: whether a payment was made, and the run open at its end.
+    chunks = local.groupBy("_who", "_chunk").agg(
+        F.max("_paid").alias("_payments"), F.max(F.struct("_paid", "_run"))["_run"].alias("_open")
     )
+    by_chunk = W.partitionBy("_who").orderBy("_chunk")
+    stretch = F.sum((F.col("_payments") > 0).cast("int")).over(by_chunk.rowsBetween(*so_far))
+    in_stretch = W.partitionBy("_who", "_stretch").orderBy("_chunk").rowsBetween(*so_far)
     carried = (
-        chunks.withColumn(
-            "_stretch",
-            F.sum((F.col("_paid_in_chunk") > 0).cast("int")).over(
-                by_chunk.rowsBetween(whole, W.currentRow)
-            ),
-        )
-        .withColumn("_open_all", F.sum("_open").over(since_payment))
+        chunks.withColumn("_stretch", stretch)
+        .withColumn("_open_all", F.sum("_open").over(in_stretch))
         .withColumn("_carry", F.coalesce(F.lag("_open_all").over(by_chunk), F.lit(0)))
-        .select(customer, "_chunk", "_carry", "_rows")
-    )
-    joined = attach_per_key(
-        local, carried, [customer, "_chunk"], [repayment], size="_rows", null_safe=True
+        .select("_who", "_chunk", "_carry")
     )
-    streak = F.when(
-        F.col(missed), F.col("_run") + F.when(F.col("_paid") == 0, F.col("_carry")).otherwise(0)
-    ).otherwise(0)
+    # A chunk is no larger than a task can hold, so this join needs no salt.
+    joined = local.join(carried, ["_who", "_chunk"])
+    carry = F.when(F.col("_paid") == 0, F.col("_carry")).otherwise(0)
+    streak = F.when(F.col(missed), F.col("_run") + carry).otherwise(0)
     return joined.select(customer, due, repayment, missed, streak.cast("bigint").alias(out))
 
 

@@ -29,7 +29,7 @@ def attach_per_key(
     row_id: Sequence[str],
     size: str | None = None,
     null_safe: bool = False,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """Left join `per_key` (unique on `key`) onto `rows`; every row is kept once.
 
@@ -39,17 +39,18 @@ def attach_per_key(
     map-side combined pass). With `null_safe` a NULL key matches a NULL key.
     """
     key = list(key)
+    limit = ROWS_PER_TASK if rows_per_task is None else rows_per_task
     values = [c for c in per_key.columns if c not in key and c != size]
     if size is None:
         counted = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_size"))
-        big = counted.filter(F.col("_size") > rows_per_task).drop("_size")
+        big = counted.filter(F.col("_size") > limit).drop("_size")
         hot = _join(per_key, F.broadcast(big), key, null_safe, "left_semi")
         cold = per_key
     else:
         # Both come from one aggregate with the same columns, so Spark computes it
         # once and reuses its shuffle.
-        hot = per_key.filter(F.col(size) > rows_per_task)
-        cold = per_key.filter(F.col(size) <= rows_per_task)
+        hot = per_key.filter(F.col(size) > limit)
+        cold = per_key.filter(F.col(size) <= limit)
     hot = hot.select(
         *key, *[F.col(c).alias(f"_hot_{c}") for c in values], F.lit(True).alias("_hot")
     )
@@ -66,9 +67,10 @@ def attach_per_key(
     )
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
     """Whether a table is small enough to send whole to every executor (counted)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    limit = BROADCAST_ROWS if max_rows is None else max_rows
+    return df.limit(limit + 1).count() <= limit
 
 
 def _salt(key: list[str], row_id: Sequence[str], null_safe: bool) -> Column:
