@@ -98,15 +98,16 @@ def profile(df: DataFrame, feed: Feed) -> DataFrame:
     """The whole report on a raw feed in one pass: (check, column, value, status).
 
     Checks: rows, duplicate keys, NULL keys, blanks in critical columns, missing columns.
-    A count above zero is a warning, a missing column or an empty table an error.
+    A count above zero is a warning, a missing column or an empty table an error. A
+    column that is missing has no other checks.
     """
-    counts = {
-        ("rows", ""): F.count(F.lit(1)),
-        ("duplicate_keys", feed.key): _duplicates(feed.key),
-        ("null_keys", feed.key): F.count_if(F.col(feed.key).isNull()),
-    }
+    counts = {("rows", ""): F.count(F.lit(1))}
+    if feed.key in df.columns:
+        counts["duplicate_keys", feed.key] = _duplicates(feed.key)
+        counts["null_keys", feed.key] = F.count_if(F.col(feed.key).isNull())
     for c in feed.critical:
-        counts["blanks", c] = F.count_if(_blank(c))
+        if c in df.columns:
+            counts["blanks", c] = F.count_if(_blank(c))
     missing = missing_columns(df, feed.required)
     for c in feed.required:
         counts["missing_column", c] = F.lit(int(c in missing))
