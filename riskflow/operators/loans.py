@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -170,62 +170,71 @@ def missed_streak(
     """Length of the run of missed payments that ends at each row (0 if paid).
 
     Returns `customer`, `due`, `repayment`, `missed` and `out`, in the total order
-    (due date, repayment id) of each customer. The order is cut into chunks: runs are
-    measured inside a chunk, and a run that is still open at the end of one chunk is
-    carried into the next by a window over one row per chunk. A chunk is a due date;
-    if some customer has more than `rows_per_task` rows due on one day (counted
-    first), chunks are ranges of the whole order instead, which split any group.
+    (due date, repayment id) of each customer. Rows are counted first. If no customer
+    has more than `rows_per_task`, each is one window. Otherwise the order is cut into
+    chunks: runs are measured inside a chunk, and one that is still open at its end is
+    carried into the next by a window over one row per chunk. A chunk is a due date,
+    or, if even a single day of a customer is too large, a range of the whole order.
     """
-    rows = repayments.select(customer, due, repayment, missed)
-    biggest = (
-        rows.groupBy(customer, due).count().agg(F.max("count").alias("most")).first()["most"]
-    )
     limit = skew.ROWS_PER_TASK if rows_per_task is None else rows_per_task
-    if (biggest or 0) <= limit:
-        chunked = rows.withColumn("_chunk", F.coalesce(F.unix_date(due), F.lit(-(2**31))))
+    # A struct equals another if both hold NULL: rows without a customer stay together.
+    rows = repayments.select(F.struct(customer).alias("_who"), due, repayment, missed)
+    order = [F.col(due).asc_nulls_first(), F.col(repayment)]
+    per_customer, per_day = _largest_groups(rows, due)
+    if per_customer <= limit:
+        streaks = _runs(rows, ["_who"], order, missed).withColumn("_carry", F.lit(0))
+    elif per_day <= limit:
+        by_day = rows.withColumn("_chunk", F.coalesce(F.unix_date(due), F.lit(-(2**31))))
+        streaks = _runs_by_chunk(by_day, order, missed)
     else:
-        # The ranges are read twice below and have to be the same both times.
-        chunked = checkpointed(
-            rows.repartitionByRange(
-                F.col(customer), F.col(due).asc_nulls_first(), F.col(repayment)
-            ).withColumn("_chunk", F.spark_partition_id())
-        )
-    return _streak_by_chunk(chunked, out, customer, due, repayment, missed)
+        # The ranges are read twice and have to be the same both times.
+        ranges = rows.repartitionByRange("_who", *order)
+        ranges = checkpointed(ranges.withColumn("_chunk", F.spark_partition_id()))
+        streaks = _runs_by_chunk(ranges, order, missed)
+    carry = F.when(F.col("_paid") == 0, F.col("_carry")).otherwise(0)
+    streak = F.when(F.col(missed), F.col("_run") + carry).otherwise(0)
+    return streaks.select(
+        F.col("_who")[customer].alias(customer), due, repayment, missed, streak.alias(out)
+    )
 
 
-def _streak_by_chunk(
-    chunked: DataFrame, out: str, customer: str, due: str, repayment: str, missed: str
-) -> DataFrame:
-    order = [F.col(due).asc_nulls_first(), F.col(repayment)]
+def _largest_groups(rows: DataFrame, due: str) -> tuple[int, int]:
+    """Rows of the largest customer, and of the largest day of a customer."""
+    per_day = rows.groupBy("_who", due).agg(F.count(F.lit(1)).alias("n"))
+    per_customer = per_day.groupBy("_who").agg(F.sum("n").alias("n"), F.max("n").alias("day"))
+    most = per_customer.agg(F.max("n").alias("n"), F.max("day").alias("day")).first()
+    return most["n"] or 0, most["day"] or 0
+
+
+def _runs(rows: DataFrame, group: list[str], order: list[Column], missed: str) -> DataFrame:
+    """Within each group: payments made so far, `_paid`, and the run of misses, `_run`."""
     so_far = (W.unboundedPreceding, W.currentRow)
     miss = F.col(missed).cast("bigint")
+    in_group = W.partitionBy(*group).orderBy(*order).rowsBetween(*so_far)
+    in_run = W.partitionBy(*group, "_paid").orderBy(*order).rowsBetween(*so_far)
+    counted = rows.withColumn("_paid", F.sum(1 - miss).over(in_group))
+    return counted.withColumn("_run", F.sum(miss).over(in_run))
 
-    # A struct equals another if both hold NULL: rows without a customer stay together.
-    chunked = chunked.withColumn("_who", F.struct(customer))
-    in_chunk = W.partitionBy("_who", "_chunk").orderBy(*order).rowsBetween(*so_far)
-    in_run = W.partitionBy("_who", "_chunk", "_paid").orderBy(*order).rowsBetween(*so_far)
-    local = chunked.withColumn("_paid", F.sum(1 - miss).over(in_chunk)).withColumn(
-        "_run", F.sum(miss).over(in_run)
-    )
 
-    # One row per chunk: whether a payment was made, and the run open at its end.
-    chunks = local.groupBy("_who", "_chunk").agg(
+def _runs_by_chunk(rows: DataFrame, order: list[Column], missed: str) -> DataFrame:
+    """Runs within chunks, and `_carry`, the run that is open where a chunk begins."""
+    group = ["_who", "_chunk"]
+    local = _runs(rows, group, order, missed)
+    chunks = local.groupBy(*group).agg(
         F.max("_paid").alias("_payments"), F.max(F.struct("_paid", "_run"))["_run"].alias("_open")
     )
     by_chunk = W.partitionBy("_who").orderBy("_chunk")
+    so_far = (W.unboundedPreceding, W.currentRow)
     stretch = F.sum((F.col("_payments") > 0).cast("int")).over(by_chunk.rowsBetween(*so_far))
     in_stretch = W.partitionBy("_who", "_stretch").orderBy("_chunk").rowsBetween(*so_far)
     carried = (
         chunks.withColumn("_stretch", stretch)
         .withColumn("_open_all", F.sum("_open").over(in_stretch))
         .withColumn("_carry", F.coalesce(F.lag("_open_all").over(by_chunk), F.lit(0)))
-        .select("_who", "_chunk", "_carry")
+        .select(*group, "_carry")
     )
     # A chunk is no larger than a task can hold, so this join needs no salt.
-    joined = local.join(carried, ["_who", "_chunk"])
-    carry = F.when(F.col("_paid") == 0, F.col("_carry")).otherwise(0)
-    streak = F.when(F.col(missed), F.col("_run") + carry).otherwise(0)
-    return joined.select(customer, due, repayment, missed, streak.cast("bigint").alias(out))
+    return local.join(carried, group)
 
 
 def longest_streak(

@@ -56,7 +56,7 @@ def attach_per_key(
     )
     cold = cold.select(
         # Always 0, yet no constant: a constant would be folded out of the join key.
-        *key, *values, F.pmod(F.hash(*key), F.lit(1)).alias("_salt")
+        *key, *values, F.hash(*key).bitwiseAND(F.lit(0)).alias("_salt")
     )
     marked = _join(rows, F.broadcast(hot), key, null_safe)
     marked = marked.withColumn("_salt", _salt(key, row_id, null_safe))

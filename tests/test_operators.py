@@ -185,15 +185,19 @@ def test_cumulative_missed(spark, limit):
         assert got[i] == sum(m for _, c2, d2, m in data if c2 == c and (d2 or low) <= (d or low))
 
 
+@pytest.mark.parametrize("limit", [None, 40, 5], ids=["one window", "by day", "by range"])
 def test_missed_streak(spark, limit):
     data, df = _repayments(spark)
-    got = {r.repayment_id: r.missed_streak for r in loans.missed_streak(df).collect()}
+    per_day = Counter((r[1], r[2]) for r in data).most_common(1)[0][1]
+    assert 5 < per_day < 40 < Counter(r[1] for r in data).most_common(1)[0][1]
+    got = loans.missed_streak(df, rows_per_task=limit)
+    got = {r.repayment_id: r.missed_streak for r in got.collect()}
     assert len(got) == len(data)
     run = Counter()
     for i, c, d, m in sorted(data, key=lambda r: (r[2] or date(1, 1, 1), r[0])):
         run[c] = run[c] + 1 if m else 0
         assert got[i] == run[c], (i, c, d)
-    longest = dict(rows(loans.longest_streak(df)))
+    longest = dict(rows(loans.longest_streak(df, rows_per_task=limit)))
     assert longest["story"] == 2 and longest["never"] == 8
     total = {r.customer_id: r.m for r in df.groupBy("customer_id").agg(F.count_if("is_missed").alias("m")).collect()}
     assert all(longest[c] <= total[c] for c in total)
