@@ -451,13 +451,12 @@ def _asof(view: str, as_of: str) -> str:
         GROUP BY customer_id"""
 
 
-def _rolling(interval: str, out: str) -> str:
+def _rolling(interval: str, out: str, view: str = "evt") -> str:
     return f"""
         SELECT DISTINCT customer_id, transaction_ts,
                count(*) OVER (PARTITION BY customer_id ORDER BY transaction_ts
                    RANGE BETWEEN INTERVAL {interval} PRECEDING AND CURRENT ROW) AS {out}
-        FROM evt"""
-
+        FROM {view}"""
 
 
 RECENT = "log_timestamp >= TIMESTAMP '2024-01-30 12:00:00' - INTERVAL {} HOUR"
@@ -592,6 +591,14 @@ QUERIES: dict[str, str] = {
              FROM ({_rolling('10 MINUTE', 'n')}) GROUP BY 1)
         JOIN (SELECT customer_id, max(n) AS txn_count_1h_rolling
               FROM ({_rolling('1 HOUR', 'n')}) GROUP BY 1) USING (customer_id)""",
+    "rolling_velocity": f"""
+        SELECT customer_id, account_id,
+               coalesce(t.n, 0) AS txn_count_10min_rolling, coalesce(h.n, 0) AS txn_count_1h_rolling
+        FROM acc
+        LEFT JOIN (SELECT customer_id, max(n) AS n
+                   FROM ({_rolling('10 MINUTE', 'n', 'txn')}) GROUP BY 1) t USING (customer_id)
+        LEFT JOIN (SELECT customer_id, max(n) AS n
+                   FROM ({_rolling('1 HOUR', 'n', 'txn')}) GROUP BY 1) h USING (customer_id)""",
     "asof_features": _asof("txn", ASOF_TXN),
     "asof_features_events": _asof("evt", ASOF),
     "card_features": _except_approx(
@@ -620,11 +627,19 @@ QUERIES: dict[str, str] = {
         SELECT application_id, customer_id, applications_last_30d FROM app_signals""",
     "applications_30d_branches": """
         SELECT b.customer_id, b.application_date, count(*) AS applications_30d_rolling,
-               count(DISTINCT a.branch_id) AS distinct_branches_30d_rolling
+               count(DISTINCT a.branch_id) AS distinct_branches_30d_rolling,
+               count(*) FILTER (WHERE a.application_date = b.application_date)
+                   AS applications_on_date
         FROM (SELECT DISTINCT customer_id, application_date FROM app) b
         JOIN app a ON a.customer_id = b.customer_id
             AND a.application_date BETWEEN b.application_date - 30 AND b.application_date
         GROUP BY 1, 2""",
+    "applications_30d_rows": """
+        SELECT b.application_id, count(*) AS applications_30d_rolling,
+               count(DISTINCT a.branch_id) AS distinct_branches_30d_rolling
+        FROM app b JOIN app a ON a.customer_id = b.customer_id
+            AND a.application_date BETWEEN b.application_date - 30 AND b.application_date
+        GROUP BY 1""",
     "shared_id_flag": "SELECT application_id, id_number, id_shared_flag FROM app_signals",
     "shared_address_flag": "SELECT application_id, address_shared_flag FROM app_signals",
     "agent_approval_rate": "SELECT application_id, agent_id, agent_approval_rate FROM app_signals",

@@ -380,6 +380,11 @@ def peak_velocity(s, d):
     return tens.join(hours, "customer_id")
 
 
+def rolling_velocity(s, d):
+    base = v.acc(s, d).select("customer_id", "account_id")
+    return f.with_rolling_velocity(base, v.txn(s, d))
+
+
 def asof_features(s, d):
     return rounded(f.asof_features(v.txn(s, d), at(v.AS_OF_TXN)), "avg_txn_amount_30d_asof")
 
@@ -447,6 +452,13 @@ def applications_30d_branches(s, d):
     return loans.applications_in_window(v.app(s, d))
 
 
+def applications_30d_rows(s, d):
+    df = loans.with_applications_in_window(v.app(s, d))
+    return df.select(
+        "application_id", "applications_30d_rolling", "distinct_branches_30d_rolling"
+    )
+
+
 def shared_id_flag(s, d):
     df = loans.with_shared_flag(v.app(s, d), "id_number", "id_shared_flag")
     return df.select("application_id", "id_number", "id_shared_flag")
@@ -643,6 +655,7 @@ QUERIES: dict[str, Query] = {
     "rolling_10min": rolling_10min,
     "rolling_1h": rolling_1h,
     "peak_velocity": peak_velocity,
+    "rolling_velocity": rolling_velocity,
     "asof_features": asof_features,
     "asof_features_events": asof_features_events,
     "card_features": q_card_features,
@@ -655,6 +668,7 @@ QUERIES: dict[str, Query] = {
     "income_realistic": income_realistic,
     "applications_per_customer": applications_per_customer,
     "applications_30d_branches": applications_30d_branches,
+    "applications_30d_rows": applications_30d_rows,
     "shared_id_flag": shared_id_flag,
     "shared_address_flag": shared_address_flag,
     "agent_approval_rate": agent_approval_rate,

@@ -13,6 +13,7 @@ from riskflow.functions.normalize import fill_defaults
 from riskflow.functions.scoring import risk_tier, weighted_score
 from riskflow.operators.dedup import dedup_latest
 from riskflow.operators.skew import attach_per_key
+from riskflow.operators.transactions import peak_rolling_count
 
 # --- fixed values: feature columns whose NULLs are filled ---------------------
 CARD_NUMERIC = [
@@ -155,6 +156,15 @@ def card_features(
     return fill_defaults(joined, CARD_NUMERIC, ["unknown_device_flag"])
 
 
+def with_rolling_velocity(features: DataFrame, txn: DataFrame) -> DataFrame:
+    """Add each customer's busiest ten minutes and busiest hour, in transactions."""
+    tens = peak_rolling_count(txn, 600, "txn_count_10min_rolling")
+    hours = peak_rolling_count(txn, 3600, "txn_count_1h_rolling")
+    peaks = tens.join(hours, "customer_id")
+    joined = attach_per_key(features, peaks, ["customer_id"], ["account_id"])
+    return fill_defaults(joined, ["txn_count_10min_rolling", "txn_count_1h_rolling"])
+
+
 # --- loan ----------------------------------------------------------------------
 def application_features(applications: DataFrame, agent_limit: float = 0.9) -> DataFrame:
     """Per customer: application counts, worst ratio, flags, most recent application."""

@@ -83,7 +83,7 @@ def applications_in_window(
     """Applications and distinct branches in the `days` before each date, inclusive.
 
     One row per (customer, date): `applications_30d_rolling`,
-    `distinct_branches_30d_rolling`. Rows are first summed to (customer, date), so a
+    `distinct_branches_30d_rolling`, `applications_on_date`. Rows are first summed to (customer, date), so a
     window never holds more than one row per calendar day. Distinct branches need no
     sets: a branch counts from a day it is used until `days` later or until its next
     use, whichever is first, so the count on a day is a running sum of starts less ends.
@@ -130,10 +130,26 @@ def applications_in_window(
             F.date_from_unix_date(F.col("_day")).alias(date),
             "applications_30d_rolling",
             "distinct_branches_30d_rolling",
+            F.col("_n").alias("applications_on_date"),
         )
     )
 
 
+def with_applications_in_window(
+    applications: DataFrame,
+    days: int = 30,
+    customer: str = "customer_id",
+    date: str = "application_date",
+    branch: str = "branch_id",
+) -> DataFrame:
+    """`applications_in_window` on each application; NULL where its date is unknown."""
+    rolling = applications_in_window(applications, days, customer, date, branch)
+    return attach_per_key(
+        applications, rolling, [customer, date], ["application_id"],
+        size="applications_on_date", null_safe=True,
+    )
+
+
 # --- repayments --------------------------------------------------------------
 def with_cumulative_missed(
     repayments: DataFrame,

@@ -47,13 +47,6 @@ def _blank(column: str) -> Column:
     return F.col(column).isNull() | (F.col(column).cast("string") == "")
 
 
-def _duplicates(key: str) -> Column:
-    distinct = F.count_distinct(key) + F.coalesce(
-        F.max(F.col(key).isNull().cast("int")), F.lit(0)
-    )
-    return F.count(F.lit(1)) - distinct
-
-
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """NULLs in every column: (column, null_count)."""
     wanted = df.columns if columns is None else list(columns)
@@ -95,15 +88,15 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def profile(df: DataFrame, feed: Feed) -> DataFrame:
-    """The whole report on a raw feed in one pass: (check, column, value, status).
+    """The whole report on a raw feed: (check, column, value, status).
 
     Checks: rows, duplicate keys, NULL keys, blanks in critical columns, missing columns.
     A count above zero is a warning, a missing column or an empty table an error. A
-    column that is missing has no other checks.
+    column that is missing has no other checks. One pass without a shuffle counts all
+    but the duplicates; only keys are shuffled for those.
     """
     counts = {("rows", ""): F.count(F.lit(1))}
     if feed.key in df.columns:
-        counts["duplicate_keys", feed.key] = _duplicates(feed.key)
         counts["null_keys", feed.key] = F.count_if(F.col(feed.key).isNull())
     for c in feed.critical:
         if c in df.columns:
@@ -111,6 +104,14 @@ def profile(df: DataFrame, feed: Feed) -> DataFrame:
     missing = missing_columns(df, feed.required)
     for c in feed.required:
         counts["missing_column", c] = F.lit(int(c in missing))
+    checks = _as_rows(df, counts)
+    if feed.key in df.columns:
+        repeated = duplicate_count(df, feed.key).select(
+            F.lit("duplicate_keys").alias("check"),
+            F.lit(feed.key).alias("column"),
+            F.col("duplicates").alias("value"),
+        )
+        checks = checks.unionByName(repeated)
     found = F.col("value") > 0
     status = (
         F.when(F.col("check") == "rows", F.when(found, "OK").otherwise("ERROR"))
@@ -118,7 +119,7 @@ def profile(df: DataFrame, feed: Feed) -> DataFrame:
         .when(F.col("check") == "missing_column", "ERROR")
         .otherwise("WARNING")
     )
-    return _as_rows(df, counts).withColumn("status", status)
+    return checks.withColumn("status", status)
 
 
 # --- summaries --------------------------------------------------------------------

@@ -70,7 +70,7 @@ def attach_per_key(
 def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
     """Whether a table is small enough to send whole to every executor (counted)."""
     limit = BROADCAST_ROWS if max_rows is None else max_rows
-    return df.limit(limit + 1).count() <= limit
+    return df.count() <= limit
 
 
 def _salt(key: list[str], row_id: Sequence[str], null_safe: bool) -> Column:

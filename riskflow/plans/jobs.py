@@ -28,11 +28,15 @@ from riskflow.sources.tables import read_table, write_table
 
 @dataclass(frozen=True)
 class Store:
-    """Where tables live: folders under `root`, or catalog tables if it is None."""
+    """Where tables live: folders under `root`, or catalog tables if it is None.
+
+    With `buckets`, catalog tables of one row per customer are bucketed by customer.
+    """
 
     spark: SparkSession
     root: str | None = None
     fmt: str = "parquet"
+    buckets: int = 0
 
     def _name(self, table: str) -> str:
         return table if self.root is None else f"{self.root}/{table.replace('.', '/')}"
@@ -40,11 +44,13 @@ class Store:
     def read(self, table: str) -> DataFrame:
         return read_table(self.spark, self._name(table), self.fmt)
 
-    def write(self, df: DataFrame, table: str, mode: str = "overwrite") -> DataFrame:
+    def write(
+        self, df: DataFrame, table: str, mode: str = "overwrite", bucket_by: str | None = None
+    ) -> DataFrame:
         """Write `df`, creating a missing database first, and read it back."""
         if self.root is None and "." in table:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.rsplit('.', 1)[0]}")
-        write_table(df, self._name(table), mode, self.fmt)
+        write_table(df, self._name(table), mode, self.fmt, bucket_by, self.buckets)
         return self.read(table)
 
 
@@ -90,6 +96,7 @@ def build_features(store: Store) -> None:
     store.write(
         f.with_score(loan, c.loan_rules(), "loan_fraud_score", "loan_risk_tier"),
         c.SILVER_LOAN_FEATURES,
+        bucket_by="customer_id",
     )
 
 
@@ -97,16 +104,20 @@ def build_gold(store: Store, customers_path: str) -> None:
     """Scores, then alerts, then the customer view with its alert counts."""
     per_account = store.read(c.SILVER_CARD_FEATURES)
     per_customer = f.one_account(per_account)
-    card = store.write(scores.card_scores(per_customer), c.GOLD_CARD_SCORES)
+    card = store.write(
+        scores.card_scores(per_customer), c.GOLD_CARD_SCORES, bucket_by="customer_id"
+    )
     loan = store.write(
-        scores.loan_scores(store.read(c.SILVER_LOAN_FEATURES)), c.GOLD_LOAN_SCORES
+        scores.loan_scores(store.read(c.SILVER_LOAN_FEATURES)),
+        c.GOLD_LOAN_SCORES,
+        bucket_by="customer_id",
     )
     alerts = store.write(fraud_alerts(card, loan), c.GOLD_FRAUD_ALERTS)
     risk = customer_risk(customer_reference(store.spark, customers_path), card, loan)
     activity = with_activity(
         risk, alerts, store.read(c.SILVER_CARD_TXN), store.read(c.SILVER_LOAN_APP)
     )
-    store.write(activity, c.GOLD_CUSTOMER_RISK)
+    store.write(activity, c.GOLD_CUSTOMER_RISK, bucket_by="customer_id")
 
 
 def customer_reference(spark: SparkSession, path: str) -> DataFrame:

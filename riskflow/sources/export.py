@@ -15,6 +15,6 @@ def write_csv(
     Parts are written side by side. `single_file` asks for one part; it is given only
     if there are at most `max_rows` rows (counted first), as one task has to write it.
     """
-    if single_file and df.limit(max_rows + 1).count() <= max_rows:
+    if single_file and df.count() <= max_rows:
         df = df.coalesce(1)
     df.write.mode("overwrite").option("header", True).csv(path)

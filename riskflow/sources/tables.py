@@ -17,10 +17,25 @@ def read_table(spark: SparkSession, name: str, fmt: str = "parquet") -> DataFram
 
 
 def write_table(
-    df: DataFrame, name: str, mode: str = "overwrite", fmt: str = "parquet"
+    df: DataFrame,
+    name: str,
+    mode: str = "overwrite",
+    fmt: str = "parquet",
+    bucket_by: str | None = None,
+    buckets: int = 0,
 ) -> None:
-    """Write a table (or a folder if `name` contains a slash): overwrite or append."""
+    """Write a table (or a folder if `name` contains a slash): overwrite or append.
+
+    A catalog table can be bucketed, so that later joins and aggregates on that
+    column read it without a shuffle. Rows are spread by the column first, which
+    leaves one file per bucket; use it for tables with few rows per key.
+    """
+    bucketed = bucket_by is not None and buckets > 0 and "/" not in name
+    if bucketed:
+        df = df.repartition(buckets, bucket_by)
     writer = df.write.format(fmt).mode(mode)
+    if bucketed:
+        writer = writer.bucketBy(buckets, bucket_by)
     if "/" in name:
         writer.save(name)
     else:
@@ -30,12 +45,16 @@ def write_table(
 def checkpointed(df: DataFrame) -> DataFrame:
     """`df` written to the checkpoint folder and read back, safe against lost executors.
 
-    The folder is the one the cluster names in `spark.checkpoint.dir`. Only where
-    none is set, as in local tests, a temporary one is made.
+    The folder is the one the cluster names in `spark.checkpoint.dir`. Only in local
+    mode, and where none is set, a temporary one is made.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get(CHECKPOINT_DIR, None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="riskflow-checkpoint-"))
+        if folder is None:
+            if not context.master.startswith("local"):
+                raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
+            folder = tempfile.mkdtemp(prefix="riskflow-checkpoint-")
+        context.setCheckpointDir(folder)
     return df.checkpoint()

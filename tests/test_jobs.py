@@ -159,6 +159,20 @@ def test_catalog_tables(spark, source):
     assert jobs.validate(store, c.LOAN_REP).filter("status = 'ERROR'").count() == 0
 
 
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    for name, column in (("bucketed_a", "a"), ("bucketed_b", "b")):
+        df = spark.range(100).selectExpr("id AS customer_id", f"id * 2 AS {column}")
+        write_table(df, name, bucket_by="customer_id", buckets=4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spark.table("bucketed_a").join(spark.table("bucketed_b"), "customer_id", "left")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 100
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
 def test_validation_stops_on_missing_columns(spark, tmp_path):
     (tmp_path / "card_accounts.csv").write_text("account_id,customer_id\n1,2\n")
     (tmp_path / "loan_repayments.csv").write_text("repayment_id\n")

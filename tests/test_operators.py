@@ -151,7 +151,7 @@ def test_application_signals(spark, limit):
         assert g.agent_approval_rate == rate
 
 
-def test_applications_in_window(spark):
+def test_applications_in_window(spark, limit):
     data, df = _applications(spark)
     got = {(r[0], r[1]): (r[2], r[3]) for r in loans.applications_in_window(df).collect()}
     dated = [r for r in data if r[7] is not None]
@@ -159,6 +159,11 @@ def test_applications_in_window(spark):
     for c, d in got:
         inside = [r for r in dated if r[1] == c and d - timedelta(days=30) <= r[7] <= d]
         assert got[c, d] == (len(inside), len({r[6] for r in inside} - {None}))
+    per_row = {r.application_id: r for r in loans.with_applications_in_window(df).collect()}
+    for r in data:
+        mine = per_row[r[0]]
+        got_here = (mine.applications_30d_rolling, mine.distinct_branches_30d_rolling)
+        assert got_here == got.get((r[1], r[7]), (None, None))
 
 
 def _repayments(spark):
