@@ -87,23 +87,18 @@ def merchant_category_risk(
 ) -> DataFrame:
     """Per customer: mean risk of the merchant categories they pay in.
 
-    A category's risk is the declined share of its transactions. Rows are summed to
-    (customer, category) before categories meet their risk.
+    A category's risk is the declined share of its transactions. Rows are counted per
+    (customer, category) before they meet the risk of their category.
     """
-    pairs = txn.groupBy(customer, category).agg(
-        F.count(F.lit(1)).alias("_n"), F.count_if(F.col("status") == "declined").alias("_declined")
-    )
-    risk = (
-        pairs.filter(F.col(category).isNotNull())
-        .groupBy(category)
-        .agg(
-            (F.sum("_declined") / F.sum("_n")).alias("_risk"), F.count(F.lit(1)).alias("_rows")
-        )
+    known = txn.filter(F.col(category).isNotNull())
+    pairs = known.groupBy(customer, category).agg(F.count(F.lit(1)).alias("_n"))
+    declined = F.count_if(F.col("status") == "declined")
+    risk = known.groupBy(category).agg(
+        (declined / F.count(F.lit(1))).alias("_risk"), F.count(F.lit(1)).alias("_rows")
     )
     joined = attach_per_key(pairs, risk, [category], [customer], size="_rows")
-    weight = F.when(F.col("_risk").isNotNull(), F.col("_n"))
     return joined.groupBy(customer).agg(
-        F.try_divide(F.sum(F.col("_risk") * F.col("_n")), F.sum(weight)).alias(out)
+        (F.sum(F.col("_risk") * F.col("_n")) / F.sum("_n")).alias(out)
     )
 
 
