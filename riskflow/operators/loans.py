@@ -12,8 +12,8 @@ from riskflow.sources.tables import checkpointed
 
 
 # --- applications ------------------------------------------------------------
-# `source` is where an operator counts: the same rows at an earlier stage. Operators
-# that follow each other all count on the first stage, which keeps the plan small.
+# `source` is where an operator counts, by default the rows it adds to. Operators that
+# follow each other all count on one early stage, which keeps the plan small.
 
 
 def with_applications_per_customer(
@@ -158,13 +158,14 @@ def with_cumulative_missed(
     due: str = "due_date",
     missed: str = "is_missed",
     repayment: str = "repayment_id",
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Missed payments of the customer up to and including each due date.
 
     Rows due on one day share the value and a NULL due date comes first. The running
     sum goes over one row per (customer, due date) and is joined back.
     """
-    per_day = repayments.groupBy(customer, due).agg(
+    per_day = (repayments if source is None else source).groupBy(customer, due).agg(
         F.count_if(F.col(missed)).alias("_missed"), F.count(F.lit(1)).alias("_rows")
     )
     w = W.partitionBy(customer).orderBy(due).rowsBetween(W.unboundedPreceding, W.currentRow)

@@ -40,8 +40,8 @@ def with_amount_zscore(
 
     0 where the deviation is zero or unknown (one row, constant amounts). Mean and
     deviation come from a map-side combined aggregate that is joined back, not
-    from a window, which would hold all rows of a customer in one task. `source` has
-    the same rows at an earlier, cheaper stage.
+    from a window, which would hold all rows of a customer in one task. They are
+    taken over `source`, by default the rows themselves.
     """
     stats = (txn if source is None else source).groupBy(customer).agg(
         F.avg(amount).alias("_mean"),

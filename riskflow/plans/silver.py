@@ -1,4 +1,9 @@
-"""Bronze (all strings) to silver (typed, with row signals, one row per key)."""
+"""Bronze (all strings) to silver (typed, with row signals, one row per key).
+
+Statistics (z-scores, counts, shared flags, running totals) are taken over all rows,
+repeated ones included, but are attached to the rows that are kept, so repeated rows
+are shuffled once. With `dedup_first` the statistics leave them out as well.
+"""
 
 from __future__ import annotations
 
@@ -25,26 +30,22 @@ def silver_accounts(bronze: DataFrame) -> DataFrame:
 def silver_transactions(
     bronze: DataFrame, bronze_accounts: DataFrame, dedup_first: bool = False
 ) -> DataFrame:
-    """Z-scores see repeated rows, as they are removed last, unless `dedup_first`."""
     df = bronze.withColumn(
         "transaction_ts", n.combine_date_time("transaction_date", "transaction_time")
     ).drop("transaction_date", "transaction_time")
     df = n.cast_columns(df, {"amount": "double", "is_fraud_label": "int"})
     df = n.codes_upper(df, ["merchant_country", "currency"])
     df = n.labels_lower(df, ["channel", "status"])
-    latest = _latest_first(df, "transaction_ts")
-    if dedup_first:
-        df = dedup_latest(df, ["transaction_id"], latest)
+    unique = dedup_latest(df, ["transaction_id"], _latest_first(df, "transaction_ts"))
+    counted = unique if dedup_first else df
 
     accounts = n.codes_upper(
         bronze_accounts.select("account_id", "billing_country"), ["billing_country"]
     )
-    cleaned = df
-    df = transactions.with_billing_country(df, accounts)
-    df = df.withColumn("is_international", signals.is_international()).drop("billing_country")
-    df = transactions.with_time_parts(df)
-    df = transactions.with_amount_zscore(df, source=cleaned)
-    return df if dedup_first else dedup_latest(df, ["transaction_id"], latest)
+    out = transactions.with_billing_country(unique, accounts)
+    out = out.withColumn("is_international", signals.is_international()).drop("billing_country")
+    out = transactions.with_time_parts(out)
+    return transactions.with_amount_zscore(out, source=counted)
 
 
 def silver_applications(bronze: DataFrame, dedup_first: bool = False) -> DataFrame:
@@ -63,22 +64,19 @@ def silver_applications(bronze: DataFrame, dedup_first: bool = False) -> DataFra
     df = n.labels_lower(
         df, ["loan_type", "application_channel", "application_status", "stated_employment_status"]
     )
-    latest = _latest_first(df, "application_date")
-    if dedup_first:
-        df = dedup_latest(df, ["application_id"], latest)
+    unique = dedup_latest(df, ["application_id"], _latest_first(df, "application_date"))
+    counted = unique if dedup_first else df
 
-    cleaned = df
-    df = df.withColumns(
+    out = unique.withColumns(
         {
             "loan_to_income_ratio": signals.loan_to_income(),
             "is_income_realistic": signals.income_realistic(),
         }
     )
-    df = loans.with_applications_per_customer(df, source=cleaned)
-    df = loans.with_shared_flag(df, "id_number", "id_shared_flag", source=cleaned)
-    df = loans.with_shared_flag(df, "address", "address_shared_flag", source=cleaned)
-    df = loans.with_agent_approval_rate(df, source=cleaned)
-    return df if dedup_first else dedup_latest(df, ["application_id"], latest)
+    out = loans.with_applications_per_customer(out, source=counted)
+    out = loans.with_shared_flag(out, "id_number", "id_shared_flag", source=counted)
+    out = loans.with_shared_flag(out, "address", "address_shared_flag", source=counted)
+    return loans.with_agent_approval_rate(out, source=counted)
 
 
 def silver_repayments(bronze: DataFrame, dedup_first: bool = False) -> DataFrame:
@@ -93,10 +91,8 @@ def silver_repayments(bronze: DataFrame, dedup_first: bool = False) -> DataFrame
         },
     )
     df = n.labels_lower(df, ["payment_status"])
-    latest = _latest_first(df, "due_date")
-    if dedup_first:
-        df = dedup_latest(df, ["repayment_id"], latest)
-    df = df.withColumn("payment_shortfall", signals.payment_shortfall())
     df = df.withColumns(signals.payment_flags())
-    df = loans.with_cumulative_missed(df)
-    return df if dedup_first else dedup_latest(df, ["repayment_id"], latest)
+    unique = dedup_latest(df, ["repayment_id"], _latest_first(df, "due_date"))
+    counted = unique if dedup_first else df
+    out = unique.withColumn("payment_shortfall", signals.payment_shortfall())
+    return loans.with_cumulative_missed(out, source=counted)
