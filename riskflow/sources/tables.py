@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,19 +42,33 @@ def write_table(
         writer.saveAsTable(name)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """`df` written to the checkpoint folder and read back, safe against lost executors.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables, seen by the driver and all executors.
+
+    That is the one named in `spark.checkpoint.dir`, or, where none is set, a folder in
+    the warehouse, which they share as well. Never a machine's own temporary folder.
+    """
+    folder = spark.conf.get(CHECKPOINT_DIR, None)
+    if folder is None:
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate"
+    return folder.rstrip("/")
+
 
-    The folder is the one the cluster names in `spark.checkpoint.dir`. Only in local
-    mode, and where none is set, a temporary one is made.
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """`df` written as Parquet to the shared folder and read back, which cuts its lineage.
+
+    Unlike a checkpoint it is compressed, and Spark knows its size when it plans joins.
+    The files outlive the session; clear the folder when nothing reads them any more.
     """
     spark = df.sparkSession
-    context = spark.sparkContext
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """`df` written to the shared folder's checkpoint and read back, safe against lost executors."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get(CHECKPOINT_DIR, None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="riskflow-checkpoint-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
