@@ -62,13 +62,17 @@ def targets(
             / F.sum("weight").over(by_level.rowsBetween(0, W.unboundedFollowing)),
         }
     )
-    open_level = F.min(
+    # The first source that stays below its limit has the level; later ones compute less,
+    # as they take this one for full.
+    open_level = F.max(
         F.when(F.col("level") * F.col("weight") < F.col("limit"), F.col("level"))
     ).over(everything)
     target = F.least(
         F.col("limit"), F.coalesce(F.col("weight") * open_level, F.col("limit"))
     )
-    return filled.select("source", "source_size", "rank", "weight", target.alias("target"))
+    return filled.select(
+        "source", "source_size", "rank", "weight", F.round(target, 6).alias("target")
+    )
 
 
 def prefix_sums(df: DataFrame, order: Sequence[str], value: str, out: str) -> DataFrame:

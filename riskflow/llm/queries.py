@@ -147,14 +147,13 @@ w AS (
     SELECT *, CASE r % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0 ELSE 1.0 END AS weight, 2.0::DOUBLE * source_size AS cap,
         sum(source_size) OVER () * 1.5::DOUBLE AS budget
     FROM s),
-l AS (
-    SELECT *, (budget - coalesce(sum(cap) OVER (ORDER BY cap / weight, r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0::DOUBLE))
-        / sum(weight) OVER (ORDER BY cap / weight, r ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
-    FROM w),
+f AS (  -- a source is full if the budget exceeds what all take at the level that just fills it
+    SELECT a.source, sum(least(b.cap, b.weight * a.cap / a.weight)) <= any_value(a.budget) AS is_full
+    FROM w a CROSS JOIN w b GROUP BY a.source),
 t AS (
-    SELECT source, source_size,
-        least(cap, coalesce(weight * min(CASE WHEN level * weight < cap THEN level END) OVER (), cap)) AS target
-    FROM l),
+    SELECT w.source, source_size, round(CASE WHEN is_full THEN cap ELSE
+        weight * (budget - coalesce(sum(cap) FILTER (is_full) OVER (), 0.0::DOUBLE)) / sum(weight) FILTER (NOT is_full) OVER () END, 6) AS target
+    FROM w JOIN f ON w.source IS NOT DISTINCT FROM f.source),
 q AS (
     SELECT d.*, t.source_size, t.target,
         coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY place, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
