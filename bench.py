@@ -60,14 +60,31 @@ def plain_card_features(spark: SparkSession, sf: str) -> DataFrame:
         }
     )
     features = accounts.select("customer_id", "account_id", "account_status", "credit_limit")
-    for group in (
-        f.velocity_aggregates(),
-        f.late_night_aggregates(),
-        f.geo_channel_aggregates(),
-        f.device_aggregates(q.DEVICE_LIMIT),
-        f.merchant_aggregates(),
-    ):
-        features = features.join(txn.groupBy("customer_id").agg(*group), "customer_id", "left")
+    category = txn.filter(F.col("merchant_category_code").isNotNull())
+    rates = category.groupBy("merchant_category_code").agg(
+        F.avg((F.col("status") == "declined").cast("double")).alias("rate")
+    )
+    by_group = [
+        txn.groupBy("customer_id").agg(*group)
+        for group in (
+            f.velocity_aggregates(),
+            f.late_night_aggregates(),
+            f.channel_aggregates(),
+            [
+                F.count_distinct("merchant_country").alias("distinct_countries_30d"),
+                F.count_distinct("merchant_name").alias("distinct_merchants_7d"),
+            ],
+            [(F.count_distinct("device_id") > q.DEVICE_LIMIT).alias("unknown_device_flag")],
+            f.merchant_aggregates(),
+        )
+    ]
+    by_group.append(
+        category.join(rates, "merchant_category_code")
+        .groupBy("customer_id")
+        .agg(F.avg("rate").alias(q.MCC))
+    )
+    for group in by_group:
+        features = features.join(group, "customer_id", "left")
     return features
 
 

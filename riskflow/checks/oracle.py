@@ -91,7 +91,8 @@ VIEWS: dict[str, str] = {
                CAST(customer_id AS VARCHAR) AS customer_id,
                strftime(transaction_ts, '%Y-%m-%d') AS transaction_date,
                strftime(transaction_ts, '%H:%M:%S') AS transaction_time,
-               CASE WHEN quantity = 13 THEN 'n/a' ELSE CAST(amount AS VARCHAR) END AS amount,
+               CASE quantity WHEN 13 THEN 'n/a' WHEN 17 THEN 'NaN' WHEN 18 THEN 'Infinity'
+                   ELSE CAST(amount AS VARCHAR) END AS amount,
                ' zar' AS currency, CAST(merchant_id AS VARCHAR) AS merchant_id, merchant_name,
                CAST(merchant_category_code AS VARCHAR) AS merchant_category_code,
                CASE WHEN merchant_id % 17 <> 0 THEN ' c' || merchant_country || ' ' END
@@ -113,8 +114,16 @@ VIEWS: dict[str, str] = {
                ' ' || account_status AS account_status,
                CASE WHEN account_id % 10 = 4 THEN '' ELSE CAST(credit_limit AS VARCHAR) END
                    AS credit_limit,
-               'c' || billing_country || ' ' AS billing_country, 'Town' AS billing_city
-        FROM acc""",
+               'c' || billing_country || ' ' AS billing_country, 'Town' AS billing_city,
+               2 AS _ingested_at
+        FROM acc
+        -- every seventh account was loaded before, with another country
+        UNION ALL SELECT CAST(account_id AS VARCHAR), CAST(customer_id AS VARCHAR),
+               ' VISA', 'Gold ', '2020-12-31', ' old', '1', 'c' || (billing_country + 50), 'Town', 1
+        FROM acc WHERE account_id % 7 = 0""",
+    "silver_acc": """
+        SELECT * FROM bronze_acc
+        QUALIFY row_number() OVER (PARTITION BY account_id ORDER BY _ingested_at DESC) = 1""",
     "bronze_app": """
         SELECT CAST(application_id AS VARCHAR) AS application_id,
                CAST(customer_id AS VARCHAR) AS customer_id,
@@ -125,7 +134,8 @@ VIEWS: dict[str, str] = {
                CAST(stated_income AS VARCHAR) AS stated_income,
                upper(stated_employment_status) AS stated_employment_status,
                CAST(stated_years_employed AS VARCHAR) AS stated_years_employed,
-               '2' AS num_dependants, CAST(id_number AS VARCHAR) AS id_number, address,
+               '2' AS num_dependants, CAST(id_number AS VARCHAR) AS id_number,
+               CAST(customer_id % 50 + 1940 AS VARCHAR) || '-03-05' AS date_of_birth, address,
                CAST(agent_id AS VARCHAR) AS agent_id, CAST(branch_id AS VARCHAR) AS branch_id,
                'Online' AS application_channel,
                upper(application_status[1]) || application_status[2:] AS application_status,
@@ -418,17 +428,18 @@ def _profile(view: str, feed: c.Feed, have: set[str]) -> str:
         row("blanks", x, f"count(*) FILTER (WHERE {x} IS NULL OR {x} = '')")
         for x in feed.critical
     ]
+    rows += [row("nulls", x, f"count(*) FILTER (WHERE {x} IS NULL)") for x in sorted(have)]
     rows += [row("missing_column", x, f"max({int(x not in have)})") for x in feed.required]
     body = "\nUNION ALL\n".join(rows)
     return f"""SELECT *, CASE WHEN "check" = 'rows' THEN CASE WHEN value > 0 THEN 'OK' ELSE 'ERROR' END
-        WHEN value = 0 THEN 'OK' WHEN "check" = 'missing_column' THEN 'ERROR'
+        WHEN value = 0 OR "check" = 'nulls' THEN 'OK' WHEN "check" = 'missing_column' THEN 'ERROR'
         ELSE 'WARNING' END AS status FROM ({body})"""
 
 
 def _columns(view: str) -> set[str]:
-    return set(re.findall(r"\bAS (\w+)", VIEWS[view])) | set(
-        re.findall(r"\b(merchant_name|address)\b", VIEWS[view])
-    )
+    named = set(re.findall(r"\bAS (\w+)", VIEWS[view]))
+    plain = set(re.findall(r"\b(merchant_name|address)\b", VIEWS[view]))
+    return (named | plain) - {"VARCHAR", "BIGINT", "INTEGER", "DOUBLE", "DATE"}
 
 
 def _except_approx(view: str, *columns: str) -> str:
@@ -459,13 +470,14 @@ def _rolling(interval: str, out: str, view: str = "evt") -> str:
         FROM {view}"""
 
 
-RECENT = "log_timestamp >= TIMESTAMP '2024-01-30 12:00:00' - INTERVAL {} HOUR"
+RECENT = """log_timestamp >= TIMESTAMP '2024-01-30 12:00:00' - INTERVAL {} HOUR
+    AND log_timestamp <= TIMESTAMP '2024-01-30 12:00:00'"""
 Z = f"{approx('amount_zscore')} AS amount_zscore"
 
 
 def _silver_txn(source: str) -> str:
     return f"""
-        SELECT transaction_id, account_id, customer_id, TRY_CAST(amount AS DOUBLE) AS amount,
+        SELECT transaction_id, account_id, customer_id, amount,
                upper(trim(currency)) AS currency, merchant_id, merchant_name,
                merchant_category_code, upper(trim(merchant_country)) AS merchant_country,
                lower(trim(channel)) AS channel, device_id, lower(trim(status)) AS status,
@@ -476,12 +488,12 @@ def _silver_txn(source: str) -> str:
                CAST(hour(CAST(transaction_date || ' ' || transaction_time AS TIMESTAMP)) AS INTEGER)
                    AS hour_of_day,
                dayofweek(CAST(transaction_date AS DATE)) IN (0, 6) AS is_weekend,
-               CASE WHEN stddev_samp(TRY_CAST(amount AS DOUBLE)) OVER p > 0
-                    THEN (TRY_CAST(amount AS DOUBLE) - avg(TRY_CAST(amount AS DOUBLE)) OVER p)
-                         / stddev_samp(TRY_CAST(amount AS DOUBLE)) OVER p
+               CASE WHEN stddev_samp(amount) OVER p > 0
+                    THEN (amount - avg(amount) OVER p) / stddev_samp(amount) OVER p
                     ELSE 0.0 END AS amount_zscore
-        FROM {source}
-        LEFT JOIN (SELECT account_id, billing_country FROM bronze_acc) USING (account_id)
+        FROM (SELECT * REPLACE (CASE WHEN isfinite(TRY_CAST(amount AS DOUBLE))
+                                THEN TRY_CAST(amount AS DOUBLE) END AS amount) FROM {source})
+        LEFT JOIN (SELECT account_id, billing_country FROM silver_acc) USING (account_id)
         WINDOW p AS (PARTITION BY customer_id)"""
 
 
@@ -492,7 +504,8 @@ QUERIES: dict[str, str] = {
         SELECT c_custkey, {ASOF} AS _ingested_at, 'customer.parquet' AS _source_file
         FROM customer""",
     "cast_columns": """
-        SELECT p_partkey, p_retailprice AS price,
+        SELECT p_partkey,
+               CASE WHEN p_size NOT IN (3, 4, 5) THEN p_retailprice END AS price,
                CASE WHEN p_size <= 25 THEN p_size END AS size FROM part""",
     "parse_dates": """
         SELECT o_orderkey,
@@ -604,6 +617,27 @@ QUERIES: dict[str, str] = {
     "card_features": _except_approx(
         "card_features", "avg_txn_amount_30d", "merchant_risk_score", "merchant_category_risk"
     ),
+    "card_feature_table": f"""
+        SELECT f.* REPLACE ({approx('f.avg_txn_amount_30d')} AS avg_txn_amount_30d,
+                   {approx('f.merchant_risk_score')} AS merchant_risk_score,
+                   {approx('coalesce(f.merchant_category_risk, 0)')} AS merchant_category_risk),
+               coalesce(t.n, 0) AS txn_count_10min_rolling,
+               coalesce(h.n, 0) AS txn_count_1h_rolling,
+               coalesce(txn_count_30d_asof, 0) AS txn_count_30d_asof,
+               coalesce(avg_txn_amount_30d_asof, 0) AS avg_txn_amount_30d_asof,
+               coalesce(max_txn_amount_30d_asof, 0) AS max_txn_amount_30d_asof,
+               coalesce(distinct_countries_30d_asof, 0) AS distinct_countries_30d_asof,
+               coalesce(declined_txn_count_7d_asof, 0) AS declined_txn_count_7d_asof,
+               coalesce(distinct_merchants_7d_asof, 0) AS distinct_merchants_7d_asof
+        FROM card_features f
+        LEFT JOIN (SELECT customer_id, max(n) AS n
+                   FROM ({_rolling('10 MINUTE', 'n', 'txn')}) GROUP BY 1) t USING (customer_id)
+        LEFT JOIN (SELECT customer_id, max(n) AS n
+                   FROM ({_rolling('1 HOUR', 'n', 'txn')}) GROUP BY 1) h USING (customer_id)
+        LEFT JOIN ({_asof('txn', ASOF_TXN)}) a USING (customer_id)""",
+    "customer_risk_masked": """
+        SELECT customer_id, '****' || right(CAST(customer_id * 1000003 AS VARCHAR), 4) AS id_number,
+               overall_risk_tier FROM risk""",
     "card_score": """
         SELECT customer_id, account_id, card_fraud_score, card_risk_tier, feature_updated_at
         FROM card_scored""",
@@ -672,8 +706,8 @@ QUERIES: dict[str, str] = {
                    AS account_open_date,
                lower(trim(account_status)) AS account_status,
                TRY_CAST(credit_limit AS DOUBLE) AS credit_limit,
-               upper(trim(billing_country)) AS billing_country, billing_city
-        FROM bronze_acc""",
+               upper(trim(billing_country)) AS billing_country, billing_city, _ingested_at
+        FROM silver_acc""",
     # The raw text holds the same values as `app`, but for the limits of realistic income.
     "silver_loan_app": """
         SELECT CAST(application_id AS VARCHAR) AS application_id,
@@ -681,13 +715,28 @@ QUERIES: dict[str, str] = {
                lower(loan_type) AS loan_type, loan_amount_requested,
                CASE WHEN application_id % 7 <> 0 THEN 12 END AS loan_term_months,
                stated_income, stated_employment_status, stated_years_employed,
-               2 AS num_dependants, CAST(id_number AS VARCHAR) AS id_number, address,
+               2 AS num_dependants, CAST(id_number AS VARCHAR) AS id_number,
+               make_date(customer_id % 50 + 1940, 3, 5) AS date_of_birth,
+               CAST(date_sub('year', make_date(customer_id % 50 + 1940, 3, 5), application_date)
+                   AS INTEGER) AS age, applications_30d_rolling, distinct_branches_30d_rolling,
+               address,
                CAST(agent_id AS VARCHAR) AS agent_id, CAST(branch_id AS VARCHAR) AS branch_id,
                'online' AS application_channel, application_status, 0 AS is_fraud_label,
                loan_to_income_ratio, true AS is_income_realistic, applications_last_30d,
                id_shared_flag, address_shared_flag, agent_approval_rate
-        FROM app_signals""",
+        FROM app_signals JOIN (
+            SELECT b.application_id, count(*) AS applications_30d_rolling,
+                   count(DISTINCT a.branch_id) AS distinct_branches_30d_rolling
+            FROM app b JOIN app a ON a.customer_id = b.customer_id
+                AND a.application_date BETWEEN b.application_date - 30 AND b.application_date
+            GROUP BY 1) USING (application_id)""",
     "silver_loan_rep": f"""
+        SELECT * EXCLUDE (paid_so_far), CAST(sum(CAST(is_missed AS INTEGER)) OVER (
+                   PARTITION BY customer_id, paid_so_far
+                   ORDER BY due_date NULLS FIRST, repayment_id) AS BIGINT) AS missed_streak
+        FROM (SELECT *, sum(CAST(NOT is_missed AS INTEGER)) OVER (
+                  PARTITION BY customer_id ORDER BY due_date NULLS FIRST, repayment_id)
+                  AS paid_so_far FROM (
         SELECT repayment_id, application_id, customer_id, CAST(due_date AS DATE) AS due_date,
                CAST(payment_date AS DATE) AS payment_date,
                CAST(due_amount AS DOUBLE) AS due_amount,
@@ -704,7 +753,7 @@ QUERIES: dict[str, str] = {
                    PARTITION BY customer_id ORDER BY due_date NULLS FIRST) AS BIGINT)
                    AS consecutive_missed_count
         FROM bronze_rep
-        QUALIFY row_number() OVER (PARTITION BY repayment_id ORDER BY _ingested_at DESC) = 1""",
+        QUALIFY row_number() OVER (PARTITION BY repayment_id ORDER BY _ingested_at DESC) = 1))""",
     "card_scores": "SELECT * FROM card_scores",
     "loan_scores": "SELECT * FROM loan_scores",
     "fraud_alerts": "SELECT * FROM alerts",

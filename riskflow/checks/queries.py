@@ -23,7 +23,7 @@ from riskflow.operators import transactions as t
 from riskflow.operators.alerts import fraud_alerts
 from riskflow.operators.customer_risk import customer_risk, with_activity
 from riskflow.operators.dedup import dedup_any, dedup_latest
-from riskflow.plans import silver
+from riskflow.plans import jobs, silver
 from riskflow.sources.raw import with_ingest_metadata
 from riskflow.sources.tables import checkpointed
 
@@ -161,7 +161,11 @@ def ingest_metadata(s, d):
 def cast_columns(s, d):
     text = v.table(s, d, "part").select(
         "p_partkey",
-        F.col("p_retailprice").cast("string").alias("price"),
+        F.when(F.col("p_size") == 3, "NaN")
+        .when(F.col("p_size") == 4, "-Infinity")
+        .when(F.col("p_size") == 5, "inf")
+        .otherwise(F.col("p_retailprice").cast("string"))
+        .alias("price"),
         F.when(F.col("p_size") > 25, F.col("p_name"))
         .otherwise(F.col("p_size").cast("string"))
         .alias("size"),
@@ -350,11 +354,15 @@ def late_night_ratio(s, d):
 def geo_channel_features(s, d):
     df = t.with_billing_country(v.txn(s, d), v.acc(s, d))
     df = df.withColumn("is_international", signals.is_international())
-    return df.groupBy("customer_id").agg(*f.geo_channel_aggregates())
+    shares = df.groupBy("customer_id").agg(*f.channel_aggregates())
+    counts = f.distinct_values(df).drop("unknown_device_flag")
+    return shares.join(counts, "customer_id", "left").fillna(0)
 
 
 def device_flag(s, d):
-    return v.txn(s, d).groupBy("customer_id").agg(*f.device_aggregates(DEVICE_LIMIT))
+    return f.distinct_values(v.txn(s, d), DEVICE_LIMIT).select(
+        "customer_id", "unknown_device_flag"
+    )
 
 
 def merchant_risk_ref(s, d):
@@ -375,9 +383,8 @@ def rolling_1h(s, d):
 
 
 def peak_velocity(s, d):
-    tens = t.peak_rolling_count(v.evt(s, d), 600, "txn_count_10min_rolling")
-    hours = t.peak_rolling_count(v.evt(s, d), 3600, "txn_count_1h_rolling")
-    return tens.join(hours, "customer_id")
+    windows = {"txn_count_10min_rolling": 600, "txn_count_1h_rolling": 3600}
+    return t.peak_rolling_counts(v.evt(s, d), windows)
 
 
 def rolling_velocity(s, d):
@@ -397,6 +404,24 @@ def q_card_features(s, d):
     return rounded(card_features(s, d), "avg_txn_amount_30d", "merchant_risk_score", MCC)
 
 
+def card_feature_table(s, d):
+    """The table that the card job writes, before it is scored."""
+    df = jobs.card_feature_table(
+        txn_signals(s, d), v.acc(s, d), at(v.AS_OF_TXN), DEVICE_LIMIT
+    )
+    return rounded(
+        df, "avg_txn_amount_30d", "merchant_risk_score", MCC, "avg_txn_amount_30d_asof"
+    )
+
+
+def customer_risk_masked(s, d):
+    """What the gold job makes of customers with raw ids."""
+    ids = (F.col("customer_id") * 1_000_003).cast("string")
+    customers = jobs.masked(v.cust(s, d).withColumn("id_number", ids), True)
+    view = customer_risk(customers, card_scores(s, d), loan_scores(s, d), at())
+    return view.select("customer_id", "id_number", "overall_risk_tier")
+
+
 def card_score(s, d):
     return card_scored(s, d).select(
         "customer_id", "account_id", "card_fraud_score", "card_risk_tier", "feature_updated_at"
@@ -527,13 +552,14 @@ def loan_score(s, d):
 
 # --- silver tables from raw text ----------------------------------------------------------
 def silver_card_txn(s, d):
-    df = silver.silver_transactions(v.bronze_txn(s, d), v.bronze_acc(s, d))
+    df = silver.silver_transactions(v.bronze_txn(s, d), silver.silver_accounts(v.bronze_acc(s, d)))
     df = df.withColumn("transaction_ts", F.col("transaction_ts").cast("timestamp_ntz"))
     return rounded(df, "amount_zscore")
 
 
 def silver_card_txn_dedup_first(s, d):
-    df = silver.silver_transactions(v.bronze_txn(s, d), v.bronze_acc(s, d), dedup_first=True)
+    accounts = silver.silver_accounts(v.bronze_acc(s, d))
+    df = silver.silver_transactions(v.bronze_txn(s, d), accounts, dedup_first=True)
     return df.select("transaction_id", "customer_id", "amount", approx("amount_zscore"))
 
 
@@ -659,6 +685,8 @@ QUERIES: dict[str, Query] = {
     "asof_features": asof_features,
     "asof_features_events": asof_features_events,
     "card_features": q_card_features,
+    "card_feature_table": card_feature_table,
+    "customer_risk_masked": customer_risk_masked,
     "card_score": card_score,
     "risk_tiers": risk_tiers,
     "risk_tier_breakdown": risk_tier_breakdown,

@@ -177,7 +177,11 @@ def bronze_txn(spark: SparkSession, sf: str) -> DataFrame:
         _txt("customer_id").alias("customer_id"),
         F.date_format("transaction_ts", "yyyy-MM-dd").alias("transaction_date"),
         F.date_format("transaction_ts", "HH:mm:ss").alias("transaction_time"),
-        F.when(F.col("quantity") == 13, "n/a").otherwise(_txt("amount")).alias("amount"),
+        F.when(F.col("quantity") == 13, "n/a")
+        .when(F.col("quantity") == 17, "NaN")
+        .when(F.col("quantity") == 18, "Infinity")
+        .otherwise(_txt("amount"))
+        .alias("amount"),
         F.lit(" zar").alias("currency"),
         _txt("merchant_id").alias("merchant_id"),
         "merchant_name",
@@ -199,7 +203,7 @@ def bronze_txn(spark: SparkSession, sf: str) -> DataFrame:
 
 def bronze_acc(spark: SparkSession, sf: str) -> DataFrame:
     a = acc(spark, sf)
-    return a.select(
+    now = a.select(
         _txt("account_id").alias("account_id"),
         _txt("customer_id").alias("customer_id"),
         F.lit(" VISA").alias("card_type"),
@@ -213,7 +217,22 @@ def bronze_acc(spark: SparkSession, sf: str) -> DataFrame:
         ),
         F.concat(F.lit("c"), _txt("billing_country"), F.lit(" ")).alias("billing_country"),
         F.lit("Town").alias("billing_city"),
+        F.lit(2).alias("_ingested_at"),
+    )
+    # Every seventh account was loaded before, with another country.
+    before = a.filter(F.col("account_id") % 7 == 0).select(
+        _txt("account_id"),
+        _txt("customer_id"),
+        F.lit(" VISA"),
+        F.lit("Gold "),
+        F.lit("2020-12-31"),
+        F.lit(" old"),
+        F.lit("1"),
+        F.concat(F.lit("c"), _txt(F.col("billing_country") + 50)),
+        F.lit("Town"),
+        F.lit(1),
     )
+    return now.unionAll(before)
 
 
 def bronze_app(spark: SparkSession, sf: str) -> DataFrame:
@@ -232,6 +251,7 @@ def bronze_app(spark: SparkSession, sf: str) -> DataFrame:
         _txt("stated_years_employed").alias("stated_years_employed"),
         F.lit("2").alias("num_dependants"),
         _txt("id_number").alias("id_number"),
+        F.concat(_txt(F.col("customer_id") % 50 + 1940), F.lit("-03-05")).alias("date_of_birth"),
         "address",
         _txt("agent_id").alias("agent_id"),
         _txt("branch_id").alias("branch_id"),

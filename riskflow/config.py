@@ -25,6 +25,9 @@ GOLD_FRAUD_ALERTS = "gold.gold_fraud_alerts"
 GOLD_CUSTOMER_RISK = "gold.gold_customer_risk"
 RUN_LOG = "logs.logtable"
 
+#: Columns that silver and gold show masked.
+SENSITIVE = ("id_number", "ip_address")
+
 # --- fixed values: tier bounds (inclusive) and labels ------------------------
 HIGH_RISK = 0.7
 MEDIUM_RISK = 0.4
@@ -121,7 +124,8 @@ def card_rules(
     merchant_risk: float = 2.0,
     merchant_risk_column: str = "merchant_risk_score",
 ) -> list[Rule]:
-    """The six card rules. Weights and default bounds are fixed values."""
+    """The six card rules."""
+    # Weights and default bounds.
     return [
         Rule("multi_country", f"distinct_countries_30d > {countries}", 25),
         Rule("unknown_device", "unknown_device_flag", 20),

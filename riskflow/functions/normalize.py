@@ -12,8 +12,18 @@ TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
 def cast_columns(df: DataFrame, casts: Mapping[str, str]) -> DataFrame:
-    """Cast columns in place, e.g. ``{"amount": "double"}``."""
-    return df.withColumns({c: F.col(c).try_cast(t) for c, t in casts.items()})
+    """Cast columns in place, e.g. ``{"amount": "double"}``.
+
+    What isn't a number becomes NULL, and so do the texts for NaN and infinity, which a
+    cast would let through: one of them would spoil every mean of its customer.
+    """
+    return df.withColumns({c: _finite(F.col(c).try_cast(t), t) for c, t in casts.items()})
+
+
+def _finite(value: Column, kind: str) -> Column:
+    if kind not in ("double", "float"):
+        return value
+    return F.when(~F.isnan(value) & (F.abs(value) < float("inf")), value)
 
 
 def parse_dates(df: DataFrame, columns: Iterable[str], fmt: str = DATE_FORMAT) -> DataFrame:

@@ -15,8 +15,8 @@ def customer_risk(
     """Customers left-joined to their card and loan scores.
 
     The overall score is the larger of the two, a missing one counting as 0. Flags
-    of a missing side are NULL. All three inputs are unique per customer, so the two
-    joins share one shuffle of each input.
+    of a missing side are NULL. All three inputs have to be unique per customer (the
+    jobs see to it), so the two joins share one shuffle of each input.
     """
     card = card.select("customer_id", "card_fraud_score", "card_risk_tier")
     loan = loan.select("customer_id", "loan_fraud_score", "loan_risk_tier")

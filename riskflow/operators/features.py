@@ -13,7 +13,7 @@ from riskflow.functions.normalize import fill_defaults
 from riskflow.functions.scoring import risk_tier, weighted_score
 from riskflow.operators.dedup import dedup_latest
 from riskflow.operators.skew import attach_per_key
-from riskflow.operators.transactions import peak_rolling_count
+from riskflow.operators.transactions import peak_rolling_counts
 
 # --- fixed values: feature columns whose NULLs are filled ---------------------
 CARD_NUMERIC = [
@@ -29,6 +29,9 @@ LOAN_NUMERIC = [
 ]
 LOAN_FLAGS = ["id_shared_flag", "address_shared_flag", "agent_risk_flag", "income_realistic_flag"]
 
+#: Seconds of the stretches whose busiest is a feature.
+PEAK_WINDOWS = {"txn_count_10min_rolling": 600, "txn_count_1h_rolling": 3600}
+
 
 def _share(condition: Column, of: str) -> Column:
     return F.try_divide(F.count_if(condition), F.count(of))
@@ -51,17 +54,33 @@ def late_night_aggregates(key: str = "transaction_id", last_hour: int = 4) -> li
     ]
 
 
-def geo_channel_aggregates(key: str = "transaction_id") -> list[Column]:
+def channel_aggregates(key: str = "transaction_id") -> list[Column]:
     return [
-        F.count_distinct("merchant_country").alias("distinct_countries_30d"),
-        F.count_distinct("merchant_name").alias("distinct_merchants_7d"),
         _share(F.col("is_international"), key).alias("international_txn_ratio"),
         _share(F.col("channel") == "online", key).alias("online_txn_ratio"),
     ]
 
 
-def device_aggregates(device_limit: int = 3) -> list[Column]:
-    return [(F.count_distinct("device_id") > device_limit).alias("unknown_device_flag")]
+def distinct_values(txn: DataFrame, device_limit: int = 3, key: str = "customer_id") -> DataFrame:
+    """Per customer: distinct countries and merchants, and whether devices are too many.
+
+    Values are narrow rows that are made unique per map task before they are shuffled by
+    (customer, value), so neither a busy customer nor their sets are held in one place.
+    Several distinct counts in one aggregate would multiply whole rows instead.
+    """
+    value = lambda kind, column: F.struct(
+        F.lit(kind).alias("_kind"), F.col(column).cast("string").alias("_value")
+    )
+    kinds = {"country": "merchant_country", "merchant": "merchant_name", "device": "device_id"}
+    used = {kind: column for kind, column in kinds.items() if column in txn.columns}
+    pairs = txn.select(key, F.inline(F.array(*[value(*x) for x in used.items()])))
+    unique = pairs.filter(F.col("_value").isNotNull()).distinct()
+    found = lambda kind: F.count_if(F.col("_kind") == kind)
+    return unique.groupBy(key).agg(
+        found("country").alias("distinct_countries_30d"),
+        found("merchant").alias("distinct_merchants_7d"),
+        (found("device") > device_limit).alias("unknown_device_flag"),
+    )
 
 
 def merchant_aggregates() -> list[Column]:
@@ -69,12 +88,12 @@ def merchant_aggregates() -> list[Column]:
     return [F.avg("amount_zscore").alias("merchant_risk_score")]
 
 
-def card_aggregates(device_limit: int = 3) -> list[Column]:
+def card_aggregates() -> list[Column]:
+    """Everything about a customer that sums and extremes can tell."""
     return [
         *velocity_aggregates(),
         *late_night_aggregates(),
-        *geo_channel_aggregates(),
-        *device_aggregates(device_limit),
+        *channel_aggregates(),
         *merchant_aggregates(),
     ]
 
@@ -88,13 +107,18 @@ def merchant_category_risk(
     """Per customer: mean risk of the merchant categories they pay in.
 
     A category's risk is the declined share of its transactions. Rows are counted per
-    (customer, category) before they meet the risk of their category.
+    (customer, category) once; the categories are sums of these counts.
     """
-    known = txn.filter(F.col(category).isNotNull())
-    pairs = known.groupBy(customer, category).agg(F.count(F.lit(1)).alias("_n"))
-    declined = F.count_if(F.col("status") == "declined")
-    risk = known.groupBy(category).agg(
-        (declined / F.count(F.lit(1))).alias("_risk"), F.count(F.lit(1)).alias("_rows")
+    pairs = (
+        txn.filter(F.col(category).isNotNull())
+        .groupBy(customer, category)
+        .agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.count_if(F.col("status") == "declined").alias("_declined"),
+        )
+    )
+    risk = pairs.groupBy(category).agg(
+        (F.sum("_declined") / F.sum("_n")).alias("_risk"), F.count(F.lit(1)).alias("_rows")
     )
     joined = attach_per_key(pairs, risk, [category], [customer], size="_rows")
     return joined.groupBy(customer).agg(
@@ -135,13 +159,15 @@ def one_account(per_account: DataFrame) -> DataFrame:
 def card_features(
     txn: DataFrame, accounts: DataFrame, device_limit: int = 3, grain: str = "account"
 ) -> DataFrame:
-    """All card features in one aggregate and one left join onto the accounts.
+    """All card features, joined onto the accounts.
 
     `grain="account"` gives a row per account; `"customer"` keeps, for each
     customer, the account with the smallest id.
     """
     base = accounts.select("customer_id", "account_id", "account_status", "credit_limit")
-    features = txn.groupBy("customer_id").agg(*card_aggregates(device_limit))
+    # Both sides end spread by customer, so this join moves no rows.
+    features = txn.groupBy("customer_id").agg(*card_aggregates())
+    features = features.join(distinct_values(txn, device_limit), "customer_id", "left")
     if grain == "account":
         joined = attach_per_key(base, features, ["customer_id"], ["account_id"])
     elif grain == "customer":
@@ -153,19 +179,33 @@ def card_features(
 
 def with_rolling_velocity(features: DataFrame, txn: DataFrame) -> DataFrame:
     """Add each customer's busiest ten minutes and busiest hour, in transactions."""
-    tens = peak_rolling_count(txn, 600, "txn_count_10min_rolling")
-    hours = peak_rolling_count(txn, 3600, "txn_count_1h_rolling")
-    peaks = tens.join(hours, "customer_id")
+    peaks = peak_rolling_counts(txn, PEAK_WINDOWS)
     joined = attach_per_key(features, peaks, ["customer_id"], ["account_id"])
     return fill_defaults(joined, ["txn_count_10min_rolling", "txn_count_1h_rolling"])
 
 
+def with_asof(features: DataFrame, txn: DataFrame, as_of: Column) -> DataFrame:
+    """Add the true 30-day and 7-day features as of one date; 0 without a transaction then."""
+    recent = asof_features(txn, as_of)
+    joined = attach_per_key(features, recent, ["customer_id"], ["account_id"])
+    return fill_defaults(joined, [c for c in recent.columns if c != "customer_id"])
+
+
+def with_category_risk(features: DataFrame, txn: DataFrame) -> DataFrame:
+    """Add the mean risk of the merchant categories a customer pays in; 0 without any."""
+    risk = merchant_category_risk(txn)
+    joined = attach_per_key(features, risk, ["customer_id"], ["account_id"])
+    return fill_defaults(joined, ["merchant_category_risk"])
+
+
 # --- loan ----------------------------------------------------------------------
 def application_features(applications: DataFrame, agent_limit: float = 0.9) -> DataFrame:
     """Per customer: application counts, worst ratio, flags, most recent application."""
+    rolling = ("applications_30d_rolling", "distinct_branches_30d_rolling")
     return (
         applications.groupBy("customer_id")
         .agg(
+            *[F.max(c).alias(c) for c in rolling if c in applications.columns],
             F.count("application_id").alias("applications_last_30d"),
             F.count_distinct("branch_id").alias("distinct_branches_30d"),
             F.max("loan_to_income_ratio").alias("loan_to_income_ratio"),
@@ -185,11 +225,16 @@ def application_features(applications: DataFrame, agent_limit: float = 0.9) -> D
 
 
 def repayment_features(repayments: DataFrame) -> DataFrame:
-    """Per customer: missed and partial payments, lateness, outstanding balance."""
+    """Per customer: missed and partial payments, lateness, outstanding balance.
+
+    With a column `missed_streak` also its maximum, the longest streak.
+    """
+    streak = [F.max("missed_streak").alias("longest_missed_streak")]
     paid_share = F.when(F.col("due_amount") > 0, F.col("paid_amount") / F.col("due_amount"))
     return repayments.groupBy("customer_id").agg(
         F.count_if("is_missed").alias("missed_payment_count"),
         F.max("consecutive_missed_count").alias("consecutive_missed_count"),
+        *(streak if "missed_streak" in repayments.columns else []),
         F.avg(paid_share).alias("avg_payment_ratio"),
         F.avg("days_past_due").alias("avg_days_past_due"),
         F.sum("outstanding_balance").alias("total_outstanding_balance"),
@@ -207,7 +252,9 @@ def loan_features(
     joined = application_features(applications, agent_limit).join(
         repayment_features(repayments), "customer_id", "left"
     )
-    return fill_defaults(joined, LOAN_NUMERIC, LOAN_FLAGS)
+    added = ("applications_30d_rolling", "distinct_branches_30d_rolling", "longest_missed_streak")
+    numeric = [*LOAN_NUMERIC, *[c for c in added if c in joined.columns]]
+    return fill_defaults(joined, numeric, LOAN_FLAGS)
 
 
 def with_score(

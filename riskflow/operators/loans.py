@@ -6,9 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskflow.operators import skew
 from riskflow.operators.skew import attach_per_key
-from riskflow.sources.tables import checkpointed
+from riskflow.sources.tables import stored
 
 
 # --- applications ------------------------------------------------------------
@@ -182,45 +181,44 @@ def missed_streak(
     due: str = "due_date",
     repayment: str = "repayment_id",
     missed: str = "is_missed",
-    rows_per_task: int | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Length of the run of missed payments that ends at each row (0 if paid).
 
-    Returns `customer`, `due`, `repayment`, `missed` and `out`, in the total order
-    (due date, repayment id) of each customer. Rows are counted first. If no customer
-    has more than `rows_per_task`, each is one window. Otherwise the order is cut into
-    chunks: runs are measured inside a chunk, and one that is still open at its end is
-    carried into the next by a window over one row per chunk. A chunk is a due date,
-    or, if even a single day of a customer is too large, a range of the whole order.
+    Returns `customer`, `due`, `repayment`, `missed` and `out`, see `with_missed_streak`.
+    """
+    narrow = repayments.select(customer, due, repayment, missed)
+    return with_missed_streak(narrow, out, customer, due, repayment, missed, ranges)
+
+
+def with_missed_streak(
+    repayments: DataFrame,
+    out: str = "missed_streak",
+    customer: str = "customer_id",
+    due: str = "due_date",
+    repayment: str = "repayment_id",
+    missed: str = "is_missed",
+    ranges: int | None = None,
+) -> DataFrame:
+    """Add the length of the run of missed payments that ends at each row (0 if paid).
+
+    Runs follow the total order (due date, repayment id) of each customer. The whole
+    order is cut into `ranges` parts of about equal size, by default as many as there
+    are shuffle partitions, which a customer with very many rows may span. They are
+    stored, as they are read twice. Runs are measured inside a range, and one that is
+    still open at its end is carried into the next by a window over one row per
+    customer and range.
     """
-    limit = skew.ROWS_PER_TASK if rows_per_task is None else rows_per_task
     # A struct equals another if both hold NULL: rows without a customer stay together.
-    rows = repayments.select(F.struct(customer).alias("_who"), due, repayment, missed)
+    rows = repayments.withColumn("_who", F.struct(customer))
     order = [F.col(due).asc_nulls_first(), F.col(repayment)]
-    per_customer, per_day = _largest_groups(rows, due)
-    if per_customer <= limit:
-        streaks = _runs(rows, ["_who"], order, missed).withColumn("_carry", F.lit(0))
-    elif per_day <= limit:
-        by_day = rows.withColumn("_chunk", F.coalesce(F.unix_date(due), F.lit(-(2**31))))
-        streaks = _runs_by_chunk(by_day, order, missed)
-    else:
-        # The ranges are read twice and have to be the same both times.
-        ranges = rows.repartitionByRange("_who", *order)
-        ranges = checkpointed(ranges.withColumn("_chunk", F.spark_partition_id()))
-        streaks = _runs_by_chunk(ranges, order, missed)
+    parts = ranges or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = rows.repartitionByRange(parts, "_who", *order)
+    ranged = stored(ranged.withColumn("_chunk", F.spark_partition_id()), "repayment-ranges")
+    streaks = _runs_by_chunk(ranged, order, missed)
     carry = F.when(F.col("_paid") == 0, F.col("_carry")).otherwise(0)
     streak = F.when(F.col(missed), F.col("_run") + carry).otherwise(0)
-    return streaks.select(
-        F.col("_who")[customer].alias(customer), due, repayment, missed, streak.alias(out)
-    )
-
-
-def _largest_groups(rows: DataFrame, due: str) -> tuple[int, int]:
-    """Rows of the largest customer, and of the largest day of a customer."""
-    per_day = rows.groupBy("_who", due).agg(F.count(F.lit(1)).alias("n"))
-    per_customer = per_day.groupBy("_who").agg(F.sum("n").alias("n"), F.max("n").alias("day"))
-    most = per_customer.agg(F.max("n").alias("n"), F.max("day").alias("day")).first()
-    return most["n"] or 0, most["day"] or 0
+    return streaks.select(*repayments.columns, streak.alias(out))
 
 
 def _runs(rows: DataFrame, group: list[str], order: list[Column], missed: str) -> DataFrame:
@@ -250,7 +248,7 @@ def _runs_by_chunk(rows: DataFrame, order: list[Column], missed: str) -> DataFra
         .withColumn("_carry", F.coalesce(F.lag("_open_all").over(by_chunk), F.lit(0)))
         .select(*group, "_carry")
     )
-    # A chunk is no larger than a task can hold, so this join needs no salt.
+    # A chunk is one of many ranges of about equal size, so this join needs no salt.
     return local.join(carried, group)
 
 

@@ -88,14 +88,17 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def profile(df: DataFrame, feed: Feed) -> DataFrame:
-    """The whole report on a raw feed: (check, column, value, status).
+    """The checks on a raw feed: (check, column, value, status).
 
-    Checks: rows, duplicate keys, NULL keys, blanks in critical columns, missing columns.
-    A count above zero is a warning, a missing column or an empty table an error. A
+    Checks: rows, duplicate keys, NULL keys, blanks in critical columns, missing columns,
+    and the NULLs of every column, which are for information. Of the others a count
+    above zero is a warning, a missing column or an empty table an error. A
     column that is missing has no other checks. One pass without a shuffle counts all
     but the duplicates; only keys are shuffled for those.
     """
     counts = {("rows", ""): F.count(F.lit(1))}
+    for c in df.columns:
+        counts["nulls", c] = F.count_if(F.col(c).isNull())
     if feed.key in df.columns:
         counts["null_keys", feed.key] = F.count_if(F.col(feed.key).isNull())
     for c in feed.critical:
@@ -115,13 +118,33 @@ def profile(df: DataFrame, feed: Feed) -> DataFrame:
     found = F.col("value") > 0
     status = (
         F.when(F.col("check") == "rows", F.when(found, "OK").otherwise("ERROR"))
-        .when(~found, "OK")
+        .when(~found | (F.col("check") == "nulls"), "OK")
         .when(F.col("check") == "missing_column", "ERROR")
         .otherwise("WARNING")
     )
     return checks.withColumn("status", status)
 
 
+def report(df: DataFrame, feed: Feed) -> DataFrame:
+    """`profile`, and how often each value of the feed's breakdown columns occurs.
+
+    A frequency is a row with the check `values` and the value in `detail`, which is NULL
+    in all other rows and for a NULL value.
+    """
+    checks = profile(df, feed).withColumn("detail", F.lit(None).cast("string"))
+    present = [c for c in feed.breakdowns if c in df.columns]
+    if not present:
+        return checks
+    found = breakdowns(df, present).select(
+        F.lit("values").alias("check"),
+        "column",
+        F.col("count").alias("value"),
+        F.lit("OK").alias("status"),
+        F.col("value").alias("detail"),
+    )
+    return checks.unionByName(found)
+
+
 # --- summaries --------------------------------------------------------------------
 def breakdown(df: DataFrame, column: str) -> DataFrame:
     """Rows per value of `column`, most frequent first."""

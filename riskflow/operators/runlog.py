@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,10 +58,12 @@ def from_checks(checks: DataFrame, pipeline: str, as_of: Column | None = None) -
 def recent(
     log: DataFrame, pipeline: str, hours: int = 1, as_of: Column | None = None
 ) -> DataFrame:
-    """Entries of `pipeline` in the `hours` before `as_of` (default: now)."""
+    """Entries of `pipeline` in the `hours` up to and including `as_of` (default: now)."""
     as_of = F.current_timestamp() if as_of is None else as_of
     since = as_of - F.expr(f"INTERVAL {int(hours)} HOURS")
-    return log.filter((F.col("pipeline") == pipeline) & (F.col("log_timestamp") >= since))
+    return log.filter(
+        (F.col("pipeline") == pipeline) & F.col("log_timestamp").between(since, as_of)
+    )
 
 
 def summary(
@@ -80,6 +83,14 @@ def error_count(
     )
 
 
+def gate_all(log: DataFrame, pipelines: Sequence[str]) -> None:
+    """Raise if any of `pipelines` has an error in `log`; names those that have."""
+    failed = log.filter(F.col("pipeline").isin(list(pipelines)) & (F.col("level") == ERROR))
+    names = [r["pipeline"] for r in failed.select("pipeline").distinct().collect()]
+    if names:
+        raise RuntimeError(f"errors in the run log of {', '.join(sorted(names))}")
+
+
 def gate(log: DataFrame, pipeline: str, hours: int = 1, as_of: Column | None = None) -> None:
     """Raise if `pipeline` logged an error recently."""
     errors = error_count(log, pipeline, hours, as_of).first()["errors"]

@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 ROWS_PER_TASK = 4_000_000
 SALTS = 1 << 20
-BROADCAST_ROWS = 500_000
 
 
 def attach_per_key(
@@ -67,12 +66,6 @@ def attach_per_key(
     )
 
 
-def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
-    """Whether a table is small enough to send whole to every executor (counted)."""
-    limit = BROADCAST_ROWS if max_rows is None else max_rows
-    return df.count() <= limit
-
-
 def _salt(key: list[str], row_id: Sequence[str], null_safe: bool) -> Column:
     # The row's own columns plus the number of the task: the same on a retry, and exact
     # copies of a row that lie in different tasks still spread.

@@ -2,25 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskflow.functions import signals
-from riskflow.operators.skew import attach_per_key, fits_broadcast
+from riskflow.operators.skew import attach_per_key
 
 
 def with_billing_country(txn: DataFrame, accounts: DataFrame) -> DataFrame:
     """Left join each transaction to its account's billing country.
 
-    The account side is cut to one row per account first, so no row is doubled; of
-    several countries the greatest is taken. Accounts are broadcast if a count shows
-    that they are few, which spares the transactions a shuffle.
+    `accounts` has one row per account, as the silver table does: the country compared
+    with is that of the row which is kept. Both sides come straight from a scan, so
+    Spark broadcasts the accounts if they are small, and splits the rows of a very
+    busy account if they are not.
     """
-    billing = accounts.groupBy("account_id").agg(F.max("billing_country").alias("billing_country"))
-    if fits_broadcast(accounts):
-        return txn.join(F.broadcast(billing), "account_id", "left")
-    return attach_per_key(txn, billing, ["account_id"], row_id=["transaction_id"])
+    return txn.join(accounts.select("account_id", "billing_country"), "account_id", "left")
 
 
 def with_time_parts(txn: DataFrame, ts: str = "transaction_ts") -> DataFrame:
@@ -55,6 +56,72 @@ def with_amount_zscore(
     return joined.withColumn(out, z).drop("_mean", "_deviation")
 
 
+def _micros(df: DataFrame, ts: str) -> Column:
+    """Microseconds of an instant; of a zoneless timestamp, those of its own clock.
+
+    A zoneless timestamp isn't turned into an instant, which would depend on the zone of
+    the session and be ambiguous where clocks are set back.
+    """
+    if df.schema[ts].dataType == T.TimestampType():
+        return F.unix_micros(ts)
+    day = F.unix_date(F.col(ts).cast("date")).cast("bigint")
+    minutes = (day * 24 + F.hour(ts)) * 60 + F.minute(ts)
+    second = F.extract(F.lit("SECOND"), F.col(ts))
+    return minutes * 60_000_000 + (second * 1_000_000).cast("bigint")
+
+
+def _rolling(
+    txn: DataFrame, windows: Mapping[str, int], customer: str, ts: str
+) -> DataFrame:
+    """One row per (customer, instant, window): `customer`, `ts`, `_window`, `_count`.
+
+    Rows of one instant are counted together first, once for all windows. For each window
+    time is cut into slices as long as the window, and an instant is also shown to the
+    next slice, where it can still be in reach. There it adds its rows, and takes them
+    away just after the window's length: the count is a running sum of starts less ends,
+    linear in the instants of two slices, however busy the customer is.
+    """
+    micros = _micros(txn, ts)
+    per_instant = (
+        txn.filter(F.col(ts).isNotNull())
+        .groupBy(customer, ts)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_at", micros)
+    )
+    sizes = F.array(
+        *[
+            F.struct(F.lit(name).alias("_window"), F.lit(s * 1_000_000).alias("_width"))
+            for name, s in windows.items()
+        ]
+    )
+    shown = per_instant.select(customer, ts, "_n", "_at", F.inline(sizes)).withColumn(
+        "_own", F.floor(F.col("_at") / F.col("_width")).cast("bigint")
+    )
+    nothing = F.lit(None).cast(txn.schema[ts].dataType)
+    change = lambda at, slice_, n, instant: F.struct(
+        at.alias("_at"), slice_.alias("_slice"), n.alias("_change"), instant.alias(ts)
+    )
+    own, at, n = F.col("_own"), F.col("_at"), F.col("_n")
+    end = at + F.col("_width") + 1
+    changes = shown.select(
+        customer,
+        "_window",
+        F.inline(
+            F.array(
+                change(at, own, n, F.col(ts)),
+                change(at, own + 1, n, nothing),
+                change(end, own + 1, -n, nothing),
+            )
+        ),
+    )
+    # Up to and with the row's time, so changes of one time count together.
+    w = W.partitionBy(customer, "_window", "_slice").orderBy("_at").rangeBetween(
+        W.unboundedPreceding, W.currentRow
+    )
+    counted = changes.withColumn("_count", F.sum("_change").over(w))
+    return counted.filter(F.col(ts).isNotNull()).select(customer, ts, "_window", "_count")
+
+
 def rolling_count(
     txn: DataFrame,
     seconds: int,
@@ -64,27 +131,22 @@ def rolling_count(
 ) -> DataFrame:
     """Transactions of a customer in the `seconds` up to and including each instant.
 
-    One row per (customer, instant): `customer`, `ts`, `out`. Rows of one instant
-    are counted together first. Time is then cut into slices as long as the window;
-    an instant is also shown to the next slice, where it can still be in reach. So a
-    task holds the instants of two slices, however busy the customer is overall.
+    One row per (customer, instant): `customer`, `ts`, `out`.
     """
-    per_instant = (
-        txn.filter(F.col(ts).isNotNull()).groupBy(customer, ts).agg(F.count(F.lit(1)).alias("_n"))
-    )
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    width = seconds * 1_000_000
-    own = F.floor(micros / F.lit(width)).cast("bigint")
-    shown = (
-        per_instant.withColumn("_micros", micros)
-        .withColumn("_own", own)
-        .withColumn("_slice", F.explode(F.array(F.col("_own"), F.col("_own") + 1)))
-    )
-    w = W.partitionBy(customer, "_slice").orderBy("_micros").rangeBetween(-width, W.currentRow)
-    return (
-        shown.withColumn(out, F.sum("_n").over(w))
-        .filter("_slice = _own")
-        .select(customer, ts, out)
+    rolling = _rolling(txn, {out: seconds}, customer, ts)
+    return rolling.select(customer, ts, F.col("_count").alias(out))
+
+
+def peak_rolling_counts(
+    txn: DataFrame,
+    windows: Mapping[str, int],
+    customer: str = "customer_id",
+    ts: str = "transaction_ts",
+) -> DataFrame:
+    """The busiest stretch of each customer per window: `windows` maps names to seconds."""
+    rolling = _rolling(txn, windows, customer, ts)
+    return rolling.groupBy(customer).agg(
+        *[F.max(F.when(F.col("_window") == name, F.col("_count"))).alias(name) for name in windows]
     )
 
 
@@ -96,8 +158,4 @@ def peak_rolling_count(
     ts: str = "transaction_ts",
 ) -> DataFrame:
     """The busiest `seconds`-long stretch of each customer: its transaction count."""
-    return (
-        rolling_count(txn, seconds, "_count", customer, ts)
-        .groupBy(customer)
-        .agg(F.max("_count").alias(out))
-    )
+    return peak_rolling_counts(txn, {out: seconds}, customer, ts)

@@ -7,19 +7,23 @@ before alerts and alerts before customer risk, which counts them.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
+from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskflow import config as c
 from riskflow.functions import signals
-from riskflow.functions.normalize import cast_columns, parse_dates
+from riskflow.functions.normalize import cast_columns, mask_tail, parse_dates
 from riskflow.operators import features as f
 from riskflow.operators import quality, report, runlog, scores
 from riskflow.operators.alerts import fraud_alerts
 from riskflow.operators.customer_risk import customer_risk, with_activity
+from riskflow.operators.dedup import dedup_latest
 from riskflow.plans import silver
 from riskflow.sources.export import write_csv
 from riskflow.sources.raw import read_raw, with_ingest_metadata
@@ -38,11 +42,11 @@ class Store:
     fmt: str = "parquet"
     buckets: int = 0
 
-    def _name(self, table: str) -> str:
+    def name(self, table: str) -> str:
         return table if self.root is None else f"{self.root}/{table.replace('.', '/')}"
 
     def read(self, table: str) -> DataFrame:
-        return read_table(self.spark, self._name(table), self.fmt)
+        return read_table(self.spark, self.name(table), self.fmt)
 
     def write(
         self, df: DataFrame, table: str, mode: str = "overwrite", bucket_by: str | None = None
@@ -50,47 +54,94 @@ class Store:
         """Write `df`, creating a missing database first, and read it back."""
         if self.root is None and "." in table:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.rsplit('.', 1)[0]}")
-        write_table(df, self._name(table), mode, self.fmt, bucket_by, self.buckets)
+        write_table(df, self.name(table), mode, self.fmt, bucket_by, self.buckets)
         return self.read(table)
 
 
-def ingest(store: Store, feed: c.Feed, path: str, multiline: bool = True) -> DataFrame:
-    """Raw file to bronze; returns the checks made on what was written."""
-    raw = quality.require_not_empty(read_raw(store.spark, path, multiline), feed.file)
-    bronze = store.write(with_ingest_metadata(raw, feed.file), feed.table)
-    return _log_checks(store, bronze, feed, f"{feed.name}_ingest")
+@contextmanager
+def logged(store: Store, stage: str) -> Iterator[runlog.RunLog]:
+    """Log the start, end or failure of a stage, and what it notes, in one append."""
+    log = runlog.RunLog(stage)
+    log.info("started")
+    try:
+        yield log
+        log.info("finished")
+    except Exception as error:
+        log.error(f"failed: {type(error).__name__}: {error}"[:2000])
+        raise
+    finally:
+        if store.root is None:
+            store.spark.sql(f"CREATE DATABASE IF NOT EXISTS {c.RUN_LOG.rsplit('.', 1)[0]}")
+        log.append(store.spark, store.name(c.RUN_LOG), store.fmt)
 
 
-def validate(store: Store, feed: c.Feed) -> DataFrame:
-    """The report on a bronze table, also kept in the run log."""
-    bronze = store.read(feed.table)
-    quality.require_not_empty(bronze, feed.table)
-    report_rows = _log_checks(store, bronze, feed, f"{feed.name}_bronze")
-    quality.require_columns(bronze, feed.required, feed.table)
-    return report_rows
+def ingest(store: Store, feed: c.Feed, path: str, multiline: bool = False) -> None:
+    """Raw file to bronze."""
+    with logged(store, f"{feed.name}_ingest"):
+        raw = quality.require_not_empty(read_raw(store.spark, path, multiline), feed.file)
+        store.write(with_ingest_metadata(raw, feed.file), feed.table)
 
 
-def _log_checks(store: Store, bronze: DataFrame, feed: c.Feed, pipeline: str) -> DataFrame:
-    checks = quality.profile(bronze, feed)
-    store.write(runlog.from_checks(checks, pipeline), c.RUN_LOG, "append")
-    return checks
+def validate(store: Store, feed: c.Feed) -> DataFrame:
+    """The report on a bronze table: computed once, stored, and also kept in the run log."""
+    with logged(store, f"{feed.name}_bronze"):
+        bronze = store.read(feed.table)
+        quality.require_not_empty(bronze, feed.table)
+        report_rows = store.write(quality.report(bronze, feed), f"{feed.table}_report")
+        checks = report_rows.filter("check <> 'values'")
+        store.write(runlog.from_checks(checks, f"{feed.name}_bronze"), c.RUN_LOG, "append")
+        quality.require_columns(bronze, feed.required, feed.table)
+        return report_rows
+
+
+def masked(df: DataFrame, mask: bool) -> DataFrame:
+    """Ids and addresses of the network reduced to their last characters."""
+    sensitive = [x for x in c.SENSITIVE if mask and x in df.columns]
+    return df.withColumns({x: mask_tail(x) for x in sensitive})
+
+
+def build_silver(store: Store, mask: bool = True) -> None:
+    """The four silver tables. Ids are masked after the shared-id flag has seen them."""
+    with logged(store, "silver"):
+        accounts = store.write(
+            silver.silver_accounts(store.read(c.BRONZE_CARD_ACC)), c.SILVER_CARD_ACC
+        )
+        transactions = silver.silver_transactions(store.read(c.BRONZE_CARD_TXN), accounts)
+        store.write(masked(transactions, mask), c.SILVER_CARD_TXN)
+        applications = silver.silver_applications(store.read(c.BRONZE_LOAN_APP))
+        store.write(masked(applications, mask), c.SILVER_LOAN_APP)
+        store.write(silver.silver_repayments(store.read(c.BRONZE_LOAN_REP)), c.SILVER_LOAN_REP)
+
+
+def card_feature_table(
+    txn: DataFrame, accounts: DataFrame, as_of: Column, device_limit: int = 3
+) -> DataFrame:
+    """All documented card features: all-time, busiest stretches, as of a date, categories."""
+    card = f.card_features(txn, accounts, device_limit)
+    card = f.with_rolling_velocity(card, txn)
+    card = f.with_asof(card, txn, as_of)
+    return f.with_category_risk(card, txn)
+
+
+def build_features(
+    store: Store, as_of: Column | None = None, card_rules: list[c.Rule] | None = None
+) -> None:
+    """Feature tables with scores. `as_of` ends the 30-day and 7-day windows (default: now).
+
+    `card_rules` can score with the category risk, e.g.
+    `card_rules(merchant_risk=0.5, merchant_risk_column="merchant_category_risk")`.
+    """
+    with logged(store, "features"):
+        _build_features(store, F.current_timestamp() if as_of is None else as_of, card_rules)
 
 
-def build_silver(store: Store) -> None:
-    store.write(
-        silver.silver_transactions(store.read(c.BRONZE_CARD_TXN), store.read(c.BRONZE_CARD_ACC)),
-        c.SILVER_CARD_TXN,
+def _build_features(store: Store, as_of: Column, card_rules: list[c.Rule] | None) -> None:
+    card = card_feature_table(
+        store.read(c.SILVER_CARD_TXN), store.read(c.SILVER_CARD_ACC), as_of
     )
-    store.write(silver.silver_accounts(store.read(c.BRONZE_CARD_ACC)), c.SILVER_CARD_ACC)
-    store.write(silver.silver_applications(store.read(c.BRONZE_LOAN_APP)), c.SILVER_LOAN_APP)
-    store.write(silver.silver_repayments(store.read(c.BRONZE_LOAN_REP)), c.SILVER_LOAN_REP)
-
-
-def build_features(store: Store) -> None:
-    card = f.card_features(store.read(c.SILVER_CARD_TXN), store.read(c.SILVER_CARD_ACC))
+    rules = c.card_rules() if card_rules is None else card_rules
     store.write(
-        f.with_score(card, c.card_rules(), "card_fraud_score", "card_risk_tier"),
-        c.SILVER_CARD_FEATURES,
+        f.with_score(card, rules, "card_fraud_score", "card_risk_tier"), c.SILVER_CARD_FEATURES
     )
     loan = f.loan_features(store.read(c.SILVER_LOAN_APP), store.read(c.SILVER_LOAN_REP))
     store.write(
@@ -100,8 +151,16 @@ def build_features(store: Store) -> None:
     )
 
 
-def build_gold(store: Store, customers_path: str) -> None:
+def build_gold(
+    store: Store, customers_path: str, mask: bool = True, multiline: bool = False
+) -> None:
     """Scores, then alerts, then the customer view with its alert counts."""
+    with logged(store, "gold"):
+        customers = masked(customer_reference(store.spark, customers_path, multiline), mask)
+        _build_gold(store, customers)
+
+
+def _build_gold(store: Store, customers: DataFrame) -> None:
     per_account = store.read(c.SILVER_CARD_FEATURES)
     per_customer = f.one_account(per_account)
     card = store.write(
@@ -113,16 +172,19 @@ def build_gold(store: Store, customers_path: str) -> None:
         bucket_by="customer_id",
     )
     alerts = store.write(fraud_alerts(card, loan), c.GOLD_FRAUD_ALERTS)
-    risk = customer_risk(customer_reference(store.spark, customers_path), card, loan)
+    risk = customer_risk(customers, card, loan)
     activity = with_activity(
         risk, alerts, store.read(c.SILVER_CARD_TXN), store.read(c.SILVER_LOAN_APP)
     )
     store.write(activity, c.GOLD_CUSTOMER_RISK, bucket_by="customer_id")
 
 
-def customer_reference(spark: SparkSession, path: str) -> DataFrame:
-    """The customers file with typed columns and an age where it gives none."""
-    raw = read_raw(spark, path)
+def customer_reference(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """The customers file, one row per customer, typed, with an age where it gives none.
+
+    Of repeated customers any one row is kept, but the same on every run.
+    """
+    raw = dedup_latest(read_raw(spark, path, multiline), ["customer_id"], [])
     df = parse_dates(
         cast_columns(raw, {"age": "int", "stated_income": "double"}), ["date_of_birth"]
     )
@@ -131,8 +193,11 @@ def customer_reference(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def export_all(store: Store, folder: str, single_file: bool = True) -> None:
-    """The four gold tables and the KPI row as CSV, one folder each."""
+def export_all(store: Store, folder: str, single_file: bool = False) -> None:
+    """The four gold tables and the KPI row as CSV, one folder each.
+
+    Tables are written in parts, or, with `single_file`, as one file by one task.
+    """
     risk, alerts = store.read(c.GOLD_CUSTOMER_RISK), store.read(c.GOLD_FRAUD_ALERTS)
     views = {
         "customer_risk": (risk, report.CUSTOMER_RISK),
@@ -147,15 +212,33 @@ def export_all(store: Store, folder: str, single_file: bool = True) -> None:
     write_csv(report.kpi_summary(risk, alerts), f"{folder}/kpi_summary", True)
 
 
-def run_all(store: Store, source: str, export_to: str | None = None) -> DataFrame:
-    """Everything, from the raw files in `source` to gold; returns the check reports."""
+def run_all(
+    store: Store,
+    source: str,
+    export_to: str | None = None,
+    multiline: bool = False,
+    mask: bool = True,
+    as_of: Column | None = None,
+    card_rules: list[c.Rule] | None = None,
+    single_file: bool = False,
+) -> DataFrame:
+    """Everything, from the raw files in `source` to gold; returns the stored reports.
+
+    Each stage logs its start and its end or failure, and a failure stops the run. At
+    the end the run log is searched for errors since the run began.
+    """
+    began = datetime.now(timezone.utc)
     reports = []
     for feed in c.FEEDS.values():
-        ingest(store, feed, f"{source}/{feed.file}")
+        ingest(store, feed, f"{source}/{feed.file}", multiline)
         reports.append(validate(store, feed).withColumn("feed", F.lit(feed.name)))
-    build_silver(store)
-    build_features(store)
-    build_gold(store, f"{source}/customers.csv")
+    build_silver(store, mask)
+    build_features(store, as_of, card_rules)
+    build_gold(store, f"{source}/customers.csv", mask, multiline)
     if export_to:
-        export_all(store, export_to)
+        with logged(store, "export"):
+            export_all(store, export_to, single_file)
+    stages = [f"{feed}_{stage}" for feed in c.FEEDS for stage in ("ingest", "bronze")]
+    log = store.read(c.RUN_LOG).filter(F.col("log_timestamp") >= F.lit(began))
+    runlog.gate_all(log, [*stages, "silver", "features", "gold", "export"])
     return reduce(DataFrame.unionByName, reports)

@@ -8,6 +8,7 @@ are shuffled once. With `dedup_first` the statistics leave them out as well.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from riskflow.functions import normalize as n
 from riskflow.functions import signals
@@ -28,8 +29,9 @@ def silver_accounts(bronze: DataFrame) -> DataFrame:
 
 
 def silver_transactions(
-    bronze: DataFrame, bronze_accounts: DataFrame, dedup_first: bool = False
+    bronze: DataFrame, accounts: DataFrame, dedup_first: bool = False
 ) -> DataFrame:
+    """`accounts` is the silver table, one row per account."""
     df = bronze.withColumn(
         "transaction_ts", n.combine_date_time("transaction_date", "transaction_time")
     ).drop("transaction_date", "transaction_time")
@@ -39,9 +41,6 @@ def silver_transactions(
     unique = dedup_latest(df, ["transaction_id"], _latest_first(df, "transaction_ts"))
     counted = unique if dedup_first else df
 
-    accounts = n.codes_upper(
-        bronze_accounts.select("account_id", "billing_country"), ["billing_country"]
-    )
     out = transactions.with_billing_country(unique, accounts)
     out = out.withColumn("is_international", signals.is_international()).drop("billing_country")
     out = transactions.with_time_parts(out)
@@ -73,7 +72,11 @@ def silver_applications(bronze: DataFrame, dedup_first: bool = False) -> DataFra
             "is_income_realistic": signals.income_realistic(),
         }
     )
+    if "date_of_birth" in out.columns:
+        out = n.parse_dates(out, ["date_of_birth"])
+        out = out.withColumn("age", signals.age("date_of_birth", F.col("application_date")))
     out = loans.with_applications_per_customer(out, source=counted)
+    out = loans.with_applications_in_window(out).drop("applications_on_date")
     out = loans.with_shared_flag(out, "id_number", "id_shared_flag", source=counted)
     out = loans.with_shared_flag(out, "address", "address_shared_flag", source=counted)
     return loans.with_agent_approval_rate(out, source=counted)
@@ -95,4 +98,5 @@ def silver_repayments(bronze: DataFrame, dedup_first: bool = False) -> DataFrame
     unique = dedup_latest(df, ["repayment_id"], _latest_first(df, "due_date"))
     counted = unique if dedup_first else df
     out = unique.withColumn("payment_shortfall", signals.payment_shortfall())
-    return loans.with_cumulative_missed(out, source=counted)
+    out = loans.with_cumulative_missed(out, source=counted)
+    return loans.with_missed_streak(out)

@@ -4,17 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-SINGLE_FILE_ROWS = 1_000_000
 
-
-def write_csv(
-    df: DataFrame, path: str, single_file: bool = False, max_rows: int = SINGLE_FILE_ROWS
-) -> None:
+def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Write `df` as CSV under the folder `path`, replacing what is there.
 
-    Parts are written side by side. `single_file` asks for one part; it is given only
-    if there are at most `max_rows` rows (counted first), as one task has to write it.
+    Parts are written side by side. `single_file` asks for one part, at any size: one
+    task then writes all rows, streaming them, so it is meant for small tables.
     """
-    if single_file and df.count() <= max_rows:
-        df = df.coalesce(1)
+    if single_file:
+        # The rows are computed by many tasks and only written by one.
+        df = df.repartition(1)
     df.write.mode("overwrite").option("header", True).csv(path)

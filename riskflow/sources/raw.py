@@ -2,23 +2,34 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_raw(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+def read_raw(
+    spark: SparkSession,
+    path: str,
+    multiline: bool = False,
+    columns: Sequence[str] | None = None,
+) -> DataFrame:
     """Read CSV with a header, all columns as strings.
 
-    `multiline` lets a quoted field contain line breaks, which makes each file one
-    task. Pass False for feeds that have none: files are then split, however large.
+    Columns are `columns`, by default those of the first file's header. Every file has
+    to have just these, in this order: a header that differs fails the read, so that no
+    value ends up under another name. Files are split among tasks, however large.
+    `multiline` lets a quoted field contain line breaks, which makes each file one task.
     """
-    return (
+    reader = (
         spark.read.option("header", True)
         .option("inferSchema", False)
         .option("multiLine", multiline)
         .option("escape", '"')
-        .csv(path)
     )
+    names = reader.csv(path).columns if columns is None else columns
+    schema = ", ".join(f"`{c.replace('`', '``')}` string" for c in names)
+    return reader.schema(schema).option("enforceSchema", False).csv(path)
 
 
 def with_ingest_metadata(

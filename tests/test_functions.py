@@ -22,6 +22,13 @@ def test_casts_give_null_on_bad_text(spark):
     ]
 
 
+def test_texts_for_nan_and_infinity_are_no_numbers(spark):
+    texts = ["NaN", "nan", "Infinity", "-inf", "+Infinity", "1e400", "1e300"]
+    df = spark.createDataFrame([(x,) for x in texts], "a string")
+    out = n.cast_columns(df, {"a": "double"}).collect()
+    assert [r.a for r in out] == [None] * 6 + [1e300]
+
+
 def test_timestamps(spark):
     df = spark.createDataFrame(
         [("2024-01-01", "23:59:59"), ("2024-01-01", None), ("2024-01-01", "25:00:00")],

@@ -137,8 +137,9 @@ def test_kpis_and_exports(spark, tmp_path, risk, card, loan):
         back = spark.read.option("header", True).csv(str(out))
         assert back.columns == columns and back.count() == df.count()
     many = spark.range(0, 100, 1, 4)
-    write_csv(many, str(tmp_path / "many"), single_file=True, max_rows=99)
-    assert len(list((tmp_path / "many").glob("*.csv"))) == 4
+    for single, parts in ((True, 1), (False, 4)):
+        write_csv(many, str(tmp_path / "many"), single_file=single)
+        assert len(list((tmp_path / "many").glob("*.csv"))) == parts
 
 
 FEED = Feed("f", "f.csv", "f", "k", ("k", "v", "gone"), ("k", "v"), ("v",))
@@ -156,7 +157,11 @@ def test_profile(spark):
         ("missing_column", "k"): (0, "OK"),
         ("missing_column", "v"): (0, "OK"),
         ("missing_column", "gone"): (1, "ERROR"),
+        ("nulls", "k"): (2, "OK"),
+        ("nulls", "v"): (1, "OK"),
     }
+    values = quality.report(df, FEED).filter("check = 'values'")
+    assert rows(values, "column", "detail", "value") == [("v", None, 1), ("v", "", 1), ("v", "1", 2)]
     assert rows(quality.null_counts(df)) == [("k", 2), ("v", 1)]
     assert rows(quality.blank_counts(df, ["v"])) == [("v", 2)]
     assert rows(quality.duplicate_count(df, "k")) == [(4, 2, 2)]
@@ -209,3 +214,13 @@ def test_run_log(spark, tmp_path):
         runlog.gate(spark.read.parquet(table), "card")
     with pytest.raises(RuntimeError, match="2 error"):
         runlog.gate(spark.read.parquet(table), "card", hours=3)
+
+
+def test_recent_log_ends_at_its_time(spark):
+    """Of entries around 12:00, those after it don't count for a look back from 12:00."""
+    noon = datetime(2024, 1, 1, 12)
+    entries = [("card", "ERROR", str(m), noon + timedelta(minutes=m)) for m in (-61, -60, 0, 1, 600)]
+    df = spark.createDataFrame(entries, runlog.SCHEMA)
+    as_of = F.lit("2024-01-01 12:00:00").cast("timestamp")
+    assert rows(runlog.recent(df, "card", 1, as_of), "message") == [("-60",), ("0",)]
+    assert runlog.error_count(df, "card", 1, as_of).first()["errors"] == 2

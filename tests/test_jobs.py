@@ -6,6 +6,7 @@ from datetime import date, timedelta
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from riskflow import config as c
 from riskflow.operators import runlog
@@ -35,8 +36,9 @@ def source(tmp_path_factory):
         folder / "customers.csv",
         ["customer_id", "full_name", "id_number", "date_of_birth", "age", "country", "city",
          "account_status", "employment_status", "stated_income"],
-        [[p, f"Customer {p}", f"ID{p}", "1990-05-17", "" if p == "c1" else "34", "ZA", "CT", "active",
-          "employed", "5000.5"] for p in [*people, "c-unknown"]],
+        # c1 is there twice, but counts once
+        [[p, f"Customer {p}", f"ID99{p}", "1990-05-17", "" if p == "c1" else "34", "ZA", "CT", "active",
+          "employed", "5000.5"] for p in [*people, "c1", "c-unknown"]],
     )
     _write(
         folder / "card_accounts.csv",
@@ -72,7 +74,7 @@ def source(tmp_path_factory):
          "num_dependants", "id_number", "address", "branch_id", "agent_id", "application_channel",
          "application_status", "is_fraud_label"],
         [[f"p{i}", p, str(date(2024, 1, 1) + timedelta(days=i)), "Personal", "60000", "12", "5000",
-          "Employed", "3", "1", "shared" if i % 4 == 0 else f"ID{p}", f"{i % 30} Main St", f"b{i}",
+          "Employed", "3", "1", "shared" if i % 4 == 0 else f"ID99{p}", f"{i % 30} Main St", f"b{i}",
           f"g{i % 3}", "Online", rnd.choice(["Approved", "pending"]), "0"]
          for i, p in ((i, who()) for i in range(60))],
     )
@@ -88,7 +90,7 @@ def source(tmp_path_factory):
 
 
 def test_raw_read(spark, source):
-    df = read_raw(spark, f"{source}/card_transactions.csv")
+    df = read_raw(spark, f"{source}/card_transactions.csv", multiline=True)
     assert set(df.dtypes) == {(name, "string") for name in df.columns}
     assert df.count() == 302
     first = df.first()
@@ -99,6 +101,27 @@ def test_raw_read(spark, source):
     assert dict(tagged.dtypes)["_ingested_at"] == "timestamp"
 
 
+def test_raw_files_are_split_and_headers_checked(spark, tmp_path):
+    lines = ["a,b"] + [f"{i},x" for i in range(20_000)]
+    (tmp_path / "large.csv").write_text("\n".join(lines))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+    try:
+        df = read_raw(spark, str(tmp_path / "large.csv"))
+        assert df.rdd.getNumPartitions() > 1 and df.count() == 20_000
+        assert read_raw(spark, str(tmp_path / "large.csv"), multiline=True).rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    folder = tmp_path / "two"
+    folder.mkdir()
+    (folder / "1.csv").write_text("a,b\n1,2\n")
+    (folder / "2.csv").write_text("b,a\n2,1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_raw(spark, str(folder)).collect()
+    with pytest.raises(Exception, match="(?i)header"):
+        read_raw(spark, str(folder / "1.csv"), columns=["a", "c"]).collect()
+
+
 def test_tables_append_and_overwrite(spark, tmp_path):
     df = spark.range(3)
     folder = str(tmp_path / "t")
@@ -117,7 +140,13 @@ def test_checkpoint_uses_the_configured_folder(spark):
 def test_whole_run(spark, source, tmp_path):
     store = jobs.Store(spark, str(tmp_path / "lake"))
     export = str(tmp_path / "export")
-    reports = jobs.run_all(store, source, export)
+    reports = jobs.run_all(
+        store, source, export, multiline=True, as_of=F.lit("2024-02-15").cast("timestamp"),
+        card_rules=c.card_rules(merchant_risk=0.01, merchant_risk_column="merchant_category_risk"),
+        single_file=True,
+    )
+    assert reports.filter("check = 'values' AND column = 'status'").count() > 1
+    reports = reports.filter("check <> 'values'")
     values = {(r.feed, r.check, r.column): (r.value, r.status) for r in reports.collect()}
     assert values["card_txn", "rows", ""] == (302, "OK")
     assert values["card_txn", "duplicate_keys", "transaction_id"] == (2, "WARNING")
@@ -133,8 +162,21 @@ def test_whole_run(spark, source, tmp_path):
 
     assert store.read(c.SILVER_CARD_FEATURES).count() == 8
     app = store.read(c.SILVER_LOAN_APP)
-    assert app.filter("id_shared_flag").count() == app.filter("id_number = 'shared'").count() == 15
-
+    assert app.filter("id_shared_flag").count() == app.filter("id_number = '****ared'").count() == 15
+    assert {"applications_30d_rolling", "distinct_branches_30d_rolling"} <= set(app.columns)
+    assert app.filter("applications_30d_rolling < 1").count() == 0
+    assert txn.filter("ip_address <> '****.0.1'").count() == 0
+    card = store.read(c.SILVER_CARD_FEATURES)
+    assert {"txn_count_10min_rolling", "txn_count_1h_rolling", "txn_count_30d_asof",
+            "declined_txn_count_7d_asof", "merchant_category_risk"} <= set(card.columns)
+    assert card.filter("txn_count_30d_asof > 0 AND txn_count_30d_asof <= txn_count_30d").count() > 0
+    assert card.filter("merchant_category_risk > 0.01").count() == 8
+    assert "missed_streak" in store.read(c.SILVER_LOAN_REP).columns
+    assert store.read(c.SILVER_LOAN_FEATURES).filter("longest_missed_streak > 1").count() > 0
+
+    for table in (c.GOLD_CUSTOMER_RISK, c.GOLD_CARD_SCORES, c.GOLD_LOAN_SCORES, c.GOLD_FRAUD_ALERTS):
+        text = [str(r) for r in store.read(table).collect()]
+        assert not any("ID99" in x or "10.0.0.1" in x for x in text)
     risk, alerts = store.read(c.GOLD_CUSTOMER_RISK), store.read(c.GOLD_FRAUD_ALERTS)
     assert risk.count() == 9 and alerts.count() > 0
     assert risk.filter("customer_id = 'c1'").first().age >= 34
@@ -150,11 +192,25 @@ def test_whole_run(spark, source, tmp_path):
     log = store.read(c.RUN_LOG)
     assert runlog.summary(log, "card_txn_bronze").filter("level = 'WARNING'").count() == 1
     runlog.gate(log, "card_txn_bronze")
+    messages = {(r.pipeline, r.message) for r in log.collect()}
+    for stage in ("card_txn_ingest", "silver", "features", "gold", "export"):
+        assert {(stage, "started"), (stage, "finished")} <= messages
+
+
+def test_a_failing_stage_is_logged_and_stops_the_run(spark, source, tmp_path):
+    store = jobs.Store(spark, str(tmp_path / "lake"))
+    with pytest.raises(Exception, match="silver_card"):
+        jobs.build_features(store)
+    log = store.read(c.RUN_LOG)
+    assert log.filter("pipeline = 'features' AND level = 'ERROR'").count() == 1
+    with pytest.raises(RuntimeError, match="features"):
+        runlog.gate_all(log, ["silver", "features"])
+    runlog.gate_all(log, ["silver"])
 
 
 def test_catalog_tables(spark, source):
     store = jobs.Store(spark)
-    jobs.ingest(store, c.LOAN_REP, f"{source}/{c.LOAN_REP.file}")
+    jobs.ingest(store, c.LOAN_REP, f"{source}/{c.LOAN_REP.file}", multiline=True)
     assert spark.table(c.BRONZE_LOAN_REP).count() == 150
     assert jobs.validate(store, c.LOAN_REP).filter("status = 'ERROR'").count() == 0
 
@@ -185,8 +241,8 @@ def test_validation_stops_on_missing_columns(spark, tmp_path):
 
 
 def test_dedup_first_changes_only_the_statistics(spark, source):
-    txn = read_raw(spark, f"{source}/card_transactions.csv")
-    acc = read_raw(spark, f"{source}/card_accounts.csv")
+    txn = read_raw(spark, f"{source}/card_transactions.csv", multiline=True)
+    acc = silver.silver_accounts(read_raw(spark, f"{source}/card_accounts.csv"))
     late = silver.silver_transactions(txn, acc)
     early = silver.silver_transactions(txn, acc, dedup_first=True)
     assert rows(late.drop("amount_zscore")) == rows(early.drop("amount_zscore"))

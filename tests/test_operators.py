@@ -13,6 +13,7 @@ from riskflow.operators import features as f
 from riskflow.operators import loans, skew
 from riskflow.operators import transactions as t
 from riskflow.operators.dedup import dedup_any, dedup_latest
+from riskflow.plans.silver import silver_accounts
 
 # A limit of 5 rows per task makes most keys below hot.
 LIMITS = [pytest.param(None, id="no-hot-key"), pytest.param(5, id="hot-keys")]
@@ -22,7 +23,6 @@ LIMITS = [pytest.param(None, id="no-hot-key"), pytest.param(5, id="hot-keys")]
 def limit(request, monkeypatch):
     if request.param is not None:
         monkeypatch.setattr(skew, "ROWS_PER_TASK", request.param)
-        monkeypatch.setattr(skew, "BROADCAST_ROWS", 0)
     return request.param
 
 
@@ -76,9 +76,12 @@ def test_zscore(spark, limit):
 
 def test_billing_country_does_not_double_rows(spark, limit):
     txn = spark.createDataFrame([(i, "x") for i in range(20)] + [(20, "y"), (21, None)], "transaction_id int, account_id string")
-    acc = spark.createDataFrame([("x", "ZA"), ("x", "KE"), ("z", "GH")], "account_id string, billing_country string")
-    got = rows(t.with_billing_country(txn, acc), "transaction_id", "billing_country")
-    assert got == [(i, "ZA") for i in range(20)] + [(20, None), (21, None)]
+    raw = [("x", "c", "za ", 1), ("x", "c", "gb", 2), ("z", "c", "GH", 1)]
+    raw = spark.createDataFrame(raw, "account_id string, customer_id string, billing_country string, _ingested_at int")
+    for name in ("credit_limit", "account_open_date", "card_type", "card_tier", "account_status"):
+        raw = raw.withColumn(name, F.lit(None).cast("string"))
+    got = rows(t.with_billing_country(txn, silver_accounts(raw)), "transaction_id", "billing_country")
+    assert got == [(i, "GB") for i in range(20)] + [(20, None), (21, None)]
 
 
 @pytest.mark.parametrize("seconds", [600, 3600])
@@ -97,6 +100,20 @@ def test_rolling_count(spark, seconds):
     assert peaks == {k: max(v for (c, _), v in got.items() if c == k) for k in ("a", "b", "edge")}
 
 
+def test_rolling_count_of_zoneless_timestamps(spark):
+    """02:30 and 03:30 are an hour apart, also where clocks skip from 02:00 to 03:00."""
+    data = [("a", datetime(2024, 3, 10, 2, 30)), ("a", datetime(2024, 3, 10, 3, 30)), ("a", datetime(1969, 12, 31, 23, 59, 59, 999999))]
+    df = spark.createDataFrame(data, "customer_id string, transaction_ts timestamp_ntz")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    for name in ("UTC", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", name)
+        try:
+            assert [r[2] for r in rows(t.rolling_count(df, 3599, "n"))] == [1, 1, 1]
+            assert [r[2] for r in rows(t.rolling_count(df, 3600, "n"))] == [1, 1, 2]
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_dedup(spark):
     data = [("a", 1, "old"), ("a", 2, "new"), ("b", None, "x"), ("b", 1, "y"), (None, 1, "p"), (None, 2, "q")]
     df = spark.createDataFrame(data, "k string, at int, v string")
@@ -190,19 +207,17 @@ def test_cumulative_missed(spark, limit):
         assert got[i] == sum(m for _, c2, d2, m in data if c2 == c and (d2 or low) <= (d or low))
 
 
-@pytest.mark.parametrize("limit", [None, 40, 5], ids=["one window", "by day", "by range"])
-def test_missed_streak(spark, limit):
+@pytest.mark.parametrize("ranges", [None, 1, 40])
+def test_missed_streak(spark, ranges):
     data, df = _repayments(spark)
-    per_day = Counter((r[1], r[2]) for r in data).most_common(1)[0][1]
-    assert 5 < per_day < 40 < Counter(r[1] for r in data).most_common(1)[0][1]
-    got = loans.missed_streak(df, rows_per_task=limit)
+    got = loans.missed_streak(df, ranges=ranges)
     got = {r.repayment_id: r.missed_streak for r in got.collect()}
     assert len(got) == len(data)
     run = Counter()
     for i, c, d, m in sorted(data, key=lambda r: (r[2] or date(1, 1, 1), r[0])):
         run[c] = run[c] + 1 if m else 0
         assert got[i] == run[c], (i, c, d)
-    longest = dict(rows(loans.longest_streak(df, rows_per_task=limit)))
+    longest = dict(rows(loans.longest_streak(df, ranges=ranges)))
     assert longest["story"] == 2 and longest["never"] == 8
     total = {r.customer_id: r.m for r in df.groupBy("customer_id").agg(F.count_if("is_missed").alias("m")).collect()}
     assert all(longest[c] <= total[c] for c in total)
