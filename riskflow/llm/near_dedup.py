@@ -3,11 +3,11 @@
 A document is the set of its shingles. Documents with equal sets are one class from the
 start, found by a digest of the set, and only its smallest id goes on. Each set gets 160
 minima. Their hashes in bands of five name buckets; documents of similarity 0.8 share
-none of the 32 buckets with a probability of 3 in a million. Only the two low bits of
-each minimum are kept otherwise, packed into five words. Bit counts of two packed
-signatures estimate the similarity, corrected for the quarter of the unequal minima that
-agree by chance; pairs estimated more than five standard errors below the threshold go.
-The rest are confirmed on the full shingle sets.
+none of the 32 buckets with a probability of 3 in a million. Documents that share a
+bucket get a signature: the two low bits of 512 further minima, packed into 16 words. Bit
+counts of two signatures estimate the similarity, corrected for the quarter of the unequal
+minima that agree by chance; pairs estimated more than four standard errors below the
+threshold go. The rest are confirmed on the full shingle sets.
 
 In a bucket not all pairs are formed. Each document is paired with one head of the
 bucket, which differs from bucket to bucket. What that links becomes one class. Where a
@@ -39,17 +39,19 @@ from riskflow.sources.tables import stored
 
 BANDS = 32
 ROWS = 5
+#: Minima of a signature, and the low bits kept of each.
+LANES = 512
 BITS = 2
-#: How far below the threshold an estimate may lie: five standard errors.
-MARGIN = 0.19
-#: Heads of a bucket in the first later round; each further round has four times as many.
-HEADS = 8
+#: How far below the threshold an estimate may lie: four standard errors.
+MARGIN = 0.084
+#: Heads of a bucket in the first later round; each further round has eight times as many.
+HEADS = 64
 
 _random = np.random.default_rng(20)
-_FACTOR = _random.integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-_TERM = _random.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
-_LANES = 64 // BITS
-_EVEN = int("01" * _LANES, 2)
+_FACTOR = _random.integers(0, 1 << 31, BANDS * ROWS + LANES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_TERM = _random.integers(0, 1 << 32, BANDS * ROWS + LANES, dtype=np.uint32)
+_PER_WORD = 64 // BITS
+_EVEN = int("01" * _PER_WORD, 2)
 
 
 def shingle_sets(run: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -74,26 +76,34 @@ def shingle_sets(run: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
     return value, np.searchsorted(doc, np.arange(len(run) + 1))
 
 
-def _minima(values: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """BANDS * ROWS minima of each set that isn't empty."""
+def _minima(values: np.ndarray, begins: np.ndarray, which: slice) -> np.ndarray:
+    """Some of the minima of each set; no set may be empty."""
     low = (values >> np.uint64(32)).astype(np.uint32)
-    out = np.empty((len(_FACTOR), len(begins)), np.uint32)
-    for k, (a, b) in enumerate(zip(_FACTOR, _TERM, strict=True)):
+    factors, terms = _FACTOR[which], _TERM[which]
+    out = np.empty((len(factors), len(begins)), np.uint32)
+    for k, (a, b) in enumerate(zip(factors, terms, strict=True)):
         out[k] = np.minimum.reduceat(low * a + b, begins)
     return out
 
 
-def _signatures(minima: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket names per band, and the packed low bits."""
+def _buckets(values: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Bucket names of each set, one per band."""
+    minima = _minima(values, begins, slice(0, BANDS * ROWS))
     rows = minima.reshape(BANDS, ROWS, -1).astype(np.uint64)
     bucket = np.arange(1, BANDS + 1, dtype=np.uint64)[:, None] * np.ones_like(rows[:, 0])
     for i in range(ROWS):
         bucket = mix(bucket * np.uint64(0x9E3779B97F4A7C15) + rows[:, i])
+    return bucket.T
+
+
+def _packed(values: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """The low bits of each set's minima, in words of 64 bits."""
+    minima = _minima(values, begins, slice(BANDS * ROWS, None))
     bits = ((minima ^ (minima >> np.uint32(16))) & np.uint32((1 << BITS) - 1)).astype(np.uint64)
-    packed = np.zeros((len(bits) // _LANES, bits.shape[1]), np.uint64)
-    for lane in range(_LANES):
-        packed |= bits[lane::_LANES] << np.uint64(lane * BITS)
-    return bucket.T, packed.T
+    packed = np.zeros((len(bits) // _PER_WORD, bits.shape[1]), np.uint64)
+    for lane in range(_PER_WORD):
+        packed |= bits[lane::_PER_WORD] << np.uint64(lane * BITS)
+    return packed.T
 
 
 def _lists(values: np.ndarray, width: int) -> pa.Array:
@@ -103,47 +113,69 @@ def _lists(values: np.ndarray, width: int) -> pa.Array:
     )
 
 
-def signatures(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """id, n_shingles, digest of the set, buckets and packed signature of every document."""
+def _sets(batch: pa.RecordBatch, width: int) -> Iterator[tuple]:
+    """First row, number of rows, shingles, their begins, and which rows have any."""
+    for first, run in slices(batch.column(1).cast(pa.large_binary()).to_pylist()):
+        values, begins = shingle_sets(run, width)
+        yield first, len(run), values, begins, np.flatnonzero(np.diff(begins))
+
 
-    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def bucketed(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
+    """id, n_shingles, digest of the set and buckets of every document."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).cast(pa.large_binary()).to_pylist()
-            for first, run in slices(texts):
-                values, begins = shingle_sets(run, width)
-                n = np.diff(begins)
-                used = np.flatnonzero(n)
-                bucket = np.zeros((len(run), BANDS), np.uint64)
-                packed = np.zeros((len(run), BANDS * ROWS // _LANES), np.uint64)
+            for first, n, values, begins, used in _sets(batch, width):
+                buckets = np.zeros((n, BANDS), np.uint64)
                 if len(used):
-                    bucket[used], packed[used] = _signatures(_minima(values, begins[used]))
+                    buckets[used] = _buckets(values, begins[used])
                 sets = (values[a:b].tobytes() for a, b in zip(begins, begins[1:], strict=False))
+                digests = [hashlib.blake2b(s, digest_size=16).digest() for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(first, len(run)),
-                        pa.array(n, pa.int64()),
-                        pa.array([hashlib.blake2b(s, digest_size=16).digest() for s in sets], pa.binary()),
-                        _lists(bucket, bucket.shape[1]),
-                        _lists(packed, packed.shape[1]),
+                        batch.column(0).slice(first, n),
+                        pa.array(np.diff(begins), pa.int64()),
+                        pa.array(digests, pa.binary()),
+                        _lists(buckets, BANDS),
                     ],
-                    ["id", "n_shingles", "digest", "buckets", "packed"],
+                    ["id", "n_shingles", "digest", "buckets"],
                 )
 
     return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        signed,
-        "id bigint, n_shingles bigint, digest binary, buckets array<bigint>, packed array<bigint>",
+        rows, "id bigint, n_shingles bigint, digest binary, buckets array<bigint>"
     )
 
 
+def signatures(texts: DataFrame, width: int) -> DataFrame:
+    """node, its full shingle set and its packed signature, of rows (id, text)."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, n, values, begins, used in _sets(batch, width):
+                packed = np.zeros((n, LANES // _PER_WORD), np.uint64)
+                if len(used):
+                    packed[used] = _packed(values, begins[used])
+                sets = [values[a:b].tobytes() for a, b in zip(begins, begins[1:], strict=False)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(first, n),
+                        pa.array(sets, pa.binary()),
+                        _lists(packed, packed.shape[1]),
+                    ],
+                    ["node", "shingles", "packed"],
+                )
+
+    return texts.mapInArrow(rows, "node bigint, shingles binary, packed array<bigint>")
+
+
 def estimated_similarity(a: str, b: str):
     """Similarity from two packed signatures: agreeing lanes, less those that agree by chance."""
-    words = BANDS * ROWS // _LANES
     unequal = F.lit(0)
-    for i in range(words):
+    for i in range(LANES // _PER_WORD):
         x = F.col(a)[i].bitwiseXOR(F.col(b)[i])
         lanes = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(_EVEN))
         unequal = unequal + F.bit_count(lanes)
-    agree = 1 - unequal / float(BANDS * ROWS)
+    agree = 1 - unequal / float(LANES)
     chance = 1.0 / (1 << BITS)
     return (agree - chance) / (1 - chance)
 
@@ -206,33 +238,21 @@ class _Classes:
         self.table = stored(moved.union(joined), "labels")
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets are similar enough."""
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = []
-            for _, run in slices(batch.column(1).cast(pa.large_binary()).to_pylist()):
-                values, begins = shingle_sets(run, width)
-                found += [values[a:b].tobytes() for a, b in zip(begins, begins[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found, pa.binary())], ["node", "shingles"]
-            )
-
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = (batch.column(i).to_pylist() for i in (2, 3))
             good = []
             for x, y in zip(a, b, strict=True):
-                both = len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
-                good.append(100 * both >= percent * (len(x) // 8 + len(y) // 8 - both))
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                good.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
-    members = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    known = texts.join(members, texts["id"] == members["node"], "left_semi").dropDuplicates(["id"])
-    known = stored(known.mapInArrow(sets, "node bigint, shingles binary"), "shingles")
-    left = known.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    right = known.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
+    left = signed.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
+    right = signed.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     joined = pairs.select("a", "b").join(left, "a").join(right, "b")
     return joined.select("a", "b", "sa", "sb").mapInArrow(similar, "a bigint, b bigint")
 
@@ -251,17 +271,15 @@ def near_duplicates(
     """
     if percent < 80:
         raise ValueError("bands and signatures are laid out for 80 percent or more")
-    signed = stored(signatures(docs, width, id_col, text_col), "signatures")
-    some = signed.filter((F.col("n_shingles") > 0) & F.col("id").isNotNull())
+    known = stored(bucketed(docs, width, id_col, text_col), "shingled")
+    some = known.filter((F.col("n_shingles") > 0) & F.col("id").isNotNull())
     per_set = some.groupBy("digest").agg(
         F.min("id").alias("node"),
         F.first("buckets").alias("buckets"),
-        F.first("packed").alias("packed"),
         F.count(F.lit(1)).alias("n"),
     )
     # An id may stand for several sets, if rows repeat it: then these are linked.
     sets = stored(per_set, "sets")
-    nodes = sets.select("node", "packed")
     buckets = sets.select("node", F.explode("buckets").alias("bucket"))
     # The head of a bucket is the member whose id is nearest to the bucket's name, a
     # random number, by exclusive or.
@@ -278,40 +296,39 @@ def near_duplicates(
     # A scan on either side: Spark splits the rows of a very large bucket by itself.
     members = stored(buckets.join(shared, "bucket"), "members")
     classes = _Classes()
+
+    # Only documents that share a bucket are read again, once, for signature and set.
+    wanted = stored(members.select(F.col("node").alias("wanted")).distinct(), "wanted")
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
+    texts = texts.join(wanted, F.col("id") == F.col("wanted"), "left_semi").dropDuplicates(["id"])
+    signed = stored(signatures(texts, width), "signatures")
 
     def promising(pairs: DataFrame) -> DataFrame:
         """Distinct pairs whose estimate is near the threshold or above."""
         pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
         pairs = pairs.filter(F.col("a") != F.col("b")).distinct()
-        left = nodes.select(F.col("node").alias("a"), F.col("packed").alias("pa"))
-        right = nodes.select(F.col("node").alias("b"), F.col("packed").alias("pb"))
+        left = signed.select(F.col("node").alias("a"), F.col("packed").alias("pa"))
+        right = signed.select(F.col("node").alias("b"), F.col("packed").alias("pb"))
         joined = pairs.join(left, "a").join(right, "b")
         joined = joined.withColumn("estimate", estimated_similarity("pa", "pb"))
         return joined.filter(F.col("estimate") >= percent / 100 - MARGIN).select(
             "a", "b", "estimate"
         )
 
-    def resolve(pairs: DataFrame) -> bool:
-        """Try the pairs, for each document the most similar one first; False if none links."""
-        if pairs.isEmpty():
-            return False
-        best = W.partitionBy("b").orderBy(F.col("estimate").desc(), "a")
-        first = pairs.withColumn("n", F.row_number().over(best))
-        first = stored(first, "pairs")
-        linked = False
-        for part in (F.col("n") == 1, F.col("n") > 1):
-            tried = classes.of(classes.of(first.filter(part), "a", "la"), "b", "lb")
-            tried = stored(tried.filter("la != lb").select("a", "b"), "tried")
-            if tried.isEmpty():
-                continue
-            edges = stored(_confirmed(tried, texts, width, percent), "edges")
-            if not edges.isEmpty():
-                classes.link(edges)
-                linked = True
-        return linked
-
-    resolve(stored(promising(members.select(F.col("node").alias("x"), F.col("head").alias("y"))), "promising"))
+    def link(pairs: DataFrame) -> None:
+        """Confirm pairs between classes, and merge the classes that they link."""
+        between = classes.of(classes.of(pairs, "a", "la"), "b", "lb").filter("la != lb")
+        edges = stored(_confirmed(between, signed, percent), "edges")
+        if not edges.isEmpty():
+            classes.link(edges)
+
+    # For each document first the pair that is most similar; most other pairs then lie
+    # within a class and need no confirmation.
+    with_heads = members.select(F.col("node").alias("x"), F.col("head").alias("y"))
+    best = W.partitionBy("b").orderBy(F.col("estimate").desc(), "a")
+    pairs = stored(promising(with_heads).withColumn("n", F.row_number().over(best)), "pairs")
+    link(pairs.filter("n = 1"))
+    link(pairs.filter("n > 1"))
 
     # Later rounds: buckets of three or more that still hold several classes.
     served: DataFrame | None = None
@@ -339,15 +356,15 @@ def near_duplicates(
         pairs = now.join(chosen_labels, "bucket").filter(F.col("label") != F.col("y_label"))
         # Pairs with the bucket's first head have been tried.
         pairs = pairs.filter(F.col("node") != F.col("head")).select(F.col("node").alias("x"), "y")
-        resolve(stored(promising(pairs), "promising"))
+        link(promising(pairs))
         served = chosen if served is None else stored(served.union(chosen), "served")
         open_members = now.select("node", "bucket", "size", "head")
-        heads *= 4
+        heads *= 8
 
     per_digest = classes.of(sets.select("digest", "node", "n"), "node", "component")
     # The class of the smallest id of a set is the class of the set.
     of_set = stored(per_digest.select("digest", "component", "n"), "components")
-    rows = signed.select("id", "n_shingles", "digest")
+    rows = known.select("id", "n_shingles", "digest")
     joined = attach_per_key(rows, of_set, ["digest"], ["id"], size="n")
     alone = (F.col("n_shingles") == 0) | F.col("id").isNull()
     component = F.when(alone, F.col("id")).otherwise(F.col("component"))
