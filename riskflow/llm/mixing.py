@@ -216,22 +216,28 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     source_col = options.get("source_col", "source")
     chosen = mix.join(queue.select("row", "id", "size", "source"), "row")
     numbers = W.partitionBy("id", "source", "size", "repeat").orderBy("row")
-    chosen = chosen.select(
-        F.col("id").alias("__mix_id"),
-        F.col("source").alias("__mix_source"),
-        F.col("size").alias("__mix_of"),
-        F.row_number().over(numbers).alias("__mix_number"),
+    # Keys without NULLs, under the same names on both sides: the texts are shuffled once,
+    # for their number among equals and for the join.
+    key = lambda i, source, size: {
+        "__mix_id": F.coalesce(i.cast("bigint"), F.lit(-1)),
+        "__mix_source": F.coalesce(source, F.lit("")),
+        "__mix_null": F.coalesce(i.isNull().cast("int") * 2 + source.isNull().cast("int"), F.lit(0)),
+        "__mix_size": size,
+    }
+    names = ["__mix_id", "__mix_source", "__mix_null", "__mix_size"]
+    chosen = chosen.withColumn("__mix_number", F.row_number().over(numbers)).select(
+        *[c.alias(n) for n, c in key(F.col("id"), F.col("source"), F.col("size")).items()],
+        "__mix_number",
         F.col("taken").alias("__mix_taken"),
     )
-    own = W.partitionBy(id_col, source_col, "__mix_size").orderBy(text_col)
-    rows = docs.withColumn("__mix_size", word_count(text_col))
+    rows = docs.withColumns(key(F.col(id_col), F.col(source_col), word_count(text_col)))
+    # Documents without words are never taken.
+    rows = rows.filter(F.col("__mix_size") > 0).repartition(*names)
+    own = W.partitionBy(*names).orderBy(text_col)
     rows = rows.withColumn("__mix_same", F.row_number().over(own))
-    matched = rows.join(
-        chosen,
-        F.col(id_col).eqNullSafe(F.col("__mix_id"))
-        & F.col(source_col).eqNullSafe(F.col("__mix_source"))
-        & (F.col("__mix_size") == F.col("__mix_of"))
-        & (F.col("__mix_same") == F.col("__mix_number")),
+    # As a difference, the number is no key of the join, whose keys are then the window's.
+    matched = rows.join(chosen.repartition(*names), names).filter(
+        F.col("__mix_same") - F.col("__mix_number") == 0
     )
     taken = F.col("__mix_taken")
     text = F.when(taken >= F.col("__mix_size"), F.col(text_col)).otherwise(
