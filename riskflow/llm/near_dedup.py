@@ -11,10 +11,12 @@ threshold go. The rest are confirmed on the full shingle sets.
 
 In a bucket not all pairs are formed. Each document is paired with one head of the
 bucket, which differs from bucket to bucket. What that links becomes one class. Where a
-bucket still holds several classes, every document outside the class of its head becomes
-a further head in a later round, until all of its pairs between classes have been tried.
-So no link between classes that share a bucket is lost, and the pairs of a bucket are
-proportional to its size where its documents are copies of each other.
+bucket still holds several classes, the documents outside the class of its head are
+compared with all its members, block by block inside tasks: signatures first, which
+gives clusters of classes that may be linked, then full sets within a cluster. Tasks
+return no pairs but the few links that connect classes, at most one per document. So no
+link between documents that share a bucket is lost, and the rows made of a bucket are
+proportional to its size.
 
 Defined results: documents without words are linked with nothing; fewer words than a
 shingle make one shingle of all of them; documents with a NULL id are linked with
@@ -44,8 +46,10 @@ LANES = 512
 BITS = 2
 #: How far below the threshold an estimate may lie: four standard errors.
 MARGIN = 0.084
-#: Heads of a bucket in the first later round; each further round has eight times as many.
-HEADS = 64
+#: Documents on either side of a block that one task compares.
+SIGNATURE_BLOCK, SET_BLOCK = 2048, 512
+#: Shingles in one step of a comparison of sets.
+SHINGLE_STEP = 8192
 
 _random = np.random.default_rng(20)
 _FACTOR = _random.integers(0, 1 << 31, BANDS * ROWS + LANES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -257,6 +261,168 @@ def _confirmed(pairs: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
     return joined.select("a", "b", "sa", "sb").mapInArrow(similar, "a bigint, b bigint")
 
 
+class _Union:
+    """Union of labels within a task; tells which links are new."""
+
+    def __init__(self):
+        self.parent: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        parent = self.parent
+        while parent.get(x, x) != x:
+            parent[x] = parent.get(parent[x], parent[x])
+            x = parent[x]
+        return x
+
+    def links(self, pairs: Iterator[tuple[int, int]]) -> list[tuple[int, int]]:
+        new = []
+        for a, b in pairs:
+            x, y = self.root(a), self.root(b)
+            if x != y:
+                self.parent[max(x, y)] = min(x, y)
+                new.append((a, b))
+        return new
+
+
+def _connecting(similar, left: pa.Table, right: pa.Table) -> pa.Table:
+    """Links between labels that `similar` finds, less those that connect nothing new.
+
+    `similar` takes both tables and yields, per row of the right one, which rows of the
+    left one are similar.
+    """
+    union, found = _Union(), []
+    mine, others = np.asarray(left.column("label")), np.asarray(right.column("label"))
+    if len(mine) and len(others):
+        for label, hit in zip(others.tolist(), similar(left, right), strict=True):
+            met = np.unique(mine[hit & (mine != label)])
+            found += union.links((label, m) for m in met.tolist())
+    return pa.table(
+        {
+            "a": pa.array([a for a, _ in found], pa.int64()),
+            "b": pa.array([b for _, b in found], pa.int64()),
+        }
+    )
+
+
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    flat = np.asarray(column.combine_chunks().flatten()).view(np.uint64)
+    return flat.reshape(len(column), -1)
+
+
+def _alike(percent: int):
+    """Signatures whose estimate is near the threshold or above."""
+    least = percent / 100 - MARGIN
+    chance = 1.0 / (1 << BITS)
+    most = int((1 - (least * (1 - chance) + chance)) * LANES)
+
+    def similar(left: pa.Table, right: pa.Table) -> Iterator[np.ndarray]:
+        packed = _matrix(left.column("packed"))
+        for one in _matrix(right.column("packed")):
+            x = packed ^ one
+            lanes = (x | (x >> np.uint64(1))) & np.uint64(_EVEN)
+            yield np.bitwise_count(lanes).sum(axis=1, dtype=np.int64) <= most
+
+    return similar
+
+
+def _equal_enough(percent: int):
+    """Full sets that meet the threshold: intersections as products of incidence matrices."""
+
+    def similar(left: pa.Table, right: pa.Table) -> Iterator[np.ndarray]:
+        sets = [
+            [np.frombuffer(x, np.uint64) for x in t.column("shingles").to_pylist()]
+            for t in (left, right)
+        ]
+        both = np.zeros((len(sets[1]), len(sets[0])), np.float32)
+        flat = [np.concatenate(x) for x in sets]
+        owner = [np.repeat(np.arange(len(x)), [len(y) for y in x]) for x in sets]
+        common = np.intersect1d(flat[0], flat[1])
+        places = [np.searchsorted(common, x) for x in flat]
+        inside = [
+            (p < len(common)) & (common[np.minimum(p, len(common) - 1)] == x) if len(common) else np.zeros(len(x), bool)
+            for p, x in zip(places, flat, strict=True)
+        ]
+        for low in range(0, len(common), SHINGLE_STEP):
+            parts = []
+            for p, o, k, x in zip(places, owner, inside, sets, strict=True):
+                now = k & (p >= low) & (p < low + SHINGLE_STEP)
+                part = np.zeros((len(x), min(SHINGLE_STEP, len(common) - low)), np.float32)
+                part[o[now], p[now] - low] = 1
+                parts.append(part)
+            both += parts[1] @ parts[0].T
+        sizes = [np.array([len(y) for y in x]) for x in sets]
+        for row, size in zip(both.astype(np.int64), sizes[1], strict=True):
+            yield 100 * row >= percent * (sizes[0] + size - row)
+
+    return similar
+
+
+def _by_blocks(rows: DataFrame, key: str, block: int, value: str, similar) -> DataFrame:
+    """Links (a, b) between labels of one `key`: outsiders against all rows of the key.
+
+    `rows`: key, node, label, outside, and `value`, which `similar` compares. Both sides
+    are cut into blocks, and each pair of blocks is one small group, however large the key.
+    """
+    sizes = rows.groupBy(key).agg(
+        F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"),
+        F.ceil(F.count_if("outside") / block).cast("int").alias("outside_blocks"),
+    )
+    sized = rows.join(stored(sizes.filter("outside_blocks > 0"), "block-counts"), key)
+    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = sized.select(
+        key, own("blocks").alias("i"), every("outside_blocks").alias("j"), "label", value
+    )
+    names = ["key", "i", "j", "label", value]
+    right = sized.filter("outside").select(
+        F.col(key).alias("key_b"),
+        every("blocks").alias("i_b"),
+        own("outside_blocks").alias("j_b"),
+        F.col("label").alias("label_b"),
+        F.col(value).alias("value_b"),
+    )
+    return (
+        left.groupBy(key, "i", "j")
+        .cogroup(right.groupBy("key_b", "i_b", "j_b"))
+        .applyInArrow(
+            lambda a, b: _connecting(similar, a.rename_columns(names), b.rename_columns(names)),
+            "a bigint, b bigint",
+        )
+    )
+
+
+def _link_the_rest(
+    members: DataFrame, signed: DataFrame, classes: _Classes, percent: int
+) -> None:
+    """Link classes that share a bucket, beyond the links of its documents to its head.
+
+    `members`: bucket, node and head of buckets of three or more.
+    """
+    labelled = classes.of(classes.of(members, "node", "label"), "head", "main")
+    labelled = labelled.withColumn("outside", F.col("label") != F.col("main"))
+    labelled = stored(labelled.select("bucket", "node", "label", "outside"), "labelled")
+    mixed = labelled.filter("outside").select("bucket").distinct()
+    rows = labelled.join(stored(mixed, "mixed"), "bucket", "left_semi")
+    rows = stored(rows.join(signed.select("node", "packed"), "node"), "bucket-rows")
+    maybe = stored(_by_blocks(rows, "bucket", SIGNATURE_BLOCK, "packed", _alike(percent)), "maybe")
+    if maybe.isEmpty():
+        return
+    # Clusters of classes that may be linked, and their documents in those buckets.
+    clusters = components(maybe).select(F.col("node").alias("label"), F.col("label").alias("cluster"))
+    nodes = rows.select("node", "label").distinct().join(stored(clusters, "clusters"), "label")
+    nodes = stored(nodes, "cluster-nodes")
+    largest = nodes.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("n"))
+    largest = largest.groupBy("cluster").agg(F.max_by("label", F.struct("n", "label")).alias("main"))
+    rows = nodes.join(stored(largest, "largest"), "cluster").select(
+        "cluster", "node", "label", (F.col("label") != F.col("main")).alias("outside")
+    )
+    rows = stored(rows.join(signed.select("node", "shingles"), "node"), "cluster-rows")
+    links = _by_blocks(rows, "cluster", SET_BLOCK, "shingles", _equal_enough(percent))
+    links = stored(links, "edges")
+    if not links.isEmpty():
+        classes.link(links)
+
+
 def near_duplicates(
     docs: DataFrame,
     width: int = 5,
@@ -330,36 +496,7 @@ def near_duplicates(
     link(pairs.filter("n = 1"))
     link(pairs.filter("n > 1"))
 
-    # Later rounds: buckets of three or more that still hold several classes.
-    served: DataFrame | None = None
-    heads = HEADS
-    open_members = members.filter("size > 2")
-    while True:
-        labelled = classes.of(classes.of(open_members, "node", "label"), "head", "main")
-        labelled = stored(labelled, "labelled")
-        outside = labelled.filter(F.col("label") != F.col("main")).select("bucket", "node", "label")
-        if served is not None:
-            outside = outside.join(served, ["bucket", "node"], "left_anti")
-        # One head for each of a growing number of shares of the bucket's outsiders.
-        share = F.pmod(F.xxhash64("node", "bucket"), F.lit(heads))
-        chosen = outside.groupBy("bucket", share.alias("share")).agg(
-            F.min_by("node", F.xxhash64("bucket", "node")).alias("node"),
-        )
-        chosen = stored(chosen.select("bucket", "node"), "heads")
-        if chosen.isEmpty():
-            break
-        open_buckets = stored(chosen.select("bucket").distinct(), "open")
-        now = labelled.join(open_buckets, "bucket", "left_semi")
-        chosen_labels = classes.of(chosen, "node", "y_label").select(
-            "bucket", F.col("node").alias("y"), "y_label"
-        )
-        pairs = now.join(chosen_labels, "bucket").filter(F.col("label") != F.col("y_label"))
-        # Pairs with the bucket's first head have been tried.
-        pairs = pairs.filter(F.col("node") != F.col("head")).select(F.col("node").alias("x"), "y")
-        link(promising(pairs))
-        served = chosen if served is None else stored(served.union(chosen), "served")
-        open_members = now.select("node", "bucket", "size", "head")
-        heads *= 8
+    _link_the_rest(members.filter("size > 2"), signed, classes, percent)
 
     per_digest = classes.of(sets.select("digest", "node", "n"), "node", "component")
     # The class of the smallest id of a set is the class of the set.

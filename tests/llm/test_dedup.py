@@ -71,6 +71,9 @@ def test_a_large_group_near_the_threshold(spark, monkeypatch):
         rows.append((500 - i if i % 2 else i, " ".join(text)))
     rows += [(1000 + i, prose(rnd, "de", 40)) for i in range(10)]
     rows += [(2000 + i, rows[3][1].upper()) for i in range(30)]
+    monkeypatch.setattr(near_dedup, "SIGNATURE_BLOCK", 20)
+    monkeypatch.setattr(near_dedup, "SET_BLOCK", 15)
+    monkeypatch.setattr(near_dedup, "SHINGLE_STEP", 50)
     got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(spark.createDataFrame(pages(rows), SCHEMA), width=2).collect()}
     want, _ = linked(rows, 2)
     assert got == want
