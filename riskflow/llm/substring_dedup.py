@@ -16,7 +16,7 @@ per document and joined to the texts.
 Defined results: NULL text has no words; documents with a NULL id neither lose words nor
 take them from others; rows that repeat an id are one document to each other; texts with
 fewer words than a window stay whole; an empty table gives no rows; other columns are
-passed through, whatever their names.
+passed through, but those with the names of the results are replaced.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from riskflow.llm.words import mix, running, slices, spans, word_hashes
 
 PERIOD = 31
+RESULTS = ("n_words", "n_removed", "kept_text")
 COVER = (1, 5, 11, 24, 25, 27)
 
 _IN_COVER = np.zeros(PERIOD, bool)
@@ -184,7 +185,7 @@ def remove_repeats(
     """
     if window <= PERIOD:
         raise ValueError(f"window must be more than {PERIOD} words")
-    others = [c for c in docs.columns if c != text_col]
+    others = [c for c in docs.columns if c not in (text_col, *RESULTS)]
     # Positions, not names: a column of any name may be passed through.
     passed = docs.select(
         F.col(id_col).cast("bigint").alias("__id"),
