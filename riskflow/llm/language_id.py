@@ -114,16 +114,18 @@ def suffix_automaton(symbols: np.ndarray, n_symbols: int) -> np.ndarray:
 
 
 def stepping(table: np.ndarray) -> np.ndarray:
-    """The table as (2 * next row offset + 1 if a phrase ends before the letter), flat.
+    """The table as (4 * next row offset + phrases that end here), flat.
 
-    Where the text can't go on, the phrase ends and the letter begins the next one; a
-    letter that the text doesn't have is a phrase by itself.
+    Where the text can't go on, the phrase ends before the letter, which begins the next
+    one. A letter that the text doesn't have is a phrase by itself.
     """
     n = table.shape[1]
-    first = np.maximum(table[0], 0)
-    ends = table < 0
-    to = np.where(ends, first[None, :], table)
-    return (to * (2 * n) + ends).astype(np.int32).ravel()
+    first = table[0]
+    to = np.where(table < 0, np.maximum(first, 0)[None, :], table)
+    unknown = (first < 0)[None, :]
+    begun = (np.arange(len(table)) > 0)[:, None]
+    ends = (table < 0) & begun
+    return (to * (4 * n) + ends + unknown).astype(np.int32).ravel()
 
 
 def fit(
@@ -196,11 +198,12 @@ def phrases(model: Model, symbols: list[np.ndarray]) -> np.ndarray:
         active = np.searchsorted(-size[group], -np.arange(longest), side="left")
         for k, table in enumerate(model.tables):
             state = np.zeros(len(group), np.int32)
-            count = np.ones(len(group), np.int32)
+            count = np.zeros(len(group), np.int32)
             for step, n in enumerate(active.tolist()):
                 moved = table.take(state[:n] + letters[step, :n])
-                count[:n] += moved & 1
-                state[:n] = moved >> 1
+                count[:n] += moved & 3
+                state[:n] = moved >> 2
+            count += state > 0  # the phrase that the end cuts
             out[:, k] += np.bincount(owner[group], weights=count, minlength=len(symbols)).astype(np.int64)
     return out
 

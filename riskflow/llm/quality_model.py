@@ -140,7 +140,7 @@ def url_levels(url: str) -> dict[str, Column]:
     return {"host": host, "path": F.get(path, F.lit(1))}
 
 
-def _strength(groups: DataFrame, mean: Column) -> Column:
+def _strength(mean: Column) -> Column:
     """Pseudo-documents of the prior: large if groups differ by no more than chance would."""
     share = F.col("good") / F.col("n")
     between = F.sum(F.col("n") * (share - mean) * (share - mean)) / F.sum("n")
@@ -205,41 +205,44 @@ def judge(
     rows = rows.withColumn("evidence", probability)
     rows = rows.withColumn("good", F.coalesce("label", "evidence")).drop("label")
 
-    overall = F.lit(base)
     sums = [F.sum("good").alias("good"), F.count(F.lit(1)).cast("double").alias("n")]
     total = rows.agg(*sums)
-    table, above = None, None
+    mean = F.coalesce(total.select(F.col("good") / F.col("n")).scalar(), F.lit(base))
+    # One row per path, with the sums and the strength of the prior of every level above.
+    table = None
     for depth in range(len(keys)):
         key = keys[: depth + 1]
         groups = stored(rows.groupBy(*key).agg(*sums), f"level-{depth}")
-        mean = F.coalesce(total.select(F.col("good") / F.col("n")).scalar(), overall)
-        strength = groups.agg(_strength(groups, mean).alias("k"))
-        if above is None:
-            prior = groups.withColumn("prior", mean)
-        else:
-            up = above.withColumnsRenamed({c: f"up_{c}" for c in keys[:depth]})
-            same = [groups[c].eqNullSafe(up[f"up_{c}"]) for c in keys[:depth]]
-            condition = same[0]
-            for other in same[1:]:
-                condition = condition & other
-            prior = groups.join(up.select(*[f"up_{c}" for c in keys[:depth]], F.col("share").alias("prior")), condition)
-        shrunk = prior.withColumn("k", F.coalesce(strength.scalar(), F.lit(1.0)))
-        share = (F.col("good") + F.col("k") * F.col("prior")) / (F.col("n") + F.col("k"))
-        table = stored(shrunk.withColumn("share", share).select(*key, "good", "n", "prior", "k", "share"), f"shares-{depth}")
-        above = table.select(*key, "share")
-
-    # One row per path, read from a table of known size: Spark broadcasts it if it is
-    # small, and else joins two scans, whose large keys it splits.
-    paths = table.withColumnsRenamed({**{c: f"p_{c}" for c in keys}, "good": "p_good"})
-    condition = rows[keys[0]].eqNullSafe(paths[f"p_{keys[0]}"])
-    for c in keys[1:]:
-        condition = condition & rows[c].eqNullSafe(paths[f"p_{c}"])
-    joined = rows.join(paths, condition)
-    others = F.greatest(F.col("p_good") - F.col("good"), F.lit(0.0))
-    prior = (others + F.col("k") * F.col("prior")) / (F.col("n") - 1 + F.col("k"))
+        strength = groups.agg(_strength(mean).alias("k"))
+        groups = groups.select(
+            *key,
+            F.col("good").alias(f"good{depth}"),
+            F.col("n").alias(f"n{depth}"),
+            F.coalesce(strength.scalar(), F.lit(1.0)).alias(f"k{depth}"),
+        )
+        table = groups if table is None else _joined(groups, table, keys[:depth])
+    table = stored(table.withColumn("mean", mean), "shares")
+
+    # The table's size is known: Spark broadcasts it if it is small, and else joins two
+    # scans, whose large keys it splits.
+    joined = _joined(rows, table, keys)
+    prior = F.col("mean")
+    for depth in range(len(keys)):
+        others = F.greatest(F.col(f"good{depth}") - F.col("good"), F.lit(0.0))
+        k = F.col(f"k{depth}")
+        prior = (others + k * prior) / (F.col(f"n{depth}") - 1 + k)
     posterior = F.col("odds") - float(np.log(base / (1 - base))) + _log_odds(prior)
     score = 1 / (1 + F.exp(-posterior))
     result = joined.select(
         F.col("id").alias(id_col), "evidence", prior.alias("site_prior"), score.alias("score")
     )
     return result.withColumn("kept", F.col("score") >= threshold)
+
+
+def _joined(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    """`rows` with the columns of `table`, which is unique on `keys`; NULL matches NULL."""
+    other = table.withColumnsRenamed({c: f"other_{c}" for c in keys})
+    condition = F.lit(True)
+    for c in keys:
+        condition = condition & rows[c].eqNullSafe(other[f"other_{c}"])
+    return rows.join(other, condition).drop(*[f"other_{c}" for c in keys])

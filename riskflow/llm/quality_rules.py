@@ -4,8 +4,8 @@ Whole texts give counts of words, symbols, repeated lines and repeated word wind
 plain rules reject texts that are too short or repeat themselves. All others are vectors
 of transformed statistics. For each language and source the minimum covariance
 determinant gives a centre and a scatter that outliers can't pull: from medians and
-absolute deviations, a few concentration steps keep the closest three quarters of the
-rows and estimate anew. A document is rejected if its squared Mahalanobis distance is
+absolute deviations, a few concentration steps keep the closest six tenths of the rows
+and estimate anew. A document is rejected if its squared Mahalanobis distance is
 beyond the cutoff.
 
 Each step is two grouped aggregates over a narrow table: an approximate quantile of the
@@ -34,14 +34,14 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 
 #: Share of a group's rows that an estimate rests on.
-SUPPORT = 0.75
+SUPPORT = 0.6
 STEPS = 3
 MIN_ROWS = 100
 #: Upper 1e-8 quantile of chi-square with 4 degrees of freedom.
 CUTOFF = 43.1
-#: Makes the scatter of the closest 75 % of 4-variate normal rows that of all rows:
-#: 0.75 / P(chi2 with 6 df <= the 0.75 quantile of chi2 with 4 df).
-CONSISTENCY = 1.5
+#: Makes the scatter of the closest 60 % of 4-variate normal rows that of all rows:
+#: 0.6 / P(chi2 with 6 df <= the 0.6 quantile of chi2 with 4 df).
+CONSISTENCY = 1.82
 STATISTICS = ("x1", "x2", "x3", "x4")
 #: Least standard deviation of each statistic, in its own unit.
 FLOORS = (0.45, 0.35, 0.35, 0.05)

@@ -73,7 +73,7 @@ def test_labels_of_held_out_documents_are_not_read(spark):
 
 def test_language_without_documents_or_labels(spark):
     assert language_id.identify(frame(spark, [])).count() == 0
-    unlabelled = frame(spark, documents(n=5)).withColumn("lang", F.lit(None).cast("string"))
+    unlabelled = frame(spark, documents(n=8)).withColumn("lang", F.lit(None).cast("string"))
     assert {r.lang_pred for r in language_id.identify(unlabelled).collect()} == {"und"}
     one = spark.createDataFrame([(1, "abc def", "en"), (2, "xyz", None)], "doc_id bigint, text string, lang string")
     assert {r.lang_pred for r in language_id.identify(one).collect()} == {"en"}
