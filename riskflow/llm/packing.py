@@ -29,9 +29,10 @@ from riskflow.sources.tables import stored
 
 PIECES_PER_TASK = 65_536
 #: Distinct words whose ids a Python worker keeps.
-CACHED_WORDS = 500_000
-#: Texts whose words are looked up together.
-TEXTS_AT_A_TIME = 64
+CACHED_WORDS = 400_000
+#: Texts whose words are looked up together, and new words encoded together.
+TEXTS_AT_A_TIME = 256
+WORDS_AT_A_TIME = 1024
 
 
 @cache
@@ -52,29 +53,50 @@ class WordIds(dict):
     """Token ids of a white-space-separated word, as little-endian 32-bit bytes.
 
     The tokenizer drops white space and never joins across it, so the ids of a text
-    are those of its words one after another. A word is found once per task.
+    are those of its words one after another. A word is found once per Python worker,
+    until there are too many. New words are encoded together, with a mark between them
+    whose one id cuts the result; words that hold the mark are encoded alone.
     """
 
+    MARK = "|"
+
     def __init__(self, path: str):
         super().__init__()
         self.tokenizer = _tokenizer(path)
+        mark = self._encode([self.MARK])[0].ids
+        self.mark = mark[0] if len(mark) == 1 else None
+
+    def _encode(self, texts: list[str]):
+        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
 
     def learn(self, words: set[bytes]) -> None:
-        if len(self) + len(words) > CACHED_WORDS:
-            self.clear()
-        new = [w for w in words if w not in self]
-        coded = self.tokenizer.encode_batch_fast(
-            [w.decode() for w in new], add_special_tokens=False
-        )
-        for word, code in zip(new, coded, strict=True):
+        plain, odd = [], []
+        for w in words:
+            (odd if self.mark is None or b"|" in w else plain).append(w)
+        for at in range(0, len(plain), WORDS_AT_A_TIME):
+            some = plain[at : at + WORDS_AT_A_TIME]
+            ids = np.array(self._encode([b" | ".join(some).decode()])[0].ids, "<u4")
+            cuts = np.flatnonzero(ids == self.mark)
+            if len(cuts) != len(some) - 1:  # a word that the tokenizer turns into the mark
+                odd += some
+                continue
+            data = ids.tobytes()
+            begins = [0, *(4 * (cuts + 1)).tolist()]
+            ends = [*(4 * cuts).tolist(), len(data)]
+            for word, low, high in zip(some, begins, ends, strict=True):
+                self[word] = data[low:high]
+        for word, code in zip(odd, self._encode([w.decode() for w in odd]), strict=True):
             self[word] = np.array(code.ids, "<u4").tobytes()
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of every text; the words that are new are found in one call."""
+        """Ids of every text; the words that are new are found together."""
         words = [t.split() for t in texts]
-        fresh = set().union(*words).difference(self)
-        if fresh:
-            self.learn(fresh if len(self) + len(fresh) <= CACHED_WORDS else set().union(*words))
+        every = set().union(*words)
+        fresh = every.difference(self)
+        if len(self) + len(fresh) > CACHED_WORDS:
+            self.clear()
+            fresh = every
+        self.learn(fresh)
         return [b"".join(map(self.__getitem__, w)) for w in words]
 
 
