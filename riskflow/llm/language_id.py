@@ -19,7 +19,6 @@ are judged each; without a labelled document all others are `und`; other columns
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
 
@@ -34,7 +33,7 @@ UNDETERMINED = "und"
 STRETCH = 512
 TOGETHER = 2048
 #: Letters of text in memory at a time (one document at least).
-LETTERS_AT_A_TIME = 1 << 21
+LETTERS_AT_A_TIME = 1 << 20
 #: Symbols of a table: 0 for whatever isn't a frequent letter of the labelled texts.
 MAX_SYMBOLS = 64
 
@@ -134,8 +133,8 @@ def fit(
     label: str,
     order: Column,
     sample_documents: int = 200,
-    sample_letters: int = 60_000,
-    table_letters: int = 400_000,
+    sample_letters: int = 40_000,
+    table_letters: int = 200_000,
 ) -> Model:
     """Automata from a bounded sample of `labelled` rows; `order` decides which are taken.
 
@@ -214,51 +213,53 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     Columns of `docs` with these two names are replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    # Only the texts go to Python and only the judgements come back.
+    @F.arrow_udf("struct<lang_pred:string,score:double>")
+    def judged(texts: pa.Array) -> pa.Array:
+        return _predicted(texts, shared.value)
+
+    judged = judged.asNondeterministic()  # or else a filter on its result runs it again
     others = [c for c in docs.columns if c not in ("lang_pred", "score")]
     # Positions, not names: a column of any name may be passed through.
     passed = docs.select(
-        F.col(text_col).alias("__text"),
+        judged(F.col(text_col)).alias("__judged"),
         F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(others)]).alias("__rest"),
     )
-    rest = passed.schema["__rest"].dataType.simpleString()
-    judged = passed.mapInArrow(
-        lambda batches: _predicted(batches, shared.value),
-        f"__rest {rest}, lang_pred string, score double",
-    )
-    return judged.select(
-        *[F.col(f"__rest.c{i}").alias(c) for i, c in enumerate(others)], "lang_pred", "score"
+    return passed.select(
+        *[F.col(f"__rest.c{i}").alias(c) for i, c in enumerate(others)],
+        F.col("__judged.lang_pred").alias("lang_pred"),
+        F.col("__judged.score").alias("score"),
     )
 
 
-def _predicted(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = batch.column(0)
-        names: list[str] = []
-        scores: list[float] = []
-        held: list[np.ndarray] = []
-        n_letters: list[int] = []
-
-        def judge() -> None:
-            for name, score in zip(*_judged(model, held, n_letters), strict=True):
-                names.append(name)
-                scores.append(score)
-            held.clear()
-            n_letters.clear()
-
-        total = 0
-        for text in texts:
-            low = folded(code_points(text.as_py() or ""))
-            n_letters.append(int(np.count_nonzero(low)))
-            held.append(model.symbols[low])
-            total += len(low)
-            if total >= LETTERS_AT_A_TIME:
-                judge()
-                total = 0
-        judge()
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(1), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-            ["__rest", "lang_pred", "score"],
-        )
+def _predicted(texts: pa.Array, model: Model) -> pa.Array:
+    """Language and score of every text, some LETTERS_AT_A_TIME letters at a time."""
+    names: list[str] = []
+    scores: list[float] = []
+    held: list[np.ndarray] = []
+    n_letters: list[int] = []
+
+    def judge() -> None:
+        for name, score in zip(*_judged(model, held, n_letters), strict=True):
+            names.append(name)
+            scores.append(score)
+        held.clear()
+        n_letters.clear()
+
+    total = 0
+    for text in texts:
+        low = folded(code_points(text.as_py() or ""))
+        n_letters.append(int(np.count_nonzero(low)))
+        held.append(model.symbols[low])
+        total += len(low)
+        if total >= LETTERS_AT_A_TIME:
+            judge()
+            total = 0
+    judge()
+    return pa.StructArray.from_arrays(
+        [pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"]
+    )
 
 
 def _judged(model: Model, symbols: list[np.ndarray], n_letters: list[int]):
