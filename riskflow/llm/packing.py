@@ -54,39 +54,60 @@ class WordIds(dict):
 
     The tokenizer drops white space and never joins across it, so the ids of a text
     are those of its words one after another. A word is found once per Python worker,
-    until there are too many. New words are encoded together, with a mark between them
-    whose one id cuts the result; words that hold the mark are encoded alone.
+    until there are too many. It lowers case, and cuts between letters and signs: so a new
+    word of letters and then signs is put together from both parts, and parts that are
+    all letters are encoded together, as just their last ids close a word.
     """
 
-    MARK = "|"
+    SIGNS = b".,!?;:%&$#*"
 
     def __init__(self, path: str):
         super().__init__()
         self.tokenizer = _tokenizer(path)
-        mark = self._encode([self.MARK])[0].ids
-        self.mark = mark[0] if len(mark) == 1 else None
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def _encode(self, texts: list[str]):
         return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
 
     def learn(self, words: set[bytes]) -> None:
-        plain, odd = [], []
-        for w in words:
-            (odd if self.mark is None or b"|" in w else plain).append(w)
-        for at in range(0, len(plain), WORDS_AT_A_TIME):
-            some = plain[at : at + WORDS_AT_A_TIME]
-            ids = np.array(self._encode([b" | ".join(some).decode()])[0].ids, "<u4")
-            cuts = np.flatnonzero(ids == self.mark)
-            if len(cuts) != len(some) - 1:  # a word that the tokenizer turns into the mark
+        whole, built, parts = [], [], set()
+        for word in words:
+            core = word.rstrip(self.SIGNS)
+            # Marks that combine do so differently with small letters: plain ASCII only.
+            low = core.lower() if core.isascii() else core
+            if core and core != word and core[-1:].isalnum() and b"<" not in word:
+                built.append((word, low, word[len(core) :]))
+                parts.add(low)
+                parts.add(word[len(core) :])
+            elif low != word and core == word and b"<" not in word:
+                built.append((word, low, b""))
+                parts.add(low)
+            else:
+                whole.append(word)
+        parts.update(whole)
+        self[b""] = b""
+        self._encode_parts([p for p in parts if p not in self])
+        for word, low, signs in built:
+            self[word] = self[low] + self[signs]
+
+    def _encode_parts(self, parts: list[bytes]) -> None:
+        letters, odd = [], []
+        for part in parts:
+            (letters if part.isalpha() or part.decode().isalpha() else odd).append(part)
+        for at in range(0, len(letters), WORDS_AT_A_TIME):
+            some = letters[at : at + WORDS_AT_A_TIME]
+            ids = np.array(self._encode([b" ".join(some).decode()])[0].ids, "<u4")
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) != len(some):  # not a word to the tokenizer after all
                 odd += some
                 continue
-            data = ids.tobytes()
-            begins = [0, *(4 * (cuts + 1)).tolist()]
-            ends = [*(4 * cuts).tolist(), len(data)]
-            for word, low, high in zip(some, begins, ends, strict=True):
-                self[word] = data[low:high]
-        for word, code in zip(odd, self._encode([w.decode() for w in odd]), strict=True):
-            self[word] = np.array(code.ids, "<u4").tobytes()
+            data, ends = ids.tobytes(), (4 * ends).tolist()
+            for part, low, high in zip(some, [0, *ends], ends, strict=False):
+                self[part] = data[low:high]
+        for part, code in zip(odd, self._encode([p.decode() for p in odd]), strict=True):
+            self[part] = np.array(code.ids, "<u4").tobytes()
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """Ids of every text; the words that are new are found together."""
