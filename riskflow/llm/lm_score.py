@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 
 from riskflow.llm.words import mix, slices, word_hashes
 
+#: Words of the longest n-grams; a lower order is for callers that ask for it.
+ORDER = 3
 BACKOFF = 0.4
 MIN_COUNT = 2
 #: Bytes of text in a chunk, on average, and of n-gram hashes in a bucket.
@@ -101,7 +103,7 @@ def _chunk_ngrams(table: pa.Table, order: int):
 
 def score_documents(
     docs: DataFrame,
-    order: int = 2,
+    order: int = ORDER,
     min_count: int = MIN_COUNT,
     backoff: float = BACKOFF,
     id_col: str = "doc_id",

@@ -55,7 +55,7 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stupid-backoff score of every document."""
+    """Stupid-backoff score of every document, on n-grams of up to three words."""
     return lm_score.score_documents(_table(spark, sf_dir, "documents"))
 
 

@@ -10,7 +10,7 @@ import pytest
 from cases import CLASHING, SCHEMA, documents, frame, prose, words
 from pyspark.sql import functions as F
 
-from riskflow.llm import language_id, lm_score, quality_model, quality_rules
+from riskflow.llm import language_id, lm_score, quality_model, quality_rules, queries
 
 
 # --- language identification -----------------------------------------------------------------
@@ -240,6 +240,17 @@ def test_scores(spark, order, monkeypatch):
     assert Counter((r.doc_id, r.n_words, None if r.log_score is None else round(r.log_score, 6)) for r in got.collect()) == want
 
 
+def test_query_scores_longer_phrases(spark, tmp_path):
+    texts = [r[1] for r in documents(n=40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.log_score for r in queries.op4_lm_score(spark, str(tmp_path)).collect()}
+    for i, want in enumerate(plain_scores(texts, 3)):
+        assert (got[i] is None) == (want is None) and (want is None or abs(got[i] - want) < 1e-6)
+    pairs = plain_scores(texts, 2)
+    assert any(p is not None and abs(got[i] - p) > 1e-3 for i, p in enumerate(pairs))
+
+
 def test_scores_without_documents_or_words(spark):
     assert lm_score.score_documents(frame(spark, [])).count() == 0
     blank = spark.createDataFrame([(1, None), (2, " ")], "doc_id bigint, text string")
