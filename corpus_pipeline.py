@@ -24,9 +24,12 @@ TOKENIZER = "word_bpe_49k.json"
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; those without a letter go."""
-    judged = language_id.identify(docs.select(*COLUMNS))
-    return judged.filter(F.col("lang_pred") != language_id.UNDETERMINED).select(*COLUMNS)
+    """Documents whose language can be told; those without a letter go.
+
+    Where no language could be learned all are undetermined, and those with letters stay.
+    """
+    judged = language_id.identify(docs.select(*COLUMNS), letters_col="letters")
+    return judged.filter(F.col("letters") > 0).select(*COLUMNS)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -207,20 +207,24 @@ def phrases(model: Model, symbols: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+def predict(
+    docs: DataFrame, model: Model, text_col: str = "text", letters_col: str | None = None
+) -> DataFrame:
     """`docs` with lang_pred and score: how far the winner is ahead of the second, 0 to 1.
 
-    Columns of `docs` with these two names are replaced.
+    `letters_col` names a further column, the number of letters: 0 tells texts that no
+    model could judge from those that are `und` (or labelled so) for want of one. Columns
+    of `docs` with these names are replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     # Only the texts go to Python and only the judgements come back.
-    @F.arrow_udf("struct<lang_pred:string,score:double>")
+    @F.arrow_udf("struct<lang_pred:string,score:double,letters:bigint>")
     def judged(texts: pa.Array) -> pa.Array:
         return _predicted(texts, shared.value)
 
     judged = judged.asNondeterministic()  # or else a filter on its result runs it again
-    others = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    others = [c for c in docs.columns if c not in ("lang_pred", "score", letters_col)]
     # Positions, not names: a column of any name may be passed through.
     passed = docs.select(
         judged(F.col(text_col)).alias("__judged"),
@@ -230,13 +234,15 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
         *[F.col(f"__rest.c{i}").alias(c) for i, c in enumerate(others)],
         F.col("__judged.lang_pred").alias("lang_pred"),
         F.col("__judged.score").alias("score"),
+        *([F.col("__judged.letters").alias(letters_col)] if letters_col else []),
     )
 
 
 def _predicted(texts: pa.Array, model: Model) -> pa.Array:
-    """Language and score of every text, some LETTERS_AT_A_TIME letters at a time."""
+    """Language, score and letters of every text, some LETTERS_AT_A_TIME letters at a time."""
     names: list[str] = []
     scores: list[float] = []
+    letters: list[int] = []
     held: list[np.ndarray] = []
     n_letters: list[int] = []
 
@@ -244,6 +250,7 @@ def _predicted(texts: pa.Array, model: Model) -> pa.Array:
         for name, score in zip(*_judged(model, held, n_letters), strict=True):
             names.append(name)
             scores.append(score)
+        letters.extend(n_letters)
         held.clear()
         n_letters.clear()
 
@@ -258,7 +265,8 @@ def _predicted(texts: pa.Array, model: Model) -> pa.Array:
             total = 0
     judge()
     return pa.StructArray.from_arrays(
-        [pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"]
+        [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(letters, pa.int64())],
+        ["lang_pred", "score", "letters"],
     )
 
 
@@ -289,10 +297,12 @@ def identify(
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "lang",
+    letters_col: str | None = None,
     **options,
 ) -> DataFrame:
-    """`docs` with held_out, lang_pred and score, learned from those not held out."""
+    """`docs` with held_out, lang_pred and score (and letters, if `letters_col` names that
+    column), learned from those not held out."""
     train = docs.filter(~split_of(id_col))
     order = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
     model = fit(train, text_col, label_col, order, **options)
-    return predict(docs.withColumn("held_out", split_of(id_col)), model, text_col)
+    return predict(docs.withColumn("held_out", split_of(id_col)), model, text_col, letters_col)

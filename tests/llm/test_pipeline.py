@@ -32,6 +32,14 @@ def test_language_stage_rejects_what_has_no_letter(stages):
     assert Counter((r.doc_id, r.text, r.lang) for r in after) == Counter((r.doc_id, r.text, r.lang) for r in want)
 
 
+@pytest.mark.parametrize("label", [None, "und"])
+def test_language_stage_keeps_letters_where_no_language_is_known(spark, label):
+    docs = spark.createDataFrame([(*r[:2], label, *r[3:]) for r in documents(n=12)], SCHEMA)
+    after = corpus_pipeline.known_language(spark, docs, "").collect()
+    want = [r for r in docs.collect() if any(c.isalpha() for c in r.text or "")]
+    assert want and Counter((r.doc_id, r.text) for r in after) == Counter((r.doc_id, r.text) for r in want)
+
+
 def test_one_document_of_each_group_stays(stages):
     before, after = stages[1], stages[2]
     component, _ = linked([(r.doc_id, r.text) for r in before], 5)
