@@ -7,7 +7,7 @@ of the automaton's text, the closer the language; the one that needs the fewest
 
 The labelled text is a bounded sample: the documents of each language with the smallest
 hashes of their ids, up to `sample_documents` documents and `sample_letters` letters a
-language. Automata are dense tables, sent to every task once; `table_letters` bounds what
+language. Automata are rows of moves, sent to every task once; `table_letters` bounds what
 all languages have together, so the size sent doesn't grow with the data. Documents are
 parsed whole, cut into stretches that many at a time step through the tables together; a
 cut costs at most one phrase.
@@ -34,16 +34,45 @@ STRETCH = 512
 TOGETHER = 2048
 #: Letters of text in memory at a time (one document at least).
 LETTERS_AT_A_TIME = 1 << 20
-#: Symbols of a table: 0 for whatever isn't a frequent letter of the labelled texts.
-MAX_SYMBOLS = 64
+#: Bases tried for a state of several moves, side by side and then anywhere, before the row
+#: of moves is extended.
+TRIES = 64
+
+
+@dataclass(frozen=True)
+class Automaton:
+    """Moves of every state by symbol; `automaton[state, symbol]` is -1 where there is none."""
+
+    moves: list[dict[int, int]]
+    n_symbols: int
+
+    def __getitem__(self, place: tuple[int, int]) -> int:
+        return self.moves[place[0]].get(int(place[1]), -1)
+
+
+@dataclass(frozen=True)
+class Steps:
+    """The moves of an automaton in one row: that of a state by a symbol stands at
+    `base[state] + symbol`, if `owner` there is the state. `first` has the moves of the
+    beginning, 0 where there is none, and `unknown` whether there is none."""
+
+    base: np.ndarray
+    owner: np.ndarray
+    to: np.ndarray
+    first: np.ndarray
+    unknown: np.ndarray
 
 
 @dataclass(frozen=True)
 class Model:
-    """Per language a transition table, and the symbol of every code point."""
+    """Per language the moves of its automaton, and the symbol of every code point.
+
+    Symbol 0 is whatever isn't a letter; every letter of the learned texts has its own,
+    and the last symbol stands for letters that none of them has.
+    """
 
     languages: list[str]
-    tables: list[np.ndarray]
+    tables: list[Steps]
     lengths: list[int]
     symbols: np.ndarray
     n_symbols: int
@@ -72,8 +101,8 @@ def folded(points: np.ndarray) -> np.ndarray:
     return low[keep]
 
 
-def suffix_automaton(symbols: np.ndarray, n_symbols: int) -> np.ndarray:
-    """Transition table of the suffix automaton of a text: states x symbols, -1 where none.
+def suffix_automaton(symbols: np.ndarray, n_symbols: int) -> Automaton:
+    """The suffix automaton of a text, which accepts just its substrings.
 
     Built letter by letter in time linear in the text.
     """
@@ -105,26 +134,56 @@ def suffix_automaton(symbols: np.ndarray, n_symbols: int) -> np.ndarray:
                 link[to] = link[new] = copy
         last = new
     assert len(moves) <= size
-    table = np.full((len(moves), n_symbols), -1, np.int64)
-    for state, out in enumerate(moves):
-        for c, to in out.items():
-            table[state, c] = to
-    return table
+    return Automaton(moves, n_symbols)
 
 
-def stepping(table: np.ndarray) -> np.ndarray:
-    """The table as (4 * next row offset + phrases that end here), flat.
+def stepping(automaton: Automaton) -> Steps:
+    """The moves in one row, so that its size goes with the moves, not states x symbols.
 
-    Where the text can't go on, the phrase ends before the letter, which begins the next
-    one. A letter that the text doesn't have is a phrase by itself.
+    States of several moves are fitted in between each other, those of many first; states
+    of one move take the places left.
     """
-    n = table.shape[1]
-    first = table[0]
-    to = np.where(table < 0, np.maximum(first, 0)[None, :], table)
-    unknown = (first < 0)[None, :]
-    begun = (np.arange(len(table)) > 0)[:, None]
-    ends = (table < 0) & begun
-    return (to * (4 * n) + ends + unknown).astype(np.int32).ravel()
+    moves, n = automaton.moves, automaton.n_symbols
+    base = np.zeros(len(moves), np.int64)
+    several = sorted((s for s, m in enumerate(moves) if len(m) > 1), key=lambda s: -len(moves[s]))
+    single = [s for s, m in enumerate(moves) if len(m) == 1]
+    used = bytearray(n)  # bases are counted from n, lest those of single moves be negative
+    low, end = n, n
+    spread = np.random.default_rng(0).random(TRIES).tolist()
+    for s in several:
+        keys = sorted(moves[s])
+        while low < len(used) and used[low]:
+            low += 1
+        near = max(n, low - keys[0])
+        anywhere = [n + int(x * (end - n)) for x in spread]
+        for at in (*range(near, near + TRIES), *anywhere):
+            if at + n > len(used):
+                used.extend(bytes(len(used) + n))
+            if not any(used[at + c] for c in keys):
+                break
+        else:
+            low += 1  # crowded: leave this place to single moves
+            at = max(n, end - keys[0])
+            if at + n > len(used):
+                used.extend(bytes(len(used) + n))
+        for c in keys:
+            used[at + c] = 1
+        end = max(end, at + keys[-1] + 1)
+        base[s] = at
+    free = np.flatnonzero(np.frombuffer(bytes(used), np.uint8)[n:] == 0) + n
+    free = np.concatenate([free, np.arange(len(single)) + len(used)])[: len(single)]
+    base[single] = free - np.array([next(iter(moves[s])) for s in single], np.int64)
+    counts = np.array([len(m) for m in moves])
+    states = np.repeat(np.arange(len(moves)), counts)
+    keys = np.fromiter((c for m in moves for c in m), np.int64, len(states))
+    places = base[states] + keys
+    size = int(max(base.max(), places.max(initial=0))) + n + 1
+    owner, to = np.full(size, -1, np.int32), np.zeros(size, np.int32)
+    owner[places] = states
+    to[places] = np.fromiter((x for m in moves for x in m.values()), np.int64, len(states))
+    first, unknown = np.zeros(n, np.int32), np.ones(n, bool)
+    first[list(moves[0])], unknown[list(moves[0])] = list(moves[0].values()), False
+    return Steps(base.astype(np.int32), owner, to, first, unknown)
 
 
 def fit(
@@ -166,13 +225,12 @@ def fit(
     languages = sorted(texts, key=lambda x: x.encode())
     each = min(sample_letters, table_letters // max(1, len(languages)))
     samples = [np.concatenate(texts[x])[:each] for x in languages]
-    counts = np.bincount(np.concatenate([*samples, np.zeros(1, np.uint32)]).astype(np.int64))
-    counts[0] = 0
-    frequent = np.argsort(-counts, kind="stable")[: MAX_SYMBOLS - 1]
-    frequent = np.sort(frequent[counts[frequent] > 0])
-    symbols = np.zeros(0x110000, np.uint8)
-    symbols[frequent] = np.arange(1, len(frequent) + 1)
-    n = len(frequent) + 1
+    known_letters = np.unique(np.concatenate([*samples, np.zeros(1, np.uint32)]))
+    known_letters = known_letters[known_letters > 0]
+    n = len(known_letters) + 2
+    symbols = np.full(0x110000, n - 1, np.min_scalar_type(n - 1))
+    symbols[0] = 0
+    symbols[known_letters] = np.arange(1, n - 1)
     tables = [stepping(suffix_automaton(symbols[s], n)) for s in samples]
     return Model(languages, tables, [max(2, len(s)) for s in samples], symbols, n)
 
@@ -199,9 +257,13 @@ def phrases(model: Model, symbols: list[np.ndarray]) -> np.ndarray:
             state = np.zeros(len(group), np.int32)
             count = np.zeros(len(group), np.int32)
             for step, n in enumerate(active.tolist()):
-                moved = table.take(state[:n] + letters[step, :n])
-                count[:n] += moved & 3
-                state[:n] = moved >> 2
+                # Where the text can't go on, the phrase ends before the letter, which begins
+                # the next one. A letter that the text doesn't have is a phrase by itself.
+                now, letter = state[:n], letters[step, :n]
+                place = table.base.take(now) + letter
+                goes_on = table.owner.take(place) == now
+                count[:n] += (~goes_on & (now > 0)).view(np.int8) + table.unknown.take(letter)
+                state[:n] = np.where(goes_on, table.to.take(place), table.first.take(letter))
             count += state > 0  # the phrase that the end cuts
             out[:, k] += np.bincount(owner[group], weights=count, minlength=len(symbols)).astype(np.int64)
     return out

@@ -64,6 +64,30 @@ def test_held_out_accuracy_and_awkward_documents(spark):
     assert len(judged) > 15 and np.mean([r.lang == r.lang_pred for r in judged]) > 0.95
 
 
+def test_every_letter_of_the_learned_texts_counts(spark):
+    """Two languages of 220 letters, unlike only in words of those that are rare among all."""
+    rnd = random.Random(3)
+    common = [chr(0x4E00 + i) for i in range(100)]
+    own = {g: ["".join(chr(at + 4 * i + k) for k in range(4)) for i in range(30)] for g, at in (("x", 0x5E00), ("y", 0x6E00))}
+    rows = []
+    for i in range(120):
+        lang = rnd.choice("xy")
+        parts = rnd.choices(common, k=150) + rnd.choices(own[lang], k=12)
+        rnd.shuffle(parts)
+        rows.append((i, "".join(parts), lang))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    judged = [r for r in language_id.identify(docs).collect() if r.held_out]
+    assert len(judged) > 10 and all(r.lang_pred == r.lang and r.score > 0.05 for r in judged)
+
+
+def test_unseen_letters_are_no_separators(spark):
+    docs = spark.createDataFrame([(1, "ab", "x"), (2, "жж", None), (3, "!!", None)], "doc_id bigint, text string, lang string")
+    order = F.col("doc_id")
+    model = language_id.fit(docs, "text", "lang", order)
+    parts = [model.symbols[language_id.folded(language_id.code_points(t))] for t in ("жж", "a!b", "ab")]
+    assert language_id.phrases(model, parts).ravel().tolist() == [2, 3, 1]
+
+
 def test_labels_of_held_out_documents_are_not_read(spark):
     docs = frame(spark, documents(n=60))
     other = docs.withColumn("lang", F.when(language_id.split_of("doc_id"), "xx").otherwise(F.col("lang")))
