@@ -80,6 +80,12 @@ def test_every_letter_of_the_learned_texts_counts(spark):
     assert len(judged) > 10 and all(r.lang_pred == r.lang and r.score > 0.05 for r in judged)
 
 
+def test_letters_learned_of_each_language(spark):
+    rows = [(i, prose(random.Random(i), "en", 9_000), f"l{i % 5}") for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert language_id.fit(docs, "text", "lang", F.col("doc_id")).lengths == [60_000] * 5
+
+
 def test_unseen_letters_are_no_separators(spark):
     docs = spark.createDataFrame([(1, "ab", "x"), (2, "жж", None), (3, "!!", None)], "doc_id bigint, text string, lang string")
     order = F.col("doc_id")
