@@ -152,6 +152,23 @@ def test_outliers_go_and_clean_documents_stay(spark):
     assert all(got[i] == (i % 12 != 0) for i in range(900))
 
 
+def test_outliers_of_graded_strength(spark):
+    """Signs in place of letters, in a source whose other texts have none."""
+    rnd = random.Random(11)
+    rows = [(i, prose(rnd, "en", rnd.randint(100, 400)), "en", "a", 1, 1, *CLASHING) for i in range(300)]
+    base = prose(rnd, "en", 400)
+    letters = [i for i, c in enumerate(base) if c.isalpha()]
+    for percent in (0, 3, 5, 8, 30):
+        text = list(base)
+        for i in rnd.sample(letters, len(letters) * percent // 100):
+            text[i] = "#"
+        rows.append((1000 + percent, "".join(text), "en", "a", 1, 1, *CLASHING))
+    got = {r.doc_id: r for r in quality_rules.judge(spark.createDataFrame(rows, SCHEMA)).collect()}
+    d2 = [got[1000 + p].d2 for p in (0, 3, 5, 8, 30)]
+    assert d2 == sorted(d2) and d2[0] < d2[1]
+    assert [got[1000 + p].kept for p in (0, 3, 5, 8, 30)] == [True, True, True, True, False]
+
+
 def test_distances_are_those_of_the_estimate(spark):
     rnd = np.random.default_rng(5)
     x = rnd.multivariate_normal([5, 1, 0, 0.2], np.diag([1, 0.3, 0.2, 0.01]) + 0.05, 4000)
