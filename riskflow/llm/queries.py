@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 
 from riskflow.llm import (
     language_id,
+    lexical_search,
     lm_score,
     mixing,
     near_dedup,
     packing,
     quality_model,
     quality_rules,
+    spelling,
     substring_dedup,
+    suffix_dedup,
     topk,
     warc,
 )
@@ -97,6 +100,33 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fifty best documents of every benchmark item."""
+    return lexical_search.search(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=50
+    )
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes left of every document without strings of 200 bytes that stand elsewhere too."""
+    cut = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"), length=200)
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("removed").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forms of all words of seven letters or more that occur at least twice."""
+    words = spelling.word_counts(
+        _table(spark, sf_dir, "documents"), min_length=7, min_count=2, slip_every=31
+    )
+    return spelling.variant_groups(words, ratio=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -110,6 +140,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_top_k,
         op9_substring_dedup,
         op10_language_id,
+        op11_lexical_search,
+        op12_suffix_dedup,
+        op13_spelling,
     )
 }
 
@@ -120,7 +153,17 @@ list_aggregate(list_transform(range(0, 8), lambda i: list_aggregate(list_transfo
     'string_agg', '')), 'string_agg', '')
 """
 
-#: Queries without an entry (op3, op4, op6, op7, op9, op10) are tested against brute force:
+#: CRC-32 of a string `s`, four bits at a time; the table is that of the half-byte method.
+_CRC32 = """
+xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+        flatten(list_transform(range(1, strlen({s}) + 1), lambda i: [2 * i, 2 * i - 1])),
+        lambda i: ('0x' || substr(hex(encode({s})), i::INT, 1))::BIGINT)),
+    lambda c, b: xor(c >> 4, [0, 498536548, 997073096, 651767980, 1994146192, 1802195444,
+        1303535960, 1342533948, 3988292384, 4027552580, 3604390888, 3412177804, 2607071920,
+        2262029012, 2685067896, 3183342108][((xor(c, b) & 15) + 1)::INT])), 4294967295::BIGINT)
+"""
+
+#: Queries without an entry (op3 to op7, op9, op10) are tested against brute force:
 #: SQL has no tokenizer, suffix automaton, iterated estimate or fitted model, and lists of
 #: all windows of whole texts are too slow there.
 ORACLE_SQL = {
@@ -175,5 +218,79 @@ s AS (
 r AS (
     SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+""",
+    "op11_lexical_search": r"""
+WITH t AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM documents),
+f AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+d AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM f GROUP BY doc_id),
+g AS (SELECT count(*) AS nn, sum(n)::BIGINT AS ll FROM d),
+w AS (
+    SELECT term, floor(1000 * ln((2 * any_value(nn) + 2) / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+    FROM f CROSS JOIN g GROUP BY term),
+q AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark),
+s AS (
+    SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * nn) // ll))))::BIGINT AS score
+    FROM q JOIN w USING (term) JOIN f USING (term) JOIN d USING (doc_id) CROSS JOIN g GROUP BY ALL),
+r AS (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 50
+""",
+    "op12_suffix_dedup": """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+b0 AS (SELECT doc_id, n, h, unnest(range(0, n - 199, 250)) AS base FROM d),  -- short pieces to cut windows from
+p0 AS (SELECT doc_id, base, substr(h, 2 * base + 1, 900) AS h, unnest(range(0, least(250, n - 199 - base))) AS j FROM b0),
+c AS (SELECT doc_id, base + j AS i, count(*) OVER (PARTITION BY md5(substr(h, 2 * j + 1, 400))) AS places FROM p0),
+e AS (
+    SELECT doc_id, i, i > coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 200, -1) AS new
+    FROM c WHERE places > 1),
+s AS (
+    SELECT doc_id, min(i) AS first, max(i) + 200 AS after
+    FROM (SELECT *, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM e) GROUP BY doc_id, run),
+b AS (
+    SELECT doc_id, first, after, coalesce(lag(after) OVER (PARTITION BY doc_id ORDER BY first), 0) AS kept_from FROM s),
+k AS (
+    SELECT doc_id, count(*) AS n_spans, sum(after - first) AS n_removed, max(after) AS last,
+        list([kept_from, first] ORDER BY first) AS pieces
+    FROM b GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+    sha256(unhex(coalesce(array_to_string(list_transform(pieces, lambda x: substr(h, 2 * x[1] + 1, 2 * (x[2] - x[1]))), ''), '')
+        || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+""",
+    "op13_spelling": f"""
+WITH RECURSIVE r AS (
+    SELECT doc_id || ':' || w AS s, w
+    FROM (SELECT doc_id, unnest(list_transform(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+'),
+              lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))) AS w FROM documents)
+    WHERE length(w) >= 7),
+u AS (SELECT DISTINCT s FROM r),
+x AS (SELECT s, {_CRC32.format(s='s')} AS h FROM u),
+m AS (
+    SELECT CASE WHEN h % 31 = 0 THEN substr(w, 1, (h % length(w))::INT) || substr(w, (h % length(w) + 2)::INT) ELSE w END AS word
+    FROM r JOIN x USING (s)),
+v AS MATERIALIZED (SELECT word, count(*) AS n FROM m WHERE length(word) >= 7 GROUP BY word HAVING count(*) >= 2),
+e AS (
+    SELECT word, n, i, substr(word, 1, i::INT - 1) || substr(word, i::INT + 1) AS cut
+    FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM v)),
+pairs AS (
+    SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM e a JOIN e b USING (i, cut) WHERE a.word <> b.word AND length(a.word) = length(b.word)
+    UNION SELECT e.word, e.n, v.word, v.n FROM e JOIN v ON cut = v.word
+    UNION SELECT v.word, v.n, e.word, e.n FROM e JOIN v ON cut = v.word),
+near AS (
+    SELECT word, count(*) AS n_near, arg_min(near, (-near_n, near)) AS best, max(near_n) AS best_n FROM pairs GROUP BY word),
+forms AS MATERIALIZED (
+    SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 10 * v.n THEN best END AS form,
+        CASE WHEN best_n >= 10 * v.n THEN best_n END AS form_n
+    FROM v LEFT JOIN near USING (word)),
+steps AS (
+    SELECT word, form, word AS at FROM forms
+    UNION ALL SELECT steps.word, next.form, next.word FROM steps JOIN forms next ON steps.form = next.word)
+SELECT word, forms.form, steps.at AS root, n, n_near, form_n FROM forms JOIN steps USING (word) WHERE steps.form IS NULL
 """,
 }
