@@ -8,6 +8,10 @@ vocabulary. Two words that are one edit apart always meet; others that meet are
 on the original strings. Each neighbour is generated once: a deletion or an insertion in a
 run of equal symbols only at the run's start.
 
+Most neighbours are no reduced word at all. Before they are joined they are looked up in a
+bitmap of all reduced words (a Bloom filter of at most `FILTER_BITS` bits, whatever the
+vocabulary), which lets through each that is one and a few others.
+
 Neighbours are 64-bit hashes made of prefix sums, so a word of L letters costs rows of 16
 bytes in proportion to L, not L * L letters; a collision adds a candidate and loses none.
 
@@ -35,6 +39,11 @@ LETTERS = r"[A-Za-zÀ-ÿ]+"
 SYMBOLS = 8
 #: Letters of reduced words (and rows of neighbours times a few dozen) handled at a time.
 SLICE_LETTERS = 1 << 15
+#: Bits of the filter for each word, and at most (64 MB); two are set for each word.
+BITS_PER_WORD = 32
+FILTER_BITS = 1 << 29
+#: Bits of a bitmap that Spark builds in one piece.
+PIECE_BITS = 1 << 15
 
 
 def word_counts(
@@ -132,12 +141,39 @@ def _slices(words: list[str]) -> Iterator[tuple[int, list[str]]]:
         yield first, run
 
 
-def _neighbour_rows(symbols: int):
+def _known_words(reduced: DataFrame, words: int) -> np.ndarray:
+    """The filter of the keys of all reduced words, as bytes: a power of two of bits."""
+    bits = PIECE_BITS
+    while bits < min(words * BITS_PER_WORD, FILTER_BITS):
+        bits *= 2
+    place = lambda shift: F.shiftrightunsigned("key", shift).bitwiseAND(F.lit(bits - 1))
+    places = reduced.select(F.explode(F.array(place(0), place(32))).alias("at"))
+    piece = F.floor(F.col("at") / PIECE_BITS).alias("piece")
+    built = places.groupBy(piece).agg(F.bitmap_construct_agg(F.col("at") % PIECE_BITS).alias("bitmap"))
+    known = np.zeros(bits // 8, np.uint8)
+    for r in built.collect():  # at most FILTER_BITS / PIECE_BITS pieces
+        low = r["piece"] * PIECE_BITS // 8
+        known[low : low + PIECE_BITS // 8] = np.frombuffer(r["bitmap"], np.uint8)
+    return known
+
+
+def _is_known(known: np.ndarray, key: np.ndarray) -> np.ndarray:
+    key, mask = key.view(np.uint64), np.uint64(8 * len(known) - 1)
+    found = np.ones(len(key), bool)
+    for shift in (0, 32):
+        at = (key >> np.uint64(shift)) & mask
+        found &= (known[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    return found
+
+
+def _neighbour_rows(symbols: int, known: np.ndarray):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             codes = np.asarray(batch.column(0))
             for first, run in _slices(batch.column(1).to_pylist()):
                 for number, key in _neighbours(run, symbols):
+                    hit = _is_known(known, key)
+                    number, key = number[hit], key[hit]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(codes[first + number]), pa.array(key)], ["code", "key"]
                     )
@@ -160,12 +196,18 @@ def _reduced_rows(symbols: int):
 
 
 def near_words(words: DataFrame, symbols: int = SYMBOLS) -> DataFrame:
-    """(word, n, near, near_n): all pairs of `words` (word, n) one edit apart, both ways."""
+    """(word, n, near, near_n): all pairs of `words` (word, n) one edit apart, both ways.
+
+    `words` is read several times, so it should be a stored table.
+    """
     coded = words.select(F.xxhash64("word").alias("code"), "word", "n")
-    neighbours = coded.select("code", "word").mapInArrow(_neighbour_rows(symbols), "code bigint, key bigint")
     reduced = words.select("word", "n").mapInArrow(
         _reduced_rows(symbols), "key bigint, near string, near_n bigint"
     )
+    known = _known_words(reduced, words.count())
+    neighbours = coded.select("code", "word").mapInArrow(
+        _neighbour_rows(symbols, known), "code bigint, key bigint"
+    )
     met = neighbours.join(reduced, "key").select("code", "near", "near_n")
     # Two words may share a code: the strings decide.
     return met.join(coded, "code").filter(F.levenshtein("word", "near", 1) == 1).select(
