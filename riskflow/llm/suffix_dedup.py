@@ -12,7 +12,8 @@ document or in several; all its occurrences go, not just the later ones.
    bucket sorts all its windows (prefix doubling), takes the common prefixes of neighbours,
    scans them with a stack for the intervals of the common-prefix tree, and keeps those
    whose members have different bytes to their left: maximal repeat groups with all their
-   occurrences. A window with equal bytes to the left is part of a longer repeat.
+   occurrences. A window with equal bytes to the left is part of a longer repeat. Equal
+   segments stand in the array once, with the number of their copies.
 3. Covered stretches are listed per document and joined to the texts.
 
 Anchors with more than `HOT_PLACES` places (a passage of very many documents) would fill a
@@ -41,9 +42,9 @@ from pyspark.sql import functions as F
 from riskflow.llm.words import mix, running, slices, spans
 
 #: Places of an anchor up to which its segments are compared in one bucket.
-HOT_PLACES = 4096
+HOT_PLACES = 1024
 #: Bytes of text per bucket of segments (which are at most some four times as many bytes).
-BUCKET_BYTES = 1 << 21
+BUCKET_BYTES = 1 << 19
 #: Window starts handled at a time; a position in a block has to fit into `_PLACE_BITS`.
 BLOCK = 1 << 20
 _PLACE_BITS = np.uint64(22)
@@ -249,34 +250,57 @@ def _ranked(keys: np.ndarray) -> np.ndarray:
     return ranks
 
 
-def _levels(data: np.ndarray, most: int) -> list[tuple[int, np.ndarray]]:
-    """Ranks of the strings of 8, 16, ... bytes at every place; twice the last exceeds `most`."""
-    n = len(data)
+def _eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes at every place as one number that sorts as they do."""
     padded = np.concatenate((data, np.zeros(8, np.uint8)))
-    first = np.zeros(n, np.uint64)
+    eights = np.zeros(len(data), np.uint64)
     for i in range(8):
-        first = (first << np.uint64(8)) | padded[i : i + n].astype(np.uint64)
-    levels, size = [(8, _ranked(first))], 8
-    while 2 * size <= most:
+        eights = (eights << np.uint64(8)) | padded[i : i + len(data)].astype(np.uint64)
+    return eights
+
+
+def _levels(eights: np.ndarray, most: int) -> list[tuple[int, np.ndarray]]:
+    """Ranks of the strings of 8, 24, ... bytes at every place; twice the last reaches `most`.
+
+    A level makes strings three times as long, or twice if three ranks don't fit 64 bits.
+    """
+    n = len(eights)
+    bits = max(1, n.bit_length())
+    levels, size = [(8, _ranked(eights))], 8
+    while 2 * size < most:
+        times = 3 if 3 * bits <= 63 and 3 * size <= most else 2
         ranks = levels[-1][1].astype(np.int64)
-        second = np.concatenate((ranks[size:], np.zeros(min(size, n), np.int64)))
-        levels.append((2 * size, _ranked((ranks << 32) | second)))
-        size *= 2
+        keys = ranks
+        for i in range(1, times):
+            later = np.concatenate((ranks[i * size :], np.zeros(min(i * size, n), np.int64)))
+            keys = (keys << bits) | later
+        levels.append((times * size, _ranked(keys)))
+        size *= times
     return levels
 
 
-def _common(levels, data: np.ndarray, a: np.ndarray, b: np.ndarray, limit: np.ndarray) -> np.ndarray:
+def _agree(levels, a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
+    """Whether the strings of `length` bytes at the places a and b are equal."""
+    size, ranks = [x for x in levels if x[0] <= length][-1]
+    same = np.ones(len(a), bool)
+    for at in [*range(0, length - size, size), length - size]:
+        same &= ranks[a + at] == ranks[b + at]
+    return same
+
+
+def _common(levels, eights: np.ndarray, a: np.ndarray, b: np.ndarray, limit: np.ndarray) -> np.ndarray:
     """Length of the common prefix at the places a and b, at most `limit`."""
-    common, last = np.zeros(len(a), np.int64), len(data) - 1
+    common, last = np.zeros(len(a), np.int64), len(eights) - 1
+    longer = 3 * levels[-1][0]
     for size, ranks in reversed(levels):
-        x, y = np.minimum(a + common, last), np.minimum(b + common, last)
-        common += np.where((common + size <= limit) & (ranks[x] == ranks[y]), size, 0)
-    going = np.ones(len(a), bool)
-    for _ in range(8):  # strings up to `limit` that end inside the last eight bytes
-        x, y = np.minimum(a + common, last), np.minimum(b + common, last)
-        going &= (common < limit) & (data[x] == data[y])
-        common += going
-    return common
+        for _ in range(longer // size - 1):
+            x, y = np.minimum(a + common, last), np.minimum(b + common, last)
+            common += np.where((common + size <= limit) & (ranks[x] == ranks[y]), size, 0)
+        longer = size
+    x, y = np.minimum(a + common, last), np.minimum(b + common, last)
+    apart = eights[x] ^ eights[y]
+    more = sum((apart >> np.uint64(64 - 8 * k) == 0).astype(np.int64) for k in range(1, 9))
+    return np.minimum(common + more, limit)
 
 
 def _intervals(lcp: list[int], differs: list[bool], least: int) -> Iterator[tuple[int, int, int]]:
@@ -310,12 +334,16 @@ def _maximal_repeats(data: np.ndarray, place, size, left, length: int):
     Returns the suffix array and, for each repeat, its length, first and last place in it.
     """
     most = int(size.max())
-    levels = _levels(data, most)
+    eights = _eights(data)
+    levels = _levels(eights, most)
     top, ranks = levels[-1]
     # Segments end with a byte that no text has: those that end early are sorted apart.
-    order = np.lexsort((ranks[place + most - top], ranks[place]))
+    order = np.lexsort((ranks[place + max(0, most - top)], ranks[place]))
     a, b = order[:-1], order[1:]
-    lcp = _common(levels, data, place[a], place[b], np.minimum(size[a], size[b]))
+    linked = np.flatnonzero(_agree(levels, place[a], place[b], length))
+    lcp = np.zeros(len(a), np.int64)
+    x, y = a[linked], b[linked]
+    lcp[linked] = _common(levels, eights, place[x], place[y], np.minimum(size[x], size[y]))
     differs = left[a] != left[b]
     edge = np.diff(np.concatenate(([False], lcp >= length, [False])).astype(np.int8))
     first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
@@ -333,26 +361,49 @@ def _maximal_repeats(data: np.ndarray, place, size, left, length: int):
 
 def _members(first: np.ndarray, last: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(repeat, place in the suffix array) of all occurrences, some repeats at a time."""
+    if not len(first):
+        return
     total = np.cumsum(last - first + 1)
-    cuts = np.searchsorted(total, np.arange(0, int(total[-1]) if len(total) else 0, EXPANDED))
+    cuts = np.searchsorted(total, np.arange(0, int(total[-1]), EXPANDED))
     for low, high in zip(cuts, np.append(cuts[1:], len(first)), strict=True):
         n = last[low:high] - first[low:high] + 1
         repeat = np.repeat(np.arange(low, high), n)
         yield repeat, np.repeat(first[low:high] - np.cumsum(n) + n, n) + np.arange(n.sum())
 
 
-def _in_bucket(segments: pa.Table):
-    """Segments as one text with an end after each, and all their windows as suffixes."""
-    pieces = segments.column("bytes").to_pylist()
-    data = np.frombuffer(_END.join(pieces) + _END, np.uint8)
-    lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+def _in_bucket(segments: pa.Table, length: int):
+    """Distinct segments as one text with an end after each, and their windows as suffixes.
+
+    Returns the text, per suffix its segment, number in it, place, bytes to the segment's
+    end and byte to its left; and the segment of each row.
+    """
+    numbers: dict[bytes, int] = {}
+    rows = segments.column("bytes").to_pylist()
+    of_row = np.array([numbers.setdefault(x, len(numbers)) for x in rows], np.int64)
+    data = np.frombuffer(_END.join(numbers) + _END, np.uint8)
+    lengths = np.fromiter(map(len, numbers), np.int64, len(numbers))
     ends = np.cumsum(lengths + 1) - 1
-    starts = np.asarray(segments.column("starts")).astype(np.int64)
-    row = np.repeat(np.arange(len(starts)), starts)
-    nth = np.arange(len(row)) - np.repeat(np.cumsum(starts) - starts, starts)
-    place = (ends - lengths)[row] + nth
-    left = np.where(nth > 0, data[np.maximum(place - 1, 0)].astype(np.int64), -1 - np.arange(len(row)))
-    return data, row, nth, place, ends[row] - place, left
+    starts = lengths - length + 1
+    segment = np.repeat(np.arange(len(starts)), starts)
+    nth = np.arange(len(segment)) - np.repeat(np.cumsum(starts) - starts, starts)
+    place = (ends - lengths)[segment] + nth
+    left = np.where(nth > 0, data[np.maximum(place - 1, 0)].astype(np.int64), -1 - np.arange(len(segment)))
+    return data, segment, nth, place, ends[segment] - place, left, of_row
+
+
+class _Copies:
+    """The rows of each distinct segment."""
+
+    def __init__(self, of_row: np.ndarray):
+        self.rows = np.argsort(of_row, kind="stable")
+        self.n = np.bincount(of_row)
+        self.begins = np.cumsum(self.n) - self.n
+
+    def of(self, segment: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(which of `segment`, row) for every row of each of these segments."""
+        n = self.n[segment]
+        which = np.repeat(np.arange(len(segment)), n)
+        return which, self.rows[np.repeat(self.begins[segment] - np.cumsum(n) + n, n) + np.arange(n.sum())]
 
 
 def _bucket_results(length: int, groups: bool):
@@ -363,23 +414,32 @@ def _bucket_results(length: int, groups: bool):
         segments, others = bucket.filter(plain), bucket.filter(pc.invert(plain))
         found = [(pa.array([], bucket.schema.field("doc").type), *(np.empty(0, np.int64),) * 3)]
         if segments.num_rows:
-            data, row, nth, place, size, left = _in_bucket(segments)
+            data, segment, nth, place, size, left, of_row = _in_bucket(segments, length)
+            copies = _Copies(of_row)
             doc = segments.column("doc").combine_chunks()
             at = np.asarray(segments.column("start"))
             order, value, first, last = _maximal_repeats(data, place, size, left, length)
-            reach = np.zeros(len(row), np.int64)
+            base = bucket.column("bucket")[0].as_py() << 32
+            reach = np.zeros(len(segment), np.int64)
             for repeat, member in _members(first, last):
                 suffix = order[member]
+                np.maximum.at(reach, suffix, value[repeat])
                 if groups:
-                    start = at[row[suffix]] + nth[suffix]
-                    number = (bucket.column("bucket")[0].as_py() << 32) + repeat
-                    found.append((doc.take(pa.array(row[suffix])), start, start + value[repeat], number))
-                else:
-                    np.maximum.at(reach, suffix, value[repeat])
-            if not groups:
+                    which, row = copies.of(segment[suffix])
+                    start = at[row] + nth[suffix][which]
+                    found.append((doc.take(pa.array(row)), start, start + value[repeat][which], base + repeat[which]))
+            # Copies of a segment are a repeat from its start, unless a group has shown them.
+            whole = np.flatnonzero((nth == 0) & (copies.n[segment] > 1) & (reach < size))
+            reach[whole] = size[whole]
+            if groups:
+                which, row = copies.of(segment[whole])
+                start = at[row]
+                found.append((doc.take(pa.array(row)), start, start + size[whole][which], base + len(value) + which))
+            else:
                 hit = np.flatnonzero(reach)
-                first, after, owner = _stretches(nth[hit], nth[hit] + reach[hit], row[hit])
-                found.append((doc.take(pa.array(owner)), at[owner] + first, at[owner] + after, owner))
+                start, after, owner = _stretches(nth[hit], nth[hit] + reach[hit], segment[hit])
+                which, row = copies.of(owner)
+                found.append((doc.take(pa.array(row)), at[row] + start[which], at[row] + after[which], row))
         windows = others.filter(others.column("hash").is_valid())
         if windows.num_rows:
             hashes = np.asarray(windows.column("hash"))
