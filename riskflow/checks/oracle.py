@@ -612,6 +612,53 @@ QUERIES: dict[str, str] = {
                    FROM ({_rolling('10 MINUTE', 'n', 'txn')}) GROUP BY 1) t USING (customer_id)
         LEFT JOIN (SELECT customer_id, max(n) AS n
                    FROM ({_rolling('1 HOUR', 'n', 'txn')}) GROUP BY 1) h USING (customer_id)""",
+    "rolling_30d_rows": f"""
+        SELECT transaction_id, part_id, merchant_id, count(*) OVER w AS txn_count_30d_rolling,
+               {approx('avg(amount) OVER w')} AS avg_txn_amount_30d_rolling,
+               max(amount) OVER w AS max_txn_amount_30d_rolling,
+               count(*) FILTER (WHERE status = 'declined') OVER (PARTITION BY customer_id
+                   ORDER BY transaction_ts RANGE BETWEEN INTERVAL 7 DAYS PRECEDING AND CURRENT ROW)
+                   AS declined_txn_count_7d_rolling
+        FROM txn WINDOW w AS (PARTITION BY customer_id ORDER BY transaction_ts
+            RANGE BETWEEN INTERVAL 30 DAYS PRECEDING AND CURRENT ROW)""",
+    "rolling_30d_events": f"""
+        SELECT customer_id, transaction_ts, any_value(n) AS txn_count_30d_rolling,
+               {approx('any_value(a)')} AS avg_txn_amount_30d_rolling,
+               {approx('any_value(m)')} AS max_txn_amount_30d_rolling,
+               any_value(d) AS declined_txn_count_7d_rolling, count(*) AS _rows
+        FROM (SELECT customer_id, transaction_ts, count(*) OVER w AS n, avg(amount) OVER w AS a,
+                     max(amount) OVER w AS m,
+                     count(*) FILTER (WHERE status = 'declined') OVER (PARTITION BY customer_id
+                         ORDER BY transaction_ts RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW) AS d
+              FROM evt WINDOW w AS (PARTITION BY customer_id ORDER BY transaction_ts
+                  RANGE BETWEEN INTERVAL 10 DAYS PRECEDING AND CURRENT ROW))
+        GROUP BY customer_id, transaction_ts""",
+    "moments_merged": f"""
+        SELECT customer_id, count(*) AS txn_count_30d,
+               {approx('avg(amount)')} AS avg_txn_amount_30d, max(amount) AS max_txn_amount_30d,
+               count(*) FILTER (WHERE status = 'declined') AS declined_txn_count_7d,
+               count(*) FILTER (WHERE hour_of_day BETWEEN 0 AND 1) AS txn_count_1h,
+               {share('hour_of_day BETWEEN 0 AND 4', 'transaction_id')} AS late_night_txn_ratio,
+               {share('is_international', 'transaction_id')} AS international_txn_ratio,
+               {share("channel = 'online'", 'transaction_id')} AS online_txn_ratio,
+               {approx('stddev_samp(amount)')} AS amount_deviation
+        FROM txn_signals GROUP BY customer_id""",
+    "zscore_from_state": f"""
+        SELECT transaction_id, part_id, amount, {approx('amount_zscore')} AS amount_zscore
+        FROM txn_signals WHERE transaction_ts >= TIMESTAMP '1998-06-01'""",
+    "distinct_asof_daily": f"""
+        SELECT customer_id, count(DISTINCT merchant_country) AS distinct_countries_30d_asof,
+               count(DISTINCT merchant_name) FILTER (WHERE CAST(transaction_ts AS DATE)
+                   > CAST({ASOF_TXN} AS DATE) - 7) AS distinct_merchants_7d_asof
+        FROM txn WHERE CAST(transaction_ts AS DATE) BETWEEN CAST({ASOF_TXN} AS DATE) - 29
+            AND CAST({ASOF_TXN} AS DATE)
+        GROUP BY customer_id""",
+    "daily_value_counts": """
+        SELECT customer_id, CAST(transaction_ts AS DATE) AS day, kind,
+               count(DISTINCT value) AS "values", count(*) AS n
+        FROM (SELECT customer_id, transaction_ts, 'country' AS kind, merchant_country AS value FROM evt
+              UNION ALL SELECT customer_id, transaction_ts, 'merchant', merchant_name FROM evt)
+        GROUP BY customer_id, day, kind""",
     "asof_features": _asof("txn", ASOF_TXN),
     "asof_features_events": _asof("evt", ASOF),
     "card_features": _except_approx(

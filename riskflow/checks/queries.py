@@ -18,14 +18,14 @@ from riskflow.functions import normalize as n
 from riskflow.functions import signals
 from riskflow.functions.scoring import risk_tier
 from riskflow.operators import features as f
-from riskflow.operators import loans, quality, report, runlog, scores
+from riskflow.operators import loans, quality, report, rolling, runlog, scores, state
 from riskflow.operators import transactions as t
 from riskflow.operators.alerts import fraud_alerts
 from riskflow.operators.customer_risk import customer_risk, with_activity
 from riskflow.operators.dedup import dedup_any, dedup_latest
 from riskflow.plans import jobs, silver
 from riskflow.sources.raw import with_ingest_metadata
-from riskflow.sources.tables import checkpointed
+from riskflow.sources.tables import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -124,7 +124,7 @@ def loan_scores(s: SparkSession, d: str) -> DataFrame:
 
 def gold(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Risk view and alerts over score tables that are computed once and stored."""
-    card, loan = checkpointed(card_scores(s, d)), checkpointed(loan_scores(s, d))
+    card, loan = stored(card_scores(s, d), "card-scores"), stored(loan_scores(s, d), "loan-scores")
     return customer_risk(v.cust(s, d), card, loan, at()), fraud_alerts(card, loan, at())
 
 
@@ -400,6 +400,62 @@ def asof_features_events(s, d):
     return rounded(f.asof_features(v.evt(s, d), at()), "avg_txn_amount_30d_asof")
 
 
+def rolling_30d_rows(s, d):
+    df = rolling.with_rolling_values(v.txn(s, d), row_id="part_id")
+    # Copies of a transaction differ in these columns.
+    df = df.select("transaction_id", "part_id", "merchant_id", *rolling.ROLLING)
+    return rounded(df, "avg_txn_amount_30d_rolling")
+
+
+def rolling_30d_events(s, d):
+    df = rolling.rolling_values(v.evt(s, d), days=10, decline_days=1)
+    return rounded(df, "avg_txn_amount_30d_rolling", "max_txn_amount_30d_rolling")
+
+
+def halves(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Two loads: rows up to a day, and later ones."""
+    first = F.col("transaction_ts") < at("1998-06-01 00:00:00")
+    return df.filter(first), df.filter(~first)
+
+
+def moments_merged(s, d):
+    """Features from the merged states of two loads."""
+    df = t.with_billing_country(v.txn(s, d), v.acc(s, d))
+    df = t.with_time_parts(df.withColumn("is_international", signals.is_international()))
+    merged = state.merge_moments(*[state.moments(x) for x in halves(df)])
+    out = state.features_of_moments(merged)
+    return rounded(out, "avg_txn_amount_30d", "amount_deviation")
+
+
+def zscore_from_state(s, d):
+    """Z-scores of the second load against the state of both."""
+    df = t.with_time_parts(v.txn(s, d)).withColumn("is_international", F.lit(False))
+    first, second = halves(df)
+    merged = state.merge_moments(state.moments(first), state.moments(second))
+    scored = state.with_zscore_of_state(second, merged)
+    return scored.select("transaction_id", "part_id", "amount", approx("amount_zscore"))
+
+
+def distinct_asof_daily(s, d):
+    """Distinct countries and merchants as of a date, from the daily values of two loads."""
+    first, second = halves(v.txn(s, d))
+    numbers = stored(state.number_values(first), "value-numbers")
+    later = stored(state.number_values(second, numbers), "value-numbers")
+    daily = state.merge_daily_values(
+        state.daily_values(first, numbers), state.daily_values(second, later)
+    )
+    return state.distinct_as_of(daily, at(v.AS_OF_TXN))
+
+
+def daily_value_counts(s, d):
+    """The daily state, word by word, without the numbers that values happen to have."""
+    df = v.evt(s, d)
+    daily = state.daily_values(df, stored(state.number_values(df), "value-numbers"))
+    return daily.groupBy("customer_id", "day", "kind").agg(
+        F.sum(F.bit_count("bits")).alias("values"), F.sum("n").alias("n")
+    )
+
+
 def q_card_features(s, d):
     return rounded(card_features(s, d), "avg_txn_amount_30d", "merchant_risk_score", MCC)
 
@@ -682,6 +738,12 @@ QUERIES: dict[str, Query] = {
     "rolling_1h": rolling_1h,
     "peak_velocity": peak_velocity,
     "rolling_velocity": rolling_velocity,
+    "rolling_30d_rows": rolling_30d_rows,
+    "rolling_30d_events": rolling_30d_events,
+    "moments_merged": moments_merged,
+    "zscore_from_state": zscore_from_state,
+    "distinct_asof_daily": distinct_asof_daily,
+    "daily_value_counts": daily_value_counts,
     "asof_features": asof_features,
     "asof_features_events": asof_features_events,
     "card_features": q_card_features,
