@@ -462,7 +462,7 @@ def q_card_features(s, d):
 
 def card_feature_table(s, d):
     """The table that the card job writes, before it is scored."""
-    df = jobs.card_feature_table(
+    df = f.card_feature_table(
         txn_signals(s, d), v.acc(s, d), at(v.AS_OF_TXN), DEVICE_LIMIT
     )
     return rounded(

@@ -6,6 +6,8 @@ customer costs its reducer a handful of partial rows per map task.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,28 +63,38 @@ def channel_aggregates(key: str = "transaction_id") -> list[Column]:
     ]
 
 
-def distinct_values(txn: DataFrame, device_limit: int = 3, key: str = "customer_id") -> DataFrame:
-    """Per customer: distinct countries and merchants, and whether devices are too many.
+def _distinct_counts(txn: DataFrame, values: Mapping[str, Column], key: str) -> DataFrame:
+    """Per customer: the number of distinct values of each expression; 0 for NULLs only.
 
     Values are narrow rows that are made unique per map task before they are shuffled by
     (customer, value), so neither a busy customer nor their sets are held in one place.
     Several distinct counts in one aggregate would multiply whole rows instead.
     """
-    value = lambda kind, column: F.struct(
-        F.lit(kind).alias("_kind"), F.col(column).cast("string").alias("_value")
-    )
-    kinds = {"country": "merchant_country", "merchant": "merchant_name", "device": "device_id"}
-    used = {kind: column for kind, column in kinds.items() if column in txn.columns}
-    pairs = txn.select(key, F.inline(F.array(*[value(*x) for x in used.items()])))
-    unique = pairs.filter(F.col("_value").isNotNull()).distinct()
-    found = lambda kind: F.count_if(F.col("_kind") == kind)
+    cells = [
+        F.struct(F.lit(name).alias("_kind"), value.cast("string").alias("_value"))
+        for name, value in values.items()
+    ]
+    unique = txn.select(key, F.inline(F.array(*cells))).filter(F.col("_value").isNotNull()).distinct()
     return unique.groupBy(key).agg(
-        found("country").alias("distinct_countries_30d"),
-        found("merchant").alias("distinct_merchants_7d"),
-        (found("device") > device_limit).alias("unknown_device_flag"),
+        *[F.count_if(F.col("_kind") == name).alias(name) for name in values]
     )
 
 
+def distinct_values(txn: DataFrame, device_limit: int = 3, key: str = "customer_id") -> DataFrame:
+    """Per customer: distinct countries and merchants, and whether devices are too many."""
+    kinds = {
+        "distinct_countries_30d": "merchant_country",
+        "distinct_merchants_7d": "merchant_name",
+        "_devices": "device_id",
+    }
+    used = {
+        kind: F.col(column) if column in txn.columns else F.lit(None)
+        for kind, column in kinds.items()
+    }
+    found = _distinct_counts(txn, used, key)
+    return found.withColumn("unknown_device_flag", F.col("_devices") > device_limit).drop("_devices")
+
+
 def merchant_aggregates() -> list[Column]:
     """The mean of a customer's own z-scores, which is 0 up to rounding."""
     return [F.avg("amount_zscore").alias("merchant_risk_score")]
@@ -135,20 +147,20 @@ def asof_features(
         return (F.col(ts) >= as_of - F.expr(f"INTERVAL {days} DAYS")) & (F.col(ts) <= as_of)
 
     in_30, in_7 = within(30), within(7)
-    return (
-        txn.filter(in_30)
-        .groupBy(customer)
-        .agg(
-            F.count("transaction_id").alias("txn_count_30d_asof"),
-            F.avg("amount").alias("avg_txn_amount_30d_asof"),
-            F.max("amount").alias("max_txn_amount_30d_asof"),
-            F.count_distinct("merchant_country").alias("distinct_countries_30d_asof"),
-            F.count_if(in_7 & (F.col("status") == "declined")).alias("declined_txn_count_7d_asof"),
-            F.count_distinct(F.when(in_7, F.col("merchant_name"))).alias(
-                "distinct_merchants_7d_asof"
-            ),
-        )
+    recent = txn.filter(in_30)
+    sums = recent.groupBy(customer).agg(
+        F.count("transaction_id").alias("txn_count_30d_asof"),
+        F.avg("amount").alias("avg_txn_amount_30d_asof"),
+        F.max("amount").alias("max_txn_amount_30d_asof"),
+        F.count_if(in_7 & (F.col("status") == "declined")).alias("declined_txn_count_7d_asof"),
     )
+    distinct = {
+        "distinct_countries_30d_asof": F.col("merchant_country"),
+        "distinct_merchants_7d_asof": F.when(in_7, F.col("merchant_name")),
+    }
+    # Both sides end spread by customer, so this join moves no rows.
+    joined = sums.join(_distinct_counts(recent, distinct, customer), customer, "left")
+    return joined.fillna(0, list(distinct))
 
 
 def one_account(per_account: DataFrame) -> DataFrame:
@@ -156,6 +168,21 @@ def one_account(per_account: DataFrame) -> DataFrame:
     return dedup_latest(per_account, ["customer_id"], [F.asc_nulls_last("account_id")])
 
 
+def _per_customer(txn: DataFrame, device_limit: int) -> DataFrame:
+    # Both sides end spread by customer, so this join moves no rows.
+    features = txn.groupBy("customer_id").agg(*card_aggregates())
+    return features.join(distinct_values(txn, device_limit), "customer_id", "left")
+
+
+def _on_accounts(accounts: DataFrame, features: DataFrame, grain: str) -> DataFrame:
+    base = accounts.select("customer_id", "account_id", "account_status", "credit_limit")
+    if grain == "account":
+        return attach_per_key(base, features, ["customer_id"], ["account_id"])
+    if grain == "customer":
+        return one_account(base).join(features, "customer_id", "left")
+    raise ValueError(f"grain must be 'account' or 'customer', not {grain!r}")
+
+
 def card_features(
     txn: DataFrame, accounts: DataFrame, device_limit: int = 3, grain: str = "account"
 ) -> DataFrame:
@@ -164,19 +191,31 @@ def card_features(
     `grain="account"` gives a row per account; `"customer"` keeps, for each
     customer, the account with the smallest id.
     """
-    base = accounts.select("customer_id", "account_id", "account_status", "credit_limit")
-    # Both sides end spread by customer, so this join moves no rows.
-    features = txn.groupBy("customer_id").agg(*card_aggregates())
-    features = features.join(distinct_values(txn, device_limit), "customer_id", "left")
-    if grain == "account":
-        joined = attach_per_key(base, features, ["customer_id"], ["account_id"])
-    elif grain == "customer":
-        joined = one_account(base).join(features, "customer_id", "left")
-    else:
-        raise ValueError(f"grain must be 'account' or 'customer', not {grain!r}")
+    joined = _on_accounts(accounts, _per_customer(txn, device_limit), grain)
     return fill_defaults(joined, CARD_NUMERIC, ["unknown_device_flag"])
 
 
+def card_feature_table(
+    txn: DataFrame, accounts: DataFrame, as_of: Column, device_limit: int = 3, grain: str = "account"
+) -> DataFrame:
+    """All documented card features: all-time, busiest stretches, as of a date, categories.
+
+    Each set of features is one row per customer and spread by customer, so joining them
+    moves no rows; the accounts are joined once, to all of them.
+    """
+    sets = [
+        peak_rolling_counts(txn, PEAK_WINDOWS),
+        asof_features(txn, as_of),
+        merchant_category_risk(txn),
+    ]
+    features = _per_customer(txn, device_limit)
+    for one in sets:
+        features = features.join(one, "customer_id", "left")
+    added = [c for one in sets for c in one.columns if c != "customer_id"]
+    joined = _on_accounts(accounts, features, grain)
+    return fill_defaults(joined, [*CARD_NUMERIC, *added], ["unknown_device_flag"])
+
+
 def with_rolling_velocity(features: DataFrame, txn: DataFrame) -> DataFrame:
     """Add each customer's busiest ten minutes and busiest hour, in transactions."""
     peaks = peak_rolling_counts(txn, PEAK_WINDOWS)

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from riskflow.operators.skew import attach_per_key
 from riskflow.sources.tables import stored
 
+#: Rows of a range of the order of all repayments.
+RANGE_ROWS = 2_000_000
+
 
 # --- applications ------------------------------------------------------------
 # `source` is where an operator counts, by default the rows it adds to. Operators that
@@ -203,16 +206,19 @@ def with_missed_streak(
     """Add the length of the run of missed payments that ends at each row (0 if paid).
 
     Runs follow the total order (due date, repayment id) of each customer. The whole
-    order is cut into `ranges` parts of about equal size, by default as many as there
-    are shuffle partitions, which a customer with very many rows may span. They are
-    stored, as they are read twice. Runs are measured inside a range, and one that is
+    order is cut into `ranges` parts of about equal size, which a customer with very many
+    rows may span: by default as many as there are shuffle partitions, and more if a part
+    would exceed `RANGE_ROWS`. They are stored, as they are read twice. Runs are measured inside a range, and one that is
     still open at its end is carried into the next by a window over one row per
     customer and range.
     """
     # A struct equals another if both hold NULL: rows without a customer stay together.
     rows = repayments.withColumn("_who", F.struct(customer))
     order = [F.col(due).asc_nulls_first(), F.col(repayment)]
-    parts = ranges or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = ranges or max(
+        int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+        -(-repayments.count() // RANGE_ROWS),
+    )
     ranged = rows.repartitionByRange(parts, "_who", *order)
     ranged = stored(ranged.withColumn("_chunk", F.spark_partition_id()), "repayment-ranges")
     streaks = _runs_by_chunk(ranged, order, missed)

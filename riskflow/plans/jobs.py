@@ -113,16 +113,6 @@ def build_silver(store: Store, mask: bool = True) -> None:
         store.write(silver.silver_repayments(store.read(c.BRONZE_LOAN_REP)), c.SILVER_LOAN_REP)
 
 
-def card_feature_table(
-    txn: DataFrame, accounts: DataFrame, as_of: Column, device_limit: int = 3
-) -> DataFrame:
-    """All documented card features: all-time, busiest stretches, as of a date, categories."""
-    card = f.card_features(txn, accounts, device_limit)
-    card = f.with_rolling_velocity(card, txn)
-    card = f.with_asof(card, txn, as_of)
-    return f.with_category_risk(card, txn)
-
-
 def build_features(
     store: Store, as_of: Column | None = None, card_rules: list[c.Rule] | None = None
 ) -> None:
@@ -136,7 +126,7 @@ def build_features(
 
 
 def _build_features(store: Store, as_of: Column, card_rules: list[c.Rule] | None) -> None:
-    card = card_feature_table(
+    card = f.card_feature_table(
         store.read(c.SILVER_CARD_TXN), store.read(c.SILVER_CARD_ACC), as_of
     )
     rules = c.card_rules() if card_rules is None else card_rules

@@ -14,6 +14,7 @@ from riskflow.functions import normalize as n
 from riskflow.functions import signals
 from riskflow.operators import loans, transactions
 from riskflow.operators.dedup import dedup_latest
+from riskflow.sources.tables import stored
 
 
 def _latest_first(df: DataFrame, *columns: str) -> list[str]:
@@ -98,5 +99,8 @@ def silver_repayments(bronze: DataFrame, dedup_first: bool = False) -> DataFrame
     unique = dedup_latest(df, ["repayment_id"], _latest_first(df, "due_date"))
     counted = unique if dedup_first else df
     out = unique.withColumn("payment_shortfall", signals.payment_shortfall())
-    out = loans.with_cumulative_missed(out, source=counted)
-    return loans.with_missed_streak(out)
+    # Stored, as it is read twice: narrow for the streaks, and whole for the result.
+    out = stored(loans.with_cumulative_missed(out, source=counted), "silver-repayments")
+    streaks = loans.missed_streak(out).select(F.col("repayment_id").alias("_id"), "missed_streak")
+    # One row per repayment on both sides.
+    return out.join(streaks, F.col("repayment_id").eqNullSafe(F.col("_id")), "left").drop("_id")
