@@ -19,8 +19,11 @@ def dedup_latest(df: DataFrame, key: Sequence[str], latest: Sequence[str | Colum
 
     `row_number() = 1` lets Spark cut every key down to one row per map task
     before the shuffle, so copies of a hot key never travel. Rows that tie on
-    `latest` are told apart by their content, so a rerun keeps the same one.
+    `latest` are told apart by their other content, so a rerun keeps the same one, even
+    if it gives all rows another load time.
     """
     order = [F.desc_nulls_last(c) if isinstance(c, str) else c for c in latest]
-    w = W.partitionBy(*key).orderBy(*order, F.xxhash64(*df.columns))
+    compared = {c for c in latest if isinstance(c, str)}
+    content = [c for c in df.columns if c not in compared] or list(key)
+    w = W.partitionBy(*key).orderBy(*order, F.xxhash64(*content))
     return df.withColumn("_rank", F.row_number().over(w)).filter("_rank = 1").drop("_rank")

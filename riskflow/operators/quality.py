@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from riskflow.config import Feed
@@ -87,6 +87,23 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def observed(df: DataFrame, key: str, malformed: str) -> tuple[DataFrame, Observation]:
+    """`df`, and the counts of what passes when it is written: rows, malformed, null_keys.
+
+    NULL keys are those of sound rows. Without a key column there are none.
+    """
+    seen = Observation()
+    sound = F.col(malformed).isNull()
+    no_key = F.col(key).isNull() if key in df.columns else F.lit(False)
+    counted = df.observe(
+        seen,
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(~sound).alias("malformed"),
+        F.count_if(sound & no_key).alias("null_keys"),
+    )
+    return counted, seen
+
+
 def profile(df: DataFrame, feed: Feed) -> DataFrame:
     """The checks on a raw feed: (check, column, value, status).
 
@@ -125,13 +142,19 @@ def profile(df: DataFrame, feed: Feed) -> DataFrame:
     return checks.withColumn("status", status)
 
 
-def report(df: DataFrame, feed: Feed) -> DataFrame:
+def report(df: DataFrame, feed: Feed, malformed: int | None = None) -> DataFrame:
     """`profile`, and how often each value of the feed's breakdown columns occurs.
 
     A frequency is a row with the check `values` and the value in `detail`, which is NULL
-    in all other rows and for a NULL value.
+    in all other rows and for a NULL value. `malformed` is the number of rows that were
+    kept apart when the feed was read; above zero it is a warning.
     """
-    checks = profile(df, feed).withColumn("detail", F.lit(None).cast("string"))
+    checks = profile(df, feed)
+    if malformed is not None:
+        status = "WARNING" if malformed else "OK"
+        row = [("malformed_rows", "", malformed, status)]
+        checks = checks.unionByName(df.sparkSession.createDataFrame(row, checks.schema))
+    checks = checks.withColumn("detail", F.lit(None).cast("string"))
     present = [c for c in feed.breakdowns if c in df.columns]
     if not present:
         return checks

@@ -7,10 +7,10 @@ before alerts and alerts before customer risk, which counts them.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,14 +20,18 @@ from riskflow import config as c
 from riskflow.functions import signals
 from riskflow.functions.normalize import cast_columns, mask_tail, parse_dates
 from riskflow.operators import features as f
-from riskflow.operators import quality, report, runlog, scores
+from riskflow.operators import quality, report, runlog, scores, state
 from riskflow.operators.alerts import fraud_alerts
 from riskflow.operators.customer_risk import customer_risk, with_activity
 from riskflow.operators.dedup import dedup_latest
 from riskflow.plans import silver
 from riskflow.sources.export import write_csv
-from riskflow.sources.raw import read_raw, with_ingest_metadata
-from riskflow.sources.tables import read_table, write_table
+from riskflow.sources.raw import MALFORMED, has_malformed_rows, read_raw, with_ingest_metadata
+from riskflow.sources.tables import read_table, replace_partitions, upsert_latest, write_table
+
+#: The day a row was loaded, and the state per customer and load date.
+LOAD_DATE = "_load_date"
+CARD_STATE = "silver_card.silver_card_state"
 
 
 @dataclass(frozen=True)
@@ -48,12 +52,16 @@ class Store:
     def read(self, table: str) -> DataFrame:
         return read_table(self.spark, self.name(table), self.fmt)
 
+    def ensure(self, table: str) -> None:
+        """Create the database of a catalog table where there is none."""
+        if self.root is None and "." in table:
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.rsplit('.', 1)[0]}")
+
     def write(
         self, df: DataFrame, table: str, mode: str = "overwrite", bucket_by: str | None = None
     ) -> DataFrame:
         """Write `df`, creating a missing database first, and read it back."""
-        if self.root is None and "." in table:
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.rsplit('.', 1)[0]}")
+        self.ensure(table)
         write_table(df, self.name(table), mode, self.fmt, bucket_by, self.buckets)
         return self.read(table)
 
@@ -70,16 +78,113 @@ def logged(store: Store, stage: str) -> Iterator[runlog.RunLog]:
         log.error(f"failed: {type(error).__name__}: {error}"[:2000])
         raise
     finally:
-        if store.root is None:
-            store.spark.sql(f"CREATE DATABASE IF NOT EXISTS {c.RUN_LOG.rsplit('.', 1)[0]}")
+        store.ensure(c.RUN_LOG)
         log.append(store.spark, store.name(c.RUN_LOG), store.fmt)
 
 
-def ingest(store: Store, feed: c.Feed, path: str, multiline: bool = False) -> None:
-    """Raw file to bronze."""
-    with logged(store, f"{feed.name}_ingest"):
-        raw = quality.require_not_empty(read_raw(store.spark, path, multiline), feed.file)
-        store.write(with_ingest_metadata(raw, feed.file), feed.table)
+def _landed(
+    store: Store, feed: c.Feed, path: str, multiline: bool, write: Callable[[DataFrame], None]
+) -> dict[str, int]:
+    """Write the sound rows of a raw file with `write`, counting all rows in the same pass."""
+    raw = read_raw(store.spark, path, multiline, malformed=MALFORMED)
+    quality.require_not_empty(raw, feed.file)
+    rows, seen = quality.observed(with_ingest_metadata(raw, feed.file), feed.key, MALFORMED)
+    write(rows.filter(F.col(MALFORMED).isNull()).drop(MALFORMED))
+    return seen.get
+
+
+def _land(
+    store: Store,
+    feed: c.Feed,
+    path: str,
+    multiline: bool | None,
+    log: runlog.RunLog,
+    write: Callable[[DataFrame], None],
+    written: Callable[[], DataFrame],
+) -> dict[str, int]:
+    """Raw file to bronze by `write`; its rows, malformed rows and NULL keys.
+
+    `multiline=None` reads line by line, many tasks to a file, and only if that makes
+    malformed rows once more with line breaks in fields. Rows that are still malformed are
+    kept apart with their text, in a table of their own. Counts come from the pass that
+    writes; the table, whose own count is read from its files' footers, has to agree.
+    """
+    counts = _landed(store, feed, path, bool(multiline), write)
+    if multiline is None and counts["malformed"]:
+        multiline = True
+        counts = _landed(store, feed, path, True, write)
+    raw = with_ingest_metadata(
+        read_raw(store.spark, path, bool(multiline), malformed=MALFORMED), feed.file
+    )
+    broken = raw.filter(F.col(MALFORMED).isNotNull())
+    if not counts["malformed"]:
+        broken = store.spark.createDataFrame([], raw.schema)
+    store.write(broken, malformed_table(feed))
+    found = written().count()
+    if found != counts["rows"] - counts["malformed"]:
+        raise RuntimeError(f"{feed.table} has {found} rows, not those written: {counts}")
+    log.info(f"{found} rows")
+    for name in ("malformed", "null_keys"):
+        if counts[name]:
+            log.warning(f"{name}: {counts[name]}")
+    return counts
+
+
+def malformed_table(feed: c.Feed) -> str:
+    return f"{feed.table}_malformed"
+
+
+def ingest(
+    store: Store, feed: c.Feed, path: str, multiline: bool | None = None
+) -> dict[str, int]:
+    """Raw file to bronze, replacing the table; see `_land` for what it returns and checks."""
+    with logged(store, f"{feed.name}_ingest") as log:
+        return _land(
+            store, feed, path, multiline, log,
+            lambda rows: store.write(rows, feed.table), lambda: store.read(feed.table),
+        )
+
+
+def load_day(
+    store: Store, feed: c.Feed, path: str, day: date, multiline: bool | None = None
+) -> dict[str, int]:
+    """One day's raw file into bronze that is partitioned by load date, and what follows from it.
+
+    The day's partition is replaced, so loading a day twice changes nothing, and the files of
+    other days stay. Accounts are then brought into silver, which rewrites only the parts
+    with a key of that day; of transactions the day's state per customer is replaced. An
+    account that a corrected file no longer has stays in silver.
+    """
+    with logged(store, f"{feed.name}_load") as log:
+        store.ensure(feed.table)
+        name = store.name(feed.table)
+        loaded = lambda: store.read(feed.table).filter(F.col(LOAD_DATE) == F.lit(day))
+        counts = _land(
+            store, feed, path, multiline, log,
+            lambda rows: replace_partitions(
+                rows.withColumn(LOAD_DATE, F.lit(day)), name, LOAD_DATE, store.fmt
+            ),
+            loaded,
+        )
+        if feed.name == c.CARD_ACC.name:
+            store.ensure(c.SILVER_CARD_ACC)
+            rows = silver.silver_accounts(loaded())
+            upsert_latest(
+                rows, store.name(c.SILVER_CARD_ACC), ["account_id"], [LOAD_DATE, "_ingested_at"],
+                fmt=store.fmt,
+            )
+        if feed.name == c.CARD_TXN.name:
+            accounts = store.read(c.SILVER_CARD_ACC)
+            store.ensure(CARD_STATE)
+            typed = silver.silver_transactions(loaded(), accounts)
+            day_state = state.moments(typed).withColumn(LOAD_DATE, F.lit(day))
+            replace_partitions(day_state, store.name(CARD_STATE), LOAD_DATE, store.fmt)
+        return counts
+
+
+def card_state(store: Store) -> DataFrame:
+    """The state of all loaded transactions per customer, from the states of the days."""
+    return state.merge_moments(store.read(CARD_STATE).drop(LOAD_DATE))
 
 
 def validate(store: Store, feed: c.Feed) -> DataFrame:
@@ -87,7 +192,8 @@ def validate(store: Store, feed: c.Feed) -> DataFrame:
     with logged(store, f"{feed.name}_bronze"):
         bronze = store.read(feed.table)
         quality.require_not_empty(bronze, feed.table)
-        report_rows = store.write(quality.report(bronze, feed), f"{feed.table}_report")
+        broken = store.read(malformed_table(feed)).count()
+        report_rows = store.write(quality.report(bronze, feed, broken), f"{feed.table}_report")
         checks = report_rows.filter("check <> 'values'")
         store.write(runlog.from_checks(checks, f"{feed.name}_bronze"), c.RUN_LOG, "append")
         quality.require_columns(bronze, feed.required, feed.table)
@@ -142,7 +248,7 @@ def _build_features(store: Store, as_of: Column, card_rules: list[c.Rule] | None
 
 
 def build_gold(
-    store: Store, customers_path: str, mask: bool = True, multiline: bool = False
+    store: Store, customers_path: str, mask: bool = True, multiline: bool | None = None
 ) -> None:
     """Scores, then alerts, then the customer view with its alert counts."""
     with logged(store, "gold"):
@@ -169,11 +275,16 @@ def _build_gold(store: Store, customers: DataFrame) -> None:
     store.write(activity, c.GOLD_CUSTOMER_RISK, bucket_by="customer_id")
 
 
-def customer_reference(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+def customer_reference(
+    spark: SparkSession, path: str, multiline: bool | None = None
+) -> DataFrame:
     """The customers file, one row per customer, typed, with an age where it gives none.
 
-    Of repeated customers any one row is kept, but the same on every run.
+    Of repeated customers any one row is kept, but the same on every run. `multiline=None`
+    allows line breaks in fields only if the file has malformed rows without them.
     """
+    if multiline is None:
+        multiline = has_malformed_rows(spark, path)
     raw = dedup_latest(read_raw(spark, path, multiline), ["customer_id"], [])
     df = parse_dates(
         cast_columns(raw, {"age": "int", "stated_income": "double"}), ["date_of_birth"]
@@ -206,7 +317,7 @@ def run_all(
     store: Store,
     source: str,
     export_to: str | None = None,
-    multiline: bool = False,
+    multiline: bool | None = None,
     mask: bool = True,
     as_of: Column | None = None,
     card_rules: list[c.Rule] | None = None,

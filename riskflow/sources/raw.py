@@ -7,12 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Holds the text of a row that doesn't have just the columns of the header.
+MALFORMED = "_malformed"
+
 
 def read_raw(
     spark: SparkSession,
     path: str,
     multiline: bool = False,
     columns: Sequence[str] | None = None,
+    malformed: str | None = None,
 ) -> DataFrame:
     """Read CSV with a header, all columns as strings.
 
@@ -20,6 +24,10 @@ def read_raw(
     to have just these, in this order: a header that differs fails the read, so that no
     value ends up under another name. Files are split among tasks, however large.
     `multiline` lets a quoted field contain line breaks, which makes each file one task.
+
+    A row with too few or too many fields keeps what fits. `malformed` names a column that
+    then holds the row's text, and is NULL for sound rows; read line by line, a field with
+    a line break makes malformed rows of its row's lines.
     """
     reader = (
         spark.read.option("header", True)
@@ -28,8 +36,23 @@ def read_raw(
         .option("escape", '"')
     )
     names = reader.csv(path).columns if columns is None else columns
+    if malformed is not None:
+        names = [*names, malformed]
+        reader = reader.option("columnNameOfCorruptRecord", malformed)
     schema = ", ".join(f"`{c.replace('`', '``')}` string" for c in names)
-    return reader.schema(schema).option("enforceSchema", False).csv(path)
+    raw = reader.schema(schema).option("enforceSchema", False).csv(path)
+    if malformed is None:
+        return raw
+    # Only a row of which all fields are read is known to be malformed, so this column asks
+    # for all of them. The condition always holds, yet is no constant.
+    all_read = F.hash(*[c for c in raw.columns if c != malformed]).bitwiseAND(F.lit(0)) == 0
+    return raw.withColumn(malformed, F.when(all_read, F.col(malformed)))
+
+
+def has_malformed_rows(spark: SparkSession, path: str, multiline: bool = False) -> bool:
+    """Whether any row hasn't just the columns of the header."""
+    raw = read_raw(spark, path, multiline, malformed=MALFORMED)
+    return not raw.filter(F.col(MALFORMED).isNotNull()).isEmpty()
 
 
 def with_ingest_metadata(

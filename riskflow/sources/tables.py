@@ -3,8 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from riskflow.operators.dedup import dedup_latest
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -42,6 +47,67 @@ def write_table(
         writer.saveAsTable(name)
 
 
+def table_exists(spark: SparkSession, name: str, fmt: str = "parquet") -> bool:
+    """Whether a table, or a folder if `name` contains a slash, can be read."""
+    if "/" not in name:
+        return spark.catalog.tableExists(name)
+    try:
+        spark.read.format(fmt).load(name)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
+    return True
+
+
+def replace_partitions(df: DataFrame, name: str, partition: str, fmt: str = "parquet") -> None:
+    """Write `df`, replacing just those partitions of the table that it has rows for.
+
+    The table is made where there is none. Others keep their files, and writing the same
+    rows again changes nothing. A table with the partitions' rows must not be read by `df`.
+    """
+    spark = df.sparkSession
+    df = df.select(*[c for c in df.columns if c != partition], partition)
+    writer = df.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    if "/" in name:
+        writer.partitionBy(partition).save(name)
+    elif table_exists(spark, name):
+        df.select(*spark.table(name).columns).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).insertInto(name)
+    else:
+        writer.partitionBy(partition).saveAsTable(name)
+
+
+def upsert_latest(
+    rows: DataFrame,
+    name: str,
+    key: Sequence[str],
+    latest: Sequence[str | Column],
+    parts: int = 64,
+    fmt: str = "parquet",
+) -> list[int]:
+    """Bring `rows` into a table that keeps the latest row of each key; the parts written.
+
+    The table is partitioned by `_part`, the key's hash modulo `parts` (always the same
+    number). Only parts with a key among `rows` are read, merged and written again; so a
+    load costs what it touches, and loading the same rows twice changes nothing.
+    """
+    spark = rows.sparkSession
+    part = F.pmod(F.xxhash64(*key), F.lit(parts)).cast("int")
+    rows = rows.withColumn("_part", part)
+    touched = sorted(r[0] for r in rows.select("_part").distinct().collect())  # at most `parts`
+    if not touched:
+        return []
+    if table_exists(spark, name, fmt):
+        old = read_table(spark, name, fmt).filter(F.col("_part").isin(touched))
+        rows = old.unionByName(rows)
+    kept = dedup_latest(rows, key, latest)
+    # Stored first: the table is both read and written.
+    replace_partitions(stored(kept, "upsert").hint("rebalance", F.col("_part")), name, "_part", fmt)
+    return touched
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate tables, seen by the driver and all executors.
 

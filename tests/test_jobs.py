@@ -9,9 +9,9 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from riskflow import config as c
-from riskflow.operators import runlog
+from riskflow.operators import quality, runlog, state
 from riskflow.plans import jobs, silver
-from riskflow.sources.raw import read_raw, with_ingest_metadata
+from riskflow.sources.raw import has_malformed_rows, read_raw, with_ingest_metadata
 from riskflow.sources.tables import checkpointed, read_table, write_table
 
 
@@ -248,3 +248,118 @@ def test_dedup_first_changes_only_the_statistics(spark, source):
     assert rows(late.drop("amount_zscore")) == rows(early.drop("amount_zscore"))
     mean = {r.customer_id: r.m for r in early.groupBy("customer_id").agg({"amount_zscore": "avg"}).toDF("customer_id", "m").collect()}
     assert all(abs(m) < 1e-9 for m in mean.values())
+
+
+BROKEN = 'a,b,c\n1,"x, ""y""",2\n2,short\n3,"line\nbreak",4\n5,too,many,fields\n6,,\n'
+
+
+def test_malformed_rows_are_told_apart(spark, tmp_path):
+    (tmp_path / "m.csv").write_text(BROKEN)
+    path = str(tmp_path / "m.csv")
+    df = read_raw(spark, path, multiline=True, malformed="_malformed")
+    assert rows(df.filter("_malformed is null").drop("_malformed")) == [("1", 'x, "y"', "2"), ("3", "line\nbreak", "4"), ("6", None, None)]
+    assert {r._malformed for r in df.filter("_malformed is not null").collect()} == {"2,short", "5,too,many,fields"}
+    split = read_raw(spark, path, malformed="_malformed")
+    assert split.filter("_malformed is not null").select("a", "_malformed").count() == 4
+    assert split.filter("_malformed is null").drop("_malformed").count() == 2
+    assert has_malformed_rows(spark, path)
+    (tmp_path / "n.csv").write_text('a,b\n1,"2"\n')
+    assert not has_malformed_rows(spark, str(tmp_path / "n.csv"))
+
+
+def _feed(path, lines):
+    path.write_text("transaction_id,amount,note\n" + "".join(f"{x}\n" for x in lines))
+    return str(path)
+
+
+def test_ingest_counts_what_it_writes(spark, tmp_path):
+    store = jobs.Store(spark, str(tmp_path / "lake"))
+    path = _feed(tmp_path / "t.csv", ["t1,5,x", ",6,y", "t3,7", 't4,8,"two\nlines"', "t5,9,x"])
+    assert jobs.ingest(store, c.CARD_TXN, path) == {"rows": 5, "malformed": 1, "null_keys": 1}
+    bronze = store.read(c.BRONZE_CARD_TXN)
+    assert rows(bronze, "transaction_id", "note") == [(None, "y"), ("t1", "x"), ("t4", "two\nlines"), ("t5", "x")]
+    assert jobs.MALFORMED not in bronze.columns
+    apart = store.read(jobs.malformed_table(c.CARD_TXN))
+    assert rows(apart, "_malformed", "_source_file") == [("t3,7", "card_transactions.csv")]
+    log = {(r.level, r.message) for r in store.read(c.RUN_LOG).collect()}
+    assert {("INFO", "4 rows"), ("WARNING", "malformed: 1"), ("WARNING", "null_keys: 1")} <= log
+    report_rows = quality.report(bronze, c.CARD_TXN, apart.count())
+    assert ("malformed_rows", "", 1, "WARNING", None) in {tuple(r) for r in report_rows.collect()}
+    # A sound file empties the table of malformed rows.
+    clean = _feed(tmp_path / "u.csv", ["t1,5,x"])
+    assert jobs.ingest(store, c.CARD_TXN, clean) == {"rows": 1, "malformed": 0, "null_keys": 0}
+    assert store.read(jobs.malformed_table(c.CARD_TXN)).count() == 0
+    with pytest.raises(ValueError, match="no rows"):
+        jobs.ingest(store, c.CARD_TXN, _feed(tmp_path / "v.csv", []))
+
+
+def test_ingest_fails_if_the_table_differs(spark, tmp_path, monkeypatch):
+    store = jobs.Store(spark, str(tmp_path / "lake"))
+    path = _feed(tmp_path / "t.csv", ["t1,5,x", "t2,6,y"])
+    monkeypatch.setattr(jobs, "write_table", lambda df, name, *rest: write_table(
+        df.filter("note <> 'y'") if "note" in df.columns else df, name, *rest
+    ))
+    with pytest.raises(RuntimeError, match="has 1 rows"):
+        jobs.ingest(store, c.CARD_TXN, path)
+
+
+def _files(folder):
+    return {str(p.relative_to(folder)): p.stat().st_mtime_ns for p in folder.rglob("*.parquet")}
+
+
+@pytest.mark.parametrize("catalog", [False, True])
+def test_days_are_loaded_once(spark, tmp_path, source, catalog):
+    """Loading a day again changes nothing; other days and untouched parts keep their files."""
+    if catalog:
+        spark.sql("DROP DATABASE IF EXISTS bronze_card CASCADE")
+        spark.sql("DROP DATABASE IF EXISTS silver_card CASCADE")
+    store = jobs.Store(spark, None if catalog else str(tmp_path / "lake"))
+    header, *lines = open(f"{source}/card_accounts.csv").read().splitlines()
+    days = {date(2024, 5, 1): lines[:6], date(2024, 5, 2): [*lines[6:], lines[0].replace("za ", "gb ")]}
+    for day, part in days.items():
+        (tmp_path / f"{day}.csv").write_text("\n".join([header, *part]) + "\n")
+    load = lambda day: jobs.load_day(store, c.CARD_ACC, str(tmp_path / f"{day}.csv"), day)
+    first, second = days
+    assert load(first)["rows"] == 6
+    folder = tmp_path / "lake"
+    before = {} if catalog else _files(folder)
+    load(second)
+    bronze = store.read(c.BRONZE_CARD_ACC).drop("_ingested_at")
+    accounts = store.read(c.SILVER_CARD_ACC).drop("_ingested_at")
+    after = rows(bronze), rows(accounts)
+    assert len(after[0]) == len(lines) + 1 and len(after[1]) == 8
+    assert {r.account_id: r.billing_country for r in accounts.collect()}["ac0"] in ("ZA", "GB")
+    if not catalog:
+        kept = _files(folder)
+        old_days = [f for f in before if f"_load_date={first}" in f]
+        assert old_days and all(kept[f] == before[f] for f in old_days)
+        touched = {r[0] for r in accounts.filter(F.col("_load_date") == F.lit(second)).select("_part").collect()}
+        parts = [f for f in before if "silver_card_acc" in f and int(f.split("_part=")[1].split("/")[0]) not in touched]
+        assert parts and all(kept[f] == before[f] for f in parts)
+    load(second)
+    spark.catalog.clearCache()
+    again = store.read(c.BRONZE_CARD_ACC).drop("_ingested_at"), store.read(c.SILVER_CARD_ACC).drop("_ingested_at")
+    assert (rows(again[0]), rows(again[1])) == after
+    # An older day that is loaded late doesn't win over the later one.
+    load(first)
+    assert rows(store.read(c.SILVER_CARD_ACC).drop("_ingested_at")) == after[1]
+
+
+def test_state_follows_the_days(spark, tmp_path, source):
+    store = jobs.Store(spark, str(tmp_path / "lake"))
+    jobs.load_day(store, c.CARD_ACC, f"{source}/card_accounts.csv", date(2024, 5, 1))
+    raw = read_raw(spark, f"{source}/card_transactions.csv", multiline=True).dropDuplicates(["transaction_id"])
+    parts = {date(2024, 5, 1): "rlike '[0-4]$'", date(2024, 5, 2): "rlike '[5-9]$'"}
+    for day, condition in parts.items():
+        part = raw.filter(f"transaction_id {condition}").drop("_malformed")
+        part.coalesce(1).write.option("header", True).option("escape", '"').csv(str(tmp_path / str(day)))
+        for _ in range(2):
+            jobs.load_day(store, c.CARD_TXN, str(tmp_path / str(day)), day, multiline=True)
+    whole = silver.silver_transactions(raw, store.read(c.SILVER_CARD_ACC))
+    want = {r.customer_id: r for r in state.moments(whole).collect()}
+    got = {r.customer_id: r for r in jobs.card_state(store).collect()}
+    assert set(got) == set(want)
+    for k, r in got.items():
+        for name in (*state.COUNTS, "min_amount", "max_amount", "last_ts"):
+            assert r[name] == want[k][name], name
+        assert r.squares == pytest.approx(want[k].squares) and r.mean_amount == pytest.approx(want[k].mean_amount)
