@@ -863,6 +863,74 @@ QUERIES: dict[str, str] = {
                    || ': ' || value AS message,
                {ASOF} AS log_timestamp
         FROM ({_profile('bronze_acc', c.CARD_ACC, _columns('bronze_acc'))})""",
+    # --- SQL, streams, files and tables ---
+    "sql_customer_risk": "SELECT * EXCLUDE (risk_updated_at) FROM risk",
+    "sql_card_score": """
+        SELECT customer_id, card_fraud_score, top_fraud_signal, card_risk_tier FROM card_scores""",
+    "sql_log_summary": f"""
+        SELECT level, count(*) AS "count" FROM log
+        WHERE pipeline = 'card' AND {RECENT.format(24)} GROUP BY level""",
+    "sql_log_errors": f"""
+        SELECT count(*) AS errors FROM log
+        WHERE pipeline = 'card' AND level = 'ERROR' AND {RECENT.format(24)}""",
+    "streaming_velocity": """
+        SELECT customer_id, s AS window_start, s + INTERVAL 1 HOUR AS window_end,
+               count(*) AS txn_count,
+               count(*) FILTER (WHERE status = 'declined') AS declined_count
+        FROM (SELECT *, time_bucket(INTERVAL 10 MINUTES, transaction_ts)
+                        - to_minutes(CAST(10 * i AS INTEGER)) AS s
+              FROM evt, range(0, 6) r(i))
+        -- a window is final once the watermark, an hour behind the last event, has passed it
+        WHERE s + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
+        GROUP BY customer_id, s""",
+    "csv_round_trip": """
+        SELECT CAST(c_custkey AS VARCHAR) AS customer_id,
+               ' "' || c_name || '", in' || chr(10) || c_mktsegment || ' ' AS note,
+               CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment END AS segment
+        FROM customer""",
+    "malformed_rows": """
+        SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_custkey % 10 IN (3, 4) AS malformed,
+               CASE c_custkey % 10 WHEN 3 THEN c_custkey || ',' || c_name
+                   WHEN 4 THEN c_custkey || ',' || c_name || ',' || c_mktsegment || ',more'
+                   END AS line
+        FROM customer""",
+    "ingest_accounts": """
+        SELECT * EXCLUDE (_ingested_at) REPLACE (nullif(credit_limit, '') AS credit_limit),
+               'card_accounts.csv' AS _source_file
+        FROM bronze_acc""",
+    "ingest_log": """
+        SELECT 'card_acc_ingest' AS pipeline, level, message
+        FROM (SELECT 'INFO' AS level, 'started' AS message UNION ALL SELECT 'INFO', 'finished'
+              UNION ALL SELECT 'INFO', count(*) || ' rows' FROM bronze_acc
+              UNION ALL SELECT 'WARNING', 'null_keys: ' || count(*) FROM bronze_acc
+                  WHERE account_id = '5' HAVING count(*) > 0)""",
+    "load_days": """
+        SELECT account_id, TRY_CAST(nullif(credit_limit, '') AS DOUBLE) AS credit_limit,
+               lower(trim(account_status)) AS account_status,
+               upper(trim(billing_country)) AS billing_country,
+               CASE _ingested_at WHEN 1 THEN DATE '2024-05-01' ELSE DATE '2024-05-02' END
+                   AS _load_date
+        FROM silver_acc""",
+    "table_append": """
+        SELECT * FROM acc WHERE account_id % 2 = 0
+        UNION ALL SELECT * FROM acc WHERE account_id % 3 = 0""",
+    "export_csv_file": """
+        SELECT account_status, count(*) AS accounts, 1 AS files FROM acc GROUP BY account_status""",
+}
+_KPIS = (
+    "total_customers", "high_risk_customers", "flagged_in_both", "total_alerts", "open_alerts",
+    "card_alerts", "loan_alerts", "high_risk_pct",
+)
+# Queries that start from another query.
+QUERIES |= {
+    "export_kpis": f"""
+        SELECT {', '.join(f'CAST({k} AS DOUBLE) AS {k}' for k in _KPIS)}
+        FROM ({QUERIES['kpi_summary']})""",
+    "run_log_append": f"""
+        SELECT runs.pipeline, level, message
+        FROM (SELECT level, message FROM ({QUERIES['run_log_checks']})
+              UNION ALL SELECT 'INFO', count(*) || ' customers' FROM customer),
+             (VALUES ('run1'), ('run2')) runs(pipeline)""",
 }
 
 

@@ -7,7 +7,9 @@ point numbers in different orders.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,9 +25,11 @@ from riskflow.operators import transactions as t
 from riskflow.operators.alerts import fraud_alerts
 from riskflow.operators.customer_risk import customer_risk, with_activity
 from riskflow.operators.dedup import dedup_any, dedup_latest
-from riskflow.plans import jobs, silver
-from riskflow.sources.raw import with_ingest_metadata
-from riskflow.sources.tables import stored
+from riskflow.plans import jobs, silver, sql
+from riskflow.sources.export import write_csv
+from riskflow.sources.raw import MALFORMED, read_raw, with_ingest_metadata
+from riskflow.sources.tables import read_table, shared_folder, stored, write_table
+from riskflow.streaming import velocity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -694,6 +698,167 @@ def run_log_checks(s, d):
     return runlog.from_checks(quality.profile(v.bronze_acc(s, d), c.CARD_ACC), "card", at())
 
 
+# --- SQL ----------------------------------------------------------------------------------------
+def sql_customer_risk(s, d):
+    """The risk view of `plans/sql.py`, by SQL alone."""
+    sql.register_functions(s)
+    sql.register_risk_view(v.cust(s, d), card_scores(s, d), loan_scores(s, d))
+    return s.sql("SELECT * FROM customer_risk").drop("risk_updated_at")
+
+
+def sql_card_score(s, d):
+    sql.register_functions(s, CARD_RULES, LOAN_RULES, MCC)
+    card_features(s, d, "customer").createOrReplaceTempView("scored_card_features")
+    arguments = ", ".join([name for name, _ in sql.CARD_ARGUMENTS[:-1]] + [MCC])
+    return s.sql(f"""
+        SELECT customer_id, card_fraud_score({arguments}) AS card_fraud_score,
+               card_top_signal({arguments}) AS top_fraud_signal,
+               risk_tier(card_fraud_score({arguments})) AS card_risk_tier
+        FROM scored_card_features""")
+
+
+def sql_log_summary(s, d):
+    sql.register_log(run_log(s, d))
+    return s.sql(f"SELECT * FROM log_summary('card', 24, TIMESTAMP_NTZ '{LOG_AS_OF}')")
+
+
+def sql_log_errors(s, d):
+    sql.register_log(run_log(s, d))
+    return s.sql(f"SELECT * FROM log_errors('card', 24, TIMESTAMP_NTZ '{LOG_AS_OF}')")
+
+
+# --- streams ------------------------------------------------------------------------------------
+def streaming_velocity(s, d):
+    """Final hourly windows of the events as a stream of files, from the folder it writes."""
+    folder = _scratch(s, "velocity")
+    v.table(s, d, "events").write.parquet(f"{folder}/in")
+    events = velocity.read_transactions(s, f"{folder}/in", v.SCHEMAS["events"])
+    txn = events.select(
+        F.col("user_id").alias("customer_id"),
+        F.col("ts").alias("transaction_ts"),
+        F.when(F.col("event_type") == "error", "declined").otherwise("approved").alias("status"),
+    )
+    counts = velocity.windowed_counts(txn)
+    velocity.write_counts(counts, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    return s.read.schema(counts.schema).parquet(f"{folder}/out")
+
+
+# --- files and tables, written to the shared folder and read back ---------------------------------
+def _scratch(s: SparkSession, name: str) -> str:
+    return f"{shared_folder(s)}/{name}-{uuid.uuid4().hex}"
+
+
+def csv_round_trip(s, d):
+    """Quotes, commas, line breaks and outer spaces in fields survive."""
+    text = F.concat(F.lit(' "'), "c_name", F.lit('", in\n'), "c_mktsegment", F.lit(" "))
+    df = v.table(s, d, "customer").select(
+        F.col("c_custkey").cast("string").alias("customer_id"),
+        text.alias("note"),
+        F.when(F.col("c_custkey") % 3 != 0, F.col("c_mktsegment")).alias("segment"),
+    )
+    folder = _scratch(s, "csv")
+    write_csv(df, folder)
+    return read_raw(s, folder, multiline=True)
+
+
+def malformed_rows(s, d):
+    """Rows with too few or too many fields, told from sound ones, in many files."""
+    key = F.col("c_custkey")
+    fields = (
+        F.when(key % 10 == 3, F.array("c_name"))
+        .when(key % 10 == 4, F.array("c_name", "c_mktsegment", F.lit("more")))
+        .otherwise(F.array("c_name", "c_mktsegment"))
+    )
+    line = F.concat_ws(",", key.cast("string"), F.array_join(fields, ","))
+    # Each file has a header: its first line.
+    customers = v.table(s, d, "customer").select((key % 4).alias("file"), line.alias("value"), F.lit(1).alias("nth"))
+    header = s.range(4).select(F.col("id").alias("file"), F.lit("customer_id,name,segment"), F.lit(0))
+    folder = _scratch(s, "malformed")
+    lines = customers.unionAll(header).repartition(4, "file").sortWithinPartitions("file", "nth")
+    lines.select("value", "file").write.partitionBy("file").text(folder)
+    raw = read_raw(s, f"{folder}/*/", malformed=MALFORMED)
+    return raw.select(
+        "customer_id", F.col(MALFORMED).isNotNull().alias("malformed"), F.col(MALFORMED).alias("line")
+    )
+
+
+def _accounts_csv(s, d, loads) -> str:
+    """Raw account rows of some loads as CSV files."""
+    raw = v.bronze_acc(s, d)
+    folder = _scratch(s, "accounts")
+    write_csv(raw.filter(F.col("_ingested_at").isin(loads)).drop("_ingested_at"), folder)
+    return folder
+
+
+def ingest_accounts(s, d):
+    """Raw files through the ingest job into a bronze table, and the table read back."""
+    store = jobs.Store(s, _scratch(s, "lake"))
+    jobs.ingest(store, c.CARD_ACC, _accounts_csv(s, d, [1, 2]))
+    return store.read(c.BRONZE_CARD_ACC).drop("_ingested_at")
+
+
+def ingest_log(s, d):
+    """What the ingest job says in the run log: rows, and those without a key."""
+    store = jobs.Store(s, _scratch(s, "lake"))
+    raw = v.bronze_acc(s, d).drop("_ingested_at")
+    raw = raw.withColumn("account_id", F.nullif("account_id", F.lit("5")))
+    folder = _scratch(s, "accounts")
+    write_csv(raw, folder)
+    jobs.ingest(store, c.CARD_ACC, folder)
+    return store.read(c.RUN_LOG).select("pipeline", "level", "message")
+
+
+def load_days(s, d):
+    """Accounts of two days, the second loaded twice and the first again: the latest of each."""
+    store = jobs.Store(s, _scratch(s, "lake"))
+    days = {1: date(2024, 5, 1), 2: date(2024, 5, 2)}
+    for load in (1, 2, 2, 1):
+        jobs.load_day(store, c.CARD_ACC, _accounts_csv(s, d, [load]), days[load])
+    columns = ["account_id", "credit_limit", "account_status", "billing_country", jobs.LOAD_DATE]
+    return store.read(c.SILVER_CARD_ACC).select(*columns)
+
+
+def table_append(s, d):
+    """A table overwritten, then appended to, and read back."""
+    name = _scratch(s, "table")
+    accounts = v.acc(s, d)
+    write_table(accounts, name)
+    write_table(accounts.filter("account_id % 2 = 0"), name)
+    write_table(accounts.filter("account_id % 3 = 0"), name, "append")
+    return read_table(s, name)
+
+
+def export_csv_file(s, d):
+    """An export in one file, read back; rows are from as many files as there are."""
+    folder = _scratch(s, "export")
+    write_csv(v.acc(s, d).select("account_id", "account_status"), folder, single_file=True)
+    raw = read_raw(s, folder).select("*", F.col("_metadata.file_path").alias("path"))
+    return raw.groupBy("account_status").agg(
+        F.count("account_id").alias("accounts"), F.count_distinct("path").alias("files")
+    )
+
+
+def export_kpis(s, d):
+    """The KPI row as CSV, read back as text."""
+    folder = _scratch(s, "kpi")
+    write_csv(kpi_summary(s, d), folder, single_file=True)
+    raw = read_raw(s, folder)
+    return raw.select(*[F.col(x).cast("double").alias(x) for x in raw.columns])
+
+
+def run_log_append(s, d):
+    """Two runs' messages and check results appended to one log."""
+    name = _scratch(s, "log")
+    checks = quality.profile(v.bronze_acc(s, d), c.CARD_ACC)
+    customers = v.table(s, d, "customer").count()
+    for run in (1, 2):
+        log = runlog.RunLog(f"run{run}")
+        log.info(f"{customers} customers")
+        log.append(s, name)
+        write_table(runlog.from_checks(checks, f"run{run}"), name, "append")
+    return read_table(s, name).select("pipeline", "level", "message")
+
+
 QUERIES: dict[str, Query] = {
     "ingest_metadata": ingest_metadata,
     "cast_columns": cast_columns,
@@ -794,4 +959,18 @@ QUERIES: dict[str, Query] = {
     "run_log_summary": run_log_summary,
     "run_log_errors": run_log_errors,
     "run_log_checks": run_log_checks,
+    "sql_customer_risk": sql_customer_risk,
+    "sql_card_score": sql_card_score,
+    "sql_log_summary": sql_log_summary,
+    "sql_log_errors": sql_log_errors,
+    "streaming_velocity": streaming_velocity,
+    "csv_round_trip": csv_round_trip,
+    "malformed_rows": malformed_rows,
+    "ingest_accounts": ingest_accounts,
+    "ingest_log": ingest_log,
+    "load_days": load_days,
+    "table_append": table_append,
+    "export_csv_file": export_csv_file,
+    "export_kpis": export_kpis,
+    "run_log_append": run_log_append,
 }

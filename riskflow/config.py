@@ -136,6 +136,16 @@ def card_rules(
     ]
 
 
+def job_card_rules() -> list[Rule]:
+    """The card rules of the feature job: merchant risk is that of the categories paid in.
+
+    The mean of a customer's own z-scores, which the rule compares by default, is 0 by
+    construction and never fires. A category whose payments are declined more often than
+    not is risky (this project's own bound).
+    """
+    return card_rules(merchant_risk=0.5, merchant_risk_column="merchant_category_risk")
+
+
 def loan_rules(
     loan_to_income: float = 5,
     applications: float = 3,

@@ -27,7 +27,13 @@ from riskflow.operators.dedup import dedup_latest
 from riskflow.plans import silver
 from riskflow.sources.export import write_csv
 from riskflow.sources.raw import MALFORMED, has_malformed_rows, read_raw, with_ingest_metadata
-from riskflow.sources.tables import read_table, replace_partitions, upsert_latest, write_table
+from riskflow.sources.tables import (
+    read_table,
+    replace_partitions,
+    upsert_latest,
+    write_bucketed,
+    write_table,
+)
 
 #: The day a row was loaded, and the state per customer and load date.
 LOAD_DATE = "_load_date"
@@ -38,7 +44,8 @@ CARD_STATE = "silver_card.silver_card_state"
 class Store:
     """Where tables live: folders under `root`, or catalog tables if it is None.
 
-    With `buckets`, catalog tables of one row per customer are bucketed by customer.
+    With `buckets`, catalog tables of one row per customer are bucketed by customer, and so
+    are silver transactions and repayments where no customer has too many of them.
     """
 
     spark: SparkSession
@@ -65,6 +72,22 @@ class Store:
         write_table(df, self.name(table), mode, self.fmt, bucket_by, self.buckets)
         return self.read(table)
 
+    def write_large(self, df: DataFrame, table: str, sort_by: str) -> DataFrame:
+        """Write a table of many rows per customer, and its statistics if it is in the catalog.
+
+        With `buckets` it is bucketed by customer and sorted, so that aggregates per customer
+        read it without a shuffle, unless `write_bucketed` finds a customer too large.
+        """
+        self.ensure(table)
+        name = self.name(table)
+        if self.root is not None or not self.buckets:
+            write_table(df, name, "overwrite", self.fmt)
+        else:
+            write_bucketed(df, name, "customer_id", sort_by, self.buckets, self.fmt)
+        if self.root is None:
+            self.spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR COLUMNS customer_id")
+        return self.read(table)
+
 
 @contextmanager
 def logged(store: Store, stage: str) -> Iterator[runlog.RunLog]:
@@ -213,10 +236,11 @@ def build_silver(store: Store, mask: bool = True) -> None:
             silver.silver_accounts(store.read(c.BRONZE_CARD_ACC)), c.SILVER_CARD_ACC
         )
         transactions = silver.silver_transactions(store.read(c.BRONZE_CARD_TXN), accounts)
-        store.write(masked(transactions, mask), c.SILVER_CARD_TXN)
+        store.write_large(masked(transactions, mask), c.SILVER_CARD_TXN, "transaction_ts")
         applications = silver.silver_applications(store.read(c.BRONZE_LOAN_APP))
         store.write(masked(applications, mask), c.SILVER_LOAN_APP)
-        store.write(silver.silver_repayments(store.read(c.BRONZE_LOAN_REP)), c.SILVER_LOAN_REP)
+        repayments = silver.silver_repayments(store.read(c.BRONZE_LOAN_REP))
+        store.write_large(repayments, c.SILVER_LOAN_REP, "due_date")
 
 
 def build_features(
@@ -224,8 +248,7 @@ def build_features(
 ) -> None:
     """Feature tables with scores. `as_of` ends the 30-day and 7-day windows (default: now).
 
-    `card_rules` can score with the category risk, e.g.
-    `card_rules(merchant_risk=0.5, merchant_risk_column="merchant_category_risk")`.
+    Cards are scored by `config.job_card_rules` unless `card_rules` gives others.
     """
     with logged(store, "features"):
         _build_features(store, F.current_timestamp() if as_of is None else as_of, card_rules)
@@ -235,7 +258,7 @@ def _build_features(store: Store, as_of: Column, card_rules: list[c.Rule] | None
     card = f.card_feature_table(
         store.read(c.SILVER_CARD_TXN), store.read(c.SILVER_CARD_ACC), as_of
     )
-    rules = c.card_rules() if card_rules is None else card_rules
+    rules = c.job_card_rules() if card_rules is None else card_rules
     store.write(
         f.with_score(card, rules, "card_fraud_score", "card_risk_tier"), c.SILVER_CARD_FEATURES
     )

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from riskflow.operators.dedup import dedup_latest
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+#: Average buckets that one key may fill in a bucketed table.
+HOT_BUCKETS = 2
 
 
 def read_table(spark: SparkSession, name: str, fmt: str = "parquet") -> DataFrame:
@@ -47,6 +49,30 @@ def write_table(
         writer.saveAsTable(name)
 
 
+def write_bucketed(
+    df: DataFrame, name: str, key: str, sort_by: str, buckets: int, fmt: str = "parquet"
+) -> bool:
+    """Write a catalog table bucketed by `key` and sorted by it and `sort_by`; True if it is.
+
+    A bucket is read by one task. If a key alone (NULL counts as one) has more rows than
+    `HOT_BUCKETS` average buckets, the table is written without buckets instead: a shuffle
+    combines its rows where they lie, and salted joins spread them. Rows are spread by
+    bucket before they are written, large buckets over several tasks and files.
+    """
+    rows = stored(df, "bucketed")
+    total = rows.count()
+    largest = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    writer = rows.write
+    bucketed = largest <= max(1, HOT_BUCKETS * total // buckets)
+    if bucketed:
+        # The same hash that Spark deals rows into buckets by.
+        bucket = F.pmod(F.hash(key), F.lit(buckets))
+        spread = rows.withColumn("_bucket", bucket).hint("rebalance", F.col("_bucket"))
+        writer = spread.drop("_bucket").write.bucketBy(buckets, key).sortBy(key, sort_by)
+    writer.format(fmt).mode("overwrite").saveAsTable(name)
+    return bucketed
+
+
 def table_exists(spark: SparkSession, name: str, fmt: str = "parquet") -> bool:
     """Whether a table, or a folder if `name` contains a slash, can be read."""
     if "/" not in name:

@@ -9,6 +9,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from riskflow import config as c
+from riskflow.operators import features as f
 from riskflow.operators import quality, runlog, state
 from riskflow.plans import jobs, silver
 from riskflow.sources.raw import has_malformed_rows, read_raw, with_ingest_metadata
@@ -363,3 +364,38 @@ def test_state_follows_the_days(spark, tmp_path, source):
         for name in (*state.COUNTS, "min_amount", "max_amount", "last_ts"):
             assert r[name] == want[k][name], name
         assert r.squares == pytest.approx(want[k].squares) and r.mean_amount == pytest.approx(want[k].mean_amount)
+
+
+def _shuffled(df):
+    """Whether the plan shuffles rows that come from a scan."""
+    return "Exchange hashpartitioning" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_large_tables_are_bucketed_unless_a_customer_is_hot(spark):
+    even = spark.range(4000).selectExpr(
+        "concat('c', id % 100) customer_id", "id transaction_id", "double(id % 7) amount",
+        "if(id % 3 = 0, 'declined', 'approved') status", "int(id % 24) hour_of_day", "timestamp_seconds(id) transaction_ts",
+        "string(id % 5) merchant_country", "string(id % 9) merchant_name", "id % 2 = 0 is_international", "'pos' channel",
+    )
+    accounts = spark.range(100).selectExpr("concat('c', id) customer_id", "concat('a', id) account_id", "'x' account_status", "1.0D credit_limit")
+    store = jobs.Store(spark, buckets=8)
+    spark.sql("CREATE DATABASE IF NOT EXISTS silver_card")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        txn = store.write_large(even, "silver_card.even", "transaction_ts")
+        assert rows(txn.select(even.columns)) == rows(even)
+        for group in (f.velocity_aggregates(), f.late_night_aggregates(), f.channel_aggregates()):
+            assert not _shuffled(txn.groupBy("customer_id").agg(*group))
+        assert not _shuffled(state.moments(txn))
+        stats = txn.groupBy("customer_id").agg(F.avg("amount").alias("m"), F.stddev_samp("amount").alias("d"))
+        assert not _shuffled(txn.join(stats, "customer_id", "left"))
+        table = store.write(accounts, "silver_card.accounts_by_customer", bucket_by="customer_id")
+        assert not _shuffled(table.join(txn.groupBy("customer_id").agg(*f.velocity_aggregates()), "customer_id", "left"))
+        described = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED silver_card.even").collect()}
+        assert "4000 rows" in described["Statistics"]
+        hot = even.withColumn("customer_id", F.expr("if(transaction_id % 3 = 0, 'hot', customer_id)"))
+        txn = store.write_large(hot, "silver_card.hot", "transaction_ts")
+        assert rows(txn.select(hot.columns)) == rows(hot)
+        assert _shuffled(txn.groupBy("customer_id").agg(*f.velocity_aggregates()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
