@@ -20,8 +20,8 @@ proportional to its size.
 
 Defined results: documents without words are linked with nothing; fewer words than a
 shingle make one shingle of all of them; documents with a NULL id are linked with
-nothing and kept; rows that repeat an id are one node with one row each in the result;
-an empty table gives no rows; other columns are ignored.
+nothing and kept; rows that repeat an id have one row each in the result and are linked to
+each other, also if their texts differ (ids are below 2**62); an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -125,7 +125,7 @@ def _sets(batch: pa.RecordBatch, width: int) -> Iterator[tuple]:
 
 
 def bucketed(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """id, n_shingles, digest of the set and buckets of every document."""
+    """id, text_hash, n_shingles, digest of the set and buckets of every document."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,15 +138,24 @@ def bucketed(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFra
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(first, n),
+                        batch.column(2).slice(first, n),
                         pa.array(np.diff(begins), pa.int64()),
                         pa.array(digests, pa.binary()),
                         _lists(buckets, BANDS),
                     ],
-                    ["id", "n_shingles", "digest", "buckets"],
+                    ["id", "text_hash", "n_shingles", "digest", "buckets"],
                 )
 
-    return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        rows, "id bigint, n_shingles bigint, digest binary, buckets array<bigint>"
+    return _texts(docs, id_col, text_col).mapInArrow(
+        rows, "id bigint, text_hash bigint, n_shingles bigint, digest binary, buckets array<bigint>"
+    )
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(
+        F.col(id_col).cast("bigint").alias("id"),
+        F.col(text_col).alias("text"),
+        F.xxhash64(text_col).alias("text_hash"),
     )
 
 
@@ -423,6 +432,32 @@ def _link_the_rest(
         classes.link(links)
 
 
+def _nodes(sets: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """`sets` with a node each, and links (a, b) between nodes of one id, or None.
+
+    The node of a set is its smallest id. If rows repeat an id with other texts, it may be
+    the smallest of several sets: one of them has it as its node, others a number above
+    2**62, which is never the smallest of a class as it is linked to the id's other sets.
+    """
+    several = docs.groupBy("id").agg(F.min("digest").alias("low"), F.max("digest").alias("high"))
+    several = stored(several.filter("low <> high").select("id"), "repeated-ids")
+    if several.isEmpty():
+        return sets.withColumn("node", F.col("least.id")), None
+    pairs = stored(docs.join(several, "id").select("id", "digest").distinct(), "repeated-sets")
+    theirs = sets.join(pairs.select("digest").distinct(), "digest").select(
+        "digest", F.col("least.id").alias("least_id")
+    )
+    nth = F.row_number().over(W.partitionBy("least_id").orderBy("digest"))
+    high = F.xxhash64("digest").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    other = theirs.withColumn("nth", nth).filter("nth > 1").select("digest", high.alias("high"))
+    named = sets.join(stored(other, "other-nodes"), "digest", "left")
+    named = named.withColumn("node", F.coalesce("high", "least.id")).drop("high")
+    named = stored(named, "sets")
+    nodes = pairs.join(named.select("digest", "node"), "digest")
+    links = nodes.select(F.min("node").over(W.partitionBy("id")).alias("a"), F.col("node").alias("b"))
+    return named, stored(links.filter("a <> b").distinct(), "links-of-ids")
+
+
 def near_duplicates(
     docs: DataFrame,
     width: int = 5,
@@ -440,12 +475,11 @@ def near_duplicates(
     known = stored(bucketed(docs, width, id_col, text_col), "shingled")
     some = known.filter((F.col("n_shingles") > 0) & F.col("id").isNotNull())
     per_set = some.groupBy("digest").agg(
-        F.min("id").alias("node"),
+        F.min(F.struct("id", "text_hash")).alias("least"),
         F.first("buckets").alias("buckets"),
         F.count(F.lit(1)).alias("n"),
     )
-    # An id may stand for several sets, if rows repeat it: then these are linked.
-    sets = stored(per_set, "sets")
+    sets, of_one_id = _nodes(stored(per_set, "sets"), some)
     buckets = sets.select("node", F.explode("buckets").alias("bucket"))
     # The head of a bucket is the member whose id is nearest to the bucket's name, a
     # random number, by exclusive or.
@@ -462,11 +496,17 @@ def near_duplicates(
     # A scan on either side: Spark splits the rows of a very large bucket by itself.
     members = stored(buckets.join(shared, "bucket"), "members")
     classes = _Classes()
+    if of_one_id is not None:
+        classes.link(of_one_id)
 
     # Only documents that share a bucket are read again, once, for signature and set.
-    wanted = stored(members.select(F.col("node").alias("wanted")).distinct(), "wanted")
-    texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    texts = texts.join(wanted, F.col("id") == F.col("wanted"), "left_semi").dropDuplicates(["id"])
+    wanted = members.select("node").distinct().join(
+        sets.select("node", F.col("least.id").alias("id"), F.col("least.text_hash").alias("text_hash")),
+        "node",
+    )
+    wanted = stored(wanted, "wanted")
+    texts = _texts(docs, id_col, text_col).join(wanted, ["id", "text_hash"])
+    texts = texts.dropDuplicates(["id", "text_hash"]).select("node", "text")
     signed = stored(signatures(texts, width), "signatures")
 
     def promising(pairs: DataFrame) -> DataFrame:

@@ -80,6 +80,43 @@ def test_a_large_group_near_the_threshold(spark, monkeypatch):
     assert len(set(want.values())) > 11  # the group isn't one component
 
 
+def linked_rows(rows, width, percent=80):
+    """Component per row, where rows of one id are linked whatever their texts."""
+    sets = [shingles(t, width) for _, t in rows]
+    label = list(range(len(rows)))
+
+    def root(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    for n in range(len(rows)):
+        for m in range(n):
+            both = len(sets[n] & sets[m])
+            alike = both and 100 * both >= percent * (len(sets[n]) + len(sets[m]) - both)
+            if sets[n] and sets[m] and (alike or rows[n][0] == rows[m][0]):
+                x, y = root(n), root(m)
+                label[max(x, y)] = min(x, y)
+    least = {}
+    for n, (i, _) in enumerate(rows):
+        least[root(n)] = min(i, least.get(root(n), i))
+    return sorted((i, len(sets[n]), least[root(n)]) for n, (i, _) in enumerate(rows))
+
+
+@pytest.mark.parametrize("order", [1, -1])
+def test_ids_with_several_texts(spark, order):
+    """All sets of an id are one node: their copies and near copies are linked through it."""
+    rnd = random.Random(12)
+    a, b, c, d = (prose(rnd, "en", 80) for _ in range(4))
+    near = lambda t: t + " tail"
+    rows = [(1, a), (1, b), (2, near(a)), (3, near(b)), (7, c), (5, c), (5, d), (9, near(d)), (9, ""), (20, prose(rnd, "de", 50))]
+    got = near_dedup.near_duplicates(spark.createDataFrame(pages(rows[::order]), SCHEMA), width=2).collect()
+    found = sorted((r.doc_id, r.n_shingles, r.component_id) for r in got)
+    want = linked_rows(rows, 2)
+    assert found == [x if x[1] else (x[0], 0, x[0]) for x in want]
+    assert {x[0]: x[2] for x in found if x[1]} == {1: 1, 2: 1, 3: 1, 5: 5, 7: 5, 9: 5, 20: 20}
+
+
 def test_estimates_follow_similarity(spark):
     rnd = random.Random(4)
     words_ = [f"w{i}" for i in range(3000)]
