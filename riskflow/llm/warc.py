@@ -8,8 +8,9 @@ when payloads are read (the stored bytes are hashed again).
 
 Defined results: a NULL payload is an empty one; a NULL key sorts after all others and
 gives a record without an id; repeated rows give a record each, of which one at most is
-the response; NULL URIs leave the header line out; an empty table gives an empty
-archive; other columns of the input are ignored.
+the response; NULL URIs leave the header line out; a URI with a line end is written with
+its line ends and percent signs escaped, under a mark, and read back as it was; an empty
+table gives an empty archive; other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -27,6 +28,9 @@ BASE32_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 ID_PREFIX = "urn:x-record:"
 END_OF_LINE = "\r\n"
+#: Header field of records whose URI is escaped, and what stands for what in it, in order.
+ESCAPED = "X-Target-URI-Escaped"
+ESCAPES = (("%", "%25"), ("\r", "%0D"), ("\n", "%0A"))
 
 
 @dataclass(frozen=True)
@@ -142,7 +146,8 @@ def _header(date: str) -> Column:
         F.lit(f"WARC/1.1{END_OF_LINE}"),
         line("WARC-Type", F.when(F.col("response"), "response").otherwise("revisit")),
         line("WARC-Record-ID", identity(F.col("key"))),
-        line("WARC-Target-URI", F.col("uri")),
+        line("WARC-Target-URI", F.when(_breaks("uri"), _escaped("uri")).otherwise(F.col("uri"))),
+        F.when(_breaks("uri"), line(ESCAPED, F.lit("yes"))),
         F.lit(f"WARC-Date: {date}{END_OF_LINE}"),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("sha1"))),
         F.when(~F.col("response"), line("WARC-Refers-To", identity(F.col("first_key")))),
@@ -152,6 +157,23 @@ def _header(date: str) -> Column:
     return F.concat(*[F.coalesce(x, F.lit("")) for x in lines])
 
 
+def _breaks(uri: str) -> Column:
+    """Whether a URI holds a line end, which would end its header line."""
+    return F.col(uri).rlike("[\\r\\n]")
+
+
+def _escaped(uri: str) -> Column:
+    for plain, code in ESCAPES:
+        uri = F.replace(uri, F.lit(plain), F.lit(code))
+    return uri
+
+
+def _unescaped(uri: Column) -> Column:
+    for plain, code in reversed(ESCAPES):
+        uri = F.replace(uri, F.lit(code), F.lit(plain))
+    return uri
+
+
 def read_archive(spark, path: str) -> Archive:
     """An archive that `write_archive` has written."""
     return Archive(
@@ -183,13 +205,14 @@ def parsed_headers(archive: Archive) -> DataFrame:
     key = lambda name: F.nullif(
         F.regexp_extract(text, rf"(?dm)^{name}: <{ID_PREFIX}([^>]*)>\r$", 1), F.lit("")
     ).cast("bigint")
+    uri = field("WARC-Target-URI")
     return archive.headers.select(
         "header",
         "digest",
         key("WARC-Record-ID").alias("key"),
         key("WARC-Refers-To").alias("refers_to"),
         field("WARC-Type").alias("record_type"),
-        field("WARC-Target-URI").alias("uri"),
+        F.when(field(ESCAPED) == "yes", _unescaped(uri)).otherwise(uri).alias("uri"),
         field("Content-Length").cast("bigint").alias("content_length"),
         F.regexp_replace(field("WARC-Payload-Digest"), "^sha1:", "").alias("payload_digest"),
     )

@@ -95,6 +95,24 @@ def test_original_records_parse_as_warc(archive):
             assert fields["WARC-Payload-Digest"] == f"sha1:{digest}"
 
 
+def test_line_ends_in_a_uri_are_no_header_lines(spark):
+    forged = "http://x/\r\nWARC-Payload-Digest: sha1:AAAA\r\nWARC-Refers-To: <urn:x-record:77>"
+    urls = [forged, "http://x/a\nb", "\r", "%0D\n%250A", "http://x/%0D%0A", "http://x/100%", "x\n\r\n\r\ny", "é\u2028\u0085z"]
+    pages = [(i, u, "same" if i % 3 else f"own {i}") for i, u in enumerate(urls)]
+    df = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    archive = warc.write_archive(df, warc.scratch_archive(spark), "page_id", "url", "html")
+    got = {r.key: r for r in warc.records(archive).collect()}
+    assert {k: r.uri for k, r in got.items()} == dict(enumerate(urls))
+    for i, _, html in pages:
+        assert bytes(got[i].payload) == html.encode()
+        assert got[i].refers_to == (1 if html == "same" and i != 1 else None)
+        digest = base64.b32encode(hashlib.sha1(html.encode()).digest()).decode()
+        assert got[i].payload_digest == digest
+    for r in warc.original_bytes(archive).collect():
+        names = [x.split(b":")[0] for x in bytes(r.record).partition(b"\r\n\r\n")[0].split(b"\r\n")]
+        assert len(names) == len(set(names))
+
+
 def test_small_payloads_are_all_responses(spark):
     df = spark.createDataFrame(PAGES, "page_id bigint, url string, html string")
     got = warc.write_archive(df, warc.scratch_archive(spark), "page_id", "url", "html", min_bytes=6)
