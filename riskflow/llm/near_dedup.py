@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskflow.llm.words import mix, slices, word_hashes
+from riskflow.llm.words import mix, slices, utf8, word_hashes
 from riskflow.operators.skew import attach_per_key
 from riskflow.sources.tables import stored
 
@@ -119,7 +119,7 @@ def _lists(values: np.ndarray, width: int) -> pa.Array:
 
 def _sets(batch: pa.RecordBatch, width: int) -> Iterator[tuple]:
     """First row, number of rows, shingles, their begins, and which rows have any."""
-    for first, run in slices(batch.column(1).cast(pa.large_binary()).to_pylist()):
+    for first, run in slices(utf8(batch.column(1))):
         values, begins = shingle_sets(run, width)
         yield first, len(run), values, begins, np.flatnonzero(np.diff(begins))
 

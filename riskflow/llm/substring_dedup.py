@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskflow.llm.words import mix, running, slices, spans, word_hashes
+from riskflow.llm.words import mix, running, slices, spans, utf8, word_hashes
 
 PERIOD = 31
 RESULTS = ("n_words", "n_removed", "kept_text")
@@ -89,7 +89,7 @@ def _anchor_rows(length: int):
         for batch in batches:
             ids = np.asarray(batch.column(0))
             found = [(np.empty(0, np.uint64), np.empty(0, np.int64))]
-            for first, run in slices(batch.column(1).cast(pa.large_binary()).to_pylist()):
+            for first, run in slices(utf8(batch.column(1))):
                 hashes, doc, _, _ = _hashes(run, length, sampled=True)
                 found.append((hashes, ids[first + doc]))
             yield _batch_rows(*(np.concatenate(x) for x in zip(*found, strict=True)))
@@ -103,7 +103,7 @@ def _window_rows(window: int):
             batch = batch.filter(batch.column(2).is_valid())
             ids, anchors = np.asarray(batch.column(0)), batch.column(2)
             found = [(np.empty(0, np.uint64), np.empty(0, np.int64))]
-            for first, run in slices(batch.column(1).cast(pa.large_binary()).to_pylist()):
+            for first, run in slices(utf8(batch.column(1))):
                 length = window - PERIOD + 1
                 hashes, doc, start, begins = _hashes(run, length, sampled=True)
                 known = anchors.slice(first, len(run))
@@ -136,9 +136,9 @@ def _cut(window: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             removed = batch.column(2)
-            texts = batch.column(1).cast(pa.large_binary()).to_pylist()
+            given = batch.column(1).is_valid().to_pylist()
             n_words, n_removed, kept = [], [], []
-            for first, run in slices(texts):
+            for first, run in slices(utf8(batch.column(1))):
                 known = removed.slice(first, len(run))
                 hashes, doc, start, begins = _hashes(run, window, sampled=False)
                 hit = _listed(hashes, doc, known)
@@ -150,10 +150,9 @@ def _cut(window: int):
                     gone = covered[begins[i] : begins[i + 1]]
                     n_words.append(len(gone))
                     n_removed.append(int(gone.sum()))
-                    if texts[first + i] is None or not n_removed[-1]:
-                        kept.append(texts[first + i])
-                    else:
-                        kept.append(_without(text, gone))
+                    if n_removed[-1]:
+                        text = _without(text, gone)
+                    kept.append(text if given[first + i] else None)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[3:], pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.large_binary()).cast(pa.large_string()).cast(pa.string())],
                 [*batch.schema.names[3:], "n_words", "n_removed", "kept_text"],

@@ -9,12 +9,13 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text hashed at a time; a longer text is hashed alone.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 _BASE = 0x9E3779B97F4A7C15
 _SPACE = np.zeros(256, bool)
@@ -61,6 +62,11 @@ def spans(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
 
 
+def utf8(column: pa.Array) -> Iterator[bytes | None]:
+    """The texts of a column as bytes, one at a time."""
+    return (x.as_py() for x in column.cast(pa.large_binary()))
+
+
 def slices(texts: Iterable[bytes | None]) -> Iterator[tuple[int, list[bytes]]]:
     """Runs of texts of about SLICE_BYTES each, with the index of their first text."""
     first, run, size = 0, [], 0
