@@ -12,8 +12,12 @@ all languages have together, so the size sent doesn't grow with the data. Docume
 parsed whole, cut into stretches that many at a time step through the tables together; a
 cut costs at most one phrase.
 
+The winner need not fit. A text is `known` if the winner's phrases take few enough bits
+against spelling it letter by letter (see SPELLING_RATIO); strings of random letters and
+scripts that no labelled text has are not. Short texts are: two phrases are always spared.
+
 Defined results: NULL texts and texts without a letter are `und` with score 0; NULL
-labels are not learned; equal scores go to the first language by code point; repeated rows
+labels are not learned; without a labelled document every text with a letter is known; equal scores go to the first language by code point; repeated rows
 are judged each; without a labelled document all others are `und`; other columns are ignored.
 """
 
@@ -37,6 +41,10 @@ LETTERS_AT_A_TIME = 1 << 20
 #: Bases tried for a state of several moves, side by side and then anywhere, before the row
 #: of moves is extended.
 TRIES = 64
+#: A language explains a text whose phrases take at most this many times the bits of
+#: spelling it in the language's letters, all equally likely, and some phrases beyond that.
+SPELLING_RATIO = 2.0
+SPARE_PHRASES = 2
 
 
 @dataclass(frozen=True)
@@ -270,23 +278,28 @@ def phrases(model: Model, symbols: list[np.ndarray]) -> np.ndarray:
 
 
 def predict(
-    docs: DataFrame, model: Model, text_col: str = "text", letters_col: str | None = None
+    docs: DataFrame,
+    model: Model,
+    text_col: str = "text",
+    letters_col: str | None = None,
+    known_col: str | None = None,
 ) -> DataFrame:
     """`docs` with lang_pred and score: how far the winner is ahead of the second, 0 to 1.
 
     `letters_col` names a further column, the number of letters: 0 tells texts that no
-    model could judge from those that are `und` (or labelled so) for want of one. Columns
-    of `docs` with these names are replaced.
+    model could judge from those that are `und` (or labelled so) for want of one.
+    `known_col` names one that tells whether the winner explains the text. Columns of
+    `docs` with these names are replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     # Only the texts go to Python and only the judgements come back.
-    @F.arrow_udf("struct<lang_pred:string,score:double,letters:bigint>")
+    @F.arrow_udf("struct<lang_pred:string,score:double,letters:bigint,known:boolean>")
     def judged(texts: pa.Array) -> pa.Array:
         return _predicted(texts, shared.value)
 
     judged = judged.asNondeterministic()  # or else a filter on its result runs it again
-    others = [c for c in docs.columns if c not in ("lang_pred", "score", letters_col)]
+    others = [c for c in docs.columns if c not in ("lang_pred", "score", letters_col, known_col)]
     # Positions, not names: a column of any name may be passed through.
     passed = docs.select(
         judged(F.col(text_col)).alias("__judged"),
@@ -297,21 +310,25 @@ def predict(
         F.col("__judged.lang_pred").alias("lang_pred"),
         F.col("__judged.score").alias("score"),
         *([F.col("__judged.letters").alias(letters_col)] if letters_col else []),
+        *([F.col("__judged.known").alias(known_col)] if known_col else []),
     )
 
 
 def _predicted(texts: pa.Array, model: Model) -> pa.Array:
-    """Language, score and letters of every text, some LETTERS_AT_A_TIME letters at a time."""
+    """Language, score, letters and whether the language explains the text, of every text,
+    some LETTERS_AT_A_TIME letters at a time."""
     names: list[str] = []
     scores: list[float] = []
+    known: list[bool] = []
     letters: list[int] = []
     held: list[np.ndarray] = []
     n_letters: list[int] = []
 
     def judge() -> None:
-        for name, score in zip(*_judged(model, held, n_letters), strict=True):
+        for name, score, fits in zip(*_judged(model, held, n_letters), strict=True):
             names.append(name)
             scores.append(score)
+            known.append(fits)
         letters.extend(n_letters)
         held.clear()
         n_letters.clear()
@@ -327,17 +344,24 @@ def _predicted(texts: pa.Array, model: Model) -> pa.Array:
             total = 0
     judge()
     return pa.StructArray.from_arrays(
-        [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(letters, pa.int64())],
-        ["lang_pred", "score", "letters"],
+        [
+            pa.array(names, pa.string()),
+            pa.array(scores, pa.float64()),
+            pa.array(letters, pa.int64()),
+            pa.array(known, pa.bool_()),
+        ],
+        ["lang_pred", "score", "letters", "known"],
     )
 
 
 def _judged(model: Model, symbols: list[np.ndarray], n_letters: list[int]):
-    """Language and score of each document. Phrases are weighed by the bits that point at
-    one of the places of the language's text, so that texts of unequal size compare."""
+    """Language and score of each document, and whether the language explains it. Phrases
+    are weighed by the bits that point at one of the places of the language's text, so that
+    texts of unequal size compare."""
     if not symbols or not model.languages:
-        return [UNDETERMINED] * len(symbols), [0.0] * len(symbols)
-    bits = phrases(model, symbols) * np.log2(np.array(model.lengths, float))[None, :]
+        return [UNDETERMINED] * len(symbols), [0.0] * len(symbols), [n > 0 for n in n_letters]
+    per_phrase = np.log2(np.array(model.lengths, float))
+    bits = phrases(model, symbols) * per_phrase[None, :]
     best = bits.argmin(axis=1)
     least = bits[np.arange(len(bits)), best]
     rest = bits.copy()
@@ -345,8 +369,11 @@ def _judged(model: Model, symbols: list[np.ndarray], n_letters: list[int]):
     second = rest.min(axis=1) if bits.shape[1] > 1 else np.full(len(bits), np.inf)
     ahead = 1.0 - least / second
     some = np.array(n_letters) > 0
+    alphabets = np.array([np.count_nonzero(~t.unknown) for t in model.tables])
+    spelled = np.fromiter(map(len, symbols), float, len(symbols)) * np.log2(alphabets)[best]
+    known = some & (least <= SPELLING_RATIO * spelled + SPARE_PHRASES * per_phrase[best])
     names = [model.languages[b] if s else UNDETERMINED for b, s in zip(best, some, strict=True)]
-    return names, np.where(some, np.clip(ahead, 0.0, 1.0), 0.0).tolist()
+    return names, np.where(some, np.clip(ahead, 0.0, 1.0), 0.0).tolist(), known.tolist()
 
 
 def split_of(id_col: str) -> Column:
@@ -360,11 +387,14 @@ def identify(
     text_col: str = "text",
     label_col: str = "lang",
     letters_col: str | None = None,
+    known_col: str | None = None,
     **options,
 ) -> DataFrame:
-    """`docs` with held_out, lang_pred and score (and letters, if `letters_col` names that
-    column), learned from those not held out."""
+    """`docs` with held_out, lang_pred and score (and the number of letters and whether the
+    language explains the text, if `letters_col` and `known_col` name these columns),
+    learned from those not held out."""
     train = docs.filter(~split_of(id_col))
     order = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
     model = fit(train, text_col, label_col, order, **options)
-    return predict(docs.withColumn("held_out", split_of(id_col)), model, text_col, letters_col)
+    judged = docs.withColumn("held_out", split_of(id_col))
+    return predict(judged, model, text_col, letters_col, known_col)

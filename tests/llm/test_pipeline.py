@@ -86,3 +86,12 @@ def test_no_documents(spark):
     for name, stage in corpus_pipeline.STAGES:
         docs = stored(stage(spark, docs, ""), name)
     assert docs.count() == 0
+
+
+def test_language_stage_rejects_strings_and_unlearned_scripts(spark):
+    docs = spark.createDataFrame(documents(seed=7), SCHEMA)
+    strings = np.random.default_rng(3).choice(list("qxzjkvwy"), (40, 9))
+    unlearned = ["и снова он шёл домой по улице " * 12, " ".join(map("".join, strings))]
+    odd = [(5000 + i, text, None, "src0", len(text), *[None] * 12) for i, text in enumerate([*unlearned, "Hello", "Да"])]
+    kept = corpus_pipeline.known_language(spark, docs.union(spark.createDataFrame(odd, SCHEMA)), "")
+    assert sorted(r.doc_id for r in kept.collect() if (r.doc_id or 0) >= 5000) == [5002, 5003]
