@@ -21,15 +21,19 @@ SIMILAR_PERCENT = 80
 REPEATED_WORDS = 50
 SEQUENCE_TOKENS = 4096
 TOKENIZER = "word_bpe_49k.json"
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 2000
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; those without a letter go.
+    """Documents in a language that the labelled ones explain.
 
-    Where no language could be learned all are undetermined, and those with letters stay.
+    Texts without a letter go, and those that no language's automaton parses into phrases
+    cheaper than letters: random strings and scripts without labelled text. Short texts
+    stay, and so do all with letters where no language could be learned.
     """
-    judged = language_id.identify(docs.select(*COLUMNS), letters_col="letters")
-    return judged.filter(F.col("letters") > 0).select(*COLUMNS)
+    judged = language_id.identify(docs.select(*COLUMNS), known_col="known")
+    return judged.filter("known").select(*COLUMNS)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -83,8 +87,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, applied to `documents`."""
+    """All stages, applied to `documents`.
+
+    Whole texts go to Python workers, so the stages hand them over BATCH_ROWS at a time.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+    before = spark.conf.get(BATCH_SETTING)
+    spark.conf.set(BATCH_SETTING, BATCH_ROWS)
+    try:
+        for name, stage in STAGES:
+            docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+    finally:
+        spark.conf.set(BATCH_SETTING, before)
     return docs
