@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskflow.llm.words import mix, slices, utf8, word_hashes
+from riskflow.llm.words import WORD, mix, slices, utf8, word_hashes
 from riskflow.operators.skew import attach_per_key
 from riskflow.sources.tables import stored
 
@@ -500,13 +500,21 @@ def near_duplicates(
         classes.link(of_one_id)
 
     # Only documents that share a bucket are read again, once, for signature and set.
-    wanted = members.select("node").distinct().join(
-        sets.select("node", F.col("least.id").alias("id"), F.col("least.text_hash").alias("text_hash")),
-        "node",
-    )
-    wanted = stored(wanted, "wanted")
-    texts = _texts(docs, id_col, text_col).join(wanted, ["id", "text_hash"])
-    texts = texts.dropDuplicates(["id", "text_hash"]).select("node", "text")
+    wanted = members.select("node").distinct()
+    texts = _texts(docs, id_col, text_col)
+    if of_one_id is None:
+        # All texts of an id that have a word have its set: a table of ids alone, which is
+        # small enough to be broadcast for longer, finds them.
+        wanted = stored(wanted.select(F.col("node").alias("id")), "wanted")
+        texts = texts.filter(F.col("text").rlike(WORD)).join(wanted, "id").dropDuplicates(["id"])
+        texts = texts.select(F.col("id").alias("node"), "text")
+    else:
+        of_set = sets.select(
+            "node", F.col("least.id").alias("id"), F.col("least.text_hash").alias("text_hash")
+        )
+        wanted = stored(wanted.join(of_set, "node"), "wanted")
+        texts = texts.join(wanted, ["id", "text_hash"])
+        texts = texts.dropDuplicates(["id", "text_hash"]).select("node", "text")
     signed = stored(signatures(texts, width), "signatures")
 
     def promising(pairs: DataFrame) -> DataFrame:

@@ -220,3 +220,11 @@ def test_shingles_of_short_texts():
     values, begins = near_dedup.shingle_sets([b"", b"a", b"a b", b"A  b", b"a b a b a", b" "], 2)
     assert np.diff(begins).tolist() == [0, 1, 1, 1, 2, 0]
     assert values[begins[2]] == values[begins[3]] != values[begins[1]]
+
+
+def test_empty_texts_of_an_id_do_not_hide_its_set(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, ""), (1, None), (1, text), (1, " \n"), (2, text + " more"), (2, ""), (3, "other words")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = near_dedup.near_duplicates(docs).collect()
+    assert {(r.doc_id, r.component_id) for r in found if r.n_shingles} == {(1, 1), (2, 1), (3, 3)}
