@@ -34,7 +34,7 @@ ORDER = 3
 BACKOFF = 0.4
 MIN_COUNT = 2
 #: Bytes of text in a chunk, on average, and of n-gram hashes in a bucket.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 8 << 20
 BUCKET_BYTES = 16 << 20
 #: Bytes of a hash that are moved; the bucket's number stands for further bits.
 HASH_BYTES = 6
@@ -75,16 +75,32 @@ def _unpack_counts(data: bytes, n: int) -> np.ndarray:
     return counts
 
 
+def _low_bytes(n: int) -> int:
+    """How many of a key's HASH_BYTES bytes to store in full, for the shortest code of n keys."""
+    return min(range(HASH_BYTES), key=lambda low: n * 8 * low + (1 << 8 * (HASH_BYTES - low)))
+
+
 def _pack_keys(hashes: np.ndarray, bucket_bits: int) -> bytes:
-    """The HASH_BYTES bytes below the bits that name the bucket."""
+    """The HASH_BYTES bytes below the bits that name the bucket, of hashes in order.
+
+    Low bytes are stored as they are. As high parts never fall, they are a row of bits: the
+    i-th key sets bit (high part + i) (the Elias-Fano code).
+    """
     rest = (hashes << np.uint64(bucket_bits)) >> np.uint64(64 - 8 * HASH_BYTES)
-    return np.ascontiguousarray(rest.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES]).tobytes()
+    n, low = len(rest), _low_bytes(len(rest))
+    bits = np.zeros(n + (1 << 8 * (HASH_BYTES - low)), np.uint8)
+    bits[(rest >> np.uint64(8 * low)).astype(np.int64) + np.arange(n)] = 1
+    lows = np.ascontiguousarray(rest.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :low])
+    return lows.tobytes() + np.packbits(bits).tobytes()
 
 
-def _unpack_keys(data: bytes) -> np.ndarray:
-    wide = np.zeros((len(data) // HASH_BYTES, 8), np.uint8)
-    wide[:, :HASH_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, HASH_BYTES)
-    return wide.view("<u8").ravel()
+def _unpack_keys(data: bytes, n: int) -> np.ndarray:
+    low = _low_bytes(n)
+    wide = np.zeros((n, 8), np.uint8)
+    wide[:, :low] = np.frombuffer(data, np.uint8, n * low).reshape(n, low)
+    bits = np.unpackbits(np.frombuffer(data, np.uint8, offset=n * low))
+    high = np.flatnonzero(bits) - np.arange(n)
+    return wide.view("<u8").ravel() + (high.astype(np.uint64) << np.uint64(8 * low))
 
 
 def _chunk_ngrams(table: pa.Table, order: int):
@@ -141,18 +157,20 @@ def score_documents(
             {
                 "bucket": pa.array([b for b, _ in cuts], pa.int32()),
                 "chunk": pa.array([chunk] * len(cuts), pa.int64()),
+                "n": pa.array([s.stop - s.start for _, s in cuts], pa.int32()),
                 "keys": pa.array([_pack_keys(values[s], bucket_bits) for _, s in cuts], pa.binary()),
                 "counts": pa.array([_pack_counts(counts[s]) for _, s in cuts], pa.binary()),
             }
         )
 
     exploded = numbered.groupBy("chunk").applyInArrow(
-        explode, "bucket int, chunk bigint, keys binary, counts binary"
+        explode, "bucket int, chunk bigint, n int, keys binary, counts binary"
     )
 
     def count(table: pa.Table) -> pa.Table:
         """The bucket's part of the count tables, joined back to the n-grams of each chunk."""
-        keys = [_unpack_keys(k) for k in table.column("keys").to_pylist()]
+        sizes = table.column("n").to_pylist()
+        keys = [_unpack_keys(k, n) for k, n in zip(table.column("keys").to_pylist(), sizes, strict=True)]
         counts = [
             _unpack_counts(c, len(k))
             for c, k in zip(table.column("counts").to_pylist(), keys, strict=True)
@@ -161,12 +179,11 @@ def score_documents(
         totals = np.bincount(place, weights=np.concatenate(counts)).astype(np.int64)
         ends = np.cumsum([len(k) for k in keys])[:-1]
         answers = [_pack_counts(totals[p]) for p in np.split(place, ends)]
-        sizes = pa.array([len(k) for k in keys], pa.int32())
         return pa.table(
             {
                 "chunk": table.column("chunk"),
                 "bucket": table.column("bucket"),
-                "n": sizes,
+                "n": table.column("n"),
                 "answer": pa.array(answers, pa.binary()),
             }
         )

@@ -307,6 +307,10 @@ def test_scores_without_documents_or_words(spark):
 def test_packed_counts_and_keys():
     counts = np.array([1, 254, 255, 256, 2**40, 0])
     assert lm_score._unpack_counts(lm_score._pack_counts(counts), 6).tolist() == counts.tolist()
-    keys = np.sort(np.random.default_rng(0).integers(0, 2**63, 100).astype(np.uint64) * np.uint64(2))
-    back = lm_score._unpack_keys(lm_score._pack_keys(keys, 8))
-    assert back.tolist() == [((int(k) << 8) % 2**64) >> (64 - 8 * lm_score.HASH_BYTES) for k in keys]
+    rng = np.random.default_rng(0)
+    for n in (0, 1, 100, 3000, 90_000):  # codes of different widths
+        keys = np.sort(rng.integers(0, 2**55, n).astype(np.uint64)) | np.uint64(7 << 56)
+        keys = np.sort(np.concatenate([keys, keys[:3]]))  # equal keys stay apart
+        back = lm_score._unpack_keys(lm_score._pack_keys(keys, 8), len(keys))
+        expected = (keys << np.uint64(8)) >> np.uint64(64 - 8 * lm_score.HASH_BYTES)
+        assert back.tolist() == expected.tolist()
