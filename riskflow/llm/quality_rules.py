@@ -3,19 +3,21 @@
 Whole texts give counts of words, symbols, repeated lines and repeated word windows. Two
 plain rules reject texts that are too short or repeat themselves. All others are vectors
 of transformed statistics. For each language and source the minimum covariance
-determinant gives a centre and a scatter that outliers can't pull: from medians and
-absolute deviations, a few concentration steps keep the closest six tenths of the rows
-and estimate anew. A document is rejected if its squared Mahalanobis distance is
-beyond the cutoff.
+determinant gives a centre and a scatter that outliers can't pull. Four starts go through
+concentration steps, each of which keeps the closest six tenths of the rows and estimates
+anew. After two steps the start of the smallest determinant goes on, until its determinant
+falls no further. A document is rejected if its squared Mahalanobis distance is beyond the
+cutoff.
 
 Each step is two grouped aggregates over a narrow table: an approximate quantile of the
-distances, then moments of the rows within it. Estimates are one row per group.
+distances, then moments of the rows within it. Estimates are one row per group and start.
 
 Defined results: NULL text has no words; NULL languages and sources are values of their
 own; groups of fewer than `min_rows` documents are put together by language, and
-languages that are still too small with each other; a rest that is too small rejects
-nothing; statistics without any spread get the spread of a floor; repeated rows and NULL ids
-are judged each; an empty table gives no rows; other columns are ignored.
+languages that are still too small with each other; a rest that is too small is judged by an
+estimate over all documents, however few; statistics without any spread get the spread of a
+floor; repeated rows and NULL ids are judged each; an empty table gives no rows; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -35,7 +37,9 @@ MAX_REPEAT_PERCENT = 30
 
 #: Share of a group's rows that an estimate rests on.
 SUPPORT = 0.6
-STEPS = 3
+#: Steps of all starts, and of the best one at most (the determinant stops falling before).
+TRIAL_STEPS = 2
+STEPS = 20
 MIN_ROWS = 100
 #: Upper 1e-8 quantile of chi-square with 4 degrees of freedom.
 CUTOFF = 43.1
@@ -45,6 +49,8 @@ CONSISTENCY = 1.82
 STATISTICS = ("x1", "x2", "x3", "x4")
 #: Least standard deviation of each statistic, in its own unit.
 FLOORS = (0.45, 0.35, 0.35, 0.05)
+#: The group of documents whose own groups are too small, estimated over all documents.
+EVERYTHING = "all"
 
 
 def _without(text: Column, characters: str) -> Column:
@@ -132,7 +138,10 @@ def _vector() -> dict[str, Column]:
 
 
 def _grouped(rows: DataFrame, min_rows: int) -> DataFrame:
-    """`rows` with `group`: language and source, or coarser where these have few rows."""
+    """`rows` with `group`: language and source, or coarser where these have few rows.
+
+    `EVERYTHING` if even the rest of all languages is too small.
+    """
     fine = F.to_json(F.struct("lang", "source"))
     coarse = F.to_json(F.struct("lang"))
     sizes = rows.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
@@ -141,9 +150,13 @@ def _grouped(rows: DataFrame, min_rows: int) -> DataFrame:
     in_lang = F.sum(F.when(small, F.col("n")).otherwise(0)).over(W.partitionBy("lang"))
     group = F.when(~small, fine).when(F.col("in_lang") >= min_rows, coarse).otherwise("rest")
     names = sizes.withColumn("in_lang", in_lang).select(
-        F.col("lang").alias("g_lang"), F.col("source").alias("g_source"), group.alias("group")
+        F.col("lang").alias("g_lang"), F.col("source").alias("g_source"), group.alias("group"), "n"
     )
     names = stored(names, "groups")
+    rest = names.filter(F.col("group") == "rest").agg(F.sum("n")).first()[0] or 0
+    if rest < min_rows:
+        names = names.replace("rest", EVERYTHING, ["group"])
+    names = names.drop("n")
     same = rows["lang"].eqNullSafe(names["g_lang"]) & rows["source"].eqNullSafe(names["g_source"])
     return rows.join(names, same).drop("g_lang", "g_source")
 
@@ -182,7 +195,7 @@ def _distance(rows: DataFrame) -> DataFrame:
 
 
 def _moments(rows: DataFrame, scale: float) -> DataFrame:
-    """Centre and scaled scatter per group."""
+    """Centre and scaled scatter per group and start."""
     p = range(len(STATISTICS))
     centre = [F.avg(STATISTICS[i]).alias(f"m{i}") for i in p]
     scatter = [
@@ -190,14 +203,17 @@ def _moments(rows: DataFrame, scale: float) -> DataFrame:
         for i in p
         for j in range(i + 1)
     ]
-    return rows.groupBy("group").agg(*centre, *scatter)
+    return rows.groupBy("group", "start").agg(*centre, *scatter)
 
 
-def robust_estimates(
-    rows: DataFrame, support: float = SUPPORT, steps: int = STEPS, floors=FLOORS
-) -> DataFrame:
-    """Centre and Cholesky factor per `group` of rows with the statistics x1..x4."""
+def _starts(rows: DataFrame, floors) -> DataFrame:
+    """Four estimates per group: centre m_i and scatter c_ij, none of them final.
+
+    0: medians and absolute deviations. 1: directions from the medians, lengths left out.
+    2: deviations bent by tanh. 3: mean and covariance of all rows.
+    """
     p = range(len(STATISTICS))
+    pairs = [(i, j) for i in p for j in range(i + 1)]
     medians = stored(
         rows.groupBy("group").agg(
             *[F.percentile_approx(STATISTICS[i], 0.5, 2000).alias(f"m{i}") for i in p]
@@ -207,23 +223,82 @@ def robust_estimates(
     off = [F.abs(F.col(STATISTICS[i]) - F.col(f"m{i}")) for i in p]
     spread = rows.join(medians, "group").groupBy("group").agg(
         *[F.first(f"m{i}").alias(f"m{i}") for i in p],
-        *[F.percentile_approx(off[i], 0.5, 2000).alias(f"s{i}") for i in p],
+        *[
+            F.greatest(F.percentile_approx(off[i], 0.5, 2000) * 1.4826, F.lit(floors[i])).alias(f"s{i}")
+            for i in p
+        ],
     )
-    start = {
-        f"c{i}{j}": (F.col(f"s{i}") * 1.4826) ** 2 if i == j else F.lit(0.0)
-        for i in p
-        for j in range(i + 1)
-    }
-    estimates = stored(_cholesky(spread.withColumns(start), floors), "estimates")
-    for _ in range(steps):
-        measured = _distance(rows.join(estimates, "group"))
-        nearest = measured.groupBy("group").agg(
+    units = rows.join(stored(spread, "spread"), "group").withColumns(
+        {f"z{i}": (F.col(STATISTICS[i]) - F.col(f"m{i}")) / F.col(f"s{i}") for i in p}
+    )
+    square = sum((F.col(f"z{i}") * F.col(f"z{i}") for i in p), F.lit(0.0))
+    units = units.withColumn("square", square)
+    product = lambda i, j: F.col(f"z{i}") * F.col(f"z{j}")
+    direction = lambda i, j: F.when(F.col("square") > 0, product(i, j) / F.col("square")).otherwise(0.0)
+    sums = units.groupBy("group").agg(
+        *[F.first(f"{c}{i}").alias(f"{c}{i}") for c in "ms" for i in p],
+        *[F.avg(STATISTICS[i]).alias(f"a{i}") for i in p],
+        *[F.avg(direction(i, j)).alias(f"u{i}{j}") for i, j in pairs],
+        *[F.avg(F.tanh(f"z{i}") * F.tanh(f"z{j}")).alias(f"t{i}{j}") for i, j in pairs],
+        *[F.covar_pop(STATISTICS[i], STATISTICS[j]).alias(f"v{i}{j}") for i, j in pairs],
+    )
+    unit = lambda i, j: F.col(f"s{i}") * F.col(f"s{j}")
+    scatters = [
+        lambda i, j: unit(i, j) if i == j else F.lit(0.0),
+        lambda i, j: F.col(f"u{i}{j}") * len(STATISTICS) * unit(i, j),
+        lambda i, j: F.col(f"t{i}{j}") * unit(i, j),
+        lambda i, j: F.col(f"v{i}{j}"),
+    ]
+    starts = [
+        F.struct(
+            F.lit(k).alias("start"),
+            *[F.col(f"{'a' if k == 3 else 'm'}{i}").alias(f"m{i}") for i in p],
+            *[scatter(i, j).alias(f"c{i}{j}") for i, j in pairs],
+        )
+        for k, scatter in enumerate(scatters)
+    ]
+    return sums.select("group", F.inline(F.array(*starts)))
+
+
+def _best(estimates: DataFrame, *by: str) -> DataFrame:
+    """Of each `by` the estimate of the smallest determinant, of equal ones the earliest."""
+    first = ["log_det", "step"]
+    others = [c for c in estimates.columns if c not in (*by, *first)]
+    least = estimates.groupBy(*by).agg(F.min(F.struct(*first, *others)).alias("e"))
+    return least.select(*by, "e.*")
+
+
+def robust_estimates(
+    rows: DataFrame, support: float = SUPPORT, steps: int = STEPS, floors=FLOORS
+) -> DataFrame:
+    """Centre and Cholesky factor per `group` of rows with the statistics x1..x4.
+
+    `log_det` is the logarithm of the determinant of scatter + squared floors.
+    """
+    p = range(len(STATISTICS))
+    names = [f"m{i}" for i in p] + [f"l{i}{j}" for i in p for j in range(i + 1)]
+    log_det = F.round(2 * sum((F.log(f"l{i}{i}") for i in p), F.lit(0.0)), 9)
+    estimates = stored(
+        _cholesky(_starts(rows, floors), floors).select(
+            "group", "start", F.lit(float("inf")).alias("log_det"), F.lit(0).alias("step"), *names
+        ),
+        "estimates",
+    )
+    for step in range(1, steps + 1):
+        falling = estimates.filter(F.col("step") == step - 1)
+        if falling.isEmpty():
+            break
+        nearest = _distance(rows.join(falling, "group")).groupBy("group", "start").agg(
             F.percentile_approx("d2", support, 2000).alias("limit")
         )
-        limits = stored(estimates.join(nearest, "group"), "limits")
+        limits = stored(falling.join(nearest, ["group", "start"]), "limits")
         core = _distance(rows.join(limits, "group")).filter(F.col("d2") <= F.col("limit"))
-        estimates = stored(_cholesky(_moments(core, CONSISTENCY), floors), "estimates")
-    return estimates
+        moved = _cholesky(_moments(core, CONSISTENCY), floors).select(
+            "group", "start", log_det.alias("log_det"), F.lit(step).alias("step"), *names
+        )
+        best = _best(estimates.unionByName(moved), "group", "start")
+        estimates = stored(_best(best, "group") if step == TRIAL_STEPS else best, "estimates")
+    return _best(estimates, "group").select("group", "log_det", *names)
 
 
 def judge(
@@ -237,21 +312,22 @@ def judge(
     support: float = SUPPORT,
     steps: int = STEPS,
 ) -> DataFrame:
-    """Counts, base_failed, the squared distance `d2` (NULL if not judged) and kept."""
+    """Counts, base_failed, the squared distance `d2` (NULL if the rules reject) and kept."""
     counts = statistics(docs, id_col, text_col, {lang_col: "lang", source_col: "source"})
     counts = stored(counts.withColumn("base_failed", base_failed()), "statistics")
     good = counts.filter(~F.col("base_failed")).withColumns(_vector())
     sizes = _grouped(good, min_rows)
     rows = stored(sizes.select("id", "lang", "source", "group", *STATISTICS), "vectors")
-    estimates = robust_estimates(rows, support, steps)
-    enough = rows.groupBy("group").agg((F.count(F.lit(1)) >= min_rows).alias("enough"))
-    estimates = stored(estimates.join(enough, "group"), "estimates")
+    fitted, apart = rows, F.col("group") == EVERYTHING
+    if not rows.filter(apart).isEmpty():
+        fitted = rows.filter(~apart).unionByName(rows.withColumn("group", F.lit(EVERYTHING)))
+    estimates = stored(robust_estimates(fitted, support, steps), "estimates")
 
     # Documents that passed the rules get the group of their language and source again.
     named = stored(rows.select("lang", "source", "group").distinct(), "names")
     per_source = stored(
         named.join(estimates, "group").select(
-            F.col("lang").alias("g_lang"), F.col("source").alias("g_source"), "enough",
+            F.col("lang").alias("g_lang"), F.col("source").alias("g_source"),
             *[f"m{i}" for i in range(4)], *[f"l{i}{j}" for i in range(4) for j in range(i + 1)],
         ),
         "per-source",
@@ -260,7 +336,7 @@ def judge(
         per_source["g_source"]
     )
     measured = _distance(counts.withColumns(_vector()).join(per_source, same, "left"))
-    d2 = F.when(~F.col("base_failed") & F.col("enough"), F.col("d2"))
+    d2 = F.when(~F.col("base_failed"), F.col("d2"))
     result = measured.withColumn("d2", d2)
     return result.select(
         F.col("id").alias(id_col),

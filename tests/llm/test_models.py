@@ -4,6 +4,7 @@ import math
 import random
 import zlib
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -187,6 +188,38 @@ def test_distances_are_those_of_the_estimate(spark):
     assert np.allclose(np.sort(got), np.sort(want), rtol=1e-6)
 
 
+def test_determinants_are_the_smallest_of_all_subsets(spark):
+    rnd = np.random.default_rng(3)
+    groups, rows, floor = {}, [], 0.1
+    for n in (10, 15):
+        h = 6 * n // 10
+        x = rnd.normal(0, 1, (n, 4))
+        x[h:] = 20 + 3 * rnd.normal(0, 1, (n - h, 4))  # four tenths, all on one side
+        groups[f"g{n}"] = min(
+            np.linalg.slogdet(quality_rules.CONSISTENCY * np.cov(x[list(s)].T, bias=True) + floor**2 * np.eye(4))[1]
+            for s in combinations(range(n), h)
+        )
+        rows += [(f"g{n}", *map(float, v)) for v in x]
+    table = spark.createDataFrame(rows, "`group` string, x1 double, x2 double, x3 double, x4 double")
+    got = {r["group"]: r.log_det for r in quality_rules.robust_estimates(table, floors=(floor,) * 4).collect()}
+    assert got == pytest.approx(groups, abs=1e-6)
+
+
+@pytest.mark.parametrize("sizes", [{"en": 150, "de": 40}, {"en": 30, "de": 25}])
+def test_small_groups_are_judged_by_all_documents(spark, sizes):
+    rnd = random.Random(2)
+    rows = []
+    for lang, n in sizes.items():
+        for i in range(n):
+            text = prose(rnd, lang, rnd.randint(60, 300))
+            if i % 20 == 0:
+                text = " ".join(w + "###" for w in words(text))
+            rows.append((len(rows) + 1000 * (i % 20 == 0), text, lang, "s", 1, 1, *CLASHING))
+    got = quality_rules.judge(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert len(got) == sum(sizes.values()) and all(r.d2 is not None for r in got)
+    assert all(r.kept == (r.doc_id < 1000) for r in got)
+
+
 def test_rules_without_documents(spark):
     assert quality_rules.judge(frame(spark, [])).count() == 0
 
