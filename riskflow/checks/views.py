@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 AS_OF = "2024-01-31 00:00:00"  # after the last event
 AS_OF_TXN = "2001-01-15 00:00:00"
+#: Rows of lineitem that one task joins to orders.
+LINES_PER_TASK = 250_000
 
 
 # --- fixed values: columns of the driver's tables, so that no file is opened to plan ---
@@ -34,9 +36,21 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
 
 
-def _orders(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders to join lineitem to: as large at scale, so merged and not broadcast."""
-    return table(spark, sf, "orders").select("o_orderkey", "o_custkey").hint("merge")
+def _lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Lineitem with the customer of its order, as large at scale, so merged and not broadcast.
+
+    The shuffle partitions grow with the rows and are not coalesced: otherwise a few tasks sort
+    and aggregate all rows after the join, and their memory grows with the table.
+    """
+    li = table(spark, sf, "lineitem")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    few = min(
+        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    )
+    parts = max(few, -(-li.count() // LINES_PER_TASK))
+    return li.repartition(parts, "l_orderkey").join(
+        orders.repartition(parts, "o_orderkey").hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")
+    )
 
 
 def _txt(column) -> Column:
@@ -54,8 +68,7 @@ def acc(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def txn(spark: SparkSession, sf: str) -> DataFrame:
-    li = table(spark, sf, "lineitem")
-    orders = _orders(spark, sf)
+    li = _lines(spark, sf)
     supplier = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     ts = F.col("l_shipdate") + F.make_dt_interval(
         F.lit(0),
@@ -63,8 +76,7 @@ def txn(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("l_suppkey") % 60).cast("int"),
     )
     return (
-        li.join(orders, li.l_orderkey == orders.o_orderkey)
-        .join(supplier, li.l_suppkey == supplier.s_suppkey)
+        li.join(supplier, li.l_suppkey == supplier.s_suppkey)
         .select(
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("transaction_id"),
             F.col("o_custkey").alias("account_id"),
@@ -127,8 +139,7 @@ def app(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rep(spark: SparkSession, sf: str) -> DataFrame:
-    li = table(spark, sf, "lineitem")
-    orders = _orders(spark, sf)
+    li = _lines(spark, sf)
     flag, due = F.col("l_returnflag"), F.col("l_extendedprice")
     status = (
         F.when(flag == "R", "missed")
@@ -139,7 +150,7 @@ def rep(spark: SparkSession, sf: str) -> DataFrame:
     paid = (
         F.when(flag == "R", 0.0).when(flag == "A", due * (1 - F.col("l_discount") * 5)).otherwise(due)
     )
-    return li.join(orders, li.l_orderkey == orders.o_orderkey).select(
+    return li.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("repayment_id"),
         F.col("l_orderkey").alias("application_id"),
         F.col("o_custkey").alias("customer_id"),
