@@ -56,8 +56,12 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 
 # --- stages shared by several queries --------------------------------------------
-def txn_signals(s: SparkSession, d: str) -> DataFrame:
-    txn = v.txn(s, d)
+def card_feed(s: SparkSession, d: str) -> DataFrame:
+    """What the card features read of the transactions, joined once: it is read several times."""
+    return stored(v.txn(s, d).drop("merchant_id", "part_id", "quantity"), "card-feed")
+
+
+def txn_signals(s: SparkSession, d: str, txn: DataFrame) -> DataFrame:
     df = t.with_billing_country(txn, v.acc(s, d))
     df = df.withColumn("is_international", signals.is_international())
     return t.with_amount_zscore(t.with_time_parts(df), source=txn)
@@ -85,9 +89,9 @@ def rep_signals(s: SparkSession, d: str) -> DataFrame:
 
 
 def card_features(s: SparkSession, d: str, grain: str = "account") -> DataFrame:
-    txn = txn_signals(s, d)
-    df = f.card_features(txn, v.acc(s, d), DEVICE_LIMIT, grain)
-    return df.join(f.merchant_category_risk(v.txn(s, d)), "customer_id", "left")
+    txn = card_feed(s, d)
+    df = f.card_features(txn_signals(s, d, txn), v.acc(s, d), DEVICE_LIMIT, grain, source=txn)
+    return df.join(f.merchant_category_risk(txn), "customer_id", "left")
 
 
 def card_scored(s: SparkSession, d: str) -> DataFrame:
@@ -466,8 +470,9 @@ def q_card_features(s, d):
 
 def card_feature_table(s, d):
     """The table that the card job writes, before it is scored."""
+    txn = card_feed(s, d)
     df = f.card_feature_table(
-        txn_signals(s, d), v.acc(s, d), at(v.AS_OF_TXN), DEVICE_LIMIT
+        txn_signals(s, d, txn), v.acc(s, d), at(v.AS_OF_TXN), DEVICE_LIMIT, source=txn
     )
     return rounded(
         df, "avg_txn_amount_30d", "merchant_risk_score", MCC, "avg_txn_amount_30d_asof"

@@ -75,44 +75,38 @@ def _rolling(
 ) -> DataFrame:
     """One row per (customer, instant, window): `customer`, `ts`, `_window`, `_count`.
 
-    Rows of one instant are counted together first, once for all windows. For each window
-    time is cut into slices as long as the window, and an instant is also shown to the
-    next slice, where it can still be in reach. There it adds its rows, and takes them
-    away just after the window's length: the count is a running sum of starts less ends,
-    linear in the instants of two slices, however busy the customer is.
+    Rows of one instant are counted together first, once for all windows. Time is cut into
+    slices as long as the longest window, and an instant is also shown to the next slice,
+    where it can still be in reach: two narrow rows are shuffled, whatever the number of
+    windows. In a slice, an instant adds its rows and takes them away just after the window's
+    length: the count is a running sum of starts less ends, linear in the instants of two
+    slices, however busy the customer is.
     """
     micros = _micros(txn, ts)
     per_instant = (
-        txn.filter(F.col(ts).isNotNull())
-        .groupBy(customer, ts)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_at", micros)
+        txn.filter(F.col(ts).isNotNull()).groupBy(customer, ts).agg(F.count(F.lit(1)).alias("_n"))
     )
+    longest = F.lit(max(windows.values()) * 1_000_000)
+    own = F.floor(micros / longest).cast("bigint")
+    slices = per_instant.select(customer, ts, "_n", F.explode(F.array(own, own + 1)).alias("_slice"))
+    # The instants of a customer's slice are one group; its changes are made where they lie.
+    shown = slices.repartition(customer, "_slice").withColumn("_at", micros)
     sizes = F.array(
         *[
             F.struct(F.lit(name).alias("_window"), F.lit(s * 1_000_000).alias("_width"))
             for name, s in windows.items()
         ]
     )
-    shown = per_instant.select(customer, ts, "_n", "_at", F.inline(sizes)).withColumn(
-        "_own", F.floor(F.col("_at") / F.col("_width")).cast("bigint")
-    )
+    shown = shown.select(customer, ts, "_n", "_slice", "_at", F.inline(sizes))
     nothing = F.lit(None).cast(txn.schema[ts].dataType)
-    change = lambda at, slice_, n, instant: F.struct(
-        at.alias("_at"), slice_.alias("_slice"), n.alias("_change"), instant.alias(ts)
+    change = lambda at, n, instant: F.struct(
+        at.alias("_at"), n.alias("_change"), instant.alias(ts)
     )
-    own, at, n = F.col("_own"), F.col("_at"), F.col("_n")
+    at, n = F.col("_at"), F.col("_n")
+    start = F.when(F.floor(at / longest).cast("bigint") == F.col("_slice"), F.col(ts))
     end = at + F.col("_width") + 1
     changes = shown.select(
-        customer,
-        "_window",
-        F.inline(
-            F.array(
-                change(at, own, n, F.col(ts)),
-                change(at, own + 1, n, nothing),
-                change(end, own + 1, -n, nothing),
-            )
-        ),
+        customer, "_window", "_slice", F.inline(F.array(change(at, n, start), change(end, -n, nothing)))
     )
     # Up to and with the row's time, so changes of one time count together.
     w = W.partitionBy(customer, "_window", "_slice").orderBy("_at").rangeBetween(

@@ -1,10 +1,14 @@
 """What large tables need: bounded tasks, feeds that are read once, narrow shuffles."""
 
+import re
 from datetime import datetime
 
 import pytest
 
+from riskflow.checks import queries as q
 from riskflow.checks import views as v
+from riskflow.operators import features
+from riskflow.operators import transactions as t
 
 DAY = datetime(1995, 1, 1)
 
@@ -26,9 +30,25 @@ def tables(spark, tmp_path_factory):
     return folder
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("feed", [v.txn, v.rep])
 def test_tasks_of_a_feed_grow_with_its_rows(spark, tables, monkeypatch, feed):
     monkeypatch.setattr(v, "LINES_PER_TASK", 10)
     df = feed(spark, tables)
     assert df.count() == 120
     assert df.rdd.getNumPartitions() == 12
+
+
+def test_card_features_join_the_feed_once(spark, tables):
+    for df in (q.card_feature_table(spark, tables), q.card_features(spark, tables)):
+        assert df.count() == 5
+        assert "lineitem.parquet" not in plan(df)  # it has been joined and stored
+
+
+def test_rolling_counts_shuffle_no_row_per_window(spark, tables):
+    text = plan(t.peak_rolling_counts(v.txn(spark, tables), features.PEAK_WINDOWS))
+    keys = re.findall(r"hashpartitioning\(([^)]*)\)", text)
+    assert any("_slice" in k for k in keys) and not any("_window" in k for k in keys)
