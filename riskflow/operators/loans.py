@@ -54,6 +54,8 @@ def with_shared_flag(
             F.count(F.lit(1)).alias("_rows"),
         )
     )
+    # Stored, so that Spark sees if there are few values, and moves no applications to join them.
+    per_value = stored(per_value, "shared-values")
     joined = attach_per_key(applications, per_value, [column], ["application_id"], size="_rows")
     return joined.withColumn(out, F.coalesce("_shared", F.lit(False))).drop("_shared")
 
@@ -72,6 +74,7 @@ def with_agent_approval_rate(
 ) -> DataFrame:
     """The approved share of the agent's applications; NULL without an agent."""
     per_agent = agent_approval(applications if source is None else source, agent).filter(F.col(agent).isNotNull())
+    per_agent = stored(per_agent, "agents")  # few, as the values above
     return attach_per_key(applications, per_agent, [agent], ["application_id"], size="_rows")
 
 
@@ -212,8 +215,10 @@ def with_missed_streak(
     still open at its end is carried into the next by a window over one row per
     customer and range.
     """
-    # A struct equals another if both hold NULL: rows without a customer stay together.
-    rows = repayments.withColumn("_who", F.struct(customer))
+    # A struct equals another if both hold NULL: rows without a customer stay together. It takes
+    # the column's place, so that runs and what is carried read the same columns, and Spark
+    # shuffles them once.
+    rows = repayments.withColumn("_who", F.struct(customer)).drop(customer)
     order = [F.col(due).asc_nulls_first(), F.col(repayment)]
     parts = ranges or max(
         int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")),
@@ -224,7 +229,8 @@ def with_missed_streak(
     streaks = _runs_by_chunk(ranged, order, missed)
     carry = F.when(F.col("_paid") == 0, F.col("_carry")).otherwise(0)
     streak = F.when(F.col(missed), F.col("_run") + carry).otherwise(0)
-    return streaks.select(*repayments.columns, streak.alias(out))
+    restored = streaks.withColumn(customer, F.col("_who")[customer])
+    return restored.select(*repayments.columns, streak.alias(out))
 
 
 def _runs(rows: DataFrame, group: list[str], order: list[Column], missed: str) -> DataFrame:

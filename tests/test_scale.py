@@ -7,7 +7,7 @@ import pytest
 
 from riskflow.checks import queries as q
 from riskflow.checks import views as v
-from riskflow.operators import features
+from riskflow.operators import features, loans
 from riskflow.operators import transactions as t
 
 DAY = datetime(1995, 1, 1)
@@ -52,3 +52,17 @@ def test_rolling_counts_shuffle_no_row_per_window(spark, tables):
     text = plan(t.peak_rolling_counts(v.txn(spark, tables), features.PEAK_WINDOWS))
     keys = re.findall(r"hashpartitioning\(([^)]*)\)", text)
     assert any("_slice" in k for k in keys) and not any("_window" in k for k in keys)
+
+
+def test_few_values_are_attached_without_a_shuffle_of_the_rows(spark, tables):
+    app = v.app(spark, tables)
+    shared = loans.with_agent_approval_rate(loans.with_shared_flag(app, "address", "shared"))
+    assert shared.count() == 40
+    assert "Exchange hashpartitioning" not in plan(shared)
+
+
+def test_runs_and_what_is_carried_hold_the_customer_once(spark, tables):
+    out = loans.missed_streak(v.rep(spark, tables).withColumn("is_missed", v.F.col("payment_status") == "missed"))
+    assert out.columns == ["customer_id", "due_date", "repayment_id", "is_missed", "missed_streak"]
+    scans = re.findall(r"ReadSchema: (\S+)", plan(out))
+    assert scans and all(x.count("customer_id") == 1 for x in scans)
