@@ -56,15 +56,18 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 
 # --- stages shared by several queries --------------------------------------------
-def card_feed(s: SparkSession, d: str) -> DataFrame:
-    """What the card features read of the transactions, joined once: it is read several times."""
-    return stored(v.txn(s, d).drop("merchant_id", "part_id", "quantity"), "card-feed")
+def card_columns(txn: DataFrame) -> DataFrame:
+    """What the card features read of the transactions."""
+    return txn.drop("merchant_id", "part_id", "quantity")
 
 
-def txn_signals(s: SparkSession, d: str, txn: DataFrame) -> DataFrame:
+def txn_flags(s: SparkSession, d: str, txn: DataFrame) -> DataFrame:
     df = t.with_billing_country(txn, v.acc(s, d))
-    df = df.withColumn("is_international", signals.is_international())
-    return t.with_amount_zscore(t.with_time_parts(df), source=txn)
+    return t.with_time_parts(df.withColumn("is_international", signals.is_international()))
+
+
+def txn_signals(s: SparkSession, d: str, txn: DataFrame) -> DataFrame:
+    return t.with_amount_zscore(txn_flags(s, d, txn), source=txn)
 
 
 def app_signals(s: SparkSession, d: str) -> DataFrame:
@@ -89,7 +92,9 @@ def rep_signals(s: SparkSession, d: str) -> DataFrame:
 
 
 def card_features(s: SparkSession, d: str, grain: str = "account") -> DataFrame:
-    txn = card_feed(s, d)
+    # Joined once and stored, as it is read several times. Distinct values are read before the
+    # join to accounts: it may repeat rows, but adds no values.
+    txn = stored(card_columns(v.txn(s, d)), "card-feed")
     df = f.card_features(txn_signals(s, d, txn), v.acc(s, d), DEVICE_LIMIT, grain, source=txn)
     return df.join(f.merchant_category_risk(txn), "customer_id", "left")
 
@@ -470,9 +475,12 @@ def q_card_features(s, d):
 
 def card_feature_table(s, d):
     """The table that the card job writes, before it is scored."""
-    txn = card_feed(s, d)
+    txn = card_columns(v.txn(s, d))
+    # Stored, as it is read several times: all counts are of the rows joined to accounts.
+    rows = stored(txn_flags(s, d, txn), "card-rows")
     df = f.card_feature_table(
-        txn_signals(s, d, txn), v.acc(s, d), at(v.AS_OF_TXN), DEVICE_LIMIT, source=txn
+        t.with_amount_zscore(rows, source=txn),
+        v.acc(s, d), at(v.AS_OF_TXN), DEVICE_LIMIT, source=rows,
     )
     return rounded(
         df, "avg_txn_amount_30d", "merchant_risk_score", MCC, "avg_txn_amount_30d_asof"

@@ -43,9 +43,25 @@ def test_tasks_of_a_feed_grow_with_its_rows(spark, tables, monkeypatch, feed):
 
 
 def test_card_features_join_the_feed_once(spark, tables):
-    for df in (q.card_feature_table(spark, tables), q.card_features(spark, tables)):
-        assert df.count() == 5
-        assert "lineitem.parquet" not in plan(df)  # it has been joined and stored
+    features_, table = q.card_features(spark, tables), q.card_feature_table(spark, tables)
+    assert features_.count() == table.count() == 5
+    assert "lineitem.parquet" not in plan(features_)  # it has been joined and stored
+    # The statistics alone read it again. The plan names one aggregate twice, for hot customers
+    # and for others, and so all features for hot and other customers of the accounts.
+    assert plan(table).count("lineitem.parquet") <= 4
+
+
+def test_counts_of_the_feature_table_are_of_rows_joined_to_accounts(spark, tables, tmp_path):
+    for name in ("supplier", "orders", "lineitem"):
+        spark.read.parquet(f"{tables}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    once = spark.read.parquet(f"{tables}/customer.parquet")
+    once.unionAll(once.filter("c_custkey = 1")).write.parquet(f"{tmp_path}/customer.parquet")
+    df = q.card_feature_table(spark, str(tmp_path))
+    found = {r.customer_id: r for r in df.collect()}
+    assert found[1].txn_count_30d == 48 and found[2].txn_count_30d == 24
+    assert found[1].txn_count_1h_rolling == 2 * q.card_feature_table(spark, tables).filter(
+        "customer_id = 1"
+    ).first().txn_count_1h_rolling
 
 
 def test_rolling_counts_shuffle_no_row_per_window(spark, tables):
