@@ -20,6 +20,7 @@ gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,8 +35,10 @@ ORDER = 3
 BACKOFF = 0.4
 MIN_COUNT = 2
 #: Bytes of text in a chunk, on average, and of n-gram hashes in a bucket.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 16 << 20
 BUCKET_BYTES = 16 << 20
+#: A chunk's hashes are sorted range by range; these first bits of a hash name its range.
+PART_BITS = 3
 #: Bytes of a hash that are moved; the bucket's number stands for further bits.
 HASH_BYTES = 6
 
@@ -56,51 +59,67 @@ def ngrams(run: list[bytes], order: int) -> tuple[list[np.ndarray], np.ndarray]:
     return out, begins
 
 
-def _distinct(grams: list[np.ndarray], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct hashes in order, their counts, and the place of each entry of `grams` (flat)."""
-    flat = np.concatenate(grams)
-    values, inverse, counts = np.unique(flat, return_inverse=True, return_counts=True)
-    return values, counts, inverse
+def _distinct(grams: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, list]]:
+    """Distinct hashes in order and their counts, for one range of hashes after another.
+
+    Also, for each array of `grams`, its places in this part and which hash stands there.
+    """
+    tops = [(g >> np.uint64(64 - PART_BITS)).astype(np.uint8) for g in grams]
+    for part in range(1 << PART_BITS):
+        places = [np.flatnonzero(top == part) for top in tops]
+        some = np.concatenate([g[p] for g, p in zip(grams, places, strict=True)])
+        values, inverse, counts = np.unique(some, return_inverse=True, return_counts=True)
+        ends = np.cumsum([len(p) for p in places])[:-1]
+        yield values, counts, list(zip(places, np.split(inverse, ends), strict=True))
 
 
 def _pack_counts(counts: np.ndarray) -> bytes:
-    """One byte per count; those of 255 and more follow in full."""
+    """One byte per count; those of 255 and more follow in full. Most are small: Huffman codes."""
     small = np.minimum(counts, 255).astype(np.uint8)
-    return small.tobytes() + counts[small == 255].astype("<u8").tobytes()
+    return zlib.compress(small.tobytes() + counts[small == 255].astype("<u8").tobytes(), 1)
 
 
 def _unpack_counts(data: bytes, n: int) -> np.ndarray:
+    data = zlib.decompress(data)
     counts = np.frombuffer(data, np.uint8, n).astype(np.int64)
     counts[counts == 255] = np.frombuffer(data, "<u8", offset=n)
     return counts
 
 
-def _low_bytes(n: int) -> int:
-    """How many of a key's HASH_BYTES bytes to store in full, for the shortest code of n keys."""
-    return min(range(HASH_BYTES), key=lambda low: n * 8 * low + (1 << 8 * (HASH_BYTES - low)))
+def _low_bits(n: int) -> int:
+    """How many of a key's bits to store in full, for the shortest code of n keys."""
+    return min(range(8 * HASH_BYTES - 20, 8 * HASH_BYTES), key=lambda low: n * low + (1 << 8 * HASH_BYTES - low))
 
 
 def _pack_keys(hashes: np.ndarray, bucket_bits: int) -> bytes:
     """The HASH_BYTES bytes below the bits that name the bucket, of hashes in order.
 
-    Low bytes are stored as they are. As high parts never fall, they are a row of bits: the
-    i-th key sets bit (high part + i) (the Elias-Fano code).
+    Low bits are stored as they are: whole bytes, then the rest of them. As high parts never
+    fall, they are a row of bits: the i-th key sets bit (high part + i) (the Elias-Fano code).
     """
     rest = (hashes << np.uint64(bucket_bits)) >> np.uint64(64 - 8 * HASH_BYTES)
-    n, low = len(rest), _low_bytes(len(rest))
-    bits = np.zeros(n + (1 << 8 * (HASH_BYTES - low)), np.uint8)
-    bits[(rest >> np.uint64(8 * low)).astype(np.int64) + np.arange(n)] = 1
-    lows = np.ascontiguousarray(rest.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :low])
-    return lows.tobytes() + np.packbits(bits).tobytes()
+    n, low = len(rest), _low_bits(len(rest))
+    whole, more = divmod(low, 8)
+    bits = np.zeros(n + (1 << 8 * HASH_BYTES - low), np.uint8)
+    bits[(rest >> np.uint64(low)).astype(np.int64) + np.arange(n)] = 1
+    lows = np.ascontiguousarray(rest.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : whole + 1])
+    odd = np.unpackbits(lows[:, whole :], axis=1, bitorder="little", count=more)
+    return np.ascontiguousarray(lows[:, :whole]).tobytes() + np.packbits(odd).tobytes() + np.packbits(bits).tobytes()
 
 
 def _unpack_keys(data: bytes, n: int) -> np.ndarray:
-    low = _low_bytes(n)
+    low = _low_bits(n)
+    whole, more = divmod(low, 8)
+    at = n * whole
     wide = np.zeros((n, 8), np.uint8)
-    wide[:, :low] = np.frombuffer(data, np.uint8, n * low).reshape(n, low)
-    bits = np.unpackbits(np.frombuffer(data, np.uint8, offset=n * low))
+    wide[:, :whole] = np.frombuffer(data, np.uint8, at).reshape(n, whole)
+    if more:
+        odd = np.unpackbits(np.frombuffer(data, np.uint8, -(-n * more // 8), at), count=n * more)
+        wide[:, whole] = np.packbits(odd.reshape(n, more), axis=1, bitorder="little").ravel()
+        at += -(-n * more // 8)
+    bits = np.unpackbits(np.frombuffer(data, np.uint8, offset=at))
     high = np.flatnonzero(bits) - np.arange(n)
-    return wide.view("<u8").ravel() + (high.astype(np.uint64) << np.uint64(8 * low))
+    return wide.view("<u8").ravel() + (high.astype(np.uint64) << np.uint64(low))
 
 
 def _chunk_ngrams(table: pa.Table, order: int):
@@ -149,7 +168,8 @@ def score_documents(
     def explode(table: pa.Table) -> pa.Table:
         chunk = table.column("chunk")[0].as_py()
         grams, _ = _chunk_ngrams(table, order)
-        values, counts, _ = _distinct(grams, order)
+        parts = [(values, counts) for values, counts, _ in _distinct(grams)]
+        values, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
         begins = np.searchsorted(values >> np.uint64(64 - bucket_bits), np.arange((1 << bucket_bits) + 1))
         used = np.flatnonzero(np.diff(begins))
         cuts = [(int(b), slice(begins[b], begins[b + 1])) for b in used]
@@ -194,13 +214,16 @@ def score_documents(
 
     def score(table: pa.Table, answers: pa.Table) -> pa.Table:
         grams, begins = _chunk_ngrams(table, order)
-        _, _, place = _distinct(grams, order)
         rows = sorted(
             zip(*(answers.column(c).to_pylist() for c in ("bucket", "n", "answer")), strict=True)
         )
         known = np.concatenate([np.empty(0, np.int64), *[_unpack_counts(a, n) for _, n, a in rows]])
         n_words = len(grams[0])
-        counts = known[place].reshape(order, n_words) if n_words else np.zeros((order, 0))
+        counts, first = np.zeros((order, n_words), np.int64), 0
+        for values, _, found in _distinct(grams):
+            for n, (places, which) in enumerate(found):
+                counts[n][places] = known[first + which]
+            first += len(values)
         for n in range(1, order):
             counts[n][(grams[n] == 0) | (counts[n] < min_count)] = 0
         logs = np.log(np.maximum(counts[0], 1) / max(1, total_words))

@@ -347,3 +347,25 @@ def test_packed_counts_and_keys():
         back = lm_score._unpack_keys(lm_score._pack_keys(keys, 8), len(keys))
         expected = (keys << np.uint64(8)) >> np.uint64(64 - 8 * lm_score.HASH_BYTES)
         assert back.tolist() == expected.tolist()
+
+
+def test_packed_keys_and_counts_are_short():
+    rng = np.random.default_rng(1)
+    for n in (600, 9_000, 40_000):
+        keys = np.unique(rng.integers(0, 2**56, n).astype(np.uint64))
+        least = 48 - np.log2(n) + 1.44  # bits of a set of 48-bit numbers
+        assert 8 * len(lm_score._pack_keys(keys, 8)) / len(keys) < least + 0.6
+    counts = rng.geometric(0.8, 9_000)
+    assert len(lm_score._pack_counts(counts)) < 0.25 * len(counts)
+
+
+def test_distinct_ngrams_range_by_range():
+    rng = np.random.default_rng(2)
+    grams = [rng.choice(rng.integers(0, 2**63, 50).astype(np.uint64) * np.uint64(2), n) for n in (200, 0, 90)]
+    parts = list(lm_score._distinct(grams))
+    values, counts = np.unique(np.concatenate(grams), return_counts=True)
+    assert np.concatenate([v for v, _, _ in parts]).tolist() == values.tolist()
+    assert np.concatenate([c for _, c, _ in parts]).tolist() == counts.tolist()
+    for v, _, found in parts:
+        for gram, (places, which) in zip(grams, found, strict=True):
+            assert gram[places].tolist() == v[which].tolist()
