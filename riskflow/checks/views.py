@@ -40,13 +40,12 @@ def _lines(spark: SparkSession, sf: str) -> DataFrame:
     """Lineitem with the customer of its order, as large at scale, so merged and not broadcast.
 
     The shuffle partitions grow with the rows and are not coalesced: otherwise a few tasks sort
-    and aggregate all rows after the join, and their memory grows with the table.
+    and aggregate all rows after the join, and their memory grows with the table. They are not
+    fewer than Spark's own, which would have it shuffle one side once more.
     """
     li = table(spark, sf, "lineitem")
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    few = min(
-        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
-    )
+    few = int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = max(few, -(-li.count() // LINES_PER_TASK))
     return li.repartition(parts, "l_orderkey").join(
         orders.repartition(parts, "o_orderkey").hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")

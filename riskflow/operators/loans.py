@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskflow.operators.skew import attach_per_key
+from riskflow.operators.skew import attach_per_key, hot_keys, split_hot
 from riskflow.sources.tables import stored
 
 #: Rows of a range of the order of all repayments.
@@ -167,10 +167,24 @@ def with_cumulative_missed(
 ) -> DataFrame:
     """Missed payments of the customer up to and including each due date.
 
-    Rows due on one day share the value and a NULL due date comes first. The running
-    sum goes over one row per (customer, due date) and is joined back.
+    Rows due on one day share the value and a NULL due date comes first. A customer's rows are
+    one group, which is shuffled once and left spread by customer. For customers with too
+    many rows for a task, and for rows counted in another `source`, the running sum goes over
+    one row per (customer, due date) and is joined back.
     """
-    per_day = (repayments if source is None else source).groupBy(customer, due).agg(
+    if source is None:
+        hot, _ = hot_keys(repayments, customer)
+        rest = repayments
+        if hot is not None:
+            rest, busy = split_hot(repayments, hot, customer)
+        by_day = W.partitionBy(customer).orderBy(due).rangeBetween(W.unboundedPreceding, W.currentRow)
+        missed_so_far = F.sum(F.when(F.col(missed), 1).otherwise(0).cast("bigint")).over(by_day)
+        counted = rest.withColumn(out, missed_so_far)
+        if hot is None:
+            return counted
+        joined = with_cumulative_missed(busy, out, customer, due, missed, repayment, source=busy)
+        return counted.unionByName(joined)
+    per_day = source.groupBy(customer, due).agg(
         F.count_if(F.col(missed)).alias("_missed"), F.count(F.lit(1)).alias("_rows")
     )
     w = W.partitionBy(customer).orderBy(due).rowsBetween(W.unboundedPreceding, W.currentRow)

@@ -17,8 +17,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskflow.sources.tables import stored
+
 ROWS_PER_TASK = 4_000_000
 SALTS = 1 << 20
+#: Groups of keys whose rows are counted before those of single keys.
+GROUPS = 1 << 12
 
 
 def attach_per_key(
@@ -66,6 +70,35 @@ def attach_per_key(
     )
 
 
+def hot_keys(
+    rows: DataFrame, key: str, rows_per_task: int | None = None
+) -> tuple[DataFrame | None, int]:
+    """The keys with more than `rows_per_task` rows, None if there are none, and the row count.
+
+    Rows are counted per group of keys first, which shuffles next to nothing. Only if a group
+    has that many are single keys counted. A NULL key is a key.
+    """
+    limit = ROWS_PER_TASK if rows_per_task is None else rows_per_task
+    group = F.pmod(F.xxhash64(key), F.lit(GROUPS)).alias("_group")
+    groups = rows.groupBy(group).agg(F.count(F.lit(1)).alias("_size"))
+    largest, total = groups.agg(F.max("_size"), F.sum("_size")).first()
+    if (largest or 0) <= limit:
+        return None, total or 0
+    counted = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_size"))
+    hot = stored(counted.filter(F.col("_size") > limit).select(key), "hot-keys")
+    return (None if hot.isEmpty() else hot), total
+
+
+def split_hot(rows: DataFrame, hot: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of other keys, and those of the keys in `hot` (as from `hot_keys`)."""
+    flagged = hot.withColumn("_hot", F.lit(True))
+    marked = _join(rows, F.broadcast(flagged), [key], null_safe=True)
+    return (
+        marked.filter(F.col("_hot").isNull()).select(*rows.columns),
+        marked.filter("_hot").select(*rows.columns),
+    )
+
+
 def _salt(key: list[str], row_id: Sequence[str], null_safe: bool) -> Column:
     # The row's own columns plus the number of the task: the same on a retry, and exact
     # copies of a row that lie in different tasks still spread.

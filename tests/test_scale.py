@@ -7,7 +7,7 @@ import pytest
 
 from riskflow.checks import queries as q
 from riskflow.checks import views as v
-from riskflow.operators import features, loans
+from riskflow.operators import features, loans, skew
 from riskflow.operators import transactions as t
 
 DAY = datetime(1995, 1, 1)
@@ -82,3 +82,51 @@ def test_runs_and_what_is_carried_hold_the_customer_once(spark, tables):
     assert out.columns == ["customer_id", "due_date", "repayment_id", "is_missed", "missed_streak"]
     scans = re.findall(r"ReadSchema: (\S+)", plan(out))
     assert scans and all(x.count("customer_id") == 1 for x in scans)
+
+
+def test_running_misses_are_counted_where_the_customer_lies(spark, tables):
+    df = loans.with_cumulative_missed(v.rep(spark, tables).withColumn("is_missed", v.F.col("payment_status") == "missed"))
+    per_customer = df.groupBy("customer_id").agg(v.F.max("consecutive_missed_count").alias("n"))
+    assert {r.customer_id: r.n for r in per_customer.collect()} == dict.fromkeys(range(1, 6), 12)
+    # By order (twice) and by customer, not by due date, nor once more to aggregate.
+    keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan(per_customer).split("Initial Plan")[-1])
+    assert sorted(re.findall(r"[a-z_]+(?=#)", " ".join(keys))) == ["customer_id", "l_orderkey", "o_orderkey"]
+
+
+@pytest.mark.parametrize("limit", [3, 100])
+def test_running_misses_of_hot_customers(spark, monkeypatch, limit):
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", limit)
+    days = [None, *[datetime(2024, 1, d).date() for d in (1, 1, 2, 3)]]
+    data = [(c, day, i, missed) for c in (1, 2, None) for i, (day, missed) in enumerate(zip(days, (True, True, False, None, True), strict=True))]
+    data += [(7, days[1], 1, True)]
+    df = spark.createDataFrame(data, "customer_id bigint, due_date date, repayment_id bigint, is_missed boolean")
+    got = loans.with_cumulative_missed(df)
+    assert got.columns == [*df.columns, "consecutive_missed_count"]
+    want = [(c, i, n) for c in (1, 2, None) for i, n in enumerate((1, 2, 2, 2, 3))] + [(7, 1, 1)]
+    found = [(r.customer_id, r.repayment_id, r.consecutive_missed_count) for r in got.collect()]
+    assert sorted(found, key=str) == sorted(want, key=str)
+
+
+@pytest.mark.parametrize("limit", [3, 100])
+def test_distinct_values_by_customer(spark, monkeypatch, limit):
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", limit)
+    monkeypatch.setattr(features, "ROWS_OF_DISTINCT", 2)
+    data = [(c, f"C{i % 2}", f"M{i}", i % 3) for c in (1, 2, None) for i in range(5)]
+    data += [(7, None, None, None), (8, "C1", None, 4)]
+    df = spark.createDataFrame(data, "customer_id bigint, merchant_country string, merchant_name string, device_id int")
+    plain = features.distinct_values(df, 2)
+    got = features.distinct_values(df, 2, by_customer=True)
+    assert sorted(map(str, got.collect())) == sorted(map(str, plain.collect()))
+    if limit == 100:  # 17 rows, two a task, in one shuffle
+        text = plan(got).split("Initial Plan")[-1]
+        assert re.findall(r"hashpartitioning\(customer_id#\d+L, (\d+)\)", text) == ["9"]
+
+
+def test_feeds_ask_for_no_fewer_tasks_than_spark(spark, tables):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 7)  # more than cores
+    try:
+        text = v.rep(spark, tables)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert re.findall(r"RepartitionByExpression \[[^\]]*\], (\d+)", text) == ["7", "7"]
