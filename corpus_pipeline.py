@@ -8,6 +8,8 @@ changes it.
 
 from __future__ import annotations
 
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,12 +76,26 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
+def _in_small_batches(stage):
+    """`stage`, whose whole texts go to Python workers BATCH_ROWS at a time.
+
+    Spark reads the setting when the stage's result is written, so the session keeps it.
+    """
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("language_id", known_language),
-    ("near_dedup", one_of_each_group),
-    ("substring_dedup", without_repeated_passages),
-    ("mixing", mixed),
-    ("packing", packed),
+    ("language_id", _in_small_batches(known_language)),
+    ("near_dedup", _in_small_batches(one_of_each_group)),
+    ("substring_dedup", _in_small_batches(without_repeated_passages)),
+    ("mixing", _in_small_batches(mixed)),
+    ("packing", _in_small_batches(packed)),
 ]
 
 #: SQL has no suffix automata, MinHash components or tokenizer: tested against brute force.
@@ -87,13 +103,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, applied to `documents`.
-
-    Whole texts go to Python workers, so the stages hand them over BATCH_ROWS at a time.
-    """
+    """All stages, applied to `documents`."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     before = spark.conf.get(BATCH_SETTING)
-    spark.conf.set(BATCH_SETTING, BATCH_ROWS)
     try:
         for name, stage in STAGES:
             docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")

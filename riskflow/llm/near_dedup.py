@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskflow.llm.words import WORD, mix, slices, utf8, word_hashes
+from riskflow.llm.words import WORD, mix, slices, tidy, utf8, word_hashes
 from riskflow.operators.skew import attach_per_key
 from riskflow.sources.tables import stored
 
@@ -147,7 +147,7 @@ def bucketed(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFra
                 )
 
     return _texts(docs, id_col, text_col).mapInArrow(
-        rows, "id bigint, text_hash bigint, n_shingles bigint, digest binary, buckets array<bigint>"
+        tidy(rows), "id bigint, text_hash bigint, n_shingles bigint, digest binary, buckets array<bigint>"
     )
 
 
@@ -178,7 +178,7 @@ def signatures(texts: DataFrame, width: int) -> DataFrame:
                     ["node", "shingles", "packed"],
                 )
 
-    return texts.mapInArrow(rows, "node bigint, shingles binary, packed array<bigint>")
+    return texts.mapInArrow(tidy(rows), "node bigint, shingles binary, packed array<bigint>")
 
 
 def estimated_similarity(a: str, b: str):
@@ -267,7 +267,7 @@ def _confirmed(pairs: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
     left = signed.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     right = signed.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     joined = pairs.select("a", "b").join(left, "a").join(right, "b")
-    return joined.select("a", "b", "sa", "sb").mapInArrow(similar, "a bigint, b bigint")
+    return joined.select("a", "b", "sa", "sb").mapInArrow(tidy(similar), "a bigint, b bigint")
 
 
 class _Union:

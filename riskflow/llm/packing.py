@@ -25,6 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskflow.llm.words import tidy
 from riskflow.sources.tables import stored
 
 PIECES_PER_TASK = 65_536
@@ -137,12 +138,11 @@ def pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _word_ids(tokenizer_path)
         for batch in batches:
-            keys = batch.column(0).to_pylist()
-            texts = batch.column(1).cast(pa.large_binary()).to_pylist()
             out: list[list] = [[] for _ in names]
-            for at in range(0, len(texts), TEXTS_AT_A_TIME):
-                some = [t or b"" for t in texts[at : at + TEXTS_AT_A_TIME]]
-                for key, ids in zip(keys[at:], known.ids(some), strict=False):
+            for at in range(0, batch.num_rows, TEXTS_AT_A_TIME):
+                keys, texts = batch.slice(at, TEXTS_AT_A_TIME).columns
+                some = [t or b"" for t in texts.cast(pa.large_binary()).to_pylist()]
+                for key, ids in zip(keys.to_pylist(), known.ids(some), strict=True):
                     ids += end
                     for piece, low in enumerate(range(0, len(ids), 4 * max_tokens)):
                         own = ids[low : low + 4 * max_tokens]
@@ -165,7 +165,7 @@ def pieces(
 
     schema = "id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
     return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        cut, schema + ", ids array<int>" * with_ids
+        tidy(cut), schema + ", ids array<int>" * with_ids
     )
 
 

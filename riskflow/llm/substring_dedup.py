@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskflow.llm.words import mix, running, slices, spans, utf8, word_hashes
+from riskflow.llm.words import mix, running, slices, spans, tidy, utf8, word_hashes
 
 PERIOD = 31
 RESULTS = ("n_words", "n_removed", "kept_text")
@@ -193,14 +193,14 @@ def remove_repeats(
     )
     known = passed.filter(F.col("__id").isNotNull()).select("__id", "__text")
 
-    anchors = _settled(known.mapInArrow(_anchor_rows(window - PERIOD + 1), _ROW))
+    anchors = _settled(known.mapInArrow(tidy(_anchor_rows(window - PERIOD + 1)), _ROW))
     shared = anchors.filter(F.col("shared") | (F.col("least") != F.col("most")))
     per_doc = shared.groupBy("doc").agg(F.collect_set("hash").alias("anchors"))
 
     # Both joins take the same columns of the same rows, so the texts are shuffled once.
     near = passed.join(per_doc, passed["__id"] == per_doc["doc"], "left")
     found = near.select("__id", "__text", "anchors", "__rest").mapInArrow(
-        _window_rows(window), _ROW
+        tidy(_window_rows(window)), _ROW
     )
     windows = _settled(found)
     late = windows.filter(F.col("later") | (F.col("least") < F.col("doc")))
@@ -209,7 +209,7 @@ def remove_repeats(
     joined = passed.join(removed, passed["__id"] == removed["doc"], "left")
     rest = passed.schema["__rest"].dataType.simpleString()
     cut = joined.select("__id", "__text", "removed", "__rest").mapInArrow(
-        _cut(window), f"__rest {rest}, n_words bigint, n_removed bigint, kept_text string"
+        tidy(_cut(window)), f"__rest {rest}, n_words bigint, n_removed bigint, kept_text string"
     )
     return cut.select(
         *[F.col(f"__rest.c{i}").alias(c) for i, c in enumerate(others)],

@@ -6,7 +6,8 @@ In UTF-8 these are single bytes, so texts are cut as bytes.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -67,6 +68,29 @@ def utf8(column: pa.Array) -> Iterator[bytes | None]:
     return (x.as_py() for x in column.cast(pa.large_binary()))
 
 
+def give_back() -> None:
+    """Return what this Python worker has freed, but still holds, to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
+def tidy(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """`task` for mapInArrow, giving memory back before and after it.
+
+    A Python worker is used by many tasks, also of later stages. Otherwise each worker keeps
+    the most that any of them needed.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
+        yield from task(batches)
+        give_back()
+
+    return run
+
+
 def slices(texts: Iterable[bytes | None]) -> Iterator[tuple[int, list[bytes]]]:
     """Runs of texts of about SLICE_BYTES each, with the index of their first text."""
     first, run, size = 0, [], 0

@@ -11,6 +11,7 @@ from test_dedup import linked, without_repeats
 from test_mixing import reshared
 from tokenizers import Tokenizer
 
+from riskflow.llm import words as words_module
 from riskflow.sources.tables import stored
 
 
@@ -95,3 +96,28 @@ def test_language_stage_rejects_strings_and_unlearned_scripts(spark):
     odd = [(5000 + i, text, None, "src0", len(text), *[None] * 12) for i, text in enumerate([*unlearned, "Hello", "Да"])]
     kept = corpus_pipeline.known_language(spark, docs.union(spark.createDataFrame(odd, SCHEMA)), "")
     assert sorted(r.doc_id for r in kept.collect() if (r.doc_id or 0) >= 5000) == [5002, 5003]
+
+
+def test_stages_hand_texts_over_in_small_batches(spark):
+    docs = spark.createDataFrame(documents(n=12), SCHEMA)
+    before = spark.conf.get(corpus_pipeline.BATCH_SETTING)
+    try:
+        for _, stage in corpus_pipeline.STAGES:
+            spark.conf.set(corpus_pipeline.BATCH_SETTING, before)
+            stage(spark, docs, "")
+            assert spark.conf.get(corpus_pipeline.BATCH_SETTING) == str(corpus_pipeline.BATCH_ROWS)
+    finally:
+        spark.conf.set(corpus_pipeline.BATCH_SETTING, before)
+
+
+def test_tasks_give_memory_back(monkeypatch):
+    calls = []
+    monkeypatch.setattr(words_module, "give_back", lambda: calls.append("free"))
+
+    def task(batches):
+        for b in batches:
+            calls.append(b)
+            yield -b
+
+    assert list(words_module.tidy(task)([1, 2])) == [-1, -2]
+    assert calls == ["free", 1, 2, "free"]
