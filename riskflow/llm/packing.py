@@ -15,6 +15,7 @@ rows; other columns are ignored.
 from __future__ import annotations
 
 import os
+import string
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -35,6 +36,15 @@ CACHED_WORDS = 400_000
 TEXTS_AT_A_TIME = 256
 WORDS_AT_A_TIME = 1024
 
+#: What the tokenizer cuts between, by byte.
+_GAP, _LETTER, _DIGIT, _SIGN = range(4)
+_KIND = np.full(256, _SIGN, np.uint8)
+_KIND[list(b" \t\n\v\f\r")] = _GAP
+_KIND[list(string.ascii_letters.encode())] = _LETTER
+_KIND[list(string.digits.encode())] = _DIGIT
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
 
 @cache
 def _tokenizer(path: str):
@@ -50,17 +60,56 @@ def _word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
-class WordIds(dict):
-    """Token ids of a white-space-separated word, as little-endian 32-bit bytes.
+def pre_tokens(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The tokenizer's own cuts: distinct pre-tokens, the number of each, where each text begins.
 
-    The tokenizer drops white space and never joins across it, so the ids of a text
-    are those of its words one after another. A word is found once per Python worker,
-    until there are too many. It lowers case, and cuts between letters and signs: so a new
-    word of letters and then signs is put together from both parts, and parts that are
-    all letters are encoded together, as just their last ids close a word.
+    The tokenizer lowers case, drops white space and cuts between letters, signs and single
+    digits, but keeps endings like 's and 'll whole. That is done here on bytes, for ASCII and
+    the letters \u00c0 to \u00ff; words with other characters, or with what may be a special
+    token, are left whole and as they are.
     """
+    data = np.frombuffer(b" ".join(texts) + b"  ", np.uint8)
+    kind, low, odd = _KIND[data], _LOWER[data], data >= 0x80
+    second = np.flatnonzero(data == 0xC3) + 1
+    second = second[(data[second] != 0x97) & (data[second] != 0xB7)]  # two signs among the letters
+    for place in (second - 1, second):
+        kind[place], odd[place] = _LETTER, False
+    low[second[data[second] <= 0x9E]] += 0x20
+    before = np.concatenate((_KIND[[0x20]], kind[:-1]))
+    inside = kind != _GAP
+    first = inside & ((kind != before) | (kind == _DIGIT))
+    quotes = np.flatnonzero((low == ord("'")) & (before != _SIGN))
+    ending = low[quotes + 1].astype(np.uint16) << 8
+    short = quotes[np.isin(ending >> 8, list(b"stmd"))]
+    long = quotes[np.isin(ending + low[quotes + 2], [int.from_bytes(x) for x in (b"re", b"ve", b"ll")])]
+    after = np.concatenate((short + 2, long + 3))
+    first[np.concatenate((short, long)) + 1] = False
+    first[after] |= kind[after] == _LETTER
+    odd[:-1] |= (data[:-1] == ord("<")) & (data[1:] == ord("|"))
+    if odd.any():
+        opens = inside & (before == _GAP)
+        word = np.cumsum(opens)
+        whole = np.zeros(word[-1] + 1, bool)
+        whole[word[odd]] = True
+        whole = whole[word] & inside
+        first, low = np.where(whole, opens, first), np.where(whole, data, low)
+    starts = np.flatnonzero(first)
+    ends = np.append((np.cumsum(inside) - 1)[starts], np.count_nonzero(inside))
+    buffers = [None, pa.py_buffer(ends), pa.py_buffer(low[inside])]
+    coded = pa.Array.from_buffers(pa.large_binary(), len(starts), buffers).dictionary_encode()
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    begins = np.concatenate(([0], np.cumsum(lengths + 1)))
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy(), np.searchsorted(starts, begins)
+
+
+class WordIds(dict):
+    """Token ids of pre-tokens: numbers of pre-tokens, whose ids lie in one array.
 
-    SIGNS = b".,!?;:%&$#*"
+    The tokenizer never joins across the cuts, so the ids of a text are those of its
+    pre-tokens one after another. Each is found once per Python worker, until there are too
+    many. New ones that are one pre-token each are encoded together, as just their last ids
+    close a word.
+    """
 
     def __init__(self, path: str):
         super().__init__()
@@ -68,58 +117,51 @@ class WordIds(dict):
         vocabulary = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        #: Ids of all words, and where those of each word end.
+        self.flat, self.ends = np.empty(0, "<u4"), np.zeros(1, np.int64)
 
     def _encode(self, texts: list[str]):
         return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
 
-    def learn(self, words: set[bytes]) -> None:
-        whole, built, parts = [], [], set()
+    def _add(self, words: list[bytes], ids: np.ndarray, ends: np.ndarray) -> None:
+        self.update(zip(words, range(len(self), len(self) + len(words)), strict=True))
+        self.ends = np.concatenate((self.ends, len(self.flat) + ends))
+        self.flat = np.concatenate((self.flat, ids))
+
+    def learn(self, words: list[bytes]) -> None:
+        single, odd = [], []
         for word in words:
-            core = word.rstrip(self.SIGNS)
-            # Marks that combine do so differently with small letters: plain ASCII only.
-            low = core.lower() if core.isascii() else core
-            if core and core != word and core[-1:].isalnum() and b"<" not in word:
-                built.append((word, low, word[len(core) :]))
-                parts.add(low)
-                parts.add(word[len(core) :])
-            elif low != word and core == word and b"<" not in word:
-                built.append((word, low, b""))
-                parts.add(low)
-            else:
-                whole.append(word)
-        parts.update(whole)
-        self[b""] = b""
-        self._encode_parts([p for p in parts if p not in self])
-        for word, low, signs in built:
-            self[word] = self[low] + self[signs]
-
-    def _encode_parts(self, parts: list[bytes]) -> None:
-        letters, odd = [], []
-        for part in parts:
-            (letters if part.isalpha() or part.decode().isalpha() else odd).append(part)
-        for at in range(0, len(letters), WORDS_AT_A_TIME):
-            some = letters[at : at + WORDS_AT_A_TIME]
+            plain = word.isascii() and b"<|" not in word
+            (single if plain or word.decode().isalpha() else odd).append(word)
+        for at in range(0, len(single), WORDS_AT_A_TIME):
+            some = single[at : at + WORDS_AT_A_TIME]
             ids = np.array(self._encode([b" ".join(some).decode()])[0].ids, "<u4")
             ends = np.flatnonzero(self.closes[ids]) + 1
-            if len(ends) != len(some):  # not a word to the tokenizer after all
+            if len(ends) == len(some):
+                self._add(some, ids, ends)
+            else:  # not a word to the tokenizer after all
                 odd += some
-                continue
-            data, ends = ids.tobytes(), (4 * ends).tolist()
-            for part, low, high in zip(some, [0, *ends], ends, strict=False):
-                self[part] = data[low:high]
-        for part, code in zip(odd, self._encode([p.decode() for p in odd]), strict=True):
-            self[part] = np.array(code.ids, "<u4").tobytes()
-
-    def ids(self, texts: list[bytes]) -> list[bytes]:
+        if odd:
+            codes = [np.array(c.ids, "<u4") for c in self._encode([w.decode() for w in odd])]
+            self._add(odd, np.concatenate(codes), np.cumsum([len(c) for c in codes]))
+
+    def ids(self, texts: list[bytes]) -> list[np.ndarray]:
         """Ids of every text; the words that are new are found together."""
-        words = [t.split() for t in texts]
-        every = set().union(*words)
-        fresh = every.difference(self)
+        words, which, begins = pre_tokens(texts)
+        fresh = [w for w in words if w not in self]
         if len(self) + len(fresh) > CACHED_WORDS:
-            self.clear()
-            fresh = every
+            self.forget()
+            fresh = words
         self.learn(fresh)
-        return [b"".join(map(self.__getitem__, w)) for w in words]
+        number = np.fromiter(map(self.__getitem__, words), np.int64, len(words))[which]
+        low, lengths = self.ends[number], self.ends[number + 1] - self.ends[number]
+        ends = np.concatenate(([0], np.cumsum(lengths)))
+        flat = self.flat[np.arange(ends[-1]) + np.repeat(low - ends[:-1], lengths)]
+        return np.split(flat, ends[begins[1:-1]])
 
 
 def pieces(
@@ -133,7 +175,7 @@ def pieces(
 ) -> DataFrame:
     """Token pieces: id, piece (from 0), start, length, ids_crc32; with `with_ids` the ids."""
     names = ["id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
-    end = np.array([end_id], "<u4").tobytes()
+    end = np.array([end_id], "<u4")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _word_ids(tokenizer_path)
@@ -143,12 +185,12 @@ def pieces(
                 keys, texts = batch.slice(at, TEXTS_AT_A_TIME).columns
                 some = [t or b"" for t in texts.cast(pa.large_binary()).to_pylist()]
                 for key, ids in zip(keys.to_pylist(), known.ids(some), strict=True):
-                    ids += end
-                    for piece, low in enumerate(range(0, len(ids), 4 * max_tokens)):
-                        own = ids[low : low + 4 * max_tokens]
-                        row = [key, piece, low // 4, len(own) // 4, zlib.crc32(own)]
+                    ids = np.append(ids, end)
+                    for piece, low in enumerate(range(0, len(ids), max_tokens)):
+                        own = ids[low : low + max_tokens]
+                        row = [key, piece, low, len(own), zlib.crc32(own)]
                         if with_ids:
-                            row.append(np.frombuffer(own, "<u4").astype(np.int32))
+                            row.append(own.astype(np.int32))
                         for column, value in zip(out, row, strict=True):
                             column.append(value)
             yield pa.RecordBatch.from_arrays(

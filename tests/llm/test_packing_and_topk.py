@@ -57,6 +57,14 @@ def test_cache_is_bounded_and_stays_right(monkeypatch):
     assert len(known) <= 7
 
 
+def test_a_word_is_encoded_once_whatever_its_case_and_signs():
+    known = packing.WordIds(PATH)
+    text = "Word word, WORD. (word) word7word <|word don'T-don't \u00c9t\u00e9 \u00e9t\u00c9! l'\u00e9t\u00e9 \u00d7\u00e9t\u00e9"
+    assert known.ids([text.encode()])[0].tolist() == plain_ids(text)[:-1]
+    cut = {b"word", b",", b".", b"(", b")", b"7", b"don", b"'t", b"-", b"\xc3\xa9t\xc3\xa9", b"!", b"l", b"'"}
+    assert set(known) == cut | {b"<|word", "\u00d7\u00e9t\u00e9".encode()}
+
+
 @pytest.mark.parametrize("rule", ["norm", "dot"])
 def test_every_constraint_holds(rule):
     rnd = np.random.default_rng(3)
