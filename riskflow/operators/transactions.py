@@ -17,13 +17,18 @@ def with_billing_country(txn: DataFrame, accounts: DataFrame) -> DataFrame:
     """Left join each transaction to its account's billing country.
 
     `accounts` has one row per account, as the silver table does: the country compared
-    with is that of the row which is kept. Both sides come straight from a scan, so
+    with is that of the row which is kept. Where both sides come straight from a scan,
     Spark broadcasts the accounts if they are small, and splits the rows of a very
-    busy account if they are not.
+    busy account if they are not. `txn` may also be the pairs of `account_pairs`.
     """
     return txn.join(accounts.select("account_id", "billing_country"), "account_id", "left")
 
 
+def account_pairs(txn: DataFrame, customer: str = "customer_id") -> DataFrame:
+    """The pairs of account and customer among the rows, with their number of rows, `_rows`."""
+    return txn.groupBy("account_id", customer).agg(F.count(F.lit(1)).alias("_rows"))
+
+
 def with_time_parts(txn: DataFrame, ts: str = "transaction_ts") -> DataFrame:
     return txn.withColumns(
         {"hour_of_day": signals.hour_of_day(ts), "is_weekend": signals.is_weekend(ts)}
@@ -36,6 +41,7 @@ def with_amount_zscore(
     amount: str = "amount",
     out: str = "amount_zscore",
     source: DataFrame | None = None,
+    pairs: DataFrame | None = None,
 ) -> DataFrame:
     """Distance of each amount from its customer's mean, in sample deviations.
 
@@ -43,13 +49,26 @@ def with_amount_zscore(
     deviation come from a map-side combined aggregate that is joined back, not
     from a window, which would hold all rows of a customer in one task. They are
     taken over `source`, by default the rows themselves.
+
+    `pairs` are the `account_pairs` of the rows with more columns, such as the account's
+    billing country, that the rows get as well: pairs are few and narrow, so they are joined
+    to their customer's statistics first, and the rows are shuffled once for both.
     """
     stats = (txn if source is None else source).groupBy(customer).agg(
         F.avg(amount).alias("_mean"),
         F.stddev_samp(amount).alias("_deviation"),
         F.count(F.lit(1)).alias("_rows"),
     )
-    joined = attach_per_key(txn, stats, [customer], [amount], size="_rows", null_safe=True)
+    if pairs is None:
+        joined = attach_per_key(txn, stats, [customer], [amount], size="_rows", null_safe=True)
+    else:
+        stats = stats.withColumnRenamed("_rows", "_all_rows")
+        known = attach_per_key(
+            pairs, stats, [customer], ["account_id"], size="_all_rows", null_safe=True
+        )
+        joined = attach_per_key(
+            txn, known, ["account_id", customer], [amount], size="_rows", null_safe=True
+        )
     z = F.when(
         F.col("_deviation") > 0, (F.col(amount) - F.col("_mean")) / F.col("_deviation")
     ).otherwise(0.0)

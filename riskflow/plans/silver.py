@@ -42,10 +42,13 @@ def silver_transactions(
     unique = dedup_latest(df, ["transaction_id"], _latest_first(df, "transaction_ts"))
     counted = unique if dedup_first else df
 
-    out = transactions.with_billing_country(unique, accounts)
-    out = out.withColumn("is_international", signals.is_international()).drop("billing_country")
+    # The country goes to the pairs of account and customer, and with them to the rows.
+    pairs = transactions.with_billing_country(transactions.account_pairs(df), accounts)
+    out = transactions.with_amount_zscore(unique, source=counted, pairs=pairs)
+    out = out.withColumn("is_international", signals.is_international())
     out = transactions.with_time_parts(out)
-    return transactions.with_amount_zscore(out, source=counted)
+    columns = ["account_id", *[x for x in unique.columns if x != "account_id"]]
+    return out.select(*columns, "is_international", "hour_of_day", "is_weekend", "amount_zscore")
 
 
 def silver_applications(bronze: DataFrame, dedup_first: bool = False) -> DataFrame:

@@ -130,3 +130,41 @@ def test_feeds_ask_for_no_fewer_tasks_than_spark(spark, tables):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert re.findall(r"RepartitionByExpression \[[^\]]*\], (\d+)", text) == ["7", "7"]
+
+
+def shuffled_inputs(spark, df):
+    """The columns that go into each shuffle, where no table is small enough to be broadcast."""
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    text = df._jdf.queryExecution().explainString(mode)
+    return re.findall(r"^\(\d+\) Exchange\nInput \[\d+\]: \[(.*)\]", text, re.MULTILINE)
+
+
+@pytest.fixture()
+def no_broadcast(spark):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    yield
+    spark.conf.set(name, before)
+
+
+def test_silver_transactions_are_shuffled_for_copies_and_once_more(spark, tables, no_broadcast):
+    found = shuffled_inputs(spark, q.silver_card_txn(spark, tables))
+    assert len([x for x in found if "merchant_name#" in x]) == 2
+
+
+@pytest.mark.parametrize("limit", [2, 100])
+def test_country_and_zscore_by_pairs_of_account_and_customer(spark, monkeypatch, limit):
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", limit)
+    who = [("a", 1), ("a", 2), ("b", 1), (None, 1), ("a", None), (None, None), ("x", 7)]
+    data = [(f"{i}-{k}", acc, cust, 10.0 * i + k * k) for i, (acc, cust) in enumerate(who) for k in range(3)]
+    txn = spark.createDataFrame(data, "transaction_id string, account_id string, customer_id bigint, amount double")
+    txn = txn.unionAll(txn.filter("transaction_id = '0-0'"))  # a copy is counted
+    accounts = spark.createDataFrame([("a", "ZA"), ("b", None), ("c", "KE")], "account_id string, billing_country string")
+    pairs = t.with_billing_country(t.account_pairs(txn), accounts)
+    kept = txn.dropDuplicates(["transaction_id"])
+    got = t.with_amount_zscore(kept, source=txn, pairs=pairs)
+    assert got.columns == [*txn.columns, "billing_country", "amount_zscore"]
+    want = t.with_amount_zscore(t.with_billing_country(kept, accounts), source=txn).select(*got.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert got.count() == len(data) and got.filter("billing_country = 'ZA'").count() == 9
