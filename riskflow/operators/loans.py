@@ -164,6 +164,7 @@ def with_cumulative_missed(
     missed: str = "is_missed",
     repayment: str = "repayment_id",
     source: DataFrame | None = None,
+    in_task: bool = False,
 ) -> DataFrame:
     """Missed payments of the customer up to and including each due date.
 
@@ -171,7 +172,13 @@ def with_cumulative_missed(
     one group, which is shuffled once and left spread by customer. For customers with too
     many rows for a task, and for rows counted in another `source`, the running sum goes over
     one row per (customer, due date) and is joined back.
+
+    `in_task` says that no customer has too many rows for a task, in `source` neither. Then its
+    misses are shuffled along with the rows, which also lie in the order of due date and
+    repayment id, as `with_missed_streak` needs them.
     """
+    if in_task:
+        return _missed_so_far(repayments, out, customer, due, missed, repayment, source)
     if source is None:
         hot, _ = hot_keys(repayments, customer)
         rest = repayments
@@ -194,6 +201,28 @@ def with_cumulative_missed(
     )
 
 
+def _missed_so_far(
+    repayments: DataFrame,
+    out: str,
+    customer: str,
+    due: str,
+    missed: str,
+    repayment: str,
+    source: DataFrame | None,
+) -> DataFrame:
+    """The misses of `source` up to each row's due date, where the rows of a customer lie.
+
+    Only misses add to the count, so of `source` they alone are shuffled, with two columns.
+    """
+    rows = repayments.withColumn("_row", F.lit(True))
+    misses = (repayments if source is None else source).filter(missed).select(customer, due)
+    both = rows.unionByName(misses, allowMissingColumns=True).repartition(customer)
+    lying = both.sortWithinPartitions(customer, F.col(due).asc_nulls_first(), repayment)
+    by_day = W.partitionBy(customer).orderBy(due).rangeBetween(W.unboundedPreceding, W.currentRow)
+    so_far = F.count_if(F.col("_row").isNull()).over(by_day)
+    return lying.withColumn(out, so_far).filter("_row").drop("_row")
+
+
 def missed_streak(
     repayments: DataFrame,
     out: str = "missed_streak",
@@ -219,16 +248,20 @@ def with_missed_streak(
     repayment: str = "repayment_id",
     missed: str = "is_missed",
     ranges: int | None = None,
+    in_task: bool = False,
 ) -> DataFrame:
     """Add the length of the run of missed payments that ends at each row (0 if paid).
 
-    Runs follow the total order (due date, repayment id) of each customer. The whole
+    With `in_task` no customer has too many rows for a task: they are one group each, and are
+    not shuffled if they are spread by customer. Otherwise runs follow the total order (due date, repayment id) of each customer. The whole
     order is cut into `ranges` parts of about equal size, which a customer with very many
     rows may span: by default as many as there are shuffle partitions, and more if a part
     would exceed `RANGE_ROWS`. They are stored, as they are read twice. Runs are measured inside a range, and one that is
     still open at its end is carried into the next by a window over one row per
     customer and range.
     """
+    if in_task:
+        return _streak_in_task(repayments, out, customer, due, repayment, missed)
     # A struct equals another if both hold NULL: rows without a customer stay together. It takes
     # the column's place, so that runs and what is carried read the same columns, and Spark
     # shuffles them once.
@@ -247,6 +280,19 @@ def with_missed_streak(
     return restored.select(*repayments.columns, streak.alias(out))
 
 
+def _streak_in_task(
+    rows: DataFrame, out: str, customer: str, due: str, repayment: str, missed: str
+) -> DataFrame:
+    """Misses so far less those up to the last payment; both sums follow one order."""
+    in_order = W.partitionBy(customer).orderBy(F.col(due).asc_nulls_first(), repayment)
+    so_far = in_order.rowsBetween(W.unboundedPreceding, W.currentRow)
+    counted = rows.withColumn("_misses", F.count_if(F.col(missed)).over(so_far))
+    settled = F.max(F.when(~F.col(missed), F.col("_misses"))).over(so_far)
+    run = F.col("_misses") - F.coalesce("_settled", F.lit(0))
+    streak = F.when(F.col(missed), run).otherwise(0)
+    return counted.withColumn("_settled", settled).select(*rows.columns, streak.alias(out))
+
+
 def _runs(rows: DataFrame, group: list[str], order: list[Column], missed: str) -> DataFrame:
     """Within each group: payments made so far, `_paid`, and the run of misses, `_run`."""
     so_far = (W.unboundedPreceding, W.currentRow)

@@ -14,6 +14,7 @@ from riskflow.functions import normalize as n
 from riskflow.functions import signals
 from riskflow.operators import loans, transactions
 from riskflow.operators.dedup import dedup_latest
+from riskflow.operators.skew import hot_keys, split_hot
 from riskflow.sources.tables import stored
 
 
@@ -102,8 +103,18 @@ def silver_repayments(bronze: DataFrame, dedup_first: bool = False) -> DataFrame
     unique = dedup_latest(df, ["repayment_id"], _latest_first(df, "due_date"))
     counted = unique if dedup_first else df
     out = unique.withColumn("payment_shortfall", signals.payment_shortfall())
-    # Stored, as it is read twice: narrow for the streaks, and whole for the result.
-    out = stored(loans.with_cumulative_missed(out, source=counted), "silver-repayments")
-    streaks = loans.missed_streak(out).select(F.col("repayment_id").alias("_id"), "missed_streak")
-    # One row per repayment on both sides.
-    return out.join(streaks, F.col("repayment_id").eqNullSafe(F.col("_id")), "left").drop("_id")
+    hot, _ = hot_keys(df, "customer_id")
+    if hot is None:
+        return _with_runs(out, counted)
+    (rest, busy), (counted_rest, counted_busy) = (
+        split_hot(x, hot, "customer_id") for x in (out, counted)
+    )
+    # Stored, as it is read twice: to cut it into ranges, and to spread it over them.
+    busy = stored(loans.with_cumulative_missed(busy, source=counted_busy), "busy-repayments")
+    return _with_runs(rest, counted_rest).unionByName(loans.with_missed_streak(busy))
+
+
+def _with_runs(repayments: DataFrame, counted: DataFrame) -> DataFrame:
+    """Running misses and streaks of customers that fit into a task: rows are shuffled once."""
+    out = loans.with_cumulative_missed(repayments, source=counted, in_task=True)
+    return loans.with_missed_streak(out, in_task=True)

@@ -9,6 +9,7 @@ from riskflow.checks import queries as q
 from riskflow.checks import views as v
 from riskflow.operators import features, loans, skew
 from riskflow.operators import transactions as t
+from riskflow.plans import silver
 
 DAY = datetime(1995, 1, 1)
 
@@ -168,3 +169,42 @@ def test_country_and_zscore_by_pairs_of_account_and_customer(spark, monkeypatch,
     want = t.with_amount_zscore(t.with_billing_country(kept, accounts), source=txn).select(*got.columns)
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
     assert got.count() == len(data) and got.filter("billing_country = 'ZA'").count() == 9
+
+
+def test_silver_repayments_are_shuffled_for_copies_and_once_more(spark, tables, no_broadcast):
+    df = q.silver_loan_rep(spark, tables)
+    assert "lineitem.parquet" in plan(df)  # nor stored in between, which would hide shuffles
+    found = shuffled_inputs(spark, df)
+    assert len([x for x in found if "payment_date#" in x]) == 2
+
+
+@pytest.mark.parametrize("dedup_first", [False, True])
+@pytest.mark.parametrize("limit", [4, 100])
+def test_running_misses_and_streaks_of_silver_repayments(spark, monkeypatch, limit, dedup_first):
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", limit)
+    days = [None, "2024-01-01", "2024-01-01", "2024-01-02", "soon", "2024-01-03"]
+    labels = ["Missed ", "missed", "Paid", " missed", None, "MISSED"]
+    data = [(f"{c}{i}", c, day, label, 1) for c in ("a", "b", None) for i, (day, label) in enumerate(zip(days, labels, strict=True))]
+    data += [("x1", "x", "2024-01-01", "missed", 1), ("x1", "x", "2024-01-01", "missed", 2), ("x2", "x", "2024-01-02", "paid", 1)]
+    data += [("y1", "x", "2024-01-02", "missed", 1), ("y1", "y", "2024-01-05", "paid", 2), (None, "y", "2024-01-06", "missed", 1)]
+    bronze = spark.createDataFrame(data, "repayment_id string, customer_id string, due_date string, payment_status string, _ingested_at int")
+    nothing = v.F.lit(None).cast("string")
+    for column in ("payment_date", "due_amount", "paid_amount", "days_past_due", "outstanding_balance"):
+        bronze = bronze.withColumn(column, nothing)
+    got = silver.silver_repayments(bronze, dedup_first)
+    assert got.columns[-2:] == ["consecutive_missed_count", "missed_streak"]
+
+    date = lambda x: "" if x in (None, "soon") else x
+    missed = lambda x: (x or "").strip().lower() == "missed"
+    kept = {r[0]: r for r in sorted(data, key=lambda r: r[4])}
+    want = []
+    for id_, who, day, _, _ in kept.values():
+        counted = kept.values() if dedup_first else data
+        so_far = sum(missed(r[3]) for r in counted if r[1] == who and date(r[2]) <= date(day))
+        streak = 0
+        for r in sorted((r for r in kept.values() if r[1] == who), key=lambda r: (date(r[2]), r[0] or "")):
+            streak = streak + 1 if missed(r[3]) else 0
+            if r[0] == id_:
+                want.append((id_, so_far, streak))
+    found = [(r.repayment_id, r.consecutive_missed_count, r.missed_streak) for r in got.collect()]
+    assert sorted(found, key=str) == sorted(want, key=str)
