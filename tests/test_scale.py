@@ -150,8 +150,11 @@ def no_broadcast(spark):
 
 
 def test_silver_transactions_are_shuffled_for_copies_and_once_more(spark, tables, no_broadcast):
-    found = shuffled_inputs(spark, q.silver_card_txn(spark, tables))
-    assert len([x for x in found if "merchant_name#" in x]) == 2
+    df = q.silver_card_txn(spark, tables)
+    assert len([x for x in shuffled_inputs(spark, df) if "merchant_name#" in x]) == 2
+    # The rows, and once for pairs and statistics, which are also read for hot and for other keys.
+    scans = re.findall(r"ReadSchema: (\S*l_orderkey\S*)", plan(df))
+    assert len(scans) > 2 and len(set(scans)) == 2
 
 
 @pytest.mark.parametrize("limit", [2, 100])
